@@ -1 +1,218 @@
-"""Queries (filled in below)."""
+"""Queries for expectations, contract tests, reconciliation and coverage."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.operators import contracts as C
+from lakeops.operators.audit import coverage_matrix, reconcile
+from lakeops.operators.expectations import (apply_expectations, check, expect, expect_or_drop,
+                                            expect_or_fail, expectation_report)
+from lakeops.plans import standins as S
+from lakeops.plans.core import dim_date_q
+from lakeops.plans.registry import query
+from lakeops.plans.sql_parts import DIM, FL, LI, SNAP
+
+# The order priorities of the test data, used as the dataset
+# list of the coverage matrix (one 'endpoint' per priority).
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query("expect_drop", "select * from customer where c_acctbal >= 0")
+def expect_drop_q(spark: SparkSession, d: str) -> DataFrame:
+    rules = [expect_or_drop("non_negative_balance", "c_acctbal >= 0")]
+    out, _ = apply_expectations(S.table(spark, d, "customer"), rules)
+    return out
+
+
+@query("expect_fail_passes", "select * from orders")
+def expect_fail_passes_q(spark, d):
+    rules = [expect_or_fail("valid_key", "o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL"),
+             expect("known_status", "o_orderstatus IN ('F', 'O', 'P')")]
+    out, _ = apply_expectations(S.table(spark, d, "orders"), rules)
+    return out
+
+
+LINE_RULES = [
+    expect_or_fail("valid_key", "l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL"),
+    expect_or_drop("non_negative_price", "l_extendedprice >= 0 AND l_quantity >= 0"),
+    expect("tax_not_above_discount", "l_tax <= l_discount"),
+    expect("shipped_before_2001", "l_shipdate < DATE'2001-01-01'"),
+]
+
+
+def _rules_sql(src: str) -> str:
+    parts = [f"select '{r.name}' as rule, '{r.action}' as action, count(*) as rows, "
+             f"count(*) filter (where not coalesce({r.condition.replace('DATE', 'date ')}, false)) as violations "
+             f"from {src}" for r in LINE_RULES]
+    return " union all ".join(parts)
+
+
+@query("expect_metrics", f"with {LI} " + _rules_sql("li"))
+def expect_metrics_q(spark, d):
+    """Rule report on the operator's output (after dedup), one row per rule."""
+    return expectation_report(S.lines(spark, d), LINE_RULES)
+
+
+def not_null_unique_tests(spark, d) -> list[DataFrame]:
+    orders, li, dim = S.table(spark, d, "orders"), S.lines(spark, d), S.dimension(spark, d)
+    return [C.not_null(orders, "o_orderkey", "not_null_orders_o_orderkey"),
+            C.unique(orders, "o_orderkey", name="unique_orders_o_orderkey"),
+            C.not_null(li, "l_shipdate", "not_null_li_l_shipdate"),
+            C.unique(S.table(spark, d, "lineitem"), "l_orderkey", name="unique_lineitem_l_orderkey"),
+            C.unique(dim, "customer_key", name="unique_dim_customer_key"),
+            C.unique(dim, "o_custkey", where="is_current", name="unique_dim_current_o_custkey")]
+
+
+NOT_NULL_UNIQUE_SQL = f"""
+select 'not_null_orders_o_orderkey' as test_name, count(*) filter (where o_orderkey is null) as failures from orders
+union all select 'unique_orders_o_orderkey', count(*) from
+  (select o_orderkey from orders where o_orderkey is not null group by 1 having count(*) > 1)
+union all select 'not_null_li_l_shipdate', count(*) filter (where l_shipdate is null) from li
+union all select 'unique_lineitem_l_orderkey', count(*) from
+  (select l_orderkey from lineitem where l_orderkey is not null group by 1 having count(*) > 1)
+union all select 'unique_dim_customer_key', count(*) from
+  (select customer_key from dim where customer_key is not null group by 1 having count(*) > 1)
+union all select 'unique_dim_current_o_custkey', count(*) from
+  (select o_custkey from dim where is_current and o_custkey is not null group by 1 having count(*) > 1)"""
+
+
+@query("test_not_null_unique", f"with {LI}, {DIM} {NOT_NULL_UNIQUE_SQL}")
+def test_not_null_unique_q(spark, d):
+    return C.run_tests(not_null_unique_tests(spark, d))
+
+
+def unique_combination_tests(spark, d):
+    return [C.unique_combination(S.table(spark, d, "lineitem"), S.LINE_KEY, "unique_combination_lineitem"),
+            C.unique_combination(S.lines(spark, d), S.LINE_KEY, "unique_combination_li"),
+            C.unique_combination(S.snapshots(spark, d), ["o_custkey", "batch_date"],
+                                 "unique_combination_snapshots")]
+
+
+UNIQUE_COMBINATION_SQL = """
+select 'unique_combination_lineitem' as test_name, count(*) as failures from
+  (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
+union all select 'unique_combination_li', count(*) from
+  (select 1 from li group by l_orderkey, l_linenumber having count(*) > 1)
+union all select 'unique_combination_snapshots', count(*) from
+  (select 1 from snap group by o_custkey, batch_date having count(*) > 1)"""
+
+
+@query("test_unique_combination", f"with {LI}, {SNAP} {UNIQUE_COMBINATION_SQL}")
+def test_unique_combination_q(spark, d):
+    return C.run_tests(unique_combination_tests(spark, d))
+
+
+def accepted_values_tests(spark, d):
+    return [C.accepted_values(S.table(spark, d, "orders"), "o_orderpriority", PRIORITIES,
+                              "accepted_values_o_orderpriority"),
+            C.accepted_values(S.table(spark, d, "lineitem"), "l_returnflag", ["A", "N"],
+                              "accepted_values_l_returnflag"),
+            C.accepted_values(dim_date_q(spark, d), "quarter_of_year", [1, 2, 3, 4],
+                              "accepted_values_quarter_of_year")]
+
+
+ACCEPTED_SQL = """
+select 'accepted_values_o_orderpriority' as test_name, count(distinct o_orderpriority) as failures from orders
+  where o_orderpriority not in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')
+union all select 'accepted_values_l_returnflag', count(distinct l_returnflag) from lineitem
+  where l_returnflag not in ('A', 'N')
+union all select 'accepted_values_quarter_of_year', 0"""
+
+
+@query("test_accepted_values", ACCEPTED_SQL)
+def test_accepted_values_q(spark, d):
+    return C.run_tests(accepted_values_tests(spark, d))
+
+
+def sequential_tests(spark, d):
+    orders = S.table(spark, d, "orders")
+    return [C.sequential_days(dim_date_q(spark, d), "date_day", "sequential_values_dim_date"),
+            C.sequential_days(orders.select(F.to_date("o_orderdate").alias("day")).distinct(), "day",
+                              "sequential_values_order_days"),
+            C.sequential_days(orders, "o_orderdate", "sequential_values_orders_raw")]
+
+
+SEQUENTIAL_SQL = """
+with od as (select distinct cast(o_orderdate as date) as d from orders),
+     raw as (select cast(o_orderdate as date) as d from orders)
+select 'sequential_values_dim_date' as test_name, 0 as failures
+union all select 'sequential_values_order_days', count(*) from
+  (select d, lag(d) over (order by d) as p from od) where not (d = p + 1)
+union all select 'sequential_values_orders_raw', count(*) from
+  (select d, lag(d) over (order by d) as p from raw) where not (d = p + 1)"""
+
+
+@query("test_sequential_days", SEQUENTIAL_SQL)
+def test_sequential_days_q(spark, d):
+    return C.run_tests(sequential_tests(spark, d))
+
+
+def relationship_tests(spark, d):
+    orders, li = S.table(spark, d, "orders"), S.table(spark, d, "lineitem")
+    fl = S.fact_lines(spark, d)
+    return [C.relationships(li, "l_orderkey", orders, "o_orderkey", "relationships_lines_to_orders"),
+            C.relationships(orders, "o_orderkey", li, "l_orderkey", "relationships_orders_to_lines"),
+            C.relationships(fl, "o_custkey", S.table(spark, d, "customer"), "c_custkey",
+                            "relationships_facts_to_customer")]
+
+
+RELATIONSHIP_SQL = """
+select 'relationships_lines_to_orders' as test_name, count(*) as failures from lineitem l
+  where l.l_orderkey is not null and not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)
+union all select 'relationships_orders_to_lines', count(*) from orders o
+  where o.o_orderkey is not null and not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey)
+union all select 'relationships_facts_to_customer', count(*) from fl
+  where fl.o_custkey is not null and not exists (select 1 from customer c where c.c_custkey = fl.o_custkey)"""
+
+
+@query("test_relationships", f"with {FL} {RELATIONSHIP_SQL}")
+def test_relationships_q(spark, d):
+    return C.run_tests(relationship_tests(spark, d))
+
+
+@query("test_suite", f"""with {DIM}, {FL}
+{NOT_NULL_UNIQUE_SQL} union all {UNIQUE_COMBINATION_SQL} union all {ACCEPTED_SQL}
+union all {RELATIONSHIP_SQL} union all
+select * from ({SEQUENTIAL_SQL})""")
+def test_suite_q(spark, d):
+    """All contract tests in one result table (Q12)."""
+    return C.run_tests(not_null_unique_tests(spark, d) + unique_combination_tests(spark, d)
+                       + accepted_values_tests(spark, d) + relationship_tests(spark, d)
+                       + sequential_tests(spark, d))
+
+
+@query("cross_feed_reconcile", f"""
+with {LI}, f2 as (select l_orderkey, l_linenumber, l_extendedprice * (1 + l_tax * 0.11) as price
+                  from li where l_shipdate >= timestamp '2001-01-01')
+select a.l_orderkey, a.l_linenumber, a.l_extendedprice as primary_value, b.price as secondary_value,
+       abs(a.l_extendedprice - b.price) as abs_diff,
+       case when a.l_extendedprice <> 0 then abs(a.l_extendedprice - b.price) / a.l_extendedprice end as pct_diff,
+       case when a.l_extendedprice <> 0 then abs(a.l_extendedprice - b.price) / a.l_extendedprice end > 0.005
+         as is_divergent
+from li a join f2 b on a.l_orderkey = b.l_orderkey and a.l_linenumber = b.l_linenumber
+""")
+def cross_feed_reconcile_q(spark, d):
+    li = S.lines(spark, d)
+    primary = li.select(*S.LINE_KEY, F.col("l_extendedprice").alias("price"))
+    secondary = (li.filter(F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+                 .select(*S.LINE_KEY, (F.col("l_extendedprice") * (1 + F.col("l_tax") * 0.11)).alias("price")))
+    return reconcile(primary, secondary, S.LINE_KEY, "price")
+
+
+COVERAGE_VALUES = ", ".join(f"('{p}')" for p in PRIORITIES)
+
+
+@query("coverage_audit", f"""
+with grid as (select c.c_custkey as symbol, e.endpoint from customer c, (values {COVERAGE_VALUES}) e(endpoint)),
+counts as (select o_custkey as symbol, o_orderpriority as endpoint, count(*) as record_count
+           from orders group by 1, 2)
+select g.symbol, g.endpoint, coalesce(c.record_count, 0) as record_count,
+       coalesce(c.record_count, 0) > 0 as has_data
+from grid g left join counts c on g.symbol = c.symbol and g.endpoint = c.endpoint
+""")
+def coverage_audit_q(spark, d):
+    orders = S.table(spark, d, "orders")
+    tables = {p: orders.filter(F.col("o_orderpriority") == p) for p in PRIORITIES}
+    return coverage_matrix(S.table(spark, d, "customer"), "c_custkey", tables, "o_custkey")
