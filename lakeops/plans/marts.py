@@ -1 +1,291 @@
-"""Queries (filled in below)."""
+"""Star-schema facts (M12-M16), incremental upserts (K2-K5) and the mart
+export (K9) on the stand-in tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.functions.keys import date_key
+from lakeops.operators.pit import pit_join
+from lakeops.operators.reshape import union_all, unpivot
+from lakeops.operators.upsert import VersionedTable, incremental_build, lookback_filter, merge_upsert
+from lakeops.plans import standins as S
+from lakeops.plans.core import LINE_TOTALS_SQL, line_totals, period_dimension
+from lakeops.plans.registry import query
+from lakeops.plans.sql_parts import DIM, FL, LI, PERIOD
+from lakeops.session import scratch_path
+from lakeops.sources.export import export_marts, to_cells
+
+PIT_DIM_COLS = ["o_custkey", "customer_key", "scd_effective_from", "scd_effective_to"]
+
+
+def _dim(spark, d):
+    return S.dimension(spark, d).select(*PIT_DIM_COLS)
+
+
+def _pit_sql(alias: str, key: str, when: str) -> str:
+    return (f"left join dim dc on {alias}.{key} = dc.o_custkey and {alias}.{when} >= dc.scd_effective_from "
+            f"and {alias}.{when} < coalesce(dc.scd_effective_to, date '9999-12-31')")
+
+
+def fact_daily(spark: SparkSession, d: str) -> DataFrame:
+    snaps = S.snapshots(spark, d).select("o_custkey", F.to_date("batch_date", "yyyyMMdd").alias("price_date"),
+                                         F.col("o_totalprice").alias("close_price"), "o_orderpriority")
+    enriched = snaps.join(line_totals(spark, d).withColumnRenamed("order_date", "price_date"),
+                          ["o_custkey", "price_date"], "left")
+    facts = pit_join(enriched, _dim(spark, d), "o_custkey", "price_date", dim_key="o_custkey",
+                     attach=["customer_key"])
+    return facts.select(date_key("price_date").alias("date_key"), "customer_key", "o_custkey", "price_date",
+                        "close_price", "o_orderpriority", "shipped_qty", "shipped_lines")
+
+
+@query("fact_daily", f"""
+with {DIM}, {FL}, {LINE_TOTALS_SQL},
+s as (select o_custkey, cast(strptime(batch_date, '%Y%m%d') as date) as price_date,
+             o_totalprice as close_price, o_orderpriority from snap)
+select cast(strftime(s.price_date, '%Y%m%d') as integer) as date_key, dc.customer_key, s.o_custkey, s.price_date,
+       s.close_price, s.o_orderpriority, lt.shipped_qty, lt.shipped_lines
+from s left join lt on s.o_custkey = lt.o_custkey and s.price_date = lt.order_date
+{_pit_sql('s', 'o_custkey', 'price_date')}
+""")
+def fact_daily_q(spark, d):
+    return fact_daily(spark, d)
+
+
+def order_events(spark, d) -> DataFrame:
+    o = S.table(spark, d, "orders")
+    totals = S.lines(spark, d).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum("l_extendedprice").alias("estimated"))
+    return (o.join(totals, "o_orderkey", "left")
+            .select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("event_date"),
+                    F.col("o_totalprice").alias("actual"), "estimated"))
+
+
+@query("fact_event", f"""
+with {DIM}, {LI},
+t as (select l_orderkey, sum(l_extendedprice) as estimated from li group by 1),
+e as (select o.o_orderkey, o.o_custkey, cast(o.o_orderdate as date) as event_date, o.o_totalprice as actual,
+             t.estimated from orders o left join t on o.o_orderkey = t.l_orderkey)
+select cast(strftime(e.event_date, '%Y%m%d') as integer) as date_key, dc.customer_key, e.o_orderkey, e.o_custkey,
+       e.event_date, e.actual, e.estimated, e.actual - e.estimated as surprise,
+       e.actual / nullif(e.estimated, 0) as surprise_ratio
+from e {_pit_sql('e', 'o_custkey', 'event_date')}
+""")
+def fact_event_q(spark, d):
+    e = order_events(spark, d)
+    facts = pit_join(e, _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"])
+    return facts.select(date_key("event_date").alias("date_key"), "customer_key", "o_orderkey", "o_custkey",
+                        "event_date", "actual", "estimated",
+                        (F.col("actual") - F.col("estimated")).alias("surprise"),
+                        (F.col("actual") / F.nullif(F.col("estimated"), F.lit(0.0))).alias("surprise_ratio"))
+
+
+STATEMENT_KEYS = ["symbol", "fiscalYear", "period"]
+INCOME_MEASURES = ["revenue", "order_count", "max_price"]
+SHIPPING_MEASURES = ["shipped_quantity", "shipped_value", "avg_discount"]
+
+
+def income_statements(spark, d) -> DataFrame:
+    o = S.table(spark, d, "orders")
+    return (o.groupBy(F.col("o_custkey").alias("symbol"), F.year("o_orderdate").cast("string").alias("fiscalYear"),
+                      F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("period"))
+            .agg(F.max(F.to_date("o_orderdate")).alias("period_end_date"),
+                 F.sum("o_totalprice").alias("revenue"), F.count(F.lit(1)).alias("order_count"),
+                 F.max("o_totalprice").alias("max_price")))
+
+
+def shipping_statements(spark, d) -> DataFrame:
+    fl = S.fact_lines(spark, d)
+    return (fl.groupBy(F.col("o_custkey").alias("symbol"), F.year("ship_date").cast("string").alias("fiscalYear"),
+                       F.concat(F.lit("Q"), F.quarter("ship_date").cast("string")).alias("period"))
+            .agg(F.max("ship_date").alias("period_end_date"), F.sum("l_quantity").alias("shipped_quantity"),
+                 F.sum("l_extendedprice").alias("shipped_value"), F.avg("l_discount").alias("avg_discount")))
+
+
+STATEMENTS_SQL = f"""{PERIOD}, {FL},
+inc as (select o_custkey as symbol, cast(year(o_orderdate) as varchar) as fiscalYear,
+               'Q' || cast(quarter(o_orderdate) as varchar) as period, max(cast(o_orderdate as date)) as period_end_date,
+               sum(o_totalprice) as revenue, count(*) as order_count, max(o_totalprice) as max_price
+        from orders group by 1, 2, 3),
+shp as (select o_custkey as symbol, cast(year(ship_date) as varchar) as fiscalYear,
+               'Q' || cast(quarter(ship_date) as varchar) as period, max(ship_date) as period_end_date,
+               sum(l_quantity) as shipped_quantity, sum(l_extendedprice) as shipped_value,
+               avg(l_discount) as avg_discount
+        from fl group by 1, 2, 3)"""
+
+
+def _attach_period_and_version(spark, d, df: DataFrame) -> DataFrame:
+    p = period_dimension(spark, d).select("symbol", "fiscal_year", "fiscal_period", "fiscal_period_key",
+                                          "period_end_date_key")
+    typed = df.withColumn("fiscal_year", F.col("fiscalYear").cast("int")).withColumnRenamed("period", "fiscal_period")
+    joined = typed.join(p, ["symbol", "fiscal_year", "fiscal_period"], "left")
+    return pit_join(joined, _dim(spark, d), "symbol", "period_end_date", dim_key="o_custkey",
+                    attach=["customer_key"])
+
+
+@query("fact_long", f"""
+with {DIM}, {STATEMENTS_SQL},
+u as (
+  select symbol, fiscalYear, period, period_end_date, 'income' as statement_type, 'revenue' as line_item,
+         cast(revenue as double) as line_item_value from inc
+  union all select symbol, fiscalYear, period, period_end_date, 'income', 'order_count', cast(order_count as double) from inc
+  union all select symbol, fiscalYear, period, period_end_date, 'income', 'max_price', cast(max_price as double) from inc
+  union all select symbol, fiscalYear, period, period_end_date, 'shipping', 'shipped_quantity', cast(shipped_quantity as double) from shp
+  union all select symbol, fiscalYear, period, period_end_date, 'shipping', 'shipped_value', cast(shipped_value as double) from shp
+  union all select symbol, fiscalYear, period, period_end_date, 'shipping', 'avg_discount', cast(avg_discount as double) from shp)
+select fp.fiscal_period_key, fp.period_end_date_key, dc.customer_key, u.symbol,
+       cast(u.fiscalYear as integer) as fiscal_year, u.period as fiscal_period, u.statement_type, u.line_item,
+       u.line_item_value
+from u left join period_dim fp on u.symbol = fp.symbol and cast(u.fiscalYear as integer) = fp.fiscal_year
+                               and u.period = fp.fiscal_period
+{_pit_sql('u', 'symbol', 'period_end_date')}
+""")
+def fact_long_q(spark, d):
+    ids = STATEMENT_KEYS + ["period_end_date"]
+    long = union_all([
+        unpivot(income_statements(spark, d), ids, INCOME_MEASURES, tag={"statement_type": "income"}),
+        unpivot(shipping_statements(spark, d), ids, SHIPPING_MEASURES, tag={"statement_type": "shipping"})])
+    out = _attach_period_and_version(spark, d, long)
+    return out.select("fiscal_period_key", "period_end_date_key", "customer_key", "symbol", "fiscal_year",
+                      "fiscal_period", "statement_type", "line_item", "line_item_value")
+
+
+@query("fact_wide", f"""
+with {DIM}, {STATEMENTS_SQL}
+select fp.fiscal_period_key, fp.period_end_date_key, dc.customer_key, i.symbol,
+       cast(i.fiscalYear as integer) as fiscal_year, i.period as fiscal_period,
+       i.revenue as total_revenue, i.order_count as orders_in_period, i.max_price as largest_order
+from inc i left join period_dim fp on i.symbol = fp.symbol and cast(i.fiscalYear as integer) = fp.fiscal_year
+                                 and i.period = fp.fiscal_period
+{_pit_sql('i', 'symbol', 'period_end_date')}
+""")
+def fact_wide_q(spark, d):
+    out = _attach_period_and_version(spark, d, income_statements(spark, d))
+    return out.select("fiscal_period_key", "period_end_date_key", "customer_key", "symbol", "fiscal_year",
+                      "fiscal_period", F.col("revenue").alias("total_revenue"),
+                      F.col("order_count").alias("orders_in_period"), F.col("max_price").alias("largest_order"))
+
+
+@query("fact_line", f"""
+with {DIM}, {LI},
+x as (select li.l_orderkey as accession, li.l_returnflag as transaction_table, li.l_linenumber as line_index,
+             o.o_custkey as issuer_key, cast(li.l_shipdate as date) as transaction_date, li.l_quantity as shares
+      from li join orders o on li.l_orderkey = o.o_orderkey)
+select cast(strftime(x.transaction_date, '%Y%m%d') as integer) as date_key, dc.customer_key, x.*
+from x {_pit_sql('x', 'issuer_key', 'transaction_date')}
+""")
+def fact_line_q(spark, d):
+    o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("issuer_key"))
+    x = (S.lines(spark, d).join(o, "l_orderkey")
+         .select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("transaction_table"),
+                 F.col("l_linenumber").alias("line_index"), "issuer_key",
+                 F.to_date("l_shipdate").alias("transaction_date"), F.col("l_quantity").alias("shares")))
+    facts = pit_join(x, _dim(spark, d), "issuer_key", "transaction_date", dim_key="o_custkey",
+                     attach=["customer_key"])
+    return facts.select(date_key("transaction_date").alias("date_key"), "customer_key", *x.columns)
+
+
+# ---- incremental upserts -------------------------------------------------
+
+# Fixed values of the upsert scenario: the target holds orders before the
+# cut-off; the source re-delivers rows with a changed price.
+CUTOFF = "2000-06-30"
+PRICE_DELTA = 1.0
+LOOKBACK_DAYS = 90
+ORDER_COLS = ["o_orderkey", "o_custkey", "order_date", "o_totalprice"]
+
+
+def _orders(spark, d) -> DataFrame:
+    return S.table(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"),
+                                              "o_totalprice")
+
+
+def _target(spark, d) -> DataFrame:
+    return _orders(spark, d).filter(F.col("order_date") < F.lit(CUTOFF).cast("date"))
+
+
+def _changed(df: DataFrame) -> DataFrame:
+    return df.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(PRICE_DELTA))
+
+
+ORDERS_SQL = "select o_orderkey, o_custkey, cast(o_orderdate as date) as order_date, o_totalprice from orders"
+
+
+@query("upsert_first_run", ORDERS_SQL)
+def upsert_first_run_q(spark, d):
+    return incremental_build(_orders(spark, d), None, ["o_orderkey"], "order_date", LOOKBACK_DAYS)
+
+
+MERGE_SQL = f"""
+with o as ({ORDERS_SQL}),
+t as (select * from o where order_date < date '{CUTOFF}'),
+s as (select o_orderkey, o_custkey, order_date, o_totalprice + {PRICE_DELTA} as o_totalprice from o
+      where order_date >= date '{CUTOFF}' - {LOOKBACK_DAYS})
+select * from t where o_orderkey not in (select o_orderkey from s)
+union all select * from s"""
+
+
+@query("upsert_merge", MERGE_SQL)
+def upsert_merge_q(spark, d):
+    o = _orders(spark, d)
+    source = _changed(o.filter(F.col("order_date") >= F.date_sub(F.lit(CUTOFF).cast("date"), LOOKBACK_DAYS)))
+    return merge_upsert(_target(spark, d), source, ["o_orderkey"])
+
+
+LOOKBACK_SQL = f"""
+with o as ({ORDERS_SQL}),
+t as (select * from o where order_date < date '{CUTOFF}'),
+s as (select o_orderkey, o_custkey, order_date, o_totalprice + {PRICE_DELTA} as o_totalprice from o
+      where order_date >= (select max(order_date) - {LOOKBACK_DAYS} from t))
+select * from t where o_orderkey not in (select o_orderkey from s)
+union all select * from s"""
+
+
+@query("upsert_lookback", LOOKBACK_SQL)
+def upsert_lookback_q(spark, d):
+    """Every order re-delivered with a new price; only those inside the
+    lookback window of the target's latest date are merged, older changes
+    stay out (as specified)."""
+    target = _target(spark, d)
+    return incremental_build(_changed(_orders(spark, d)), target, ["o_orderkey"], "order_date", LOOKBACK_DAYS)
+
+
+@query("full_refresh_table", ORDERS_SQL)
+def full_refresh_table_q(spark, d):
+    """Write the table twice (two versions), read through the pointer."""
+    table = VersionedTable(spark, scratch_path(spark, "full_refresh"))
+    table.write(_target(spark, d))
+    table.write(_orders(spark, d))
+    return table.read().select(*ORDER_COLS)
+
+
+@query("incremental_table", LOOKBACK_SQL)
+def incremental_table_q(spark, d):
+    """The same upsert on a stored table: first run builds the target, the
+    second merges the lookback slice into a new version, partitioned by month."""
+    table = VersionedTable(spark, scratch_path(spark, "incremental"))
+    monthly = lambda df: df.withColumn("order_month", F.trunc("order_date", "MM"))
+    table.merge(monthly(_target(spark, d)), ["o_orderkey"], "order_date", LOOKBACK_DAYS, ["order_month"])
+    table.merge(monthly(_changed(_orders(spark, d))), ["o_orderkey"], "order_date", LOOKBACK_DAYS, ["order_month"])
+    return table.read().select(*ORDER_COLS)
+
+
+# ---- export --------------------------------------------------------------
+
+@query("export_cells", f"""
+with {PERIOD}
+select coalesce(fiscal_period_key, '') as fiscal_period_key, coalesce(cast(symbol as varchar), '') as symbol,
+       coalesce(cast(fiscal_year as varchar), '') as fiscal_year, coalesce(fiscal_period, '') as fiscal_period,
+       coalesce(cast(period_end_date as varchar), '') as period_end_date,
+       coalesce(cast(period_end_date_key as varchar), '') as period_end_date_key
+from period_dim
+""")
+def export_cells_q(spark, d):
+    """A mart as text cells; the files are written as CSV per mart and the
+    written period mart is read back."""
+    marts = {"marts.dim_period": period_dimension(spark, d), "marts.fact_daily": fact_daily(spark, d)}
+    out = scratch_path(spark, "export")
+    paths = export_marts(marts, out)
+    cells = to_cells(marts["marts.dim_period"])
+    return spark.read.schema(cells.schema).option("header", True).csv(paths["dim_period"]).na.fill("")
