@@ -1 +1,340 @@
-"""Queries (filled in below)."""
+"""Queries for landing envelopes, file streams, rescue, XML filings, response
+triage, run log and streaming SCD2. Queries with side effects write to a
+fresh folder under the shared checkpoint dir and return a DataFrame over
+what they wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeops.operators.latest import latest_by_key
+from lakeops.plans import standins as S
+from lakeops.plans.registry import query
+from lakeops.plans.sql_parts import LI, VER
+from lakeops.session import scratch_path
+from lakeops.sources import fs
+from lakeops.sources import documents as X
+from lakeops.sources.landing import (ENVELOPE_META, frozen_schema, landing_dir, landing_inventory,
+                                     pack_envelopes, write_landing)
+from lakeops.sources.rescue import parse_with_rescue, recover_field
+from lakeops.sources.triage import RUN_LOG_SCHEMA, append_run_log, latest_status, triage
+from lakeops.streaming.bronze import bronze_stream
+from lakeops.streaming.scd2 import StreamingSCD2
+
+# Fixed values of the landing scenario (envelope metadata of one batch).
+SOURCE, ENDPOINT = "conversations", "turns"
+BATCH_DATE, INGEST_TS = "20240101", "2024-01-02T00:00:00Z"
+RECORD_COLS = ["conv_id", "turn", "role", "text"]
+RECORD_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                              T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
+VOLATILE = ["_loaded_at", "_source_file"]
+
+
+def envelopes(spark: SparkSession, d: str, records: DataFrame | None = None, cols=RECORD_COLS) -> DataFrame:
+    recs = records if records is not None else S.table(spark, d, "conversations")
+    return pack_envelopes(recs, "conv_id", F.lit(BATCH_DATE), SOURCE, ENDPOINT, INGEST_TS, cols, order_col="turn")
+
+
+ENVELOPE_SQL = f"""
+select '{INGEST_TS}' as _ingest_timestamp, '{SOURCE}' as _source, '{ENDPOINT}' as _endpoint,
+       cast(conv_id as varchar) as _ticker, '{BATCH_DATE}' as _batch_date, count(*) as record_count,
+       '{{"_ingest_timestamp":"{INGEST_TS}","_source":"{SOURCE}","_endpoint":"{ENDPOINT}","_ticker":"'
+         || cast(conv_id as varchar) || '","_batch_date":"{BATCH_DATE}","data":'
+         || to_json(list({{'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}} order by turn)) || '}}'
+         as value
+from conversations group by conv_id
+"""
+
+
+@query("envelope_pack", ENVELOPE_SQL)
+def envelope_pack_q(spark, d):
+    return envelopes(spark, d).select(*ENVELOPE_META, F.size("data").cast("bigint").alias("record_count"), "value")
+
+
+BRONZE_SQL = f"""
+select '{INGEST_TS}' as _ingest_timestamp, '{SOURCE}' as _source, '{ENDPOINT}' as _endpoint,
+       cast(conv_id as varchar) as _ticker, '{BATCH_DATE}' as _batch_date, conv_id, turn, role, text,
+       cast(null as varchar) as _rescued_data
+from conversations
+"""
+
+
+def _land(spark, d, root: str, records: DataFrame | None = None, cols=RECORD_COLS) -> str:
+    write_landing(envelopes(spark, d, records, cols), f"{root}/landing")
+    return landing_dir(f"{root}/landing", SOURCE, ENDPOINT)
+
+
+@query("stream_envelope_load", BRONZE_SQL)
+def stream_envelope_load_q(spark, d):
+    root = scratch_path(spark, "bronze")
+    src = _land(spark, d, root)
+    bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt", RECORD_SCHEMA)
+    return spark.read.parquet(f"{root}/bronze").drop(*VOLATILE)
+
+
+@query("stream_reupload_ignored", BRONZE_SQL)
+def stream_reupload_ignored_q(spark, d):
+    """A landing file rewritten at the same path after it was loaded is not
+    read again: the second run adds nothing and changes nothing."""
+    root = scratch_path(spark, "reupload")
+    src = _land(spark, d, root)
+    bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt", RECORD_SCHEMA)
+    first = [f for f in fs.list_files(spark, src) if f.endswith(".txt")][0]
+    text = fs.read_text(spark, first)
+    fs.write_text_atomic(spark, first, text.replace('"role":"user"', '"role":"changed"'))
+    bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt", RECORD_SCHEMA)
+    return spark.read.parquet(f"{root}/bronze").drop(*VOLATILE)
+
+
+@query("stream_replay_dedup", BRONZE_SQL)
+def stream_replay_dedup_q(spark, d):
+    """A lost checkpoint loads every file again (bronze holds each record
+    twice); the latest-record step at silver hides it."""
+    root = scratch_path(spark, "replay")
+    src = _land(spark, d, root)
+    bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt-1", RECORD_SCHEMA)
+    bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt-2", RECORD_SCHEMA)
+    bronze = spark.read.parquet(f"{root}/bronze")
+    latest = latest_by_key(bronze, ["conv_id", "turn"], ["_batch_date", "_ingest_timestamp", "_loaded_at",
+                                                         "_source_file"])
+    return latest.drop(*VOLATILE)
+
+
+@query("infer_and_freeze_schema", f"""
+select '{INGEST_TS}' as _ingest_timestamp, '{SOURCE}' as _source, '{ENDPOINT}' as _endpoint,
+       cast(conv_id as varchar) as _ticker, '{BATCH_DATE}' as _batch_date, conv_id, turn, role, text,
+       conv_id % 10 = 9 as has_rescued, case when conv_id % 10 = 9 then upper(role) end as lang_hint
+from conversations
+""")
+def infer_and_freeze_schema_q(spark, d):
+    """Record schema inferred from the first landing file and saved; a later
+    file with one more field loads under the saved schema, the new field
+    going to the rescue column."""
+    root = scratch_path(spark, "freeze")
+    conv = S.table(spark, d, "conversations")
+    early = conv.filter(F.col("conv_id") % 10 != 9)
+    late = conv.filter(F.col("conv_id") % 10 == 9).withColumn("lang_hint", F.upper("role"))
+    src = _land(spark, d, root, early)
+    schema = frozen_schema(spark, f"{root}/schema", src)
+    bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt", schema)
+    _land(spark, d, root, late, RECORD_COLS + ["lang_hint"])
+    schema2 = frozen_schema(spark, f"{root}/schema", src)  # saved one, not re-inferred
+    bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt", schema2)
+    b = spark.read.parquet(f"{root}/bronze")
+    return b.select(*ENVELOPE_META, *RECORD_COLS, F.col("_rescued_data").isNotNull().alias("has_rescued"),
+                    recover_field(F.col("_rescued_data"), "lang_hint").alias("lang_hint"))
+
+
+PROPS_DECLARED = T.StructType([T.StructField("v", T.LongType())])
+
+
+def rescued_events(spark, d) -> DataFrame:
+    e = S.table(spark, d, "events")
+    typed, rescued = parse_with_rescue(F.col("props"), PROPS_DECLARED)
+    return e.select("event_id", typed["v"].alias("v"), rescued.alias("_rescued_data"))
+
+
+@query("rescue_unknown_fields", """
+select event_id, cast(null as bigint) as v, '{"k":"' || json_extract_string(props, '$.k') || '"}' as _rescued_data
+from events
+""")
+def rescue_unknown_fields_q(spark, d):
+    return rescued_events(spark, d)
+
+
+@query("rescue_recover_field", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
+def rescue_recover_field_q(spark, d):
+    r = rescued_events(spark, d)
+    return r.select("event_id", recover_field(F.col("_rescued_data"), "k", "bigint", root=None).alias("k"))
+
+
+def _leaf(c) -> F.Column:
+    return F.struct(c.cast("string").alias("value"))
+
+
+def filings(spark, d) -> DataFrame:
+    """Orders and their latest lines rendered as filings: lines with return
+    flag 'A' are derivative transactions, the rest non-derivative; one
+    document per (order, page of 100 line numbers)."""
+    o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
+                                           "o_orderpriority", "o_orderdate")
+    li = S.lines(spark, d).join(o, "l_orderkey").withColumn("page", F.floor(F.col("l_linenumber") / 100))
+    common = [_leaf(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("transactionDate"),
+              _leaf(F.col("l_quantity")).alias("transactionShares"),
+              _leaf(F.col("l_extendedprice")).alias("transactionPricePerShare"),
+              _leaf(F.when(F.col("l_linestatus") == "O", F.lit("  ")).otherwise(F.col("l_linestatus")))
+              .alias("transactionCode"),
+              _leaf(F.col("l_linenumber")).alias("sharesOwnedFollowingTransaction")]
+    deriv = common + [_leaf(F.col("l_tax")).alias("conversionOrExercisePrice"),
+                      _leaf(F.date_format(F.date_add(F.to_date("l_shipdate"), 30), "yyyy-MM-dd")).alias("exerciseDate")]
+    is_d = F.col("l_returnflag") == "A"
+    g = li.groupBy("l_orderkey", "page").agg(
+        F.first("o_custkey").alias("o_custkey"), F.first("o_orderpriority").alias("prio"),
+        F.first("o_orderdate").alias("odate"),
+        F.array_sort(F.collect_list(F.when(~is_d, F.struct(F.col("l_linenumber").alias("_n"),
+                                                          F.struct(*common).alias("_t"))))).alias("_non"),
+        F.array_sort(F.collect_list(F.when(is_d, F.struct(F.col("l_linenumber").alias("_n"),
+                                                         F.struct(*deriv).alias("_t"))))).alias("_der"))
+    return g.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("page").cast("string")).alias("accession"),
+        F.lit("4").alias("documentType"), F.date_format("odate", "yyyy-MM-dd").alias("periodOfReport"),
+        F.struct(F.col("o_custkey").cast("string").alias("issuerTradingSymbol")).alias("issuer"),
+        F.array(F.struct(F.concat(F.lit("owner-"), F.col("prio")).alias("rptOwnerName")),
+                F.struct(F.lit("co-owner").alias("rptOwnerName"))).alias("reportingOwner"),
+        F.struct(F.transform("_non", lambda x: x["_t"]).alias("nonDerivativeTransaction"),
+                 F.array(F.struct(_leaf(F.lit(1)).alias("sharesOwnedFollowingTransaction")))
+                 .alias("nonDerivativeHolding")).alias("nonDerivativeTable"),
+        F.struct(F.transform("_der", lambda x: x["_t"]).alias("derivativeTransaction")).alias("derivativeTable"))
+
+
+@query("xml_lines_flatten", f"""
+with {LI},
+x as (select li.*, o.o_custkey, o.o_orderpriority,
+             case when li.l_returnflag = 'A' then 'derivative' else 'nonDerivative' end as tbl
+      from li join orders o on li.l_orderkey = o.o_orderkey)
+select cast(l_orderkey as varchar) || '-' || cast(l_linenumber // 100 as varchar) as accession,
+       cast(o_custkey as varchar) as issuer_symbol, 'owner-' || o_orderpriority as owner_name,
+       tbl as "table",
+       cast(row_number() over (partition by l_orderkey, l_linenumber // 100, tbl order by l_linenumber) - 1
+            as integer) as line_index,
+       cast(l_shipdate as date) as transaction_date, l_quantity as transaction_shares,
+       l_extendedprice as transaction_price,
+       case when l_linestatus = 'O' then null else l_linestatus end as transaction_code,
+       case when tbl = 'derivative' then l_tax end as conversion_price,
+       case when tbl = 'derivative' then cast(l_shipdate as date) + 30 end as exercise_date
+from x
+""")
+def xml_lines_flatten_q(spark, d):
+    path = scratch_path(spark, "filings")
+    X.write_filings(filings(spark, d), path)
+    lines = X.flatten_filings(X.read_filings(spark, path))
+    return lines.select("accession", "issuer_symbol", "owner_name", "table", "line_index",
+                        F.to_date("transactionDate").alias("transaction_date"),
+                        F.col("transactionShares").cast("double").alias("transaction_shares"),
+                        F.col("transactionPricePerShare").cast("double").alias("transaction_price"),
+                        F.col("transactionCode").alias("transaction_code"),
+                        F.col("conversionOrExercisePrice").cast("double").alias("conversion_price"),
+                        F.to_date("exerciseDate").alias("exercise_date"))
+
+
+def landing_paths(spark, d) -> DataFrame:
+    """Landing paths derived from conversations, with some bad shapes: keys
+    containing '_', 7-digit batch ids, wrong extensions."""
+    c = S.table(spark, d, "conversations")
+    key = F.when(F.col("conv_id") % 7 == 0, F.concat(F.lit("C_"), F.col("conv_id").cast("string"))) \
+        .otherwise(F.concat(F.lit("C"), F.col("conv_id").cast("string")))
+    day = (F.lit(20240101) + F.col("turn")).cast("string")
+    day = F.when(F.col("turn") % 13 == 12, F.substring(day, 1, 7)).otherwise(day)
+    ext = F.when(F.col("turn") % 11 == 10, F.lit(".txt")).otherwise(F.lit(".json"))
+    src = F.when(F.col("role") == "user", F.lit("fmp")).otherwise(F.lit("sec"))
+    return c.select(F.concat(F.lit("landing/"), src, F.lit("/turns/"), key, F.lit("_"), day, ext).alias("path"))
+
+
+@query("landing_inventory", """
+with p as (
+  select 'landing/' || case when role = 'user' then 'fmp' else 'sec' end || '/turns/'
+         || case when conv_id % 7 = 0 then 'C_' else 'C' end || cast(conv_id as varchar) || '_'
+         || case when turn % 13 = 12 then substr(cast(20240101 + turn as varchar), 1, 7)
+                 else cast(20240101 + turn as varchar) end
+         || case when turn % 11 = 10 then '.txt' else '.json' end as path
+  from conversations)
+select path, regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 1) as source,
+       regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 2) as endpoint,
+       regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 3) as key,
+       regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 4) as batch_date
+from p
+where regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 4) <> ''
+  and regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 1) = 'fmp'
+""")
+def landing_inventory_q(spark, d):
+    return landing_inventory(landing_paths(spark, d), source="fmp")
+
+
+PAYLOAD_SQL = """case event_type
+    when 'view' then '[]'
+    when 'error' then '{"Error Message": "Invalid request ' || cast(event_id as varchar) || '"}'
+    when 'click' then '{"Note": "call frequency exceeded"}'
+    else case when value < 2 then '{"broken": ' else '[' || props || ']' end end"""
+
+
+def payloads(spark, d) -> DataFrame:
+    e = S.table(spark, d, "events")
+    p = (F.when(F.col("event_type") == "view", F.lit("[]"))
+         .when(F.col("event_type") == "error",
+               F.concat(F.lit('{"Error Message": "Invalid request '), F.col("event_id").cast("string"), F.lit('"}')))
+         .when(F.col("event_type") == "click", F.lit('{"Note": "call frequency exceeded"}'))
+         .when(F.col("value") < 2, F.lit('{"broken": '))
+         .otherwise(F.concat(F.lit("["), F.col("props"), F.lit("]"))))
+    return e.select("event_id", "ts", "user_id", "event_type", p.alias("payload"))
+
+
+TRIAGE_SQL = f"""
+with p as (select event_id, ts, user_id, event_type, {PAYLOAD_SQL} as payload from events),
+s as (
+  select *, case
+      when not json_valid(payload) then 'error'
+      when json_type(payload) = 'ARRAY' and json_array_length(payload) = 0 then 'empty'
+      when json_type(payload) = 'OBJECT' and json_extract(payload, '$."Error Message"') is not null then 'error_in_body'
+      when json_type(payload) = 'OBJECT' and (json_extract(payload, '$.Information') is not null
+                                              or json_extract(payload, '$.Note') is not null) then 'throttled'
+      else 'success' end as status
+  from p)
+select event_id, ts, user_id, event_type, status,
+       case status when 'empty' then '0 records returned'
+                   when 'error_in_body' then json_extract_string(payload, '$."Error Message"')
+                   when 'throttled' then coalesce(json_extract_string(payload, '$.Information'),
+                                                  json_extract_string(payload, '$.Note'))
+                   when 'error' then 'unparseable response' end as message
+from s"""
+
+
+def triaged(spark, d) -> DataFrame:
+    p = payloads(spark, d)
+    status, message = triage(F.col("payload"))
+    return p.select("event_id", "ts", "user_id", "event_type", status.alias("status"), message.alias("message"))
+
+
+@query("response_triage", f"select event_id, status, message from ({TRIAGE_SQL})")
+def response_triage_q(spark, d):
+    return triaged(spark, d).select("event_id", "status", "message")
+
+
+@query("run_log_latest", f"""
+with t as ({TRIAGE_SQL}),
+log as (select strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, cast(user_id as varchar) as ticker,
+               'events' as source, event_type as endpoint, status, message as error from t)
+select * from log
+qualify row_number() over (partition by ticker, source, endpoint
+                           order by timestamp desc, status desc, error desc nulls last) = 1
+""")
+def run_log_latest_q(spark, d):
+    """Every attempt appended to a JSON-lines run log, then the latest status
+    per (ticker, source, endpoint) read back from it."""
+    path = scratch_path(spark, "runlog")
+    t = triaged(spark, d)
+    entries = t.select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+                       F.col("user_id").cast("string").alias("ticker"), F.lit("events").alias("source"),
+                       F.col("event_type").alias("endpoint"), "status", F.col("message").alias("error"))
+    append_run_log(entries, path)
+    log = spark.read.schema(RUN_LOG_SCHEMA).json(path)
+    return latest_status(log).select(*RUN_LOG_SCHEMA.fieldNames())
+
+
+@query("stream_scd2", f"with {VER} select * from ver")
+def stream_scd2_q(spark, d):
+    """Snapshots land as monthly files in two waves -- the second wave holds
+    every third month, so it arrives after later months (late rows) -- and
+    are streamed in several micro-batches into the streaming SCD2."""
+    root = scratch_path(spark, "stream_scd2")
+    snaps = S.snapshots(spark, d).withColumn("month", F.substring("batch_date", 1, 6))
+    late = F.substring("batch_date", 5, 2).cast("int") % 3 == 0
+    snaps.filter(~late).write.partitionBy("month").parquet(f"{root}/landing")
+    snaps.filter(late).write.mode("append").partitionBy("month").parquet(f"{root}/landing")
+    schema = snaps.drop("month").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 16)
+              .option("recursiveFileLookup", "true").parquet(f"{root}/landing"))
+    job = StreamingSCD2(spark, f"{root}/state", ["o_custkey"], "batch_date", untracked=["o_totalprice"])
+    job.run(stream, f"{root}/ckpt")
+    return job.read().select("o_custkey", "o_orderpriority", "o_totalprice", "valid_from", "valid_to")
