@@ -330,8 +330,9 @@ def stream_scd2_q(spark, d):
     root = scratch_path(spark, "stream_scd2")
     snaps = S.snapshots(spark, d).withColumn("month", F.substring("batch_date", 1, 6))
     late = F.substring("batch_date", 5, 2).cast("int") % 3 == 0
-    snaps.filter(~late).write.partitionBy("month").parquet(f"{root}/landing")
-    snaps.filter(late).write.mode("append").partitionBy("month").parquet(f"{root}/landing")
+    # one file per month and wave, as a landing zone receives them
+    snaps.filter(~late).repartition("month").write.partitionBy("month").parquet(f"{root}/landing")
+    snaps.filter(late).repartition("month").write.mode("append").partitionBy("month").parquet(f"{root}/landing")
     schema = snaps.drop("month").schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 16)
               .option("recursiveFileLookup", "true").parquet(f"{root}/landing"))
