@@ -67,14 +67,17 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     rows = snaps.select(*keys, sequence, *untracked,
                         F.struct(*tracked).alias("_t"), b.alias("_b"))
     wb = Window.partitionBy(*keys, "_b").orderBy(sequence)
-    prev = F.lag("_t").over(wb)
+    prev = F.col("_prev")
     # null for the first row of a bucket: decided by the bucket summary
-    rows = rows.withColumn("_chg", F.when(prev.isNotNull(), ~F.col("_t").eqNullSafe(prev)))
+    rows = (rows.withColumn("_prev", F.lag("_t").over(wb))
+            .withColumn("_chg", F.when(prev.isNotNull(), ~F.col("_t").eqNullSafe(prev)))
+            .drop("_prev"))
 
     wk = Window.partitionBy(*keys).orderBy("_b")
     summary = (rows.groupBy(*keys, "_b")
-               .agg(F.min_by("_t", sequence).alias("_first_t"),
-                    F.max_by("_t", sequence).alias("_last_t"),
+               # struct min/max order a null sequence first, as the window does
+               .agg(F.min(F.struct(sequence, "_t"))["_t"].alias("_first_t"),
+                    F.max(F.struct(sequence, "_t"))["_t"].alias("_last_t"),
                     F.count_if(F.coalesce(F.col("_chg"), F.lit(False))).alias("_n_local"))
                .withColumn("_head_chg", ~F.col("_first_t").eqNullSafe(F.lag("_last_t").over(wk)))
                .withColumn("_n", F.col("_n_local") + F.col("_head_chg").cast("long"))
@@ -83,7 +86,10 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                .select(*keys, "_b", "_head_chg", "_offset"))
 
     changed = F.coalesce(F.col("_chg"), F.col("_head_chg")).cast("long")
-    numbered = (rows.join(summary, keys + ["_b"])
+    # null-safe: a null key or sequence is kept (it forms its own history)
+    numbered = (rows.join(summary.withColumnsRenamed({c: f"_s{c}" for c in keys + ["_b"]}),
+                          [rows[c].eqNullSafe(F.col(f"_s{c}")) for c in keys + ["_b"]])
+                .drop(*[f"_s{c}" for c in keys + ["_b"]])
                 .withColumn("_v", F.col("_offset") + F.sum(changed).over(
                     wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
@@ -93,7 +99,10 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                      *[F.max_by(c, sequence).alias(c) for c in untracked]))
     ends = versions.select(*keys, (F.col("_v") - 1).alias("_v"),
                            F.col(valid_from).alias(valid_to))
-    return (versions.join(ends, keys + ["_v"], "left")
+    renamed = ends.withColumnsRenamed({c: f"_e{c}" for c in keys})
+    return (versions.join(renamed, [versions[c].eqNullSafe(F.col(f"_e{c}")) for c in keys]
+                          + [versions["_v"] == renamed["_v"]], "left")
+            .drop(renamed["_v"]).drop(*[f"_e{c}" for c in keys])
             .select(*keys, *[F.col("_t")[c].alias(c) for c in tracked], *untracked,
                     valid_from, valid_to))
 
@@ -119,11 +128,12 @@ def dimension_view(history: DataFrame, keys: Sequence[str], valid_from: str = "v
             return F.to_date(F.col(c), date_format)
         return F.col(c).cast("date")
 
-    firsts = history.groupBy(*keys).agg(F.min(valid_from).alias("_first_start"))
+    firsts = (history.groupBy(*keys).agg(F.min(valid_from).alias("_first_start"))
+              .withColumnsRenamed({c: f"_f{c}" for c in keys}))
     cols = list(columns) if columns is not None else [
         c for c in history.columns if c not in set(keys) | {valid_from, valid_to}]
     end = as_date(valid_to)
-    return (history.join(firsts, keys)
+    return (history.join(firsts, [history[c].eqNullSafe(F.col(f"_f{c}")) for c in keys])
             .select(surrogate_key([*keys, valid_from]).alias(key_col), *keys, *cols,
                     F.when(F.col(valid_from) == F.col("_first_start"), F.to_date(F.lit(backdate)))
                     .otherwise(as_date(valid_from)).alias("scd_effective_from"),

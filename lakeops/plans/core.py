@@ -395,18 +395,20 @@ where rn <= 3
 """)
 def parallel_arrays_topn_q(spark, d, n: int = 3, form: str = "F"):
     o = S.table(spark, d, "orders")
-    # one filing list per (customer, day), newest first, as parallel arrays
-    pages = (o.groupBy("o_custkey", F.to_date("o_orderdate").alias("page_date"))
+    # filing lists per (customer, day, block of order keys), newest first, as
+    # parallel arrays; the block bounds the array size of a hot customer
+    pages = (o.groupBy("o_custkey", F.to_date("o_orderdate").alias("page_date"),
+                       F.floor(F.col("o_orderkey") / 4096).alias("block"))
              .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "o_orderpriority")),
                                asc=False).alias("_f"))
-             .select("o_custkey", "page_date",
+             .select("o_custkey", "page_date", "block",
                      F.col("_f.o_orderkey").alias("accessionNumber"),
                      F.col("_f.o_orderstatus").alias("form"),
                      F.col("_f.o_orderpriority").alias("primaryDocument")))
-    zipped = pages.select("o_custkey", "page_date", F.posexplode(
+    zipped = pages.select("o_custkey", "page_date", "block", F.posexplode(
         F.arrays_zip("accessionNumber", "form", "primaryDocument")).alias("pos", "f"))
     wanted = zipped.filter(F.col("f.form") == form)
-    ranked = top_n_by_key(wanted, ["o_custkey"], [F.col("page_date").desc(), F.col("pos").asc()], n,
+    ranked = top_n_by_key(wanted, ["o_custkey"], [F.col("page_date").desc(), F.col("block").desc(), F.col("pos").asc()], n,
                           rank_col="filing_rank")
     return ranked.select("o_custkey", F.col("f.accessionNumber").alias("o_orderkey"),
                          F.col("f.primaryDocument").alias("primary_document"), "filing_rank")

@@ -27,6 +27,7 @@ from lakeops.streaming.scd2 import StreamingSCD2
 SOURCE, ENDPOINT = "conversations", "turns"
 BATCH_DATE, INGEST_TS = "20240101", "2024-01-02T00:00:00Z"
 RECORD_COLS = ["conv_id", "turn", "role", "text"]
+TURNS_PER_DOCUMENT = 1000  # bound on records per envelope
 RECORD_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
                               T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
 VOLATILE = ["_loaded_at", "_source_file"]
@@ -34,7 +35,8 @@ VOLATILE = ["_loaded_at", "_source_file"]
 
 def envelopes(spark: SparkSession, d: str, records: DataFrame | None = None, cols=RECORD_COLS) -> DataFrame:
     recs = records if records is not None else S.table(spark, d, "conversations")
-    return pack_envelopes(recs, "conv_id", F.lit(BATCH_DATE), SOURCE, ENDPOINT, INGEST_TS, cols, order_col="turn")
+    return pack_envelopes(recs, "conv_id", F.lit(BATCH_DATE), SOURCE, ENDPOINT, INGEST_TS, cols, order_col="turn",
+                          page=F.floor(F.col("turn") / TURNS_PER_DOCUMENT))
 
 
 ENVELOPE_SQL = f"""
@@ -44,7 +46,7 @@ select '{INGEST_TS}' as _ingest_timestamp, '{SOURCE}' as _source, '{ENDPOINT}' a
          || cast(conv_id as varchar) || '","_batch_date":"{BATCH_DATE}","data":'
          || to_json(list({{'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}} order by turn)) || '}}'
          as value
-from conversations group by conv_id
+from conversations group by conv_id, turn // {1000}
 """
 
 

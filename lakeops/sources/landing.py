@@ -37,15 +37,20 @@ RAW_ENVELOPE = T.StructType([T.StructField(c, T.StringType()) for c in ENVELOPE_
 
 def pack_envelopes(records: DataFrame, key_col: str, batch_col: str | Column, source: str, endpoint: str,
                    ingest_timestamp: str | Column, record_cols: Sequence[str],
-                   order_col: str | None = None) -> DataFrame:
-    """One envelope per (key, batch): metadata + ``data`` array + JSON text."""
+                   order_col: str | None = None, page: Column | None = None) -> DataFrame:
+    """One envelope per (key, batch[, page]): metadata + ``data`` array + JSON text.
+
+    ``page`` splits a key's batch into several documents (e.g. by record
+    number), so no document grows with a hot key."""
     batch = F.col(batch_col) if isinstance(batch_col, str) else batch_col
     ts = F.lit(ingest_timestamp) if isinstance(ingest_timestamp, str) else ingest_timestamp
     rec = F.struct(*record_cols)
     if order_col:  # deterministic record order inside the document
         rec = F.struct(F.col(order_col).alias("_o"), rec.alias("_r"))
-    g = (records.groupBy(F.col(key_col).cast("string").alias("_ticker"), batch.alias("_batch_date"))
-         .agg(F.collect_list(rec).alias("_recs")))
+    groups = [F.col(key_col).cast("string").alias("_ticker"), batch.alias("_batch_date")]
+    if page is not None:
+        groups.append(page.alias("_page"))
+    g = records.groupBy(*groups).agg(F.collect_list(rec).alias("_recs"))
     data = F.transform(F.array_sort("_recs"), lambda x: x["_r"]) if order_col else F.col("_recs")
     env = g.select(ts.alias("_ingest_timestamp"), F.lit(source).alias("_source"), F.lit(endpoint).alias("_endpoint"),
                    "_ticker", "_batch_date", data.alias("data"))

@@ -93,3 +93,11 @@ def test_dimension_backdates_first_version_only(spark):
     import hashlib
     first = dim.filter("a = 'A'").first().sk
     assert first == hashlib.md5(b"x-20240101").hexdigest()
+
+
+def test_null_key_and_null_sequence_are_kept(spark):
+    out = build(spark, [(None, "20240101", "A", 1, 1.0), (None, "20240102", "B", 1, 1.0),
+                        ("x", None, "A", 1, 1.0), ("x", "20240101", "A", 1, 1.0)])
+    got = rows(out, "k", "a", "valid_from", "valid_to")
+    assert (None, "A", "20240101", "20240102") in got and (None, "B", "20240102", None) in got
+    assert len([r for r in got if r[0] == "x"]) == 1
