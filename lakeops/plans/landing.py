@@ -338,6 +338,7 @@ def stream_scd2_q(spark, d):
     schema = snaps.drop("month").schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 16)
               .option("recursiveFileLookup", "true").parquet(f"{root}/landing"))
-    job = StreamingSCD2(spark, f"{root}/state", ["o_custkey"], "batch_date", untracked=["o_totalprice"])
+    job = StreamingSCD2(spark, f"{root}/state", ["o_custkey"], "batch_date", untracked=["o_totalprice"],
+                        key_buckets=16)
     job.run(stream, f"{root}/ckpt")
     return job.read().select("o_custkey", "o_orderpriority", "o_totalprice", "valid_from", "valid_to")

@@ -56,3 +56,11 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     while it.hasNext():
         out.append(str(it.next().getPath()))
     return sorted(out)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Immediate sub-folder names of ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if s.isDirectory())

@@ -10,8 +10,10 @@ micro-batch (``foreachBatch``):
 3. rebuilds the history of exactly those keys from the store (semi-join;
    the store is partitioned by a key bucket, so the bucket filter prunes
    files before the join);
-4. publishes a new history version: untouched keys of the previous version
-   plus the rebuilt keys, written to a new folder before the pointer moves.
+4. rewrites only the key buckets the batch touched: previous rows of those
+   buckets minus the changed keys, plus the rebuilt keys, written to a new
+   folder; then a manifest (bucket -> folder) is replaced atomically. Other
+   buckets keep their folders, so a micro-batch costs what it touches.
 
 The result equals the batch build over all snapshots, whatever the arrival
 order.
@@ -19,13 +21,15 @@ order.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.history import scd2_history
-from lakeops.operators.upsert import VersionedTable
+from lakeops.sources import fs
 
 
 class StreamingSCD2:
@@ -35,7 +39,7 @@ class StreamingSCD2:
         self.keys, self.sequence = list(keys), sequence
         self.untracked, self.tie_break = list(untracked), list(tie_break)
         self.key_buckets = key_buckets
-        self.history = VersionedTable(spark, f"{self.root}/history")
+        self.history_root = f"{self.root}/history"
 
     @property
     def store(self) -> str:
@@ -44,19 +48,37 @@ class StreamingSCD2:
     def _bucket(self):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.key_buckets)).alias("_kb")
 
+    def _manifest(self) -> dict[str, str]:
+        text = fs.read_text(self.spark, f"{self.history_root}/_MANIFEST.json")
+        return json.loads(text) if text else {}
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = batch.select("*", self._bucket())
-        (staged.write.mode("overwrite").partitionBy("_kb")
-         .parquet(f"{self.store}/batch={batch_id:012d}"))
-        changed = spark.read.parquet(f"{self.store}/batch={batch_id:012d}").select(*self.keys, "_kb").distinct()
+        batch_dir = f"{self.store}/batch={batch_id:012d}"
+        staged.write.mode("overwrite").partitionBy("_kb").parquet(batch_dir)
+        changed = spark.read.parquet(batch_dir).select(*self.keys, "_kb").distinct()
+        # bucket ids only: at most ``key_buckets`` small integers
+        touched = sorted(str(r[0]) for r in changed.select("_kb").distinct().collect())
+        if not touched:
+            return
         snaps = (spark.read.option("basePath", self.store).parquet(self.store)
                  .join(changed, self.keys + ["_kb"], "left_semi").drop("_kb", "batch"))
         rebuilt = scd2_history(snaps, self.keys, self.sequence, self.untracked, self.tie_break)
-        old = self.history.read()
-        new = rebuilt if old is None else old.join(changed.select(*self.keys), self.keys, "left_anti") \
-            .unionByName(rebuilt)
-        self.history.write(new)
+        manifest = self._manifest()
+        old_paths = [manifest[b] for b in touched if b in manifest]
+        new = rebuilt
+        if old_paths:
+            old = spark.read.parquet(*old_paths).join(changed.select(*self.keys), self.keys, "left_anti")
+            new = old.unionByName(rebuilt)
+        # a fresh folder per attempt: a replayed batch never overwrites what
+        # the manifest may already point to
+        out = f"{self.history_root}/e{batch_id:012d}-{uuid.uuid4().hex[:8]}"
+        new.select("*", self._bucket()).write.partitionBy("_kb").parquet(out)
+        for name in fs.list_dirs(spark, out):
+            if name.startswith("_kb="):
+                manifest[name[len("_kb="):]] = f"{out}/{name}"
+        fs.write_text_atomic(spark, f"{self.history_root}/_MANIFEST.json", json.dumps(manifest, sort_keys=True))
 
     def run(self, stream: DataFrame, checkpoint: str, trigger_available_now: bool = True) -> None:
         w = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
@@ -65,4 +87,5 @@ class StreamingSCD2:
         w.start().awaitTermination()
 
     def read(self) -> DataFrame | None:
-        return self.history.read()
+        paths = list(self._manifest().values())
+        return self.spark.read.parquet(*paths) if paths else None
