@@ -91,13 +91,23 @@ class VersionedTable:
         path = self.current()
         return self.spark.read.parquet(path) if path else None
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
-        """Write a new version, then switch the pointer (atomic rename)."""
+    def write(self, df: DataFrame, partition_by: Sequence[str] = (), expectations=()) -> str:
+        """Write a new version, then switch the pointer (atomic rename).
+
+        With ``expectations`` the rules are observed during the write (drop
+        rules filter, warn rules count) and a violated ``fail`` rule raises
+        before the pointer moves: readers keep the previous version."""
+        from lakeops.operators.expectations import apply_expectations, check
         name = f"v-{uuid.uuid4().hex[:16]}"
+        obs = None
+        if expectations:
+            df, obs = apply_expectations(df, expectations, guard_fail=False)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/{name}")
+        if obs is not None:
+            self.last_metrics = check(obs, expectations)
         fs.write_text_atomic(self.spark, self._pointer(), name)
         return f"{self.root}/{name}"
 

@@ -260,6 +260,26 @@ def full_refresh_table_q(spark, d):
     return table.read().select(*ORDER_COLS)
 
 
+@query("expect_gated_publish", f"""
+with o as ({ORDERS_SQL}) select * from o where o_totalprice >= 50000
+""")
+def expect_gated_publish_q(spark, d):
+    """Publication gated by expectations: a failing first attempt leaves no
+    version visible; the passing second attempt is published."""
+    from lakeops.operators.expectations import ExpectationFailed, expect, expect_or_drop, expect_or_fail
+    table = VersionedTable(spark, scratch_path(spark, "gated"))
+    strict = [expect_or_fail("before_2000", "order_date < DATE'2000-01-01'")]
+    try:
+        table.write(_orders(spark, d), expectations=strict)
+    except ExpectationFailed:
+        pass
+    assert table.current() is None
+    rules = [expect_or_fail("valid_key", "o_orderkey IS NOT NULL"),
+             expect_or_drop("price_above_50000", "o_totalprice >= 50000"), expect("recent", "order_date >= DATE'2000-01-01'")]
+    table.write(_orders(spark, d), expectations=rules)
+    return table.read().select(*ORDER_COLS)
+
+
 @query("incremental_table", LOOKBACK_SQL)
 def incremental_table_q(spark, d):
     """The same upsert on a stored table: first run builds the target, the

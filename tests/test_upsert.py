@@ -45,3 +45,16 @@ def test_versioned_table_pointer(spark, tmp_path):
     assert rows(t.read(), "k", "v") == [(1, 5.0), (2, 1.0)]
     # the old version is untouched
     assert rows(spark.read.parquet(first), "k", "v") == [(1, 1.0)]
+
+
+def test_gated_publish_keeps_previous_version(spark, tmp_path):
+    from lakeops.operators.expectations import ExpectationFailed, expect_or_fail
+    t = VersionedTable(spark, str(tmp_path / "g"))
+    good = spark.createDataFrame([(1, D(2020, 1, 1), 1.0)], S)
+    t.write(good, expectations=[expect_or_fail("pos", "v > 0")])
+    first = t.current()
+    bad = spark.createDataFrame([(2, D(2020, 1, 1), -1.0)], S)
+    with pytest.raises(ExpectationFailed):
+        t.write(bad, expectations=[expect_or_fail("pos", "v > 0")])
+    assert t.current() == first
+    assert t.last_metrics == {"rows": 1, "pos": 0}
