@@ -36,3 +36,15 @@ def surrogate_key(cols: Sequence[str | Column]) -> Column:
             parts.append(F.lit(SURROGATE_SEP))
         parts.append(F.coalesce(_c(c).cast("string"), F.lit(SURROGATE_NULL)))
     return F.md5(F.concat(*parts))
+
+
+def iso_utc(ts: str | Column) -> Column:
+    """ISO-8601 text of a timestamp in UTC, e.g. ``2024-01-02T03:04:05.000006Z``."""
+    c = _c(ts).cast("timestamp")
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def batch_day(ts: str | Column) -> Column:
+    """UTC day of a timestamp as a ``yyyyMMdd`` batch id (text)."""
+    c = _c(ts).cast("timestamp")
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyyMMdd")

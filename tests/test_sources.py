@@ -98,3 +98,27 @@ def test_xml_edges(spark, tmp_path):
     assert len(r) == 1
     assert (r[0].owner_name, r[0].table, r[0].line_index, r[0].transactionShares) == ("first", "nonDerivative", 0, None)
     assert r[0].exerciseDate is None
+
+
+def test_one_stream_per_dataset_with_frozen_schema(spark, tmp_path):
+    from lakeops.sources.landing import pack_envelopes, write_landing
+    from lakeops.streaming.bronze import BronzeSpec, load_all
+    recs = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (2, "c", 12)], "k int, name string, v int")
+    for endpoint in ("prices", "events"):
+        env = pack_envelopes(recs, "k", F.lit("20240101"), "src", endpoint, "t0", ["k", "name", "v"])
+        write_landing(env, str(tmp_path / "landing"))
+    out = load_all(spark, str(tmp_path / "landing"), str(tmp_path / "bronze"),
+                   [BronzeSpec("src", "prices"), BronzeSpec("src", "events")])
+    assert sorted(out) == ["src.events", "src.prices"]
+    for path in out.values():
+        assert spark.read.parquet(path).count() == 3
+    # second run: nothing new, schema reused from its saved location
+    out2 = load_all(spark, str(tmp_path / "landing"), str(tmp_path / "bronze"), [BronzeSpec("src", "prices")])
+    assert spark.read.parquet(out2["src.prices"]).count() == 3
+
+
+def test_time_helpers(spark):
+    from lakeops.functions.keys import batch_day, iso_utc
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 6),)], "ts timestamp_ntz")
+    r = df.select(iso_utc("ts").alias("i"), batch_day("ts").alias("b")).first()
+    assert (r.i, r.b) == ("2024-01-02T03:04:05.000006Z", "20240102")
