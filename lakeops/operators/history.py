@@ -63,18 +63,21 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     # One snapshot per (key, sequence).
     snaps = latest_by_key(df, keys + [sequence], tie_break + tracked + untracked)
 
+    # The key travels as one struct: equal structs match even when a key
+    # field is null (a null key keeps its own history instead of being
+    # dropped by a join), and every step partitions on the same column.
     b = bucket if bucket is not None else default_bucket(df, sequence)
-    rows = snaps.select(*keys, sequence, *untracked,
+    rows = snaps.select(F.struct(*keys).alias("_k"), sequence, *untracked,
                         F.struct(*tracked).alias("_t"), b.alias("_b"))
-    wb = Window.partitionBy(*keys, "_b").orderBy(sequence)
+    wb = Window.partitionBy("_k", "_b").orderBy(sequence)
     prev = F.col("_prev")
     # null for the first row of a bucket: decided by the bucket summary
     rows = (rows.withColumn("_prev", F.lag("_t").over(wb))
             .withColumn("_chg", F.when(prev.isNotNull(), ~F.col("_t").eqNullSafe(prev)))
             .drop("_prev"))
 
-    wk = Window.partitionBy(*keys).orderBy("_b")
-    summary = (rows.groupBy(*keys, "_b")
+    wk = Window.partitionBy("_k").orderBy("_b")
+    summary = (rows.groupBy("_k", "_b")
                # struct min/max order a null sequence first, as the window does
                .agg(F.min(F.struct(sequence, "_t"))["_t"].alias("_first_t"),
                     F.max(F.struct(sequence, "_t"))["_t"].alias("_last_t"),
@@ -83,28 +86,21 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                .withColumn("_n", F.col("_n_local") + F.col("_head_chg").cast("long"))
                .withColumn("_offset", F.coalesce(
                    F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select(*keys, "_b", "_head_chg", "_offset"))
+               .select("_k", "_b", "_head_chg", "_offset"))
 
     changed = F.coalesce(F.col("_chg"), F.col("_head_chg")).cast("long")
-    # null-safe: a null key or sequence is kept (it forms its own history)
-    numbered = (rows.join(summary.withColumnsRenamed({c: f"_s{c}" for c in keys + ["_b"]}),
-                          [rows[c].eqNullSafe(F.col(f"_s{c}")) for c in keys + ["_b"]])
-                .drop(*[f"_s{c}" for c in keys + ["_b"]])
+    numbered = (rows.join(summary, ["_k", "_b"])
                 .withColumn("_v", F.col("_offset") + F.sum(changed).over(
                     wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
-    versions = (numbered.groupBy(*keys, "_v")
+    versions = (numbered.groupBy("_k", "_v")
                 .agg(F.min(sequence).alias(valid_from),
                      F.first("_t").alias("_t"),
                      *[F.max_by(c, sequence).alias(c) for c in untracked]))
-    ends = versions.select(*keys, (F.col("_v") - 1).alias("_v"),
-                           F.col(valid_from).alias(valid_to))
-    renamed = ends.withColumnsRenamed({c: f"_e{c}" for c in keys})
-    return (versions.join(renamed, [versions[c].eqNullSafe(F.col(f"_e{c}")) for c in keys]
-                          + [versions["_v"] == renamed["_v"]], "left")
-            .drop(renamed["_v"]).drop(*[f"_e{c}" for c in keys])
-            .select(*keys, *[F.col("_t")[c].alias(c) for c in tracked], *untracked,
-                    valid_from, valid_to))
+    ends = versions.select("_k", (F.col("_v") - 1).alias("_v"), F.col(valid_from).alias(valid_to))
+    return (versions.join(ends, ["_k", "_v"], "left")
+            .select(*[F.col("_k")[c].alias(c) for c in keys], *[F.col("_t")[c].alias(c) for c in tracked],
+                    *untracked, valid_from, valid_to))
 
 
 def dimension_view(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
