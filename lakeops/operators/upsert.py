@@ -120,3 +120,64 @@ class VersionedTable:
         else:
             merged = merge_upsert(target, source, keys)
         return self.write(merged, partition_by)
+
+
+class PartitionedTable:
+    """A table kept as one folder per partition value plus a manifest
+    (partition value -> folder). A merge rewrites only the partitions it
+    touches: those of the source rows and those holding target rows whose
+    key is in the source (a row whose date moved to another partition must
+    leave its old one). New folders are written first; the manifest is then
+    replaced atomically, so readers see either the old or the new table.
+    """
+
+    MANIFEST = "_MANIFEST.json"
+
+    def __init__(self, spark: SparkSession, root: str, partition_col: str):
+        self.spark, self.root, self.col = spark, root.rstrip("/"), partition_col
+
+    def manifest(self) -> dict[str, str]:
+        import json
+        text = fs.read_text(self.spark, f"{self.root}/{self.MANIFEST}")
+        return json.loads(text) if text else {}
+
+    def read(self, partitions: Sequence[str] | None = None) -> DataFrame | None:
+        m = self.manifest()
+        paths = [m[p] for p in (partitions if partitions is not None else m) if p in m]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def _publish(self, df: DataFrame, replaced: Sequence[str]) -> None:
+        import json
+        out = f"{self.root}/w-{uuid.uuid4().hex[:16]}"
+        # the partition value is kept inside the files too, so each folder is
+        # a complete table on its own
+        df.withColumn("_part", F.col(self.col).cast("string")).write.partitionBy("_part").parquet(out)
+        m = {k: v for k, v in self.manifest().items() if k not in set(replaced)}
+        for name in fs.list_dirs(self.spark, out):
+            if name.startswith("_part="):
+                m[_unescape(name[len("_part="):])] = f"{out}/{name}"
+        fs.write_text_atomic(self.spark, f"{self.root}/{self.MANIFEST}", json.dumps(m, sort_keys=True))
+
+    def overwrite(self, df: DataFrame) -> None:
+        self._publish(df, list(self.manifest()))
+
+    def merge(self, source: DataFrame, keys: Sequence[str]) -> list[str]:
+        """Upsert ``source`` on ``keys``; returns the rewritten partitions."""
+        keys = list(keys)
+        target = self.read()
+        if target is None:
+            self.overwrite(merge_upsert(None, source, keys))
+            return sorted(self.manifest())
+        moved_from = target.join(source.select(*keys), keys, "left_semi").select(self.col)
+        touched_df = source.select(self.col).union(moved_from).distinct()
+        # partition values only: bounded by the number of partitions
+        touched = sorted(str(r[0]) for r in touched_df.collect() if r[0] is not None)
+        old = self.read([p for p in touched if p in self.manifest()])
+        merged = merge_upsert(old, source, keys) if old is not None else merge_upsert(None, source, keys)
+        self._publish(merged, touched)
+        return touched
+
+
+def _unescape(value: str) -> str:
+    from urllib.parse import unquote
+    return unquote(value)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from lakeops.functions.keys import date_key
 from lakeops.operators.pit import pit_join
 from lakeops.operators.reshape import union_all, unpivot
-from lakeops.operators.upsert import VersionedTable, incremental_build, lookback_filter, merge_upsert
+from lakeops.operators.upsert import (PartitionedTable, VersionedTable, incremental_build, lookback_filter,
+                                      merge_upsert)
 from lakeops.plans import standins as S
 from lakeops.plans.core import LINE_TOTALS_SQL, line_totals, period_dimension
 from lakeops.plans.registry import query
@@ -282,12 +283,14 @@ def expect_gated_publish_q(spark, d):
 
 @query("incremental_table", LOOKBACK_SQL)
 def incremental_table_q(spark, d):
-    """The same upsert on a stored table: first run builds the target, the
-    second merges the lookback slice into a new version, partitioned by month."""
-    table = VersionedTable(spark, scratch_path(spark, "incremental"))
+    """The same upsert on a stored table partitioned by month: the first run
+    builds it, the second merges the lookback slice and rewrites only the
+    months it touches."""
+    table = PartitionedTable(spark, scratch_path(spark, "incremental"), "order_month")
     monthly = lambda df: df.withColumn("order_month", F.trunc("order_date", "MM"))
-    table.merge(monthly(_target(spark, d)), ["o_orderkey"], "order_date", LOOKBACK_DAYS, ["order_month"])
-    table.merge(monthly(_changed(_orders(spark, d))), ["o_orderkey"], "order_date", LOOKBACK_DAYS, ["order_month"])
+    table.overwrite(monthly(_target(spark, d)))
+    source = lookback_filter(_changed(_orders(spark, d)), table.read(), "order_date", LOOKBACK_DAYS)
+    table.merge(monthly(source), ["o_orderkey"])
     return table.read().select(*ORDER_COLS)
 
 

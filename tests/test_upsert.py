@@ -58,3 +58,21 @@ def test_gated_publish_keeps_previous_version(spark, tmp_path):
         t.write(bad, expectations=[expect_or_fail("pos", "v > 0")])
     assert t.current() == first
     assert t.last_metrics == {"rows": 1, "pos": 0}
+
+
+def test_partitioned_merge_rewrites_touched_partitions_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from lakeops.operators.upsert import PartitionedTable
+    t = PartitionedTable(spark, str(tmp_path / "p"), "m")
+    base = spark.createDataFrame([(1, D(2020, 1, 5), 1.0), (2, D(2020, 2, 5), 1.0), (3, D(2020, 3, 5), 1.0)], S)
+    t.overwrite(base.withColumn("m", F.trunc("d", "MM")))
+    before = t.manifest()
+    # key 1 moves from January to March; key 4 is new in April
+    src = spark.createDataFrame([(1, D(2020, 3, 9), 2.0), (4, D(2020, 4, 1), 2.0)], S).withColumn("m", F.trunc("d", "MM"))
+    touched = t.merge(src, ["k"])
+    assert touched == ["2020-01-01", "2020-03-01", "2020-04-01"]
+    after = t.manifest()
+    assert after["2020-02-01"] == before["2020-02-01"]          # untouched partition kept as is
+    assert "2020-01-01" not in after                           # emptied partition dropped
+    assert rows(t.read(), "k", "d", "v") == [(1, D(2020, 3, 9), 2.0), (2, D(2020, 2, 5), 1.0),
+                                             (3, D(2020, 3, 5), 1.0), (4, D(2020, 4, 1), 2.0)]
