@@ -16,8 +16,9 @@ Scale: a single key may hold a large share of all snapshots, so no step
 puts all rows of a key into one task. Change detection runs per
 (key, sequence bucket); a small per-bucket summary (one row per key and
 bucket) stitches neighbouring buckets together and numbers the versions;
-the version rows are grouped by (key, version) with partial aggregation, and
-each version's end is found with an equi-join on (key, version + 1).
+a version is its start row (untracked columns: a partial aggregate per
+(key, version)), and each version's end is found with an equi-join on
+(key, version + 1).
 """
 
 from __future__ import annotations
@@ -63,12 +64,12 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     # One snapshot per (key, sequence).
     snaps = latest_by_key(df, keys + [sequence], tie_break + tracked + untracked)
 
-    # The key travels as one struct: equal structs match even when a key
-    # field is null (a null key keeps its own history instead of being
-    # dropped by a join), and every step partitions on the same column.
+    # Key and bucket travel as structs: equal structs match even when a field
+    # is null (a null key or sequence keeps its own history instead of being
+    # dropped by a join), and every step partitions on the same columns.
     b = bucket if bucket is not None else default_bucket(df, sequence)
     rows = snaps.select(F.struct(*keys).alias("_k"), sequence, *untracked,
-                        F.struct(*tracked).alias("_t"), b.alias("_b"))
+                        F.struct(*tracked).alias("_t"), F.struct(b.alias("b")).alias("_b"))
     wb = Window.partitionBy("_k", "_b").orderBy(sequence)
     prev = F.col("_prev")
     # null for the first row of a bucket: decided by the bucket summary
@@ -93,10 +94,12 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                 .withColumn("_v", F.col("_offset") + F.sum(changed).over(
                     wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
-    versions = (numbered.groupBy("_k", "_v")
-                .agg(F.min(sequence).alias(valid_from),
-                     F.first("_t").alias("_t"),
-                     *[F.max_by(c, sequence).alias(c) for c in untracked]))
+    # a version is its start row (tracked values, valid_from) plus, for the
+    # untracked columns, the values of its latest snapshot (partial aggregate)
+    versions = numbered.filter(changed == 1).select("_k", "_v", F.col(sequence).alias(valid_from), "_t")
+    if untracked:
+        latest = numbered.groupBy("_k", "_v").agg(*[F.max_by(c, sequence).alias(c) for c in untracked])
+        versions = versions.join(latest, ["_k", "_v"])
     ends = versions.select("_k", (F.col("_v") - 1).alias("_v"), F.col(valid_from).alias(valid_to))
     return (versions.join(ends, ["_k", "_v"], "left")
             .select(*[F.col("_k")[c].alias(c) for c in keys], *[F.col("_t")[c].alias(c) for c in tracked],
