@@ -122,3 +122,12 @@ def test_time_helpers(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 6),)], "ts timestamp_ntz")
     r = df.select(iso_utc("ts").alias("i"), batch_day("ts").alias("b")).first()
     assert (r.i, r.b) == ("2024-01-02T03:04:05.000006Z", "20240102")
+
+
+def test_xml_one_document_per_line(spark, tmp_path):
+    docs = [f"<ownershipDocument><accession>a{i}</accession><documentType>4</documentType>"
+            f"<nonDerivativeTable><nonDerivativeTransaction><transactionShares><value>{i}</value></transactionShares>"
+            f"</nonDerivativeTransaction></nonDerivativeTable></ownershipDocument>" for i in range(5)]
+    (tmp_path / "many.xml").write_text("\n".join(docs) + "\n")
+    lines = X.flatten_filings(X.read_filings_lines(spark, str(tmp_path / "many.xml")))
+    assert sorted(r.transactionShares for r in lines.collect()) == ["0", "1", "2", "3", "4"]
