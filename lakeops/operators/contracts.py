@@ -71,3 +71,11 @@ def sequential_days(df: DataFrame, col: str, name: str | None = None) -> DataFra
 def run_tests(tests: Sequence[DataFrame]) -> DataFrame:
     """Stack test results into one (test_name, failures) table (Q12)."""
     return union_all(tests)
+
+
+def no_overlapping_versions(dim: DataFrame, key: str, valid_from: str, valid_to: str,
+                            name: str | None = None) -> DataFrame:
+    """Versions overlapping an earlier version of their key (fan-out guard)."""
+    from lakeops.operators.pit import overlapping_versions
+    bad = overlapping_versions(dim, key, valid_from, valid_to)
+    return _named(bad.agg(F.count(F.lit(1)).alias("failures")), name or f"no_overlapping_versions_{key}")

@@ -39,12 +39,16 @@ def pit_join(facts: DataFrame, dim: DataFrame, fact_key: str, event_col: str,
              dim_key: str = "symbol", valid_from: str = "scd_effective_from",
              valid_to: str = "scd_effective_to", attach: Sequence[str] | None = None,
              strategy: str = "range", bucket_unit: str = "year",
-             bounds: tuple | None = None) -> DataFrame:
+             bounds: tuple | None = None, check_overlap: bool = False) -> DataFrame:
     """Left join ``facts`` to the ``dim`` version valid at ``event_col``.
 
     Returns all fact columns plus ``attach`` (default: every dimension column
     except its key and interval), which must not clash with fact columns.
+    ``check_overlap`` first verifies (one pass over the dimension) that no
+    versions overlap, which would duplicate facts.
     """
+    if check_overlap:
+        assert_no_overlap(dim, dim_key, valid_from, valid_to)
     attach = _dim_cols(dim, dim_key, valid_from, valid_to, attach)
     clash = set(attach) & set(facts.columns)
     if clash:
@@ -114,3 +118,26 @@ def _pit_window(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to,
 
 def _version_type(dim: DataFrame, valid_to: str, attach: Sequence[str]):
     return dim.select(F.struct(F.col(valid_to).alias("_end"), *attach)).schema[0].dataType
+
+
+def overlapping_versions(dim: DataFrame, dim_key: str = "symbol", valid_from: str = "scd_effective_from",
+                         valid_to: str = "scd_effective_to") -> DataFrame:
+    """Versions that start before the previous version of their key ended
+    (they would make a point-in-time join fan out). Zero-length versions are
+    ignored: they never match."""
+    end = F.coalesce(F.col(valid_to), F.to_date(F.lit(OPEN_END)))
+    live = dim.filter(end > F.col(valid_from))
+    w = Window.partitionBy(dim_key).orderBy(valid_from, end)
+    prev_end = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return live.withColumn("_prev_end", prev_end).filter(F.col(valid_from) < F.col("_prev_end")).drop("_prev_end")
+
+
+class OverlappingVersions(ValueError):
+    pass
+
+
+def assert_no_overlap(dim: DataFrame, dim_key: str = "symbol", valid_from: str = "scd_effective_from",
+                      valid_to: str = "scd_effective_to") -> None:
+    n = overlapping_versions(dim, dim_key, valid_from, valid_to).count()
+    if n:
+        raise OverlappingVersions(f"{n} versions overlap an earlier version of their key")

@@ -12,7 +12,7 @@ from lakeops.operators.expectations import (apply_expectations, check, expect, e
 from lakeops.plans import standins as S
 from lakeops.plans.core import dim_date_q
 from lakeops.plans.registry import query
-from lakeops.plans.sql_parts import DIM, FL, LI, SNAP
+from lakeops.plans.sql_parts import DIM, FL, LI, SNAP, VER
 
 # The order priorities of the test data, used as the dataset
 # list of the coverage matrix (one 'endpoint' per priority).
@@ -216,3 +216,36 @@ def coverage_audit_q(spark, d):
     orders = S.table(spark, d, "orders")
     tables = {p: orders.filter(F.col("o_orderpriority") == p) for p in PRIORITIES}
     return coverage_matrix(S.table(spark, d, "customer"), "c_custkey", tables, "o_custkey")
+
+
+@query("test_no_overlap", f"""
+with {DIM},
+x as (select *, max(coalesce(scd_effective_to, date '9999-12-31')) over (
+              partition by o_custkey order by scd_effective_from, coalesce(scd_effective_to, date '9999-12-31')
+              rows between unbounded preceding and 1 preceding) as pe
+      from dim where coalesce(scd_effective_to, date '9999-12-31') > scd_effective_from),
+shifted as (select o_custkey, cast(strptime(valid_from, '%Y%m%d') as date) + 30 as scd_effective_from,
+                   cast(strptime(valid_to, '%Y%m%d') as date) + 30 as scd_effective_to from ver),
+y as (select *, max(coalesce(scd_effective_to, date '9999-12-31')) over (
+              partition by o_custkey order by scd_effective_from, coalesce(scd_effective_to, date '9999-12-31')
+              rows between unbounded preceding and 1 preceding) as pe
+      from (select * from dim union all select null, o_custkey, null, scd_effective_from, scd_effective_to, null
+            from shifted)
+      where coalesce(scd_effective_to, date '9999-12-31') > scd_effective_from)
+select 'no_overlapping_versions_dim' as test_name, count(*) filter (where scd_effective_from < pe) as failures from x
+union all
+select 'no_overlapping_versions_shifted', count(*) filter (where scd_effective_from < pe) from y
+""")
+def test_no_overlap_q(spark, d):
+    """The customer dimension has no overlapping versions; the same dimension
+    unioned with a copy shifted by 30 days has (fan-out would follow)."""
+    dim = S.dimension(spark, d).select("o_custkey", "scd_effective_from", "scd_effective_to")
+    hist = S.history(spark, d, untracked=())
+    shifted = hist.select("o_custkey",
+                          F.date_add(F.to_date("valid_from", "yyyyMMdd"), 30).alias("scd_effective_from"),
+                          F.date_add(F.to_date("valid_to", "yyyyMMdd"), 30).alias("scd_effective_to"))
+    return C.run_tests([
+        C.no_overlapping_versions(dim, "o_custkey", "scd_effective_from", "scd_effective_to",
+                                  "no_overlapping_versions_dim"),
+        C.no_overlapping_versions(dim.unionByName(shifted), "o_custkey", "scd_effective_from", "scd_effective_to",
+                                  "no_overlapping_versions_shifted")])

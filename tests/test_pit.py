@@ -47,3 +47,13 @@ def test_clashing_columns_raise(spark):
     facts = spark.createDataFrame([("x", D(2024, 1, 2), "f")], "sym string, day date, company_key string")
     with pytest.raises(ValueError):
         pit_join(facts, dim, "sym", "day")
+
+
+def test_overlapping_versions_detected(spark):
+    from lakeops.operators.pit import OverlappingVersions, overlapping_versions
+    dim = _dim(spark, [("x", D(2024, 1, 1), D(2024, 2, 1), "a"), ("x", D(2024, 1, 15), None, "b"),
+                       ("y", D(2024, 1, 1), D(2024, 1, 1), "zero"), ("y", D(2024, 1, 1), None, "ok")])
+    assert [r.company_key for r in overlapping_versions(dim).collect()] == ["b"]
+    facts = spark.createDataFrame([("x", D(2024, 1, 20), 1)], "sym string, day date, id int")
+    with pytest.raises(OverlappingVersions):
+        pit_join(facts, dim, "sym", "day", check_overlap=True)
