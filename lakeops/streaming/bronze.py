@@ -49,3 +49,27 @@ def load_all(spark: SparkSession, landing_root: str, bronze_root: str, specs: li
         bronze_stream(spark, src, f"{base}/table", f"{base}/_checkpoint", schema, spec.wholetext)
         out[name] = f"{base}/table"
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """One bronze job per (source, endpoint):
+
+        python -m lakeops.streaming.bronze --landing L --bronze B --source S --endpoint E [--wholetext]
+    """
+    import argparse
+
+    from lakeops.session import get_session
+    p = argparse.ArgumentParser(description="incremental bronze load of one dataset")
+    p.add_argument("--landing", required=True)
+    p.add_argument("--bronze", required=True)
+    p.add_argument("--source", required=True)
+    p.add_argument("--endpoint", required=True)
+    p.add_argument("--wholetext", action="store_true", help="one pretty-printed document per file")
+    a = p.parse_args(argv)
+    spark = get_session()
+    out = load_all(spark, a.landing, a.bronze, [BronzeSpec(a.source, a.endpoint, a.wholetext)])
+    print(f"bronze {a.source}.{a.endpoint} -> {out[f'{a.source}.{a.endpoint}']}")
+
+
+if __name__ == "__main__":
+    main()

@@ -57,3 +57,24 @@ def test_overlapping_versions_detected(spark):
     facts = spark.createDataFrame([("x", D(2024, 1, 20), 1)], "sym string, day date, id int")
     with pytest.raises(OverlappingVersions):
         pit_join(facts, dim, "sym", "day", check_overlap=True)
+
+
+def test_range_matches_brute_force(spark):
+    rnd = random.Random(5)
+    dims, facts = [], []
+    for k in range(6):
+        starts = sorted(rnd.sample(range(0, 300), 5))
+        for i, s in enumerate(starts):
+            e = starts[i + 1] if i + 1 < len(starts) else None
+            dims.append((f"k{k}", D(2020, 1, 1) + dt.timedelta(s), None if e is None else D(2020, 1, 1) + dt.timedelta(e),
+                         f"k{k}-{i}"))
+    for i in range(300):
+        facts.append((f"k{rnd.randint(0, 7)}", D(2019, 12, 1) + dt.timedelta(rnd.randint(0, 400)), i))
+    expected = []
+    for sym, day, i in facts:
+        hit = [c for s_, f, t, c in dims if s_ == sym and f <= day and (t is None or day < t)]
+        assert len(hit) <= 1
+        expected.append((i, hit[0] if hit else None))
+    got = rows(pit_join(spark.createDataFrame(facts, "sym string, day date, id int"), _dim(spark, dims),
+                        "sym", "day"), "id", "company_key")
+    assert got == sorted(expected, key=lambda t: tuple((x is None, str(x)) for x in t))
