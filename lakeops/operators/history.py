@@ -16,9 +16,10 @@ Scale: a single key may hold a large share of all snapshots, so no step
 puts all rows of a key into one task. Change detection runs per
 (key, sequence bucket); a small per-bucket summary (one row per key and
 bucket) stitches neighbouring buckets together and numbers the versions;
-a version is its start row (untracked columns: a partial aggregate per
-(key, version)), and each version's end is found with an equi-join on
-(key, version + 1).
+versions come from one aggregate per (key, version), and each version's
+end is found with an equi-join on (key, version + 1). The two intermediates
+read by two branches are written once to the shared folder instead of being
+recomputed per branch.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 
 from lakeops.functions.keys import surrogate_key
 from lakeops.operators.latest import latest_by_key
+from lakeops.session import materialize
 
 
 def default_bucket(df: DataFrame, sequence: str) -> Column:
@@ -54,7 +56,14 @@ def default_bucket(df: DataFrame, sequence: str) -> Column:
 def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                  untracked: Sequence[str] = (), tie_break: Sequence[str] = (),
                  bucket: Column | None = None, valid_from: str = "valid_from",
-                 valid_to: str = "valid_to") -> DataFrame:
+                 valid_to: str = "valid_to", materialize_steps: bool = True) -> DataFrame:
+    """Versions of ``df`` per key (see the module notes).
+
+    With ``materialize_steps`` (default) the two intermediates that feed two
+    branches each -- the deduplicated, change-marked snapshots and the
+    version table -- are written once under the shared folder, so no branch
+    recomputes the scan, dedup and shuffles before it (this runs two jobs
+    when called)."""
     keys, untracked, tie_break = list(keys), list(untracked), list(tie_break)
     skip = set(keys) | {sequence} | set(untracked) | set(tie_break)
     tracked = [c for c in df.columns if c not in skip]
@@ -76,6 +85,8 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     rows = (rows.withColumn("_prev", F.lag("_t").over(wb))
             .withColumn("_chg", F.when(prev.isNotNull(), ~F.col("_t").eqNullSafe(prev)))
             .drop("_prev"))
+    if materialize_steps:  # feeds the bucket summary and the join back
+        rows = materialize(rows, "scd2-rows")
 
     wk = Window.partitionBy("_k").orderBy("_b")
     summary = (rows.groupBy("_k", "_b")
@@ -94,12 +105,15 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                 .withColumn("_v", F.col("_offset") + F.sum(changed).over(
                     wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
-    # a version is its start row (tracked values, valid_from) plus, for the
-    # untracked columns, the values of its latest snapshot (partial aggregate)
-    versions = numbered.filter(changed == 1).select("_k", "_v", F.col(sequence).alias(valid_from), "_t")
-    if untracked:
-        latest = numbered.groupBy("_k", "_v").agg(*[F.max_by(c, sequence).alias(c) for c in untracked])
-        versions = versions.join(latest, ["_k", "_v"])
+    # one pass per (key, version): the start row (smallest sequence, a null
+    # one first) gives valid_from and the tracked values; untracked columns
+    # take the value of the latest snapshot
+    start = F.min(F.struct(F.col(sequence).alias("s"), F.col("_t").alias("t")))
+    versions = (numbered.groupBy("_k", "_v")
+                .agg(start.alias("_start"), *[F.max_by(c, sequence).alias(c) for c in untracked])
+                .select("_k", "_v", F.col("_start.s").alias(valid_from), F.col("_start.t").alias("_t"), *untracked))
+    if materialize_steps:  # read twice by the self-join below
+        versions = materialize(versions, "scd2-versions")
     ends = versions.select("_k", (F.col("_v") - 1).alias("_v"), F.col(valid_from).alias(valid_to))
     return (versions.join(ends, ["_k", "_v"], "left")
             .select(*[F.col("_k")[c].alias(c) for c in keys], *[F.col("_t")[c].alias(c) for c in tracked],

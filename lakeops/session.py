@@ -73,3 +73,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in sub:
         os.makedirs(sub, exist_ok=True)
     return sub
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared folder and return a DataFrame
+    reading it back. Used where one intermediate feeds several branches of a
+    plan: the branches then scan the written table instead of recomputing
+    (re-scanning and re-shuffling) its whole lineage, and a lost executor
+    costs a re-read, not a recomputation. Runs a job immediately."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
