@@ -37,10 +37,12 @@ def main():
     snaps = latest_by_key(orders.select("o_custkey", F.date_format("o_orderdate", "yyyyMMddHHmmss")
                                         .alias("batch_date"), "o_orderkey", "o_orderpriority"),
                           ["o_custkey", "batch_date"], ["o_orderkey"]).drop("o_orderkey")
+    t0 = time.time()  # scd2_history runs its materialising jobs when called
     hist = scd2_history(snaps, ["o_custkey"], "batch_date")
+    scd2_s = round(time.time() - t0 + timed(hist), 2)
     dim = dimension_view(hist, ["o_custkey"], key_col="customer_key", columns=[],
                          date_format="yyyyMMddHHmmss").cache()
-    out = {"scd2_hot_key": timed(hist), "dim_rows": dim.count(),
+    out = {"scd2_hot_key": scd2_s, "dim_rows": dim.count(),
            "hot_versions": dim.filter("o_custkey = 0").count()}
     li = S.lines(spark, sf).join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     facts = li.select("o_custkey", "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("ship_date")).cache()

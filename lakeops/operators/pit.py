@@ -15,7 +15,9 @@ match. Three physical strategies, same result on non-overlapping versions:
   a fact is compared only with the versions of its own bucket, and a hot key's
   facts spread over as many join keys as it has buckets.
 * ``window`` -- union of facts and version starts, ``last(..., ignorenulls)``
-  in time order per key, then the end check. Linear in rows, no fan-out.
+  in time order, then the end check. Linear in rows, no fan-out; runs per
+  (key, time bucket) with a carry-in row per bucket, so a hot key's facts
+  spread over its buckets.
 """
 
 from __future__ import annotations
@@ -97,19 +99,43 @@ def _pit_bucketed(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to
     return f.join(d, cond, "left").select(*facts.columns, *attach)
 
 
-def _pit_window(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach):
+def _pit_window(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach, unit="month"):
+    """Two-level window, so no key's rows meet in one task.
+
+    1. Facts and version starts are tagged with a time bucket; the window
+       runs per (key, bucket) in time order, versions before facts on ties.
+    2. A fact whose bucket holds no earlier version start needs the version
+       that was current when the bucket began: the last version started in
+       an earlier bucket. It comes from a small per-key window over one row
+       per (key, bucket) and is put into the bucket as a carry-in row.
+    """
     fcols = facts.columns
+    ver_t = _version_type(dim, valid_to, attach)
+    fact_t = facts.select(F.struct(*fcols)).schema[0].dataType
+    bucket = lambda c: F.date_trunc(unit, c)  # noqa: E731  (timestamp, monotone)
     f = facts.select(F.col(fact_key).alias("_k"), F.col(event_col).cast("timestamp").alias("_t"),
-                     F.lit(1).alias("_tag"), F.struct(*fcols).alias("_f"),
-                     F.lit(None).cast(_version_type(dim, valid_to, attach)).alias("_ver"))
-    d = dim.filter(F.coalesce(F.col(valid_to), F.to_date(F.lit(OPEN_END))) > F.col(valid_from)).select(
-        F.col(dim_key).alias("_k"), F.col(valid_from).cast("timestamp").alias("_t"),
-        F.lit(0).alias("_tag"), F.lit(None).cast(facts.select(F.struct(*fcols)).schema[0].dataType).alias("_f"),
-        F.struct(F.col(valid_to).alias("_end"), *attach).alias("_ver"))
-    w = (Window.partitionBy("_k").orderBy("_t", "_tag")
+                     F.lit(2).alias("_tag"), F.struct(*fcols).alias("_f"), F.lit(None).cast(ver_t).alias("_ver"))
+    f = f.withColumn("_bk", bucket(F.col("_t")))
+    d = (dim.filter(F.coalesce(F.col(valid_to), F.to_date(F.lit(OPEN_END))) > F.col(valid_from))
+         .select(F.col(dim_key).alias("_k"), F.col(valid_from).cast("timestamp").alias("_t"),
+                 F.lit(1).alias("_tag"), F.lit(None).cast(fact_t).alias("_f"),
+                 F.struct(F.col(valid_to).alias("_end"), *attach).alias("_ver"))
+         .withColumn("_bk", bucket(F.col("_t"))))
+    # per (key, bucket): the last version started in it; plus every bucket with facts
+    last_in_bucket = d.groupBy("_k", "_bk").agg(F.max(F.struct("_t", "_ver"))["_ver"].alias("_last"))
+    fact_buckets = f.select("_k", "_bk").distinct().withColumn("_last", F.lit(None).cast(ver_t))
+    wk = Window.partitionBy("_k").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (last_in_bucket.unionByName(fact_buckets)
+             .groupBy("_k", "_bk").agg(F.max("_last").alias("_last"))  # one row per (key, bucket)
+             .withColumn("_in", F.last("_last", ignorenulls=True).over(wk))
+             .filter(F.col("_in").isNotNull())
+             .select("_k", "_bk", F.col("_bk").alias("_t"), F.lit(0).alias("_tag"),
+                     F.lit(None).cast(fact_t).alias("_f"), F.col("_in").alias("_ver")))
+    w = (Window.partitionBy("_k", "_bk").orderBy("_t", "_tag")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = (f.unionByName(d).withColumn("_cur", F.last("_ver", ignorenulls=True).over(w))
-         .filter(F.col("_tag") == 1))
+    u = (f.unionByName(d).unionByName(carry)
+         .withColumn("_cur", F.last("_ver", ignorenulls=True).over(w))
+         .filter(F.col("_tag") == 2))
     ok = F.col("_cur").isNotNull() & (
         F.col("_cur._end").isNull() | (F.col("_t") < F.col("_cur._end").cast("timestamp")))
     return u.select(*[F.col("_f")[c].alias(c) for c in fcols],
