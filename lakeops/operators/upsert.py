@@ -111,6 +111,12 @@ class VersionedTable:
         fs.write_text_atomic(self.spark, self._pointer(), name)
         return f"{self.root}/{name}"
 
+    def vacuum(self, older_than_seconds: float = 3600.0) -> list[str]:
+        """Delete versions other than the current one, past the retention."""
+        cur = self.current()
+        keep = {cur.rsplit("/", 1)[-1]} if cur else set()
+        return fs.vacuum(self.spark, self.root, "v-", keep, older_than_seconds)
+
     def merge(self, source: DataFrame, keys: Sequence[str], date_col: str | None = None,
               lookback_days: int | None = None, partition_by: Sequence[str] = ()) -> str:
         """Incremental merge into a new version (first run = full build)."""
@@ -158,6 +164,11 @@ class PartitionedTable:
                 m[_unescape(name[len("_part="):])] = f"{out}/{name}"
         fs.write_text_atomic(self.spark, f"{self.root}/{self.MANIFEST}", json.dumps(m, sort_keys=True))
 
+    def vacuum(self, older_than_seconds: float = 3600.0) -> list[str]:
+        """Delete write folders no partition of the manifest points into."""
+        used = {p[len(self.root) + 1:].split("/", 1)[0] for p in self.manifest().values()}
+        return fs.vacuum(self.spark, self.root, "w-", used, older_than_seconds)
+
     def overwrite(self, df: DataFrame) -> None:
         self._publish(df, list(self.manifest()))
 

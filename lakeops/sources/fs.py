@@ -64,3 +64,32 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if s.isDirectory())
+
+
+def dir_ages(spark: SparkSession, path: str) -> dict[str, float]:
+    """Sub-folder name -> age in seconds (from the modification time)."""
+    import time
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    now = time.time()
+    return {str(s.getPath().getName()): now - s.getModificationTime() / 1000.0
+            for s in fs.listStatus(p) if s.isDirectory()}
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def vacuum(spark: SparkSession, root: str, prefix: str, referenced: set[str],
+           older_than_seconds: float = 3600.0) -> list[str]:
+    """Delete sub-folders of ``root`` named ``prefix*`` that no pointer or
+    manifest references any more and that are older than the retention (a
+    reader that started before the switch may still be scanning them)."""
+    removed = []
+    for name, age in dir_ages(spark, root).items():
+        if name.startswith(prefix) and name not in referenced and age >= older_than_seconds:
+            delete_dir(spark, f"{root.rstrip('/')}/{name}")
+            removed.append(name)
+    return sorted(removed)

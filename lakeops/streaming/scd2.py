@@ -86,6 +86,11 @@ class StreamingSCD2:
             w = w.trigger(availableNow=True)
         w.start().awaitTermination()
 
+    def vacuum(self, older_than_seconds: float = 3600.0) -> list[str]:
+        """Delete history folders the manifest no longer points into."""
+        used = {p[len(self.history_root) + 1:].split("/", 1)[0] for p in self._manifest().values()}
+        return fs.vacuum(self.spark, self.history_root, "e", used, older_than_seconds)
+
     def read(self) -> DataFrame | None:
         paths = list(self._manifest().values())
         return self.spark.read.parquet(*paths) if paths else None

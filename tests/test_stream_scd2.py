@@ -23,3 +23,6 @@ def test_shuffled_micro_batches_equal_batch_build(spark, tmp_path):
     batch = scd2_history(spark.createDataFrame(data, SCHEMA), ["k"], "seq", untracked=["u"])
     cols = ["k", "a", "u", "valid_from", "valid_to"]
     assert rows(job.read(), *cols) == rows(batch, *cols)
+    # folders no bucket points to any more can go; the history stays the same
+    job.vacuum(older_than_seconds=0)
+    assert rows(job.read(), *cols) == rows(batch, *cols)

@@ -76,3 +76,20 @@ def test_partitioned_merge_rewrites_touched_partitions_only(spark, tmp_path):
     assert "2020-01-01" not in after                           # emptied partition dropped
     assert rows(t.read(), "k", "d", "v") == [(1, D(2020, 3, 9), 2.0), (2, D(2020, 2, 5), 1.0),
                                              (3, D(2020, 3, 5), 1.0), (4, D(2020, 4, 1), 2.0)]
+
+
+def test_vacuum_keeps_what_is_referenced(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from lakeops.operators.upsert import PartitionedTable
+    v = VersionedTable(spark, str(tmp_path / "v"))
+    df = spark.createDataFrame([(1, D(2020, 1, 1), 1.0)], S)
+    v.write(df)
+    v.write(df)
+    assert len(v.vacuum(older_than_seconds=0)) == 1
+    assert v.read().count() == 1
+    p = PartitionedTable(spark, str(tmp_path / "p"), "m")
+    p.overwrite(df.withColumn("m", F.lit("a")))
+    p.merge(spark.createDataFrame([(1, D(2020, 1, 1), 2.0)], S).withColumn("m", F.lit("a")), ["k"])
+    assert len(p.vacuum(older_than_seconds=0)) == 1
+    assert rows(p.read(), "k", "v") == [(1, 2.0)]
+    assert p.vacuum(older_than_seconds=3600) == []
