@@ -131,3 +131,37 @@ def test_xml_one_document_per_line(spark, tmp_path):
     (tmp_path / "many.xml").write_text("\n".join(docs) + "\n")
     lines = X.flatten_filings(X.read_filings_lines(spark, str(tmp_path / "many.xml")))
     assert sorted(r.transactionShares for r in lines.collect()) == ["0", "1", "2", "3", "4"]
+
+
+def test_list_landing_reads_paths_only(spark, tmp_path):
+    from lakeops.sources.landing import list_landing
+    for rel in ("fmp/profile/AAPL_20240101.json", "fmp/profile/BRK_B_20240102.json", "fmp/profile/notes.txt",
+                "sec/insider/MSFT_2024010.json"):
+        f = tmp_path / rel
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_text("{}")
+    paths = list_landing(spark, str(tmp_path))
+    assert "content" not in paths.columns
+    got = rows(landing_inventory(paths), "source", "key", "batch_date")
+    assert got == [("profile", "AAPL", "20240101"), ("profile", "BRK_B", "20240102")] or \
+        got == [("fmp", "AAPL", "20240101"), ("fmp", "BRK_B", "20240102")]
+
+
+def test_export_cells_and_csv(spark, tmp_path):
+    import csv
+    import glob
+    from lakeops.sources.export import export_marts, to_cells
+    df = spark.createDataFrame([(1, "a", dt.date(2024, 1, 2), None, dt.datetime(2024, 1, 2, 3, 4, 5))],
+                               "i int, s string, d date, n string, t timestamp")
+    cells = to_cells(df).first()
+    assert tuple(cells) == ("1", "a", "2024-01-02", "", "2024-01-02T03:04:05")
+    paths = export_marts({"marts.tab_one": df}, str(tmp_path))
+    assert list(paths) == ["tab_one"]
+    headers, data = set(), []
+    for f in glob.glob(f"{paths['tab_one']}/*.csv"):
+        got = list(csv.reader(open(f)))
+        if got:
+            headers.add(tuple(got[0]))
+            data += got[1:]
+    assert headers == {("i", "s", "d", "n", "t")}
+    assert [r[:4] for r in data] == [["1", "a", "2024-01-02", ""]]
