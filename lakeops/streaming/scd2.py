@@ -34,11 +34,13 @@ from lakeops.sources import fs
 
 class StreamingSCD2:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence: str,
-                 untracked: Sequence[str] = (), tie_break: Sequence[str] = (), key_buckets: int = 64):
+                 untracked: Sequence[str] = (), tie_break: Sequence[str] = (), key_buckets: int = 64,
+                 materialize_steps: bool = True):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.sequence = list(keys), sequence
         self.untracked, self.tie_break = list(untracked), list(tie_break)
         self.key_buckets = key_buckets
+        self.materialize_steps = materialize_steps
         self.history_root = f"{self.root}/history"
 
     @property
@@ -64,7 +66,8 @@ class StreamingSCD2:
             return
         snaps = (spark.read.option("basePath", self.store).parquet(self.store)
                  .join(changed, self.keys + ["_kb"], "left_semi").drop("_kb", "batch"))
-        rebuilt = scd2_history(snaps, self.keys, self.sequence, self.untracked, self.tie_break)
+        rebuilt = scd2_history(snaps, self.keys, self.sequence, self.untracked, self.tie_break,
+                               materialize_steps=self.materialize_steps)
         manifest = self._manifest()
         old_paths = [manifest[b] for b in touched if b in manifest]
         new = rebuilt
