@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import contracts as C
 from lakeops.operators.audit import coverage_matrix, reconcile
-from lakeops.operators.expectations import (apply_expectations, check, expect, expect_or_drop,
+from lakeops.operators.expectations import (apply_expectations, expect, expect_or_drop,
                                             expect_or_fail, expectation_report)
 from lakeops.plans import standins as S
 from lakeops.plans.core import dim_date_q
 from lakeops.plans.registry import query
-from lakeops.plans.sql_parts import DIM, FL, LI, SNAP, VER
+from lakeops.plans.sql_parts import DIM, FL, LI, SNAP
 
 # The order priorities of the test data, used as the dataset
 # list of the coverage matrix (one 'endpoint' per priority).
