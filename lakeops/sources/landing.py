@@ -67,24 +67,26 @@ def landing_dir(root: str, source: str, endpoint: str) -> str:
     return f"{root.rstrip('/')}/source={source}/endpoint={endpoint}"
 
 
-def infer_record_schema(spark: SparkSession, path: str, sample_files: int = 1) -> T.StructType:
-    """Infer the record type from the first landing file(s): a batch read of
-    the envelope text, records parsed by JSON inference."""
+def infer_record_schema(spark: SparkSession, path: str, sample_files: int = 1,
+                        wholetext: bool = False) -> T.StructType:
+    """Infer the record type from the first landing file(s): JSON inference
+    over the sampled envelopes, then the element type of ``data``."""
     files = [f for f in fs.list_files(spark, path) if not f.rsplit("/", 1)[-1].startswith((".", "_"))]
     if not files:
         raise FileNotFoundError(f"no landing files under {path}")
-    env = spark.read.schema(RAW_ENVELOPE).json(files[:sample_files])
-    recs = env.select(F.explode("data").alias("r"))
-    # JSON inference over the sampled record texts (one-off, sample only)
-    return spark.read.json(recs.rdd.map(lambda row: row.r)).schema
+    env = spark.read.option("multiLine", str(wholetext).lower()).json(files[:sample_files])
+    data = env.schema["data"].dataType
+    if not isinstance(data, T.ArrayType) or not isinstance(data.elementType, T.StructType):
+        raise TypeError(f"envelope data is {data.simpleString()}, expected an array of records")
+    return data.elementType
 
 
-def frozen_schema(spark: SparkSession, schema_location: str, path: str) -> T.StructType:
+def frozen_schema(spark: SparkSession, schema_location: str, path: str, wholetext: bool = False) -> T.StructType:
     """Schema stored at ``schema_location``; inferred once and saved when absent."""
     saved = fs.read_text(spark, f"{schema_location.rstrip('/')}/_schema.json")
     if saved:
         return T.StructType.fromJson(json.loads(saved))
-    schema = infer_record_schema(spark, path)
+    schema = infer_record_schema(spark, path, wholetext=wholetext)
     fs.write_text_atomic(spark, f"{schema_location.rstrip('/')}/_schema.json", schema.json())
     return schema
 

@@ -45,7 +45,7 @@ def load_all(spark: SparkSession, landing_root: str, bronze_root: str, specs: li
         name = f"{spec.source}.{spec.endpoint}"
         src = landing_dir(landing_root, spec.source, spec.endpoint)
         base = f"{bronze_root.rstrip('/')}/{spec.source}/{spec.endpoint}"
-        schema = (schemas or {}).get(name) or frozen_schema(spark, f"{base}/_schema", src)
+        schema = (schemas or {}).get(name) or frozen_schema(spark, f"{base}/_schema", src, spec.wholetext)
         bronze_stream(spark, src, f"{base}/table", f"{base}/_checkpoint", schema, spec.wholetext)
         out[name] = f"{base}/table"
     return out
