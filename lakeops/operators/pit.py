@@ -14,6 +14,9 @@ match. Three physical strategies, same result on non-overlapping versions:
   repeated once per bucket it overlaps (clipped to the facts' time range), so
   a fact is compared only with the versions of its own bucket, and a hot key's
   facts spread over as many join keys as it has buckets.
+* ``auto`` -- one small aggregate over the dimension finds the largest
+  number of versions of any key; above ``max_versions_for_range`` the join
+  runs ``bucketed`` (bounded comparisons per fact), else ``range``.
 * ``window`` -- union of facts and version starts, ``last(..., ignorenulls)``
   in time order, then the end check. Linear in rows, no fan-out; runs per
   (key, time bucket) with a carry-in row per bucket, so a hot key's facts
@@ -41,7 +44,8 @@ def pit_join(facts: DataFrame, dim: DataFrame, fact_key: str, event_col: str,
              dim_key: str = "symbol", valid_from: str = "scd_effective_from",
              valid_to: str = "scd_effective_to", attach: Sequence[str] | None = None,
              strategy: str = "range", bucket_unit: str = "year",
-             bounds: tuple | None = None, check_overlap: bool = False) -> DataFrame:
+             bounds: tuple | None = None, check_overlap: bool = False,
+             max_versions_for_range: int = 64) -> DataFrame:
     """Left join ``facts`` to the ``dim`` version valid at ``event_col``.
 
     Returns all fact columns plus ``attach`` (default: every dimension column
@@ -55,6 +59,8 @@ def pit_join(facts: DataFrame, dim: DataFrame, fact_key: str, event_col: str,
     clash = set(attach) & set(facts.columns)
     if clash:
         raise ValueError(f"dimension columns clash with fact columns: {sorted(clash)}")
+    if strategy == "auto":
+        strategy = "bucketed" if max_versions_per_key(dim, dim_key) > max_versions_for_range else "range"
     if strategy == "range":
         return _pit_range(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach)
     if strategy == "bucketed":
@@ -65,6 +71,12 @@ def pit_join(facts: DataFrame, dim: DataFrame, fact_key: str, event_col: str,
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
+def max_versions_per_key(dim: DataFrame, dim_key: str) -> int:
+    """Largest number of versions of one key (a one-row aggregate)."""
+    got = dim.groupBy(dim_key).count().agg(F.max("count")).first()[0]
+    return int(got or 0)
+
+
 def _pit_range(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach):
     d = dim.select(F.col(dim_key).alias("_dk"), F.col(valid_from).alias("_df"),
                    F.col(valid_to).alias("_dt"), *attach)

@@ -89,6 +89,11 @@ def pit_join_bucketed_q(spark, d):
     return _pit(spark, d, "bucketed")
 
 
+@query("pit_join_auto", PIT_SQL)
+def pit_join_auto_q(spark, d):
+    return _pit(spark, d, "auto")
+
+
 def line_totals(spark, d) -> DataFrame:
     """Shipped quantity per (customer, ship day) from the latest lines."""
     return (S.fact_lines(spark, d).groupBy("o_custkey", F.col("ship_date").alias("order_date"))

@@ -78,3 +78,14 @@ def test_range_matches_brute_force(spark):
     got = rows(pit_join(spark.createDataFrame(facts, "sym string, day date, id int"), _dim(spark, dims),
                         "sym", "day"), "id", "company_key")
     assert got == sorted(expected, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_auto_picks_by_versions_per_key(spark):
+    from lakeops.operators.pit import max_versions_per_key
+    dims = [("x", D(2020, 1, 1) + dt.timedelta(i), D(2020, 1, 1) + dt.timedelta(i + 1), f"v{i}") for i in range(10)]
+    dim = _dim(spark, dims)
+    assert max_versions_per_key(dim, "symbol") == 10
+    facts = spark.createDataFrame([("x", D(2020, 1, 5), 1), ("x", D(2021, 1, 1), 2)], "sym string, day date, id int")
+    for limit in (5, 50):  # bucketed, then range
+        out = pit_join(facts, dim, "sym", "day", strategy="auto", max_versions_for_range=limit)
+        assert rows(out, "id", "company_key") == [(1, "v4"), (2, None)]
