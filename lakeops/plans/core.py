@@ -255,7 +255,7 @@ def unpivot_measures_q(spark, d):
 select o_orderkey, cast(strftime(o_orderdate, '%Y%m%d') as integer) as date_key,
        cast(strftime(o_orderdate, '%Y%m') as integer) as month_key,
        cast(date_trunc('month', o_orderdate) as date) as month_start,
-       cast(o_orderdate as date) - 7 as lookback_date, dayofweek(o_orderdate) + 1 as day_of_week
+       cast(o_orderdate as date) - 7 as lookback_date, cast(dayofweek(o_orderdate) + 1 as integer) as day_of_week
 from orders
 """)
 def date_keys_q(spark, d):
@@ -392,7 +392,7 @@ def map_payload_to_rows_q(spark, d):
 
 
 @query("parallel_arrays_topn", """
-select o_custkey, o_orderkey, o_orderpriority as primary_document, rn as filing_rank
+select o_custkey, o_orderkey, o_orderpriority as primary_document, cast(rn as integer) as filing_rank
 from (select *, row_number() over (partition by o_custkey
                                    order by cast(o_orderdate as date) desc, o_orderkey desc) as rn
       from orders where o_orderstatus = 'F')
@@ -480,16 +480,17 @@ hol as (
      or (mo = 12 and dm = 25 and w between 1 and 5) or (mo = 12 and dm = 26 and w = 1) or (mo = 12 and dm = 24 and w = 5)
      or f.d in (date '2018-12-05', date '2025-01-09')))
 select cast(strftime(d, '%Y%m%d') as integer) as date_key, d as date_day,
-       isodow(d) as day_of_week, dayname(d) as day_of_week_name, day(d) as day_of_month,
-       dayofyear(d) as day_of_year, weekofyear(d) as week_of_year,
+       cast(isodow(d) as integer) as day_of_week, dayname(d) as day_of_week_name,
+       cast(day(d) as integer) as day_of_month, cast(dayofyear(d) as integer) as day_of_year,
+       cast(weekofyear(d) as integer) as week_of_year,
        cast(date_trunc('week', d) as date) as week_start_date,
        cast(date_trunc('week', d) as date) + 6 as week_end_date,
-       month(d) as month_of_year, monthname(d) as month_name, strftime(d, '%b') as month_name_short,
+       cast(month(d) as integer) as month_of_year, monthname(d) as month_name, strftime(d, '%b') as month_name_short,
        cast(date_trunc('month', d) as date) as month_start_date, last_day(d) as month_end_date,
-       quarter(d) as quarter_of_year, 'Q' || cast(quarter(d) as varchar) as quarter_name,
+       cast(quarter(d) as integer) as quarter_of_year, 'Q' || cast(quarter(d) as varchar) as quarter_name,
        cast(date_trunc('quarter', d) as date) as quarter_start_date,
        cast(date_trunc('quarter', d) + interval 3 month - interval 1 day as date) as quarter_end_date,
-       year(d) as year_number,
+       cast(year(d) as integer) as year_number,
        dayofweek(d) not in (0, 6) as is_weekday,
        d in (select d from hol) as is_holiday,
        dayofweek(d) not in (0, 6) and d not in (select d from hol) as is_market_open
