@@ -79,3 +79,94 @@ def no_overlapping_versions(dim: DataFrame, key: str, valid_from: str, valid_to:
     from lakeops.operators.pit import overlapping_versions
     bad = overlapping_versions(dim, key, valid_from, valid_to)
     return _named(bad.agg(F.count(F.lit(1)).alias("failures")), name or f"no_overlapping_versions_{key}")
+
+
+# ---- declarative contracts ---------------------------------------------------
+#
+# Contracts can be declared in the schema-YAML layout used by SQL projects
+# (``models:`` or ``sources: ... tables:``, each with model-level and column-level
+# ``data_tests``/``tests``; arguments under ``arguments:`` or inline; a row
+# filter under ``config: where:``). ``specs_from_yaml`` turns such text into
+# plain specs and ``run_specs`` runs them over named DataFrames.
+
+_KINDS = {"not_null": "not_null", "unique": "unique", "accepted_values": "accepted_values",
+          "relationships": "relationships", "dbt_utils.unique_combination_of_columns": "unique_combination",
+          "unique_combination_of_columns": "unique_combination", "dbt_utils.sequential_values": "sequential",
+          "sequential_values": "sequential"}
+
+
+def _ref_name(text: str) -> str:
+    """ref('x') -> x; source('s', 't') -> t; plain names unchanged."""
+    import re
+    m = re.match(r"\s*(?:ref|source)\((.*)\)\s*$", text)
+    if not m:
+        return text.strip()
+    return [p.strip().strip("'\"") for p in m.group(1).split(",")][-1]
+
+
+def _test_entries(node: dict) -> list:
+    return list(node.get("data_tests") or []) + list(node.get("tests") or [])
+
+
+def _spec(model: str, column: str | None, entry) -> dict:
+    if isinstance(entry, str):
+        name, body = entry, {}
+    else:
+        (name, body), = entry.items()
+        body = body or {}
+    if name not in _KINDS:
+        raise ValueError(f"unsupported contract test {name!r} on {model}")
+    args = dict(body.get("arguments") or {})
+    args.update({k: v for k, v in body.items() if k not in ("arguments", "config")})
+    where = (body.get("config") or {}).get("where") or args.pop("where", None)
+    return {"model": model, "column": column, "kind": _KINDS[name], "args": args, "where": where}
+
+
+def specs_from_yaml(text: str) -> list[dict]:
+    import yaml
+    doc = yaml.safe_load(text) or {}
+    nodes = list(doc.get("models") or [])
+    for src in doc.get("sources") or []:
+        nodes += list(src.get("tables") or [])
+    specs = []
+    for node in nodes:
+        model = node["name"]
+        specs += [_spec(model, None, e) for e in _test_entries(node)]
+        for col in node.get("columns") or []:
+            specs += [_spec(model, col["name"], e) for e in _test_entries(col)]
+    return specs
+
+
+def spec_name(spec: dict) -> str:
+    kind, model, col = spec["kind"], spec["model"], spec["column"]
+    if kind == "unique_combination":
+        return f"unique_combination_{model}_" + "_".join(spec["args"]["combination_of_columns"])
+    if kind == "relationships":
+        return f"relationships_{model}_{col}_to_{_ref_name(spec['args']['to'])}_{spec['args']['field']}"
+    return f"{kind}_{model}_{col}"
+
+
+def run_specs(tables, specs: Sequence[dict]) -> DataFrame:
+    """Run declarative specs over ``tables`` (name -> DataFrame): one
+    (test_name, failures) row per spec."""
+    out = []
+    for s in specs:
+        df = tables[s["model"]]
+        if s["where"] and s["kind"] != "unique":
+            df = df.filter(s["where"])
+        name, col, kind, args = spec_name(s), s["column"], s["kind"], s["args"]
+        if kind == "not_null":
+            out.append(not_null(df, col, name))
+        elif kind == "unique":
+            out.append(unique(df, col, where=s["where"], name=name))
+        elif kind == "accepted_values":
+            out.append(accepted_values(df, col, args["values"], name))
+        elif kind == "relationships":
+            out.append(relationships(df, col, tables[_ref_name(args["to"])], args["field"], name))
+        elif kind == "unique_combination":
+            out.append(unique_combination(df, args["combination_of_columns"], name))
+        elif kind == "sequential":
+            if str(args.get("datepart", "day")) != "day" or int(args.get("interval", 1)) != 1:
+                raise ValueError("sequential_values: only interval 1, datepart day")
+            out.append(sequential_days(df, col, name))
+    return run_tests(out)

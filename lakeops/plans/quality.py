@@ -118,10 +118,16 @@ select 'accepted_values_o_orderpriority' as test_name, count(distinct o_orderpri
   where o_orderpriority not in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')
 union all select 'accepted_values_l_returnflag', count(distinct l_returnflag) from lineitem
   where l_returnflag not in ('A', 'N')
-union all select 'accepted_values_quarter_of_year', 0"""
+union all select 'accepted_values_quarter_of_year', count(distinct quarter_of_year) from dd
+  where quarter_of_year not in (1, 2, 3, 4)"""
 
 
-@query("test_accepted_values", ACCEPTED_SQL)
+def _dd() -> str:
+    from lakeops.plans.core import _dim_date_sql
+    return f"dd as ({_dim_date_sql()})"
+
+
+@query("test_accepted_values", f"with {_dd()} {ACCEPTED_SQL}")
 def test_accepted_values_q(spark, d):
     return C.run_tests(accepted_values_tests(spark, d))
 
@@ -137,14 +143,15 @@ def sequential_tests(spark, d):
 SEQUENTIAL_SQL = """
 with od as (select distinct cast(o_orderdate as date) as d from orders),
      raw as (select cast(o_orderdate as date) as d from orders)
-select 'sequential_values_dim_date' as test_name, 0 as failures
+select 'sequential_values_dim_date' as test_name, count(*) as failures from
+  (select date_day, lag(date_day) over (order by date_day) as p from dd) where not (date_day = p + 1)
 union all select 'sequential_values_order_days', count(*) from
   (select d, lag(d) over (order by d) as p from od) where not (d = p + 1)
 union all select 'sequential_values_orders_raw', count(*) from
   (select d, lag(d) over (order by d) as p from raw) where not (d = p + 1)"""
 
 
-@query("test_sequential_days", SEQUENTIAL_SQL)
+@query("test_sequential_days", f"with {_dd()} select * from ({SEQUENTIAL_SQL})")
 def test_sequential_days_q(spark, d):
     return C.run_tests(sequential_tests(spark, d))
 
@@ -172,7 +179,7 @@ def test_relationships_q(spark, d):
     return C.run_tests(relationship_tests(spark, d))
 
 
-@query("test_suite", f"""with {DIM}, {FL}
+@query("test_suite", f"""with {DIM}, {FL}, {_dd()}
 {NOT_NULL_UNIQUE_SQL} union all {UNIQUE_COMBINATION_SQL} union all {ACCEPTED_SQL}
 union all {RELATIONSHIP_SQL} union all
 select * from ({SEQUENTIAL_SQL})""")
@@ -249,3 +256,103 @@ def test_no_overlap_q(spark, d):
                                   "no_overlapping_versions_dim"),
         C.no_overlapping_versions(dim.unionByName(shifted), "o_custkey", "scd_effective_from", "scd_effective_to",
                                   "no_overlapping_versions_shifted")])
+
+
+# A contract file in the schema-YAML layout of SQL projects, over the
+# stand-in models (fixed test definitions).
+CONTRACT_YAML = """
+version: 2
+models:
+  - name: orders
+    data_tests:
+      - dbt_utils.unique_combination_of_columns:
+          arguments:
+            combination_of_columns: ["o_orderkey"]
+    columns:
+      - name: o_orderkey
+        data_tests: [not_null, unique]
+      - name: o_orderpriority
+        data_tests:
+          - accepted_values:
+              arguments:
+                values: ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']
+      - name: o_custkey
+        data_tests:
+          - relationships:
+              arguments:
+                to: ref('customer')
+                field: c_custkey
+  - name: lineitem
+    data_tests:
+      - dbt_utils.unique_combination_of_columns:
+          arguments:
+            combination_of_columns: ["l_orderkey", "l_linenumber"]
+    columns:
+      - name: l_orderkey
+        data_tests:
+          - relationships:
+              arguments:
+                to: ref('orders')
+                field: o_orderkey
+  - name: dim_customer
+    columns:
+      - name: customer_key
+        data_tests: [not_null, unique]
+      - name: o_custkey
+        data_tests:
+          - unique:
+              config:
+                where: "is_current"
+  - name: dim_date
+    columns:
+      - name: date_day
+        data_tests:
+          - dbt_utils.sequential_values:
+              arguments:
+                interval: 1
+                datepart: day
+      - name: quarter_of_year
+        data_tests:
+          - accepted_values:
+              arguments:
+                values: [1, 2, 3, 4]
+                quote: false
+"""
+
+
+def _contract_sql() -> str:
+    from lakeops.plans.core import _dim_date_sql
+    return f"""
+with {DIM}, dd as ({_dim_date_sql()})
+select 'unique_combination_orders_o_orderkey' as test_name, count(*) as failures from
+  (select 1 from orders group by o_orderkey having count(*) > 1)
+union all select 'not_null_orders_o_orderkey', count(*) filter (where o_orderkey is null) from orders
+union all select 'unique_orders_o_orderkey', count(*) from
+  (select o_orderkey from orders where o_orderkey is not null group by 1 having count(*) > 1)
+union all select 'accepted_values_orders_o_orderpriority', count(distinct o_orderpriority) from orders
+  where o_orderpriority not in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')
+union all select 'relationships_orders_o_custkey_to_customer_c_custkey', count(*) from orders o
+  where o.o_custkey is not null and not exists (select 1 from customer c where c.c_custkey = o.o_custkey)
+union all select 'unique_combination_lineitem_l_orderkey_l_linenumber', count(*) from
+  (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
+union all select 'relationships_lineitem_l_orderkey_to_orders_o_orderkey', count(*) from lineitem l
+  where l.l_orderkey is not null and not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey)
+union all select 'not_null_dim_customer_customer_key', count(*) filter (where customer_key is null) from dim
+union all select 'unique_dim_customer_customer_key', count(*) from
+  (select customer_key from dim where customer_key is not null group by 1 having count(*) > 1)
+union all select 'unique_dim_customer_o_custkey', count(*) from
+  (select o_custkey from dim where is_current and o_custkey is not null group by 1 having count(*) > 1)
+union all select 'sequential_dim_date_date_day', count(*) from
+  (select date_day, lag(date_day) over (order by date_day) as p from dd) where not (date_day = p + 1)
+union all select 'accepted_values_dim_date_quarter_of_year', count(distinct quarter_of_year) from dd
+  where quarter_of_year not in (1, 2, 3, 4)
+"""
+
+
+@query("test_contract_yaml", _contract_sql())
+def test_contract_yaml_q(spark, d):
+    """Contracts read from schema YAML and run over the stand-in models."""
+    tables = {"orders": S.table(spark, d, "orders"), "lineitem": S.table(spark, d, "lineitem"),
+              "customer": S.table(spark, d, "customer"), "dim_customer": S.dimension(spark, d),
+              "dim_date": dim_date_q(spark, d)}
+    return C.run_specs(tables, C.specs_from_yaml(CONTRACT_YAML))

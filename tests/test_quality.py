@@ -70,3 +70,50 @@ def test_coverage_has_no_join_for_grid(spark):
         (1, "a", 2, True), (1, "b", 0, False), (2, "a", 0, False), (2, "b", 0, False)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_yaml_contracts(spark):
+    import datetime as dt
+    text = """
+version: 2
+models:
+  - name: child
+    data_tests:
+      - dbt_utils.unique_combination_of_columns:
+          arguments:
+            combination_of_columns: ["k", "c"]
+    columns:
+      - name: k
+        data_tests:
+          - not_null
+          - relationships:
+              arguments:
+                to: ref('parent')
+                field: k
+      - name: c
+        data_tests:
+          - accepted_values:
+              arguments:
+                values: ['a', 'b']
+          - unique:
+              config:
+                where: "k = 1"
+sources:
+  - name: raw
+    tables:
+      - name: days
+        columns:
+          - name: d
+            tests:
+              - dbt_utils.sequential_values:
+                  interval: 1
+                  datepart: day
+"""
+    specs = C.specs_from_yaml(text)
+    tables = {"child": spark.createDataFrame([(1, "a"), (1, "a"), (2, "z"), (None, "b")], "k int, c string"),
+              "parent": spark.createDataFrame([(1,)], "k int"),
+              "days": spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 4)], "d date")}
+    got = dict(rows(C.run_specs(tables, specs)))
+    assert got == {"unique_combination_child_k_c": 1, "not_null_child_k": 1,
+                   "relationships_child_k_to_parent_k": 1, "accepted_values_child_c": 1,
+                   "unique_child_c": 1, "sequential_days_d": 1}
