@@ -22,6 +22,8 @@ SPECIAL_CLOSURES = ["2018-12-05", "2025-01-09"]
 # (its seed covers 2015 through 2030; earlier weekdays count as open).
 HOLIDAY_YEARS = (2015, 2030)
 JUNETEENTH_FROM = 2022
+# Fixed value: the name every holiday row carries in the reference's table.
+HOLIDAY_NAME = "NYSE Holiday"
 
 
 def days(spark: SparkSession, start: str, end_exclusive: str, col: str = "date_day") -> DataFrame:
@@ -91,7 +93,7 @@ def is_exchange_holiday(d: Column) -> Column:
 def holidays(calendar: DataFrame, col: str = "date_day") -> DataFrame:
     """Holiday table (holiday_date, holiday_name) for the days in ``calendar``."""
     return (calendar.filter(is_exchange_holiday(F.col(col)))
-            .select(F.col(col).alias("holiday_date"), F.lit("NYSE Holiday").alias("holiday_name")))
+            .select(F.col(col).alias("holiday_date"), F.lit(HOLIDAY_NAME).alias("holiday_name")))
 
 
 def date_dimension(spark: SparkSession, start: str, end_exclusive: str,

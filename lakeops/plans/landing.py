@@ -230,13 +230,13 @@ def landing_paths(spark, d) -> DataFrame:
     day = (F.lit(20240101) + F.col("turn")).cast("string")
     day = F.when(F.col("turn") % 13 == 12, F.substring(day, 1, 7)).otherwise(day)
     ext = F.when(F.col("turn") % 11 == 10, F.lit(".txt")).otherwise(F.lit(".json"))
-    src = F.when(F.col("role") == "user", F.lit("fmp")).otherwise(F.lit("sec"))
+    src = F.when(F.col("role") == "user", F.lit("feed_a")).otherwise(F.lit("feed_b"))
     return c.select(F.concat(F.lit("landing/"), src, F.lit("/turns/"), key, F.lit("_"), day, ext).alias("path"))
 
 
 @query("landing_inventory", """
 with p as (
-  select 'landing/' || case when role = 'user' then 'fmp' else 'sec' end || '/turns/'
+  select 'landing/' || case when role = 'user' then 'feed_a' else 'feed_b' end || '/turns/'
          || case when conv_id % 7 = 0 then 'C_' else 'C' end || cast(conv_id as varchar) || '_'
          || case when turn % 13 = 12 then substr(cast(20240101 + turn as varchar), 1, 7)
                  else cast(20240101 + turn as varchar) end
@@ -248,10 +248,10 @@ select path, regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$',
        regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 4) as batch_date
 from p
 where regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 4) <> ''
-  and regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 1) = 'fmp'
+  and regexp_extract(path, '([^/]+)/([^/]+)/([^/]+)_([0-9]{8})\\.json$', 1) = 'feed_a'
 """)
 def landing_inventory_q(spark, d):
-    return landing_inventory(landing_paths(spark, d), source="fmp")
+    return landing_inventory(landing_paths(spark, d), source="feed_a")
 
 
 PAYLOAD_SQL = """case event_type

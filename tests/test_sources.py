@@ -48,11 +48,11 @@ def test_pretty_and_one_line_documents_both_load(spark, tmp_path):
 
 
 def test_landing_inventory_shapes(spark):
-    paths = spark.createDataFrame([("r/fmp/profile/BRK_B_20240101.json",), ("r/fmp/profile/AAPL_2024010.json",),
-                                   ("r/fmp/profile/AAPL_20240101.txt",), ("r/sec/x/MSFT_20240102.json",)], "path string")
+    paths = spark.createDataFrame([("r/feed_a/profile/BRK_B_20240101.json",), ("r/feed_a/profile/AAPL_2024010.json",),
+                                   ("r/feed_a/profile/AAPL_20240101.txt",), ("r/feed_b/x/MSFT_20240102.json",)], "path string")
     got = rows(landing_inventory(paths), "source", "endpoint", "key", "batch_date")
-    assert got == [("fmp", "profile", "BRK_B", "20240101"), ("sec", "x", "MSFT", "20240102")]
-    assert landing_inventory(paths, source="sec", limit=1).count() == 1
+    assert got == [("feed_a", "profile", "BRK_B", "20240101"), ("feed_b", "x", "MSFT", "20240102")]
+    assert landing_inventory(paths, source="feed_b", limit=1).count() == 1
 
 
 def test_triage_statuses(spark):
@@ -135,8 +135,8 @@ def test_xml_one_document_per_line(spark, tmp_path):
 
 def test_list_landing_reads_paths_only(spark, tmp_path):
     from lakeops.sources.landing import list_landing
-    for rel in ("fmp/profile/AAPL_20240101.json", "fmp/profile/BRK_B_20240102.json", "fmp/profile/notes.txt",
-                "sec/insider/MSFT_2024010.json"):
+    for rel in ("feed_a/profile/AAPL_20240101.json", "feed_a/profile/BRK_B_20240102.json", "feed_a/profile/notes.txt",
+                "feed_b/insider/MSFT_2024010.json"):
         f = tmp_path / rel
         f.parent.mkdir(parents=True, exist_ok=True)
         f.write_text("{}")
@@ -144,7 +144,7 @@ def test_list_landing_reads_paths_only(spark, tmp_path):
     assert "content" not in paths.columns
     got = rows(landing_inventory(paths), "source", "key", "batch_date")
     assert got == [("profile", "AAPL", "20240101"), ("profile", "BRK_B", "20240102")] or \
-        got == [("fmp", "AAPL", "20240101"), ("fmp", "BRK_B", "20240102")]
+        got == [("feed_a", "AAPL", "20240101"), ("feed_a", "BRK_B", "20240102")]
 
 
 def test_export_cells_and_csv(spark, tmp_path):
