@@ -93,3 +93,18 @@ def vacuum(spark: SparkSession, root: str, prefix: str, referenced: set[str],
             delete_dir(spark, f"{root.rstrip('/')}/{name}")
             removed.append(name)
     return sorted(removed)
+
+
+def first_files(spark: SparkSession, path: str, n: int) -> list[str]:
+    """Up to ``n`` data files under ``path`` (recursive; hidden and ``_``
+    files skipped), stopping as soon as they are found -- no full listing."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    it = fs.listFiles(p, True)
+    out = []
+    while it.hasNext() and len(out) < n:
+        f = it.next().getPath()
+        if not str(f.getName()).startswith((".", "_")):
+            out.append(str(f))
+    return out

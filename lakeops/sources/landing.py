@@ -71,10 +71,10 @@ def infer_record_schema(spark: SparkSession, path: str, sample_files: int = 1,
                         wholetext: bool = False) -> T.StructType:
     """Infer the record type from the first landing file(s): JSON inference
     over the sampled envelopes, then the element type of ``data``."""
-    files = [f for f in fs.list_files(spark, path) if not f.rsplit("/", 1)[-1].startswith((".", "_"))]
+    files = fs.first_files(spark, path, sample_files)
     if not files:
         raise FileNotFoundError(f"no landing files under {path}")
-    env = spark.read.option("multiLine", str(wholetext).lower()).json(files[:sample_files])
+    env = spark.read.option("multiLine", str(wholetext).lower()).json(files)
     data = env.schema["data"].dataType
     if not isinstance(data, T.ArrayType) or not isinstance(data.elementType, T.StructType):
         raise TypeError(f"envelope data is {data.simpleString()}, expected an array of records")
