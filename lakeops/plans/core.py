@@ -382,13 +382,20 @@ select l_orderkey as order_key, l_linenumber as line_number, l_quantity as open,
 from li
 """)
 def map_payload_to_rows_q(spark, d):
+    """Second-feed shape (M5): declared MAP schema, map explode, latest batch
+    per (symbol, date key), typed casts, then a drop rule on negative prices."""
+    from lakeops.operators.expectations import apply_expectations, expect_or_drop
     parsed = map_documents(spark, d).select(F.from_json("value", MAP_SCHEMA).alias("doc"))
     rows = map_to_rows(parsed, F.col("doc.data.`Time Series (Daily)`"), "date_str", "ohlcv",
-                       keep=[F.col("doc._ticker").alias("symbol")])
-    return rows.select(F.col("symbol").cast("bigint").alias("order_key"),
-                       F.col("date_str").cast("int").alias("line_number"),
-                       *[F.col(f"ohlcv.`{f}`").cast(t).alias(n) for f, t, n in
-                         zip(OHLCV_FIELDS, ["double"] * 4 + ["bigint"], ["open", "high", "low", "close", "volume"])])
+                       keep=[F.col("doc._ticker").alias("symbol"), F.col("doc._batch_date").alias("_batch_date")])
+    latest = latest_by_key(rows, ["symbol", "date_str"], ["_batch_date"])
+    typed = latest.select(F.col("symbol").cast("bigint").alias("order_key"),
+                          F.col("date_str").cast("int").alias("line_number"),
+                          *[F.col(f"ohlcv.`{f}`").cast(t).alias(n) for f, t, n in
+                            zip(OHLCV_FIELDS, ["double"] * 4 + ["bigint"], ["open", "high", "low", "close", "volume"])])
+    out, _ = apply_expectations(typed, [expect_or_drop("non_negative_price",
+                                                       "open >= 0 AND high >= 0 AND low >= 0 AND close >= 0")])
+    return out
 
 
 @query("parallel_arrays_topn", """
