@@ -175,6 +175,10 @@ class PartitionedTable:
     def merge(self, source: DataFrame, keys: Sequence[str]) -> list[str]:
         """Upsert ``source`` on ``keys``; returns the rewritten partitions."""
         keys = list(keys)
+        # the source is read three times below (touched partitions, moved
+        # keys, the merge itself): write it once instead of recomputing it
+        from lakeops.session import materialize
+        source = materialize(source, "merge-source")
         target = self.read()
         if target is None:
             self.overwrite(merge_upsert(None, source, keys))

@@ -13,6 +13,7 @@ from lakeops.operators.upsert import (PartitionedTable, VersionedTable, incremen
                                       merge_upsert)
 from lakeops.plans import standins as S
 from lakeops.plans.core import LINE_TOTALS_SQL, line_totals, period_dimension
+from lakeops.plans import registry
 from lakeops.plans.registry import query
 from lakeops.plans.sql_parts import DIM, FL, LI, PERIOD
 from lakeops.session import scratch_path
@@ -54,6 +55,22 @@ def fact_daily_q(spark, d):
     return fact_daily(spark, d)
 
 
+@query("fact_daily_incremental", registry.ORACLE["fact_daily"])
+def fact_daily_incremental_q(spark, d):
+    return fact_daily_incremental(spark, d)
+
+
+def fact_daily_incremental(spark: SparkSession, d: str, cutoff: str = "2000-06-30", lookback_days: int = 7):
+    """The daily fact kept as a month-partitioned table: a first build of the
+    days before ``cutoff``, then an incremental run that merges the slice
+    within ``lookback_days`` of the stored maximum on (customer, day)."""
+    facts = fact_daily(spark, d).withColumn("price_month", F.trunc("price_date", "MM"))
+    table = PartitionedTable(spark, scratch_path(spark, "fact_daily"), "price_month")
+    table.overwrite(facts.filter(F.col("price_date") < F.lit(cutoff).cast("date")))
+    table.merge(lookback_filter(facts, table.read(), "price_date", lookback_days), ["o_custkey", "price_date"])
+    return table.read().drop("price_month")
+
+
 def order_events(spark, d) -> DataFrame:
     o = S.table(spark, d, "orders")
     totals = S.lines(spark, d).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
