@@ -132,3 +132,12 @@ def date_dimension(spark: SparkSession, start: str, end_exclusive: str,
         is_hol.alias("is_holiday"),
         (~weekend & ~is_hol).alias("is_market_open"),
     )
+
+
+HOLIDAY_SEED_SCHEMA = "holiday_date date, holiday_name string"
+
+
+def read_holiday_seed(spark: SparkSession, path: str) -> DataFrame:
+    """A holiday seed file (CSV with a header) read with declared column types,
+    to use instead of the rules: ``date_dimension(..., holiday_table=...)``."""
+    return spark.read.schema(HOLIDAY_SEED_SCHEMA).option("header", True).csv(path)

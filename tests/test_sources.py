@@ -165,3 +165,12 @@ def test_export_cells_and_csv(spark, tmp_path):
             data += got[1:]
     assert headers == {("i", "s", "d", "n", "t")}
     assert [r[:4] for r in data] == [["1", "a", "2024-01-02", ""]]
+
+
+def test_holiday_seed_csv_replaces_rules(spark, tmp_path):
+    (tmp_path / "seed.csv").write_text("holiday_date,holiday_name\n2024-02-29,Leap Closure\n")
+    seed = cal.read_holiday_seed(spark, str(tmp_path / "seed.csv"))
+    assert seed.schema.simpleString() == "struct<holiday_date:date,holiday_name:string>"
+    dd = cal.date_dimension(spark, "2024-02-28", "2024-03-02", holiday_table=seed)
+    flags = {str(r.date_day): r.is_market_open for r in dd.collect()}
+    assert flags == {"2024-02-28": True, "2024-02-29": False, "2024-03-01": True}
