@@ -110,7 +110,10 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     # take the value of the latest snapshot
     start = F.min(F.struct(F.col(sequence).alias("s"), F.col("_t").alias("t")))
     versions = (numbered.groupBy("_k", "_v")
-                .agg(start.alias("_start"), *[F.max_by(c, sequence).alias(c) for c in untracked])
+                .agg(start.alias("_start"),
+                     # struct max: the latest snapshot wins, a null sequence counts lowest
+                     *[F.max(F.struct(F.col(sequence).alias("s"), F.col(c).alias("v")))["v"].alias(c)
+                       for c in untracked])
                 .select("_k", "_v", F.col("_start.s").alias(valid_from), F.col("_start.t").alias("_t"), *untracked))
     if materialize_steps:  # read twice by the self-join below
         versions = materialize(versions, "scd2-versions")

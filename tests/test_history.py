@@ -101,3 +101,8 @@ def test_null_key_and_null_sequence_are_kept(spark):
     got = rows(out, "k", "a", "valid_from", "valid_to")
     assert (None, "A", "20240101", "20240102") in got and (None, "B", "20240102", None) in got
     assert len([r for r in got if r[0] == "x"]) == 1
+
+
+def test_untracked_value_of_null_sequence_version_kept(spark):
+    out = build(spark, [("x", None, "A", 1, 7.0), ("x", "20240102", "B", 1, 8.0)])
+    assert rows(out, "a", "u", "valid_from") == [("A", 7.0, None), ("B", 8.0, "20240102")]
