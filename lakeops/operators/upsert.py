@@ -36,7 +36,8 @@ def lookback_filter(source: DataFrame, target: DataFrame | None, date_col: str,
         tcol = target_date_col or date_col
         bound = target.agg(F.date_sub(F.max(tcol), days).alias("_bound"))
         bound_col = bound.scalar()
-        return source.filter(F.coalesce(F.col(date_col) >= bound_col, F.lit(True)))
+        # null bound (empty target): everything; a null date never passes
+        return source.filter(F.when(bound_col.isNull(), F.lit(True)).otherwise(F.col(date_col) >= bound_col))
     return source.filter(F.col(date_col) >= F.date_sub(F.lit(anchor).cast("date"), days))
 
 

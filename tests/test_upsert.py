@@ -93,3 +93,10 @@ def test_vacuum_keeps_what_is_referenced(spark, tmp_path):
     assert len(p.vacuum(older_than_seconds=0)) == 1
     assert rows(p.read(), "k", "v") == [(1, 2.0)]
     assert p.vacuum(older_than_seconds=3600) == []
+
+
+def test_lookback_drops_null_dates_but_empty_target_loads_all(spark):
+    src = spark.createDataFrame([(1, None, 1.0), (2, D(2020, 1, 10), 1.0)], S)
+    tgt = spark.createDataFrame([(9, D(2020, 1, 12), 1.0)], S)
+    assert rows(lookback_filter(src, tgt, "d", 7), "k") == [(2,)]
+    assert lookback_filter(src, spark.createDataFrame([], S), "d", 7).count() == 2
