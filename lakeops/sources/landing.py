@@ -92,18 +92,28 @@ def frozen_schema(spark: SparkSession, schema_location: str, path: str, wholetex
 
 
 def bronze_frame(raw: DataFrame, record_schema: T.StructType, file_col: Column | None = None) -> DataFrame:
-    """Envelope text (column ``value``) -> one row per record, flattened."""
+    """Envelope text (column ``value``) -> one row per record, flattened.
+
+    An empty ``data`` array gives no row. A document that is not valid JSON
+    is not lost: it gives one row with null fields whose rescue column holds
+    the raw text (``_corrupt_record``) and the file path."""
     src = file_col if file_col is not None else F.lit(None).cast("string")
-    env = raw.select(F.from_json("value", RAW_ENVELOPE).alias("env"), src.alias("_source_file"))
+    parse_schema = T.StructType(RAW_ENVELOPE.fields + [T.StructField("_corrupt_record", T.StringType())])
+    env = raw.select(F.from_json("value", parse_schema, {"mode": "PERMISSIVE",
+                                                         "columnNameOfCorruptRecord": "_corrupt_record"}).alias("env"),
+                     src.alias("_source_file"), F.col("value").alias("_raw"))
+    bad = F.col("env").isNull() | F.col("env._corrupt_record").isNotNull()
+    records = F.when(bad, F.array(F.lit(None).cast("string"))).otherwise(F.col("env.data"))
     rows = env.select(*[F.col(f"env.{c}").alias(c) for c in ENVELOPE_META], "_source_file",
-                      F.current_timestamp().alias("_loaded_at"),
-                      F.explode("env.data").alias("_record_text"))  # empty/null array: no row
+                      F.current_timestamp().alias("_loaded_at"), bad.alias("_bad"), "_raw",
+                      F.explode(records).alias("_record_text"))  # empty/null array: no row
     typed, rescued = parse_with_rescue(F.col("_record_text"), record_schema, F.col("_source_file"), root="data")
+    corrupt = F.to_json(F.struct(F.col("_raw").alias("_corrupt_record"), F.col("_source_file").alias("_file_path")))
     clash = set(record_schema.fieldNames()) & (set(ENVELOPE_META) | {"_source_file", "_loaded_at", "_rescued_data"})
     if clash:
         raise ValueError(f"record fields clash with envelope columns: {sorted(clash)}")
     return rows.select(*ENVELOPE_META, "_source_file", "_loaded_at", typed.alias("record"),
-                       rescued.alias("_rescued_data")).select(
+                       F.when(F.col("_bad"), corrupt).otherwise(rescued).alias("_rescued_data")).select(
         *ENVELOPE_META, "_source_file", "_loaded_at", "record.*", "_rescued_data")
 
 

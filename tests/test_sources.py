@@ -174,3 +174,17 @@ def test_holiday_seed_csv_replaces_rules(spark, tmp_path):
     dd = cal.date_dimension(spark, "2024-02-28", "2024-03-02", holiday_table=seed)
     flags = {str(r.date_day): r.is_market_open for r in dd.collect()}
     assert flags == {"2024-02-28": True, "2024-02-29": False, "2024-03-01": True}
+
+
+def test_corrupt_document_kept_in_rescue_column(spark, tmp_path):
+    env = {"_ingest_timestamp": "t", "_source": "s", "_endpoint": "e", "_ticker": "K", "_batch_date": "20240101",
+           "data": [{"a": 1, "b": "x"}]}
+    src = tmp_path / "land"
+    src.mkdir()
+    (src / "K_20240101.json").write_text(json.dumps(env) + "\n" + '{"_ticker": "K", "data": [ broken\n')
+    out = str(tmp_path / "bronze")
+    bronze_stream(spark, str(src), out, str(tmp_path / "ck"), REC)
+    b = spark.read.parquet(out)
+    assert b.count() == 2
+    bad = b.filter("_ticker is null").first()
+    assert json.loads(bad._rescued_data)["_corrupt_record"].startswith('{"_ticker": "K"')
