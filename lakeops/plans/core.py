@@ -191,7 +191,7 @@ def segment_daily_pit(spark: SparkSession, d: str) -> DataFrame:
     dim = S.dimension(spark, d)
     facts = pit_join(S.fact_lines(spark, d), dim.select("o_custkey", "customer_key", "scd_effective_from",
                                                         "scd_effective_to"),
-                     "o_custkey", "ship_date", dim_key="o_custkey", attach=["customer_key"])
+                     "o_custkey", "ship_date", dim_key="o_custkey", attach=["customer_key"], strategy="auto")
     joined = facts.join(dim.select("customer_key", F.col("o_orderpriority").alias("sector")), "customer_key")
     return segment_rollup(joined, ["sector", "date_key", F.col("ship_date").alias("trade_date")], "o_custkey",
                           sums={"total_quantity": "l_quantity"},

@@ -37,7 +37,7 @@ def fact_daily(spark: SparkSession, d: str) -> DataFrame:
     enriched = snaps.join(line_totals(spark, d).withColumnRenamed("order_date", "price_date"),
                           ["o_custkey", "price_date"], "left")
     facts = pit_join(enriched, _dim(spark, d), "o_custkey", "price_date", dim_key="o_custkey",
-                     attach=["customer_key"])
+                     attach=["customer_key"], strategy="auto")
     return facts.select(date_key("price_date").alias("date_key"), "customer_key", "o_custkey", "price_date",
                         "close_price", "o_orderpriority", "shipped_qty", "shipped_lines")
 
@@ -92,7 +92,7 @@ from e {_pit_sql('e', 'o_custkey', 'event_date')}
 """)
 def fact_event_q(spark, d):
     e = order_events(spark, d)
-    facts = pit_join(e, _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"])
+    facts = pit_join(e, _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"], strategy="auto")
     return facts.select(date_key("event_date").alias("date_key"), "customer_key", "o_orderkey", "o_custkey",
                         "event_date", "actual", "estimated",
                         (F.col("actual") - F.col("estimated")).alias("surprise"),
@@ -139,7 +139,7 @@ def _attach_period_and_version(spark, d, df: DataFrame) -> DataFrame:
     typed = df.withColumn("fiscal_year", F.col("fiscalYear").cast("int")).withColumnRenamed("period", "fiscal_period")
     joined = typed.join(p, ["symbol", "fiscal_year", "fiscal_period"], "left")
     return pit_join(joined, _dim(spark, d), "symbol", "period_end_date", dim_key="o_custkey",
-                    attach=["customer_key"])
+                    attach=["customer_key"], strategy="auto")
 
 
 @query("fact_long", f"""
@@ -200,7 +200,7 @@ def fact_line_q(spark, d):
                  F.col("l_linenumber").alias("line_index"), "issuer_key",
                  F.to_date("l_shipdate").alias("transaction_date"), F.col("l_quantity").alias("shares")))
     facts = pit_join(x, _dim(spark, d), "issuer_key", "transaction_date", dim_key="o_custkey",
-                     attach=["customer_key"])
+                     attach=["customer_key"], strategy="auto")
     return facts.select(date_key("transaction_date").alias("date_key"), "customer_key", *x.columns)
 
 
