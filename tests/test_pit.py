@@ -89,3 +89,12 @@ def test_auto_picks_by_versions_per_key(spark):
     for limit in (5, 50):  # bucketed, then range
         out = pit_join(facts, dim, "sym", "day", strategy="auto", max_versions_for_range=limit)
         assert rows(out, "id", "company_key") == [(1, "v4"), (2, None)]
+
+
+def test_bucketed_join_keys_include_the_time_bucket(spark):
+    dim = _dim(spark, [("x", D(2020, 1, 1), None, "v")])
+    facts = spark.createDataFrame([("x", D(2021, 5, 5), 1)], "sym string, day date, id int")
+    out = pit_join(facts, dim, "sym", "day", strategy="bucketed", bucket_unit="month")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_fb" in plan and "_bk" in plan
+    assert rows(out, "id", "company_key") == [(1, "v")]

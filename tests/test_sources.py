@@ -188,3 +188,14 @@ def test_corrupt_document_kept_in_rescue_column(spark, tmp_path):
     assert b.count() == 2
     bad = b.filter("_ticker is null").first()
     assert json.loads(bad._rescued_data)["_corrupt_record"].startswith('{"_ticker": "K"')
+
+
+def test_envelopes_are_paged_for_a_hot_key(spark):
+    from lakeops.sources.landing import pack_envelopes
+    recs = spark.range(2500).select(F.lit(7).alias("k"), F.col("id").alias("n"))
+    env = pack_envelopes(recs, "k", F.lit("20240101"), "s", "e", "t", ["n"], order_col="n",
+                         page=F.floor(F.col("n") / 1000))
+    sizes = sorted(r[0] for r in env.select(F.size("data")).collect())
+    assert sizes == [500, 1000, 1000]
+    first = env.orderBy(F.col("data")[0]["n"]).first()
+    assert [x.n for x in first.data[:3]] == [0, 1, 2]
