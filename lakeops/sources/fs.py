@@ -34,17 +34,28 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a temporary sibling, then rename over ``path``."""
+    """Write to a temporary sibling, then rename it over ``path`` in one step
+    (``FileContext.rename`` with OVERWRITE), so a reader sees the old or the
+    new content, never a missing file. File systems without that rename
+    fall back to delete + rename."""
     fs, p = _fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    jvm = spark._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    try:
+        fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        rename_cls = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        opts = spark.sparkContext._gateway.new_array(rename_cls, 1)
+        opts[0] = rename_cls.OVERWRITE
+        fc.rename(tmp, p, opts)
+    except Exception:  # noqa: BLE001 - file systems without atomic overwrite
+        if fs.exists(p):
+            fs.delete(p, False)
+        fs.rename(tmp, p)
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
