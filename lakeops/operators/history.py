@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from lakeops.functions.keys import surrogate_key
 from lakeops.operators.latest import latest_by_key
-from lakeops.session import materialize
+from lakeops.session import estimated_bytes, materialize
 
 
 def default_bucket(df: DataFrame, sequence: str) -> Column:
@@ -56,14 +56,19 @@ def default_bucket(df: DataFrame, sequence: str) -> Column:
 def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                  untracked: Sequence[str] = (), tie_break: Sequence[str] = (),
                  bucket: Column | None = None, valid_from: str = "valid_from",
-                 valid_to: str = "valid_to", materialize_steps: bool = True) -> DataFrame:
+                 valid_to: str = "valid_to", materialize_steps: bool | str = True,
+                 materialize_above_bytes: int = 256 << 20) -> DataFrame:
     """Versions of ``df`` per key (see the module notes).
 
-    With ``materialize_steps`` (default) the two intermediates that feed two
-    branches each -- the deduplicated, change-marked snapshots and the
-    version table -- are written once under the shared folder, so no branch
+    The two intermediates that feed two branches each -- the deduplicated,
+    change-marked snapshots and the version table -- are written once under
+    the shared folder when ``materialize_steps`` is true, so no branch
     recomputes the scan, dedup and shuffles before it (this runs two jobs
-    when called)."""
+    when called); this is the default. ``"auto"`` does so only when Catalyst
+    estimates the input above ``materialize_above_bytes`` (below it,
+    recomputing can be cheaper than the extra jobs)."""
+    if materialize_steps == "auto":
+        materialize_steps = estimated_bytes(df) > materialize_above_bytes
     keys, untracked, tie_break = list(keys), list(untracked), list(tie_break)
     skip = set(keys) | {sequence} | set(untracked) | set(tie_break)
     tracked = [c for c in df.columns if c not in skip]

@@ -106,3 +106,13 @@ def test_null_key_and_null_sequence_are_kept(spark):
 def test_untracked_value_of_null_sequence_version_kept(spark):
     out = build(spark, [("x", None, "A", 1, 7.0), ("x", "20240102", "B", 1, 8.0)])
     assert rows(out, "a", "u", "valid_from") == [("A", 7.0, None), ("B", 8.0, "20240102")]
+
+
+def test_materialized_and_recomputed_histories_agree(spark):
+    data = [("x", f"2024{m:02d}01", "AB"[m % 2], 1, float(m)) for m in range(1, 13)] + \
+           [("y", f"2024{m:02d}15", "A", 1, float(m)) for m in range(1, 13)]
+    df = spark.createDataFrame(data, SCHEMA)
+    cols = ["k", "a", "u", "valid_from", "valid_to"]
+    want = rows(scd2_history(df, ["k"], "seq", untracked=["u"], materialize_steps=False), *cols)
+    for mode in (True, "auto"):
+        assert rows(scd2_history(df, ["k"], "seq", untracked=["u"], materialize_steps=mode), *cols) == want
