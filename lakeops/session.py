@@ -8,7 +8,7 @@ every executor can reach (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -50,29 +50,39 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate data.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set, as in local tests, a folder is created and
-    registered as the checkpoint dir so later calls agree.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir) and
+    used as it stands, scheme included. Only a session in local mode, where
+    one machine holds every executor, may go without: a temporary folder is
+    then registered as the checkpoint dir. On a cluster a missing setting is
+    an error, since a machine-local folder would lose other executors' files.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeops-ckpt-"))
         path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="lakeops-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
-        path = spark.sparkContext.getCheckpointDir() or path
-    if path.startswith("file:"):
-        path = path[len("file:"):]
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared dir (never reused)."""
-    base = shared_dir(spark)
-    sub = f"{base.rstrip('/')}/lakeops/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in sub:
-        os.makedirs(sub, exist_ok=True)
-    return sub
+    """A fresh, unique sub-folder of the shared dir (never reused). What lies
+    there is deleted when the driver's Python ends."""
+    root = f"{shared_dir(spark).rstrip('/')}/lakeops/{spark.sparkContext.applicationId}"
+    if root not in _CLEANED:
+        _CLEANED.add(root)
+        atexit.register(_delete, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_CLEANED: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Best effort at exit: the session may be gone already."""
+    if spark.sparkContext._jsc is not None:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialize(df, name: str):
