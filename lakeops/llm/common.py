@@ -33,3 +33,14 @@ def slices(batch):
         step = max(1, int(rows * SLICE_BYTES / max(batch.nbytes, 1)))
         for at in range(0, rows, step):
             yield batch.slice(at, step)
+
+
+def held_out(id_col) -> F.Column:
+    """True for the third of the ids that models never learn from: the
+    remainder 1 of the id text's CRC32 (a null id counts as held out)."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(True))
+
+
+def share_of(id_col: str, share) -> F.Column:
+    """True for about that share of the ids, by hash: the same at every run."""
+    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000

@@ -8,12 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.llm.bpe import bpe_decode, bpe_encode
-from lakeops.llm.common import table, tokenizer
+from lakeops.llm.common import held_out, table, tokenizer
+from lakeops.llm.language import fit_language, identify_language
+from lakeops.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def query(fn):
@@ -30,3 +32,21 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's toxicity, learned from labels outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"), "offending")
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's language, learned from documents outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_language(docs, tokenizer(PIECE_BPE))
+    return identify_language(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
