@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeops.llm.bpe import bpe_decode, bpe_encode
 from lakeops.llm.common import held_out, table, tokenizer
 from lakeops.llm.language import fit_language, identify_language
+from lakeops.llm.simhash import near_duplicates
 from lakeops.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_language(docs, tokenizer(PIECE_BPE))
     return identify_language(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate component."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
