@@ -38,7 +38,7 @@ from lakeops.llm.common import id_text, slices
 #: Words of more parts go to the heap; words of a step are handled together in blocks of ``BLOCK``.
 LONG_WORD, BLOCK = 64, 4096
 #: Longest word kept in the memo, and entries after which the memo starts anew.
-MEMO_CHARS, MEMO_ENTRIES = 40, 400_000
+MEMO_CHARS, MEMO_ENTRIES = 40, 250_000
 NONE = np.int32(1 << 30)
 
 
@@ -231,6 +231,10 @@ class WordBPE:
         tokens = self.tokens
         return " ".join([tokens[i] for i in ids])
 
+    def decode_many(self, ids: pa.ListArray) -> list[str]:
+        get, at, flat = self.tokens.__getitem__, ids.offsets.to_pylist(), ids.values.to_numpy()
+        return [" ".join(map(get, flat[a:b].tolist())) for a, b in zip(at, at[1:])]
+
 
 _MADE: dict[str, WordBPE] = {}
 
@@ -250,23 +254,25 @@ def read_spec(tokenizer_path: str) -> str:
         return fh.read()
 
 
-def bpe_encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text) -> (id, ids array<int>), one row per input row."""
+def bpe_encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """(id, text) -> (id, ids array<int>), one row per input row; with
+    ``decode`` also what the ids decode to, in the same pass."""
     spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
     src = id_text(df, id_col, text_col)
     kind = src.schema[0].dataType.simpleString()
 
     def run(batches):
-        encode = coder(spec.value).encode_many
+        bpe = coder(spec.value)
         for batch in batches:
             for part in slices(batch):
-                found = encode(part.column(1).to_pylist())
+                found = bpe.encode_many(part.column(1).to_pylist())
                 ends = np.cumsum([0, *map(len, found)]) // 4
-                ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends.astype("i4")), ids)], ["id", "ids"])
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(np.frombuffer(b"".join(found), "<i4")))
+                more = [pa.array(bpe.decode_many(ids), pa.string())] * decode
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, *more], ["id", "ids", "decoded"][: 2 + decode])
 
-    out = src.mapInArrow(run, f"id {kind}, ids array<int>")
-    return out.select(F.col("id").alias(id_col), "ids")
+    out = src.mapInArrow(run, f"id {kind}, ids array<int>" + ", decoded string" * decode)
+    return out.select(F.col("id").alias(id_col), *out.columns[1:])
 
 
 def bpe_decode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -276,13 +282,10 @@ def bpe_decode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_c
     kind = src.schema[0].dataType.simpleString()
 
     def run(batches):
-        tokens = np.array(coder(spec.value).tokens, dtype=object)
+        bpe = coder(spec.value)
         for batch in batches:
             for part in slices(batch):
-                ids = part.column(1)
-                flat, at = tokens[ids.values.to_numpy()].tolist(), ids.offsets.to_pylist()
-                words = [" ".join(flat[a:b]) for a, b in zip(at, at[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(words, pa.string())], ["id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bpe.decode_many(part.column(1)), pa.string())], ["id", "ids", "decoded"])
 
     out = src.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>"))).mapInArrow(run, f"id {kind}, ids array<int>, decoded string")
     return out.select(F.col("id").alias(id_col), F.col("ids").alias(ids_col), "decoded")

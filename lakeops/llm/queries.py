@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm.bpe import bpe_decode, bpe_encode
+from lakeops.llm.bpe import bpe_encode
 from lakeops.llm.common import held_out, table, tokenizer
 from lakeops.llm.language import fit_language, identify_language
 from lakeops.llm.simhash import near_duplicates
@@ -28,8 +28,7 @@ def query(fn):
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded, then decoded; digests of both."""
     docs = table(spark, sf_dir, "documents")
-    ids = bpe_encode(docs, tokenizer(WORD_BPE))
-    both = bpe_decode(ids, tokenizer(WORD_BPE))
+    both = bpe_encode(docs, tokenizer(WORD_BPE), decode=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
