@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeops.llm.bpe import bpe_encode
 from lakeops.llm.common import held_out, table, tokenizer
 from lakeops.llm.language import fit_language, identify_language
+from lakeops.llm.packing import pack
 from lakeops.llm.simhash import near_duplicates
 from lakeops.llm.toxicity import fit_toxicity, score_toxicity
+from lakeops.llm.vectors import search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +59,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate component."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens along the curve."""
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), end_id=1, length=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
