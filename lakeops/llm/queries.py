@@ -11,6 +11,7 @@ from lakeops.llm.bpe import bpe_encode
 from lakeops.llm.common import held_out, table, tokenizer
 from lakeops.llm.language import fit_language, identify_language
 from lakeops.llm.packing import pack
+from lakeops.llm.passages import duplicate_passages
 from lakeops.llm.simhash import near_duplicates
 from lakeops.llm.toxicity import fit_toxicity, score_toxicity
 from lakeops.llm.vectors import search
@@ -72,3 +73,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20."""
     return search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that nearly repeat one of an earlier document."""
+    return duplicate_passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8)
