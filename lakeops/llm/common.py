@@ -44,3 +44,19 @@ def held_out(id_col) -> F.Column:
 def share_of(id_col: str, share) -> F.Column:
     """True for about that share of the ids, by hash: the same at every run."""
     return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000
+
+
+def filter_rows(df: DataFrame, text_col: str, keeps) -> DataFrame:
+    """The rows whose text passes, all columns as they are. ``keeps`` makes,
+    once a task, a function from a list of texts to a list of booleans."""
+    import pyarrow as pa
+
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        keep = keeps()
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.llm.common import held_out, id_text, share_of, slices
+from lakeops.llm.common import filter_rows, held_out, id_text, share_of, slices
 
 WORDS = regex.compile(r"\p{L}+").findall
 START = "▁"
@@ -235,3 +235,15 @@ def identify_language(df: DataFrame, model: LanguageModel, id_col: str = "doc_id
 
     out = src.mapInArrow(run, f"id {kind}, lang_pred string, score double")
     return out.select(F.col("id").alias(id_col), "lang_pred", "score")
+
+
+def drop_unidentified(df: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows, all columns as they are, whose text has a language with a
+    score of ``least`` or more."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+
+    def keeps():
+        score = sent.value.score_many
+        return lambda texts: [lang != UND and value >= least for lang, value in score(texts)]
+
+    return filter_rows(df, text_col, keeps)

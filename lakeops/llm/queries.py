@@ -79,3 +79,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that nearly repeat one of an earlier document."""
     return duplicate_passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -186,3 +186,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = found.groupBy("root").agg(F.min("low").alias("component_id"))
     of = found.join(least, "root").select("fp", "component_id")
     return rows.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_one(df: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows whose id is the smallest of its component in ``found``, once
+    each. Rows with a null id can't be told apart and all stay."""
+    kept = found.select(F.col("component_id").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
+    return df.where(F.col(id_col).isNull()).unionByName(df.join(kept, id_col, "left_semi").select(df.columns).dropDuplicates([id_col]))

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.llm.common import held_out, id_text, share_of, slices
+from lakeops.llm.common import filter_rows, held_out, id_text, share_of, slices
 
 #: A word, or the end of a sentence.
 TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]").findall
@@ -180,3 +180,14 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
 
     out = src.mapInArrow(run, f"id {kind}, score double, offending array<struct<start:int,end:int,score:double>>")
     return out.select(F.col("id").alias(id_col), "score", "offending")
+
+
+def drop_toxic(df: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows, all columns as they are, whose text scores under the threshold."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+
+    def keeps():
+        model = sent.value
+        return lambda texts: (model.score_many(texts) < threshold).tolist()
+
+    return filter_rows(df, text_col, keeps)
