@@ -7,14 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakeops.llm.bm25 import build_index, search as search_text
 from lakeops.llm.bpe import bpe_encode
 from lakeops.llm.common import held_out, table, tokenizer
 from lakeops.llm.language import fit_language, identify_language
 from lakeops.llm.packing import pack
 from lakeops.llm.passages import duplicate_passages
 from lakeops.llm.simhash import near_duplicates
+from lakeops.llm.tokencount import count_tokens
 from lakeops.llm.toxicity import fit_toxicity, score_toxicity
 from lakeops.llm.vectors import search
+from lakeops.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,3 +90,32 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every whole text."""
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer(PIECE_BPE))
+
+
+@query
+def op9_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that score best for each benchmark item whose id is divisible by 20."""
+    index = materialize(build_index(table(spark, sf_dir, "documents")), "bm25-index")
+    asked = table(spark, sf_dir, "benchmark").where(F.col("item_id") % 20 == 0)
+    return search_text(index, asked, k=20).withColumn("score", F.round("score", 6))
+
+
+ORACLE["op9_bm25"] = r"""
+with docs as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as words from documents where doc_id is not null),
+about as (select count(*) as n, avg(len(words)) as mean from docs),
+asked as (select item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) as word from benchmark where item_id % 20 = 0),
+terms as (select item_id, word, count(*) as times from asked group by all),
+postings as (select doc_id, len_, word, count(*) as tf from (select doc_id, len(words) as len_, unnest(words) as word from docs)
+  where word in (select word from terms) group by all),
+freq as (select word, count(*) as df from postings group by word),
+scored as (select item_id as query_id, doc_id, round(sum(times * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len_ / mean))), 6) as score
+  from terms join postings using (word) join freq using (word) cross join about group by item_id, doc_id),
+ranked as (select query_id, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank, doc_id, score from scored)
+select * from ranked where rank <= 20
+"""
