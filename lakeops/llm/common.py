@@ -26,11 +26,11 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-def slices(batch):
-    """A record batch in slices of about ``SLICE_BYTES`` (a row is never cut)."""
+def slices(batch, size: int = SLICE_BYTES):
+    """A record batch in slices of about ``size`` bytes (a row is never cut)."""
     rows = batch.num_rows
     if rows:
-        step = max(1, int(rows * SLICE_BYTES / max(batch.nbytes, 1)))
+        step = max(1, int(rows * size / max(batch.nbytes, 1)))
         for at in range(0, rows, step):
             yield batch.slice(at, step)
 

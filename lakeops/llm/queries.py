@@ -11,6 +11,7 @@ from lakeops.llm.bm25 import build_index, search as search_text
 from lakeops.llm.bpe import bpe_encode
 from lakeops.llm.common import held_out, table, tokenizer
 from lakeops.llm.language import fit_language, identify_language
+from lakeops.llm.licenses import scan_licenses
 from lakeops.llm.packing import pack
 from lakeops.llm.passages import duplicate_passages
 from lakeops.llm.simhash import near_duplicates
@@ -119,3 +120,9 @@ scored as (select item_id as query_id, doc_id, round(sum(times * ln(1 + (n - df
 ranked as (select query_id, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank, doc_id, score from scored)
 select * from ranked where rank <= 20
 """
+
+
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every whole text."""
+    return scan_licenses(table(spark, sf_dir, "documents"), containment=0.8)
