@@ -14,8 +14,8 @@ sequence column such as a ``yyyyMMdd`` batch id) into half-open versions
 
 Scale: a single key may hold a large share of all snapshots, so no step
 puts all rows of a key into one task. Change detection runs per
-(key, sequence bucket); a small per-bucket summary (one row per key and
-bucket) stitches neighbouring buckets together and numbers the versions;
+(key, sequence bucket), the buckets being ranges of the data's own sequence
+values; a small per-bucket summary (one row per key and bucket) stitches neighbouring buckets together and numbers the versions;
 versions come from one aggregate per (key, version), and each version's
 end is found with an equi-join on (key, version + 1). The two intermediates
 read by two branches are written once to the shared folder instead of being
@@ -24,6 +24,7 @@ recomputed per branch.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,43 +33,52 @@ from pyspark.sql import types as T
 
 from lakeops.functions.keys import surrogate_key
 from lakeops.operators.latest import latest_by_key
-from lakeops.session import estimated_bytes, materialize
+from lakeops.session import materialize
 
 
-def default_bucket(df: DataFrame, sequence: str) -> Column:
-    """A monotone coarsening of the sequence column.
-
-    date/timestamp -> month; string -> first six characters (a prefix is
-    monotone under lexicographic order; ``yyyyMMdd`` gives the month);
-    integral -> value div 4096; anything else -> the value itself.
+def sequence_bucket(df: DataFrame, sequence: str, buckets: int = 128) -> Column:
+    """A monotone coarsening of the sequence column into about ``buckets``
+    ranges of equal weight, whatever its type: bounds are approximate
+    percentiles of the values (one aggregate over the one column). Text is
+    ordered by the six bytes after the prefix that all values share. Null
+    gives a null bucket, which comes first as null sequences do.
     """
-    dt = df.schema[sequence].dataType
-    c = F.col(sequence)
-    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("month", c)
+    dt, c = df.schema[sequence].dataType, F.col(sequence)
     if isinstance(dt, T.StringType):
-        return F.substring(c, 1, 6)
-    if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return F.floor(c / F.lit(4096))
-    return c
+        row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+        shared = len(os.path.commonprefix([(row["lo"] or "").encode(), (row["hi"] or "").encode()]))
+        tail = F.rpad(F.hex(F.substring(c.cast("binary"), shared + 1, 6)), 12, "0")
+        code = F.conv(tail, 16, 10).cast("double")
+    elif isinstance(dt, T.DateType):
+        code = F.unix_date(c).cast("double")
+    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        code = F.unix_micros(c.cast("timestamp")).cast("double")
+    elif isinstance(dt, T.NumericType):
+        code = c.cast("double")
+    else:
+        return c
+    bounds = df.agg(F.percentile_approx(code, [i / buckets for i in range(1, buckets)]).alias("b")).first()["b"]
+    bounds = sorted(set(bounds or []))
+    # position among the bounds, by halving
+    def place(x: Column, lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x <= F.lit(bounds[mid]), place(x, lo, mid)).otherwise(place(x, mid + 1, hi))
+    return F.when(c.isNotNull(), F.transform(F.array(code), lambda x: place(x, 0, len(bounds)))[0])
 
 
 def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
                  untracked: Sequence[str] = (), tie_break: Sequence[str] = (),
                  bucket: Column | None = None, valid_from: str = "valid_from",
-                 valid_to: str = "valid_to", materialize_steps: bool | str = True,
-                 materialize_above_bytes: int = 256 << 20) -> DataFrame:
+                 valid_to: str = "valid_to", materialize_steps: bool = True) -> DataFrame:
     """Versions of ``df`` per key (see the module notes).
 
     The two intermediates that feed two branches each -- the deduplicated,
     change-marked snapshots and the version table -- are written once under
     the shared folder when ``materialize_steps`` is true, so no branch
     recomputes the scan, dedup and shuffles before it (this runs two jobs
-    when called); this is the default. ``"auto"`` does so only when Catalyst
-    estimates the input above ``materialize_above_bytes`` (below it,
-    recomputing can be cheaper than the extra jobs)."""
-    if materialize_steps == "auto":
-        materialize_steps = estimated_bytes(df) > materialize_above_bytes
+    when called); this is the default."""
     keys, untracked, tie_break = list(keys), list(untracked), list(tie_break)
     skip = set(keys) | {sequence} | set(untracked) | set(tie_break)
     tracked = [c for c in df.columns if c not in skip]
@@ -81,7 +91,7 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     # Key and bucket travel as structs: equal structs match even when a field
     # is null (a null key or sequence keeps its own history instead of being
     # dropped by a join), and every step partitions on the same columns.
-    b = bucket if bucket is not None else default_bucket(df, sequence)
+    b = bucket if bucket is not None else sequence_bucket(df, sequence)
     rows = snaps.select(F.struct(*keys).alias("_k"), sequence, *untracked,
                         F.struct(*tracked).alias("_t"), F.struct(b.alias("b")).alias("_b"))
     wb = Window.partitionBy("_k", "_b").orderBy(sequence)

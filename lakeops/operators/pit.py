@@ -1,22 +1,22 @@
 """Point-in-time left join of facts to a versioned dimension.
 
 A fact matches the version of its key whose half-open interval
-``[valid_from, coalesce(valid_to, 9999-12-31))`` holds the fact's event time.
-Facts without a match keep a null dimension side; zero-length versions never
-match. Three physical strategies, same result on non-overlapping versions:
+``[valid_from, coalesce(valid_to, 9999-12-31))`` holds the fact's event time;
+dates and timestamps compare as timestamps. Facts without a match, and facts
+with a null key or time, keep a null dimension side; zero-length versions
+never match. Three physical strategies for the caller to choose from, with
+the same result on non-overlapping versions:
 
 * ``range`` -- equi-join on the key plus the range as a residual. Spark picks
   a broadcast hash join when the dimension's measured size is under the
   broadcast threshold (AQE re-checks at run time), else a sort-merge join;
   AQE's skew handling splits a hot key's fact partition. Cost per fact grows
-  with the versions of its key.
+  with the versions of its key: for dimensions of few versions a key.
 * ``bucketed`` -- adds a time bucket to the equi-key: each version is
-  repeated once per bucket it overlaps (clipped to the facts' time range), so
-  a fact is compared only with the versions of its own bucket, and a hot key's
-  facts spread over as many join keys as it has buckets.
-* ``auto`` -- one small aggregate over the dimension finds the largest
-  number of versions of any key; above ``max_versions_for_range`` the join
-  runs ``bucketed`` (bounded comparisons per fact), else ``range``.
+  repeated once per bucket it overlaps, within the time the dimension's own
+  bounds span (facts before or after fall into the first or last bucket), so a
+  fact is compared only with the versions of its own bucket, and a hot
+  key's facts spread over as many join keys as it has buckets.
 * ``window`` -- union of facts and version starts, ``last(..., ignorenulls)``
   in time order, then the end check. Linear in rows, no fan-out; runs per
   (key, time bucket) with a carry-in row per bucket, so a hot key's facts
@@ -44,8 +44,7 @@ def pit_join(facts: DataFrame, dim: DataFrame, fact_key: str, event_col: str,
              dim_key: str = "symbol", valid_from: str = "scd_effective_from",
              valid_to: str = "scd_effective_to", attach: Sequence[str] | None = None,
              strategy: str = "range", bucket_unit: str = "year",
-             bounds: tuple | None = None, check_overlap: bool = False,
-             max_versions_for_range: int = 64) -> DataFrame:
+             check_overlap: bool = False) -> DataFrame:
     """Left join ``facts`` to the ``dim`` version valid at ``event_col``.
 
     Returns all fact columns plus ``attach`` (default: every dimension column
@@ -59,55 +58,49 @@ def pit_join(facts: DataFrame, dim: DataFrame, fact_key: str, event_col: str,
     clash = set(attach) & set(facts.columns)
     if clash:
         raise ValueError(f"dimension columns clash with fact columns: {sorted(clash)}")
-    if strategy == "auto":
-        strategy = "bucketed" if max_versions_per_key(dim, dim_key) > max_versions_for_range else "range"
     if strategy == "range":
         return _pit_range(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach)
     if strategy == "bucketed":
         return _pit_bucketed(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to,
-                             attach, bucket_unit, bounds)
+                             attach, bucket_unit)
     if strategy == "window":
         return _pit_window(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def max_versions_per_key(dim: DataFrame, dim_key: str) -> int:
-    """Largest number of versions of one key (a one-row aggregate)."""
-    got = dim.groupBy(dim_key).count().agg(F.max("count")).first()[0]
-    return int(got or 0)
+def _end(valid_to: str):
+    return F.coalesce(F.col(valid_to).cast("timestamp"), F.lit(OPEN_END).cast("timestamp"))
+
+
+def _holds(event_col: str):
+    """The version's interval (columns _df, _dt) holds the event time."""
+    event = F.col(event_col).cast("timestamp")
+    return (event >= F.col("_df")) & (event < F.col("_dt"))
+
+
+def _versions(dim, dim_key, valid_from, valid_to, attach):
+    return dim.select(F.col(dim_key).alias("_dk"), F.col(valid_from).cast("timestamp").alias("_df"),
+                      _end(valid_to).alias("_dt"), *attach)
 
 
 def _pit_range(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach):
-    d = dim.select(F.col(dim_key).alias("_dk"), F.col(valid_from).alias("_df"),
-                   F.col(valid_to).alias("_dt"), *attach)
-    cond = ((F.col(fact_key) == F.col("_dk"))
-            & (F.col(event_col) >= F.col("_df"))
-            & (F.col(event_col) < F.coalesce(F.col("_dt"), F.to_date(F.lit(OPEN_END)))))
-    return facts.join(d, cond, "left").select(*facts.columns, *attach)
-
-
-def _pit_bucketed(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach,
-                  unit, bounds):
-    if bounds is None:
-        # one-row bound over the fact times (column-pruned scan)
-        row = facts.agg(F.min(event_col).alias("lo"), F.max(event_col).alias("hi")).first()
-        bounds = (row["lo"], row["hi"])
-    lo, hi = bounds
-    if lo is None:  # no facts: nothing can match
+    d = _versions(dim, dim_key, valid_from, valid_to, attach)
+    return facts.join(d, (F.col(fact_key) == F.col("_dk")) & _holds(event_col), "left").select(*facts.columns, *attach)
+
+
+def _pit_bucketed(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach, unit):
+    d = _versions(dim, dim_key, valid_from, valid_to, attach).filter(F.col("_dt") > F.col("_df"))
+    # buckets matter between the first end and the last start; times outside
+    # fall into the first or last one (one row of bounds, from the dimension)
+    row = d.agg(F.min("_dt").alias("lo"), F.max("_df").alias("hi")).first()
+    if row["lo"] is None:  # no version: nothing can match
         return _pit_range(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to, attach)
-    lo_c, hi_c = F.lit(lo).cast("date"), F.lit(hi).cast("date")
-    end = F.coalesce(F.col(valid_to), F.to_date(F.lit(OPEN_END)))
-    d = (dim.filter((F.col(valid_from) <= hi_c) & (end > lo_c) & (end > F.col(valid_from)))
-         .select(F.col(dim_key).alias("_dk"), F.col(valid_from).alias("_df"),
-                 F.col(valid_to).alias("_dt"), *attach,
-                 F.explode(F.sequence(
-                     F.date_trunc(unit, F.greatest(F.col(valid_from), lo_c)).cast("date"),
-                     F.date_trunc(unit, F.least(end, hi_c)).cast("date"),
-                     F.expr(f"interval 1 {unit}"))).alias("_bk")))
-    f = facts.withColumn("_fb", F.date_trunc(unit, F.col(event_col)).cast("date"))
-    cond = ((F.col(fact_key) == F.col("_dk")) & (F.col("_fb") == F.col("_bk"))
-            & (F.col(event_col) >= F.col("_df"))
-            & (F.col(event_col) < F.coalesce(F.col("_dt"), F.to_date(F.lit(OPEN_END)))))
+    lo, hi = F.lit(min(row["lo"], row["hi"])), F.lit(row["hi"])
+    bucket = lambda c: F.date_trunc(unit, F.least(F.greatest(c, lo), hi))
+    d = d.withColumn("_bk", F.explode(F.sequence(bucket(F.col("_df")), bucket(F.col("_dt")), F.expr(f"interval 1 {unit}"))))
+    event = F.col(event_col).cast("timestamp")
+    f = facts.withColumn("_fb", F.when(event.isNotNull(), bucket(event)))
+    cond = (F.col(fact_key) == F.col("_dk")) & (F.col("_fb") == F.col("_bk")) & _holds(event_col)
     return f.join(d, cond, "left").select(*facts.columns, *attach)
 
 
@@ -128,7 +121,7 @@ def _pit_window(facts, dim, fact_key, event_col, dim_key, valid_from, valid_to,
     f = facts.select(F.col(fact_key).alias("_k"), F.col(event_col).cast("timestamp").alias("_t"),
                      F.lit(2).alias("_tag"), F.struct(*fcols).alias("_f"), F.lit(None).cast(ver_t).alias("_ver"))
     f = f.withColumn("_bk", bucket(F.col("_t")))
-    d = (dim.filter(F.coalesce(F.col(valid_to), F.to_date(F.lit(OPEN_END))) > F.col(valid_from))
+    d = (dim.filter(F.col(dim_key).isNotNull() & (_end(valid_to) > F.col(valid_from).cast("timestamp")))
          .select(F.col(dim_key).alias("_k"), F.col(valid_from).cast("timestamp").alias("_t"),
                  F.lit(1).alias("_tag"), F.lit(None).cast(fact_t).alias("_f"),
                  F.struct(F.col(valid_to).alias("_end"), *attach).alias("_ver"))
@@ -163,11 +156,17 @@ def overlapping_versions(dim: DataFrame, dim_key: str = "symbol", valid_from: st
     """Versions that start before the previous version of their key ended
     (they would make a point-in-time join fan out). Zero-length versions are
     ignored: they never match."""
-    end = F.coalesce(F.col(valid_to), F.to_date(F.lit(OPEN_END)))
-    live = dim.filter(end > F.col(valid_from))
-    w = Window.partitionBy(dim_key).orderBy(valid_from, end)
-    prev_end = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return live.withColumn("_prev_end", prev_end).filter(F.col(valid_from) < F.col("_prev_end")).drop("_prev_end")
+    live = dim.withColumns({"_s": F.col(valid_from).cast("timestamp"), "_e": _end(valid_to)}).filter(F.col("_e") > F.col("_s"))
+    live = live.withColumn("_bk", F.date_trunc("month", "_s"))
+    # greatest end before a row: within its own month's starts, or of earlier months
+    here = Window.partitionBy(dim_key, "_bk").orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, -1)
+    months = live.groupBy(F.struct(dim_key).alias("_k"), "_bk").agg(F.max("_e").alias("_most"))
+    before = Window.partitionBy("_k").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.select("_k", F.col("_bk").alias("_m"), F.max("_most").over(before).alias("_past"))
+    rows = live.withColumn("_prev_end", F.max("_e").over(here)).join(
+        months, F.struct(dim_key).eqNullSafe(F.col("_k")) & F.col("_bk").eqNullSafe(F.col("_m")))
+    return (rows.filter(F.col("_s") < F.greatest("_prev_end", "_past"))
+            .select(*dim.columns))
 
 
 class OverlappingVersions(ValueError):

@@ -1,30 +1,37 @@
-"""Incremental facts: lookback filter, merge on a unique key, versioned
-full refresh (K2-K5, J9, A7, Z3).
+"""Incremental facts: lookback filter, merge on a unique key, stored tables
+(K2-K5, J9, A7, Z3).
 
 * ``lookback_filter`` keeps source rows with ``date >= max(target date) - N``.
-  The bound is a scalar subquery over the target, which Catalyst evaluates
-  once and pushes into the source scan's filters. Difference to the SQL
+  The bound is one scalar subquery over the target and a plain comparison, so
+  it reaches the source scan's pushed filters. Difference to the SQL
   project: an empty target (null max) loads everything instead of nothing.
 * ``merge_upsert`` -- target rows whose key is absent from the source,
   plus every source row: matched rows are updated, new ones inserted,
-  nothing deleted. Source keys must be unique (checked in the same job).
+  nothing deleted. Source keys must be unique (checked in the same job); rows
+  with a null key part never match and always insert.
 * ``incremental_build`` -- first run (no target) builds from the full
   source; later runs merge the lookback slice.
-* ``VersionedTable`` -- every write goes to a new version folder and only
-  then a small pointer file is switched, so readers never see half a write
-  and no job overwrites the path it reads.
+* ``full_refresh`` and ``merge_partitions`` store the result with Spark's own
+  writes: overwrite, and dynamic partition overwrite of the partitions a
+  merge touches. The new rows are written to the shared folder first, so
+  neither reads what it replaces. One writer at a time.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakeops.session import materialize
 from lakeops.sources import fs
 
+#: Name of the stored partition column, and of the flag of a table's own rows
+#: (a partition that a merge empties is overwritten by a row without it).
+PART, LIVE = "_part", "_live"
+
 
 def lookback_filter(source: DataFrame, target: DataFrame | None, date_col: str, days: int,
                     target_date_col: str | None = None, anchor=None) -> DataFrame:
@@ -33,23 +40,22 @@ def lookback_filter(source: DataFrame, target: DataFrame | None, date_col: str,
     if target is None:
         return source
     if anchor is None:
-        tcol = target_date_col or date_col
-        bound = target.agg(F.date_sub(F.max(tcol), days).alias("_bound"))
-        bound_col = bound.scalar()
-        # null bound (empty target): everything; a null date never passes
-        return source.filter(F.when(bound_col.isNull(), F.lit(True)).otherwise(F.col(date_col) >= bound_col))
+        if target.select(target_date_col or date_col).isEmpty():
+            return source  # null dates too
+        bound = target.agg(F.coalesce(F.date_sub(F.max(target_date_col or date_col), days),
+                                      F.lit("0001-01-01").cast("date")).alias("_bound"))
+        return source.filter(F.col(date_col) >= bound.scalar())
     return source.filter(F.col(date_col) >= F.date_sub(F.lit(anchor).cast("date"), days))
 
 
 def _assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Raise inside the job when a key occurs twice (merge needs unique keys)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys)
-    cnt = F.count(F.lit(1)).over(w)
-    return (df.withColumn("_dup", cnt)
-            .filter(F.when(F.col("_dup") == 1, F.lit(True)).otherwise(
-                F.raise_error(F.lit("merge source has duplicate keys"))))
-            .drop("_dup"))
+    """Raise inside the job when a key without a null part occurs twice. A
+    grouped count (combined before its shuffle) is asked once, so a heavily
+    repeated key isn't gathered."""
+    twice = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    found = twice.agg(F.count(F.lit(1)).alias("_n")).scalar()
+    return df.filter(F.when(found == 0, F.lit(True)).otherwise(
+        F.raise_error(F.lit("merge source has duplicate keys"))))
 
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
@@ -73,127 +79,68 @@ def incremental_build(source: DataFrame, target: DataFrame | None, keys: Sequenc
     return merge_upsert(target, lookback_filter(source, target, date_col, lookback_days), keys)
 
 
-class VersionedTable:
-    """A table stored as immutable version folders plus a pointer file."""
-
-    POINTER = "_CURRENT"
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _pointer(self) -> str:
-        return f"{self.root}/{self.POINTER}"
-
-    def current(self) -> str | None:
-        name = fs.read_text(self.spark, self._pointer())
-        return f"{self.root}/{name.strip()}" if name and name.strip() else None
-
-    def read(self) -> DataFrame | None:
-        path = self.current()
-        return self.spark.read.parquet(path) if path else None
-
-    def write(self, df: DataFrame, partition_by: Sequence[str] = (), expectations=()) -> str:
-        """Write a new version, then switch the pointer (atomic rename).
-
-        With ``expectations`` the rules are observed during the write (drop
-        rules filter, warn rules count) and a violated ``fail`` rule raises
-        before the pointer moves: readers keep the previous version."""
-        from lakeops.operators.expectations import apply_expectations, check
-        name = f"v-{uuid.uuid4().hex[:16]}"
-        obs = None
-        if expectations:
-            df, obs = apply_expectations(df, expectations, guard_fail=False)
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.root}/{name}")
-        if obs is not None:
-            self.last_metrics = check(obs, expectations)
-        fs.write_text_atomic(self.spark, self._pointer(), name)
-        return f"{self.root}/{name}"
-
-    def vacuum(self, older_than_seconds: float = 3600.0) -> list[str]:
-        """Delete versions other than the current one, past the retention."""
-        cur = self.current()
-        keep = {cur.rsplit("/", 1)[-1]} if cur else set()
-        return fs.vacuum(self.spark, self.root, "v-", keep, older_than_seconds)
-
-    def merge(self, source: DataFrame, keys: Sequence[str], date_col: str | None = None,
-              lookback_days: int | None = None, partition_by: Sequence[str] = ()) -> str:
-        """Incremental merge into a new version (first run = full build)."""
-        target = self.read()
-        if date_col is not None and lookback_days is not None:
-            merged = incremental_build(source, target, keys, date_col, lookback_days)
-        else:
-            merged = merge_upsert(target, source, keys)
-        return self.write(merged, partition_by)
-
-
-class PartitionedTable:
-    """A table kept as one folder per partition value plus a manifest
-    (partition value -> folder). A merge rewrites only the partitions it
-    touches: those of the source rows and those holding target rows whose
-    key is in the source (a row whose date moved to another partition must
-    leave its old one). New folders are written first; the manifest is then
-    replaced atomically, so readers see either the old or the new table.
-    """
-
-    MANIFEST = "_MANIFEST.json"
-
-    def __init__(self, spark: SparkSession, root: str, partition_col: str):
-        self.spark, self.root, self.col = spark, root.rstrip("/"), partition_col
-
-    def manifest(self) -> dict[str, str]:
-        import json
-        text = fs.read_text(self.spark, f"{self.root}/{self.MANIFEST}")
-        return json.loads(text) if text else {}
-
-    def read(self, partitions: Sequence[str] | None = None) -> DataFrame | None:
-        m = self.manifest()
-        paths = [m[p] for p in (partitions if partitions is not None else m) if p in m]
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def _publish(self, df: DataFrame, replaced: Sequence[str]) -> None:
-        import json
-        out = f"{self.root}/w-{uuid.uuid4().hex[:16]}"
-        # the partition value is kept inside the files too, so each folder is
-        # a complete table on its own
-        df.withColumn("_part", F.col(self.col).cast("string")).write.partitionBy("_part").parquet(out)
-        m = {k: v for k, v in self.manifest().items() if k not in set(replaced)}
-        for name in fs.list_dirs(self.spark, out):
-            if name.startswith("_part="):
-                m[_unescape(name[len("_part="):])] = f"{out}/{name}"
-        fs.write_text_atomic(self.spark, f"{self.root}/{self.MANIFEST}", json.dumps(m, sort_keys=True))
-
-    def vacuum(self, older_than_seconds: float = 3600.0) -> list[str]:
-        """Delete write folders no partition of the manifest points into."""
-        used = {p[len(self.root) + 1:].split("/", 1)[0] for p in self.manifest().values()}
-        return fs.vacuum(self.spark, self.root, "w-", used, older_than_seconds)
-
-    def overwrite(self, df: DataFrame) -> None:
-        self._publish(df, list(self.manifest()))
-
-    def merge(self, source: DataFrame, keys: Sequence[str]) -> list[str]:
-        """Upsert ``source`` on ``keys``; returns the rewritten partitions."""
-        keys = list(keys)
-        # the source is read three times below (touched partitions, moved
-        # keys, the merge itself): write it once instead of recomputing it
-        from lakeops.session import materialize
-        source = materialize(source, "merge-source")
-        target = self.read()
-        if target is None:
-            self.overwrite(merge_upsert(None, source, keys))
-            return sorted(self.manifest())
-        moved_from = target.join(source.select(*keys), keys, "left_semi").select(self.col)
-        touched_df = source.select(self.col).union(moved_from).distinct()
-        # partition values only: bounded by the number of partitions
-        touched = sorted(str(r[0]) for r in touched_df.collect() if r[0] is not None)
-        old = self.read([p for p in touched if p in self.manifest()])
-        merged = merge_upsert(old, source, keys) if old is not None else merge_upsert(None, source, keys)
-        self._publish(merged, touched)
-        return touched
-
-
-def _unescape(value: str) -> str:
-    from urllib.parse import unquote
-    return unquote(value)
+def full_refresh(df: DataFrame, path: str, expectations=()) -> dict:
+    """Overwrite the table at ``path``. With ``expectations`` the rules are
+    observed while the new rows are staged; a violated ``fail`` rule raises
+    and the table stays as it was. Returns the rules' counts."""
+    from lakeops.operators.expectations import apply_expectations, check
+    counts, obs = {}, None
+    if expectations:
+        df, obs = apply_expectations(df, expectations, guard_fail=False)
+    staged = materialize(df, "refresh")
+    if obs is not None:
+        counts = check(obs, expectations)
+    staged.write.mode("overwrite").parquet(path)
+    return counts
+
+
+def partition_text(value: Column) -> Column:
+    """A partition's name, one per value whatever the type, null included."""
+    return F.coalesce(F.concat(F.lit("v"), value.cast("string")), F.lit("null"))
+
+
+def write_partitions(df: DataFrame, path: str, partition: Column) -> None:
+    """Replace the partitions of ``path`` that ``df`` has rows of (all of a
+    new table)."""
+    (df.withColumn(PART, partition_text(partition)).withColumn(LIVE, F.lit(True))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
+
+
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType,
+                    names: Sequence[str] | None = None) -> DataFrame | None:
+    """The stored rows (of the named partitions); None if there is no table."""
+    if not fs.exists(spark, path):
+        return None
+    stored = T.StructType([*schema.fields, T.StructField(LIVE, T.BooleanType()), T.StructField(PART, T.StringType())])
+    df = spark.read.schema(stored).parquet(path).filter(LIVE)
+    if names is not None:
+        df = df.filter(F.col(PART).isin(list(names)))
+    return df.select(*schema.names)
+
+
+def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], partition: Column,
+                     keys_fix_partition: bool = False) -> list[str]:
+    """Upsert ``source`` into the table at ``path``, rewriting only the
+    partitions it touches: those of its rows and those that hold a matched key
+    (a row whose date moved leaves its old partition). ``keys_fix_partition``
+    says that a key's partition can't change, which spares the search for
+    moved keys over the whole table. Returns the touched partitions' names."""
+    spark, schema, keys = source.sparkSession, source.schema, list(keys)
+    # read for the touched partitions, the moved keys and the merge itself
+    source = materialize(source, "merge-source")
+    target = read_partitions(spark, path, schema)
+    touched = source.select(partition_text(partition).alias(PART))
+    if target is not None and not keys_fix_partition:
+        moved = target.join(source.select(*keys), keys, "left_semi")
+        touched = touched.union(moved.select(partition_text(partition)))
+    # names of partitions only: bounded by the table's partitions
+    names = sorted(r[0] for r in touched.distinct().collect())
+    old = read_partitions(spark, path, schema, names)
+    merged = materialize(merge_upsert(old, source, keys).withColumn(PART, partition_text(partition))
+                         .withColumn(LIVE, F.lit(True)), "merge-rows")
+    if target is not None and names:
+        # a row that isn't the table's own, so that an emptied partition is replaced too
+        mark = spark.createDataFrame([(n,) for n in names], f"{PART} string")
+        merged = merged.unionByName(mark.withColumn(LIVE, F.lit(False)), allowMissingColumns=True)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    return names

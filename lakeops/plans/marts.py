@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from lakeops.functions.keys import date_key
 from lakeops.operators.pit import pit_join
 from lakeops.operators.reshape import union_all, unpivot
-from lakeops.operators.upsert import (PartitionedTable, VersionedTable, incremental_build, lookback_filter,
-                                      merge_upsert)
+from lakeops.operators.upsert import (full_refresh, incremental_build, lookback_filter, merge_partitions,
+                                      merge_upsert, read_partitions, write_partitions)
 from lakeops.plans import standins as S
 from lakeops.plans.core import LINE_TOTALS_SQL, line_totals, period_dimension
 from lakeops.plans import registry
@@ -31,13 +31,18 @@ def _pit_sql(alias: str, key: str, when: str) -> str:
             f"and {alias}.{when} < coalesce(dc.scd_effective_to, date '9999-12-31')")
 
 
-def fact_daily(spark: SparkSession, d: str) -> DataFrame:
-    snaps = S.snapshots(spark, d).select("o_custkey", F.to_date("batch_date", "yyyyMMdd").alias("price_date"),
-                                         F.col("o_totalprice").alias("close_price"), "o_orderpriority")
-    enriched = snaps.join(line_totals(spark, d).withColumnRenamed("order_date", "price_date"),
-                          ["o_custkey", "price_date"], "left")
+def fact_daily(spark: SparkSession, d: str, bound=None) -> DataFrame:
+    """The daily fact; ``bound(df, day column)`` restricts both sources (the
+    orders before their dedup, whose key holds the day; the shipped lines
+    after theirs, whose latest row decides the day)."""
+    bound = bound or (lambda df, day: df)
+    orders = bound(S.table(spark, d, "orders").withColumn("price_date", F.to_date("o_orderdate")), "price_date")
+    snaps = S.snapshots_of(orders).select("o_custkey", F.to_date("batch_date", "yyyyMMdd").alias("price_date"),
+                                          F.col("o_totalprice").alias("close_price"), "o_orderpriority")
+    totals = line_totals(spark, d, lambda df: bound(df, "ship_date")).withColumnRenamed("order_date", "price_date")
+    enriched = snaps.join(totals, ["o_custkey", "price_date"], "left")
     facts = pit_join(enriched, _dim(spark, d), "o_custkey", "price_date", dim_key="o_custkey",
-                     attach=["customer_key"], strategy="auto")
+                     attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("price_date").alias("date_key"), "customer_key", "o_custkey", "price_date",
                         "close_price", "o_orderpriority", "shipped_qty", "shipped_lines")
 
@@ -63,12 +68,16 @@ def fact_daily_incremental_q(spark, d):
 def fact_daily_incremental(spark: SparkSession, d: str, cutoff: str = "2000-06-30", lookback_days: int = 7):
     """The daily fact kept as a month-partitioned table: a first build of the
     days before ``cutoff``, then an incremental run that merges the slice
-    within ``lookback_days`` of the stored maximum on (customer, day)."""
-    facts = fact_daily(spark, d).withColumn("price_month", F.trunc("price_date", "MM"))
-    table = PartitionedTable(spark, scratch_path(spark, "fact_daily"), "price_month")
-    table.overwrite(facts.filter(F.col("price_date") < F.lit(cutoff).cast("date")))
-    table.merge(lookback_filter(facts, table.read(), "price_date", lookback_days), ["o_custkey", "price_date"])
-    return table.read().drop("price_month")
+    within ``lookback_days`` of the stored maximum on (customer, day). The
+    bounds are put on the sources, before any dedup or join."""
+    path, month = scratch_path(spark, "fact_daily"), F.trunc("price_date", "MM")
+    first = fact_daily(spark, d, lambda df, day: df.filter(F.col(day) < F.lit(cutoff).cast("date")))
+    write_partitions(first, path, month)
+    stored = read_partitions(spark, path, first.schema)
+    recent = fact_daily(spark, d, lambda df, day: lookback_filter(df, stored, day, lookback_days, "price_date"))
+    # the day is part of the key, so a key's month can't change
+    merge_partitions(path, recent, ["o_custkey", "price_date"], month, keys_fix_partition=True)
+    return read_partitions(spark, path, first.schema)
 
 
 def order_events(spark, d) -> DataFrame:
@@ -92,7 +101,7 @@ from e {_pit_sql('e', 'o_custkey', 'event_date')}
 """)
 def fact_event_q(spark, d):
     e = order_events(spark, d)
-    facts = pit_join(e, _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"], strategy="auto")
+    facts = pit_join(e, _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("event_date").alias("date_key"), "customer_key", "o_orderkey", "o_custkey",
                         "event_date", "actual", "estimated",
                         (F.col("actual") - F.col("estimated")).alias("surprise"),
@@ -139,7 +148,7 @@ def _attach_period_and_version(spark, d, df: DataFrame) -> DataFrame:
     typed = df.withColumn("fiscal_year", F.col("fiscalYear").cast("int")).withColumnRenamed("period", "fiscal_period")
     joined = typed.join(p, ["symbol", "fiscal_year", "fiscal_period"], "left")
     return pit_join(joined, _dim(spark, d), "symbol", "period_end_date", dim_key="o_custkey",
-                    attach=["customer_key"], strategy="auto")
+                    attach=["customer_key"], strategy="bucketed")
 
 
 @query("fact_long", f"""
@@ -200,7 +209,7 @@ def fact_line_q(spark, d):
                  F.col("l_linenumber").alias("line_index"), "issuer_key",
                  F.to_date("l_shipdate").alias("transaction_date"), F.col("l_quantity").alias("shares")))
     facts = pit_join(x, _dim(spark, d), "issuer_key", "transaction_date", dim_key="o_custkey",
-                     attach=["customer_key"], strategy="auto")
+                     attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("transaction_date").alias("date_key"), "customer_key", *x.columns)
 
 
@@ -271,11 +280,11 @@ def upsert_lookback_q(spark, d):
 
 @query("full_refresh_table", ORDERS_SQL)
 def full_refresh_table_q(spark, d):
-    """Write the table twice (two versions), read through the pointer."""
-    table = VersionedTable(spark, scratch_path(spark, "full_refresh"))
-    table.write(_target(spark, d))
-    table.write(_orders(spark, d))
-    return table.read().select(*ORDER_COLS)
+    """Write the table twice; the second write replaces the first."""
+    path = scratch_path(spark, "full_refresh")
+    full_refresh(_target(spark, d), path)
+    full_refresh(_orders(spark, d), path)
+    return spark.read.parquet(path).select(*ORDER_COLS)
 
 
 @query("expect_gated_publish", f"""
@@ -283,19 +292,20 @@ with o as ({ORDERS_SQL}) select * from o where o_totalprice >= 50000
 """)
 def expect_gated_publish_q(spark, d):
     """Publication gated by expectations: a failing first attempt leaves no
-    version visible; the passing second attempt is published."""
+    table; the passing second attempt is published."""
     from lakeops.operators.expectations import ExpectationFailed, expect, expect_or_drop, expect_or_fail
-    table = VersionedTable(spark, scratch_path(spark, "gated"))
+    from lakeops.sources import fs
+    path = scratch_path(spark, "gated")
     strict = [expect_or_fail("before_2000", "order_date < DATE'2000-01-01'")]
     try:
-        table.write(_orders(spark, d), expectations=strict)
+        full_refresh(_orders(spark, d), path, expectations=strict)
     except ExpectationFailed:
         pass
-    assert table.current() is None
+    assert not fs.exists(spark, path)
     rules = [expect_or_fail("valid_key", "o_orderkey IS NOT NULL"),
              expect_or_drop("price_above_50000", "o_totalprice >= 50000"), expect("recent", "order_date >= DATE'2000-01-01'")]
-    table.write(_orders(spark, d), expectations=rules)
-    return table.read().select(*ORDER_COLS)
+    full_refresh(_orders(spark, d), path, expectations=rules)
+    return spark.read.parquet(path).select(*ORDER_COLS)
 
 
 @query("incremental_table", LOOKBACK_SQL)
@@ -303,12 +313,13 @@ def incremental_table_q(spark, d):
     """The same upsert on a stored table partitioned by month: the first run
     builds it, the second merges the lookback slice and rewrites only the
     months it touches."""
-    table = PartitionedTable(spark, scratch_path(spark, "incremental"), "order_month")
-    monthly = lambda df: df.withColumn("order_month", F.trunc("order_date", "MM"))
-    table.overwrite(monthly(_target(spark, d)))
-    source = lookback_filter(_changed(_orders(spark, d)), table.read(), "order_date", LOOKBACK_DAYS)
-    table.merge(monthly(source), ["o_orderkey"])
-    return table.read().select(*ORDER_COLS)
+    path, month = scratch_path(spark, "incremental"), F.trunc("order_date", "MM")
+    target = _target(spark, d)
+    write_partitions(target, path, month)
+    stored = read_partitions(spark, path, target.schema)
+    source = lookback_filter(_changed(_orders(spark, d)), stored, "order_date", LOOKBACK_DAYS)
+    merge_partitions(path, source, ["o_orderkey"], month)
+    return read_partitions(spark, path, target.schema).select(*ORDER_COLS)
 
 
 # ---- export --------------------------------------------------------------

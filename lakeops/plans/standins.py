@@ -34,7 +34,10 @@ def lines(spark: SparkSession, sf_dir: str, strategy: str = "window") -> DataFra
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return snapshots_of(table(spark, sf_dir, "orders"))
+
+
+def snapshots_of(o: DataFrame) -> DataFrame:
     dated = o.select("o_custkey", F.date_format("o_orderdate", "yyyyMMdd").alias("batch_date"),
                      "o_orderkey", "o_orderpriority", "o_totalprice")
     return latest_by_key(dated, ["o_custkey", "batch_date"], ["o_orderkey"]).drop("o_orderkey")

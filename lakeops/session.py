@@ -95,12 +95,3 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def estimated_bytes(df) -> int:
-    """Catalyst's size estimate of ``df`` (from file sizes and the plan; no
-    job runs). An upper-bound style guess, good enough to pick a strategy."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - unknown: treat as large
-        return 1 << 62

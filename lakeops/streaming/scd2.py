@@ -3,85 +3,92 @@
 A version row alone cannot absorb a late snapshot that splits it, so each
 micro-batch (``foreachBatch``):
 
-1. writes the batch's rows to the append-only snapshot store, into a folder
-   named by the batch id (a replayed batch overwrites its own folder, so a
-   retry after a lost executor or driver does not duplicate rows);
-2. takes the distinct keys of the batch;
-3. rebuilds the history of exactly those keys from the store (semi-join;
-   the store is partitioned by a key bucket, so the bucket filter prunes
-   files before the join);
-4. rewrites only the key buckets the batch touched: previous rows of those
-   buckets minus the changed keys, plus the rebuilt keys, written to a new
-   folder; then a manifest (bucket -> folder) is replaced atomically. Other
-   buckets keep their folders, so a micro-batch costs what it touches.
-
-The result equals the batch build over all snapshots, whatever the arrival
-order.
+1. writes the batch's rows to the snapshot store, into a folder named by
+   the stream's own id and the batch id: a replayed batch overwrites its own
+   folder, and a stream with a new checkpoint, whose batch ids start again,
+   has another id and overwrites nothing;
+2. reads the snapshots of the key buckets the batch touched (the store is
+   partitioned by bucket and the bucket ids are literals, so other buckets'
+   files are pruned) and rebuilds the history of the batch's keys;
+3. replaces the history of those buckets by dynamic partition overwrite:
+   previous rows of other keys, plus the rebuilt ones. Keys of a touched
+   bucket that the history lacks (after a write that broke off) are rebuilt
+   with them.
+
+``compact`` rewrites the store's many small folders as one per bucket. Keys
+are compared null-safe, so a null key keeps its history. The result equals the
+batch build over all snapshots, whatever the arrival order.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.operators.history import scd2_history
+from lakeops.session import materialize
 from lakeops.sources import fs
 
+BUCKET = T.StructField("_kb", T.IntegerType())
+FOLDERS = [T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())]
+
 
 class StreamingSCD2:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence: str,
                  untracked: Sequence[str] = (), tie_break: Sequence[str] = (), key_buckets: int = 64,
-                 materialize_steps: bool = True):
+                 materialize_steps: bool = True, compact_every: int = 50):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.sequence = list(keys), sequence
         self.untracked, self.tie_break = list(untracked), list(tie_break)
-        self.key_buckets = key_buckets
+        self.key_buckets, self.compact_every = key_buckets, compact_every
         self.materialize_steps = materialize_steps
-        self.history_root = f"{self.root}/history"
-
-    @property
-    def store(self) -> str:
-        return f"{self.root}/snapshots"
+        self.store, self.history_root = f"{self.root}/snapshots", f"{self.root}/history"
 
     def _bucket(self):
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.key_buckets)).alias("_kb")
-
-    def _manifest(self) -> dict[str, str]:
-        text = fs.read_text(self.spark, f"{self.history_root}/_MANIFEST.json")
-        return json.loads(text) if text else {}
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        staged = batch.select("*", self._bucket())
-        batch_dir = f"{self.store}/batch={batch_id:012d}"
-        staged.write.mode("overwrite").partitionBy("_kb").parquet(batch_dir)
-        changed = spark.read.parquet(batch_dir).select(*self.keys, "_kb").distinct()
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.key_buckets)).cast("int").alias("_kb")
+
+    def _same_key(self, left: DataFrame, right: DataFrame):
+        cond = left["_kb"] == right["_kb"]
+        for k in self.keys:
+            cond = cond & left[k].eqNullSafe(right[k])
+        return cond
+
+    def _snapshots(self, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(T.StructType([*schema.fields, *FOLDERS, BUCKET])).parquet(self.store).drop("run", "batch")
+
+    def process(self, batch: DataFrame, batch_id: int, run_id: str | None = None) -> None:
+        """Apply one micro-batch; ``run_id`` defaults to the stream's id, which
+        a checkpoint keeps over restarts."""
+        spark, schema = batch.sparkSession, batch.schema
+        run_id = run_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        folder = f"{self.store}/run={run_id}/batch={batch_id}"
+        batch.select("*", self._bucket()).write.mode("overwrite").partitionBy("_kb").parquet(folder)
+        staged = spark.read.schema(T.StructType([*schema.fields, BUCKET])).parquet(folder)
+        changed = staged.select(*self.keys, "_kb").distinct()
         # bucket ids only: at most ``key_buckets`` small integers
-        touched = sorted(str(r[0]) for r in changed.select("_kb").distinct().collect())
+        touched = sorted(r[0] for r in changed.select("_kb").distinct().collect())
         if not touched:
             return
-        snaps = (spark.read.option("basePath", self.store).parquet(self.store)
-                 .join(changed, self.keys + ["_kb"], "left_semi").drop("_kb", "batch"))
-        rebuilt = scd2_history(snaps, self.keys, self.sequence, self.untracked, self.tie_break,
-                               materialize_steps=self.materialize_steps)
-        manifest = self._manifest()
-        old_paths = [manifest[b] for b in touched if b in manifest]
-        new = rebuilt
-        if old_paths:
-            old = spark.read.parquet(*old_paths).join(changed.select(*self.keys), self.keys, "left_anti")
-            new = old.unionByName(rebuilt)
-        # a fresh folder per attempt: a replayed batch never overwrites what
-        # the manifest may already point to
-        out = f"{self.history_root}/e{batch_id:012d}-{uuid.uuid4().hex[:8]}"
-        new.select("*", self._bucket()).write.partitionBy("_kb").parquet(out)
-        for name in fs.list_dirs(spark, out):
-            if name.startswith("_kb="):
-                manifest[name[len("_kb="):]] = f"{out}/{name}"
-        fs.write_text_atomic(spark, f"{self.history_root}/_MANIFEST.json", json.dumps(manifest, sort_keys=True))
+        snaps = self._snapshots(schema).filter(F.col("_kb").isin(touched))
+        old = self._history(touched)
+        if old is not None:
+            known = old.select(*self.keys, "_kb").distinct()
+            stored = snaps.select(*self.keys, "_kb").distinct()
+            lost = stored.join(known, self._same_key(stored, known), "left_anti")
+            changed = materialize(changed.union(lost).distinct(), "scd2-keys")
+            snaps = snaps.join(changed, self._same_key(snaps, changed), "left_semi")
+        rebuilt = scd2_history(snaps.drop("_kb"), self.keys, self.sequence, self.untracked, self.tie_break,
+                               materialize_steps=self.materialize_steps).select("*", self._bucket())
+        if old is not None:
+            rebuilt = old.join(changed, self._same_key(old, changed), "left_anti").unionByName(rebuilt)
+        new = materialize(rebuilt, "scd2-history")
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_kb").parquet(self.history_root)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact(schema)
 
     def run(self, stream: DataFrame, checkpoint: str, trigger_available_now: bool = True) -> None:
         w = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
@@ -89,11 +96,22 @@ class StreamingSCD2:
             w = w.trigger(availableNow=True)
         w.start().awaitTermination()
 
-    def vacuum(self, older_than_seconds: float = 3600.0) -> list[str]:
-        """Delete history folders the manifest no longer points into."""
-        used = {p[len(self.history_root) + 1:].split("/", 1)[0] for p in self._manifest().values()}
-        return fs.vacuum(self.spark, self.history_root, "e", used, older_than_seconds)
+    def compact(self, schema: T.StructType) -> None:
+        """Rewrite the stored snapshots into one folder. The old folders go
+        only afterwards; snapshots that are there twice in between, or after a
+        break, change no history."""
+        old = fs.list_dirs(self.spark, self.store)
+        target = f"{self.store}/run=compact-{uuid.uuid4().hex[:12]}/batch=0"
+        self._snapshots(schema).distinct().repartition("_kb").write.partitionBy("_kb").parquet(target)
+        for name in old:
+            fs.delete_dir(self.spark, f"{self.store}/{name}")
+
+    def _history(self, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        if not fs.exists(self.spark, self.history_root):
+            return None
+        df = self.spark.read.parquet(self.history_root).withColumn("_kb", F.col("_kb").cast("int"))
+        return df if buckets is None else df.filter(F.col("_kb").isin(list(buckets)))
 
     def read(self) -> DataFrame | None:
-        paths = list(self._manifest().values())
-        return self.spark.read.parquet(*paths) if paths else None
+        df = self._history()
+        return None if df is None else df.drop("_kb")

@@ -80,15 +80,30 @@ def test_range_matches_brute_force(spark):
     assert got == sorted(expected, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-def test_auto_picks_by_versions_per_key(spark):
-    from lakeops.operators.pit import max_versions_per_key
-    dims = [("x", D(2020, 1, 1) + dt.timedelta(i), D(2020, 1, 1) + dt.timedelta(i + 1), f"v{i}") for i in range(10)]
-    dim = _dim(spark, dims)
-    assert max_versions_per_key(dim, "symbol") == 10
-    facts = spark.createDataFrame([("x", D(2020, 1, 5), 1), ("x", D(2021, 1, 1), 2)], "sym string, day date, id int")
-    for limit in (5, 50):  # bucketed, then range
-        out = pit_join(facts, dim, "sym", "day", strategy="auto", max_versions_for_range=limit)
-        assert rows(out, "id", "company_key") == [(1, "v4"), (2, None)]
+def test_strategies_agree_on_timestamps_dates_and_null_keys(spark):
+    """Random versions and facts, times within days, null keys on both sides."""
+    rnd = random.Random(8)
+    T0 = dt.datetime(2024, 1, 1)
+    dims, facts = [(None, T0, None, "null-key")], []
+    for k in range(8):
+        cuts = sorted(rnd.sample(range(0, 24 * 900), 6))
+        for i, c in enumerate(cuts):
+            end = None if i == 5 and k % 2 else T0 + dt.timedelta(hours=cuts[i + 1] if i < 5 else c + 7)
+            dims.append((f"k{k}", T0 + dt.timedelta(hours=c), end, f"k{k}-{i}"))
+    for i in range(400):
+        when = None if i % 50 == 0 else T0 + dt.timedelta(hours=rnd.randint(-2000, 24 * 1200), minutes=rnd.choice((0, 30)))
+        facts.append((rnd.choice([None, *(f"k{k}" for k in range(9))]), when, i))
+    expected = sorted((i, next((c for s_, f, t, c in dims if s_ == sym and sym is not None and when is not None and f <= when
+                                and (t is None or when < t)), None)) for sym, when, i in facts)
+    dim = spark.createDataFrame(dims, "symbol string, scd_effective_from timestamp, scd_effective_to timestamp, company_key string")
+    f = spark.createDataFrame(facts, "sym string, at timestamp, id int")
+    for s in STRATEGIES:
+        got = sorted((r.id, r.company_key) for r in pit_join(f, dim, "sym", "at", strategy=s).collect())
+        assert got == expected, s
+    # a timestamp fact on the day a version starts
+    day = _dim(spark, [("x", D(2024, 1, 5), None, "v")])
+    late = spark.createDataFrame([("x", dt.datetime(2024, 1, 5, 13), 1)], "sym string, at timestamp, id int")
+    assert all(pit_join(late, day, "sym", "at", strategy=s).first().company_key == "v" for s in STRATEGIES)
 
 
 def test_bucketed_join_keys_include_the_time_bucket(spark):

@@ -23,6 +23,23 @@ def test_shuffled_micro_batches_equal_batch_build(spark, tmp_path):
     batch = scd2_history(spark.createDataFrame(data, SCHEMA), ["k"], "seq", untracked=["u"])
     cols = ["k", "a", "u", "valid_from", "valid_to"]
     assert rows(job.read(), *cols) == rows(batch, *cols)
-    # folders no bucket points to any more can go; the history stays the same
-    job.vacuum(older_than_seconds=0)
+    # one folder per bucket instead of one per batch: the history stays the same
+    job.compact(stream.schema)
+    job.process(spark.createDataFrame(data[:3], SCHEMA), 0, "again")
     assert rows(job.read(), *cols) == rows(batch, *cols)
+
+
+def test_null_keys_and_a_new_checkpoint_keep_history(spark, tmp_path):
+    days = [[("x", "20240101", "A", 1.0), (None, "20240101", "A", 1.0)], [("x", "20240201", "B", 1.0), (None, "20240301", "B", 2.0)]]
+    job = StreamingSCD2(spark, str(tmp_path / "state"), ["k"], "seq", untracked=["u"], key_buckets=4)
+    for i, day in enumerate(days):  # each with a checkpoint of its own, so both are batch 0
+        spark.createDataFrame(day, SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"land{i}"))
+        job.run(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / f"land{i}")), str(tmp_path / f"ckpt{i}"))
+    assert rows(job.read(), "k", "a", "valid_from", "valid_to") == [
+        ("x", "A", "20240101", "20240201"), ("x", "B", "20240201", None),
+        (None, "A", "20240101", "20240301"), (None, "B", "20240301", None)]
+    # a replayed batch adds nothing
+    again = spark.createDataFrame(days[1], SCHEMA)
+    job.process(again, 7, "r")
+    job.process(again, 7, "r")
+    assert job.read().count() == 4

@@ -3,7 +3,10 @@ import datetime as dt
 import pytest
 
 from conftest import rows
-from lakeops.operators.upsert import VersionedTable, incremental_build, lookback_filter, merge_upsert
+from pyspark.sql import functions as F
+
+from lakeops.operators.upsert import (full_refresh, incremental_build, lookback_filter, merge_partitions, merge_upsert,
+                                      read_partitions, write_partitions)
 
 D = dt.date
 S = "k int, d date, v double"
@@ -35,64 +38,61 @@ def test_null_keys_insert_again_and_duplicates_raise(spark):
         merge_upsert(tgt, dup, ["k"]).collect()
 
 
-def test_versioned_table_pointer(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "t"))
-    assert t.read() is None
-    t.write(spark.createDataFrame([(1, D(2020, 1, 1), 1.0)], S))
-    first = t.current()
-    t.merge(spark.createDataFrame([(1, D(2020, 1, 1), 5.0), (2, D(2020, 1, 2), 1.0)], S), ["k"])
-    assert t.current() != first
-    assert rows(t.read(), "k", "v") == [(1, 5.0), (2, 1.0)]
-    # the old version is untouched
-    assert rows(spark.read.parquet(first), "k", "v") == [(1, 1.0)]
+def test_two_null_keys_are_no_duplicates(spark):
+    src = spark.createDataFrame([(None, D(2020, 1, 1), 2.0), (None, D(2020, 1, 1), 3.0), (1, D(2020, 1, 1), 1.0)], S)
+    assert merge_upsert(spark.createDataFrame([], S), src, ["k"]).count() == 3
 
 
-def test_gated_publish_keeps_previous_version(spark, tmp_path):
+def test_full_refresh_gated_by_expectations(spark, tmp_path):
     from lakeops.operators.expectations import ExpectationFailed, expect_or_fail
-    t = VersionedTable(spark, str(tmp_path / "g"))
+    path = str(tmp_path / "g")
     good = spark.createDataFrame([(1, D(2020, 1, 1), 1.0)], S)
-    t.write(good, expectations=[expect_or_fail("pos", "v > 0")])
-    first = t.current()
+    assert full_refresh(good, path, expectations=[expect_or_fail("pos", "v > 0")]) == {"rows": 1, "pos": 0}
     bad = spark.createDataFrame([(2, D(2020, 1, 1), -1.0)], S)
     with pytest.raises(ExpectationFailed):
-        t.write(bad, expectations=[expect_or_fail("pos", "v > 0")])
-    assert t.current() == first
-    assert t.last_metrics == {"rows": 1, "pos": 0}
+        full_refresh(bad, path, expectations=[expect_or_fail("pos", "v > 0")])
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, 1.0)]
+    # a refresh may read the table it replaces
+    full_refresh(spark.read.parquet(path).withColumn("v", F.col("v") + 1), path)
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, 2.0)]
 
 
 def test_partitioned_merge_rewrites_touched_partitions_only(spark, tmp_path):
-    from pyspark.sql import functions as F
-    from lakeops.operators.upsert import PartitionedTable
-    t = PartitionedTable(spark, str(tmp_path / "p"), "m")
+    path, month = str(tmp_path / "p"), F.trunc("d", "MM")
     base = spark.createDataFrame([(1, D(2020, 1, 5), 1.0), (2, D(2020, 2, 5), 1.0), (3, D(2020, 3, 5), 1.0)], S)
-    t.overwrite(base.withColumn("m", F.trunc("d", "MM")))
-    before = t.manifest()
+    write_partitions(base, path, month)
+    kept = sorted(x.name for x in (tmp_path / "p" / "_part=v2020-02-01").iterdir())
     # key 1 moves from January to March; key 4 is new in April
-    src = spark.createDataFrame([(1, D(2020, 3, 9), 2.0), (4, D(2020, 4, 1), 2.0)], S).withColumn("m", F.trunc("d", "MM"))
-    touched = t.merge(src, ["k"])
-    assert touched == ["2020-01-01", "2020-03-01", "2020-04-01"]
-    after = t.manifest()
-    assert after["2020-02-01"] == before["2020-02-01"]          # untouched partition kept as is
-    assert "2020-01-01" not in after                           # emptied partition dropped
-    assert rows(t.read(), "k", "d", "v") == [(1, D(2020, 3, 9), 2.0), (2, D(2020, 2, 5), 1.0),
-                                             (3, D(2020, 3, 5), 1.0), (4, D(2020, 4, 1), 2.0)]
-
-
-def test_vacuum_keeps_what_is_referenced(spark, tmp_path):
-    from pyspark.sql import functions as F
-    from lakeops.operators.upsert import PartitionedTable
-    v = VersionedTable(spark, str(tmp_path / "v"))
-    df = spark.createDataFrame([(1, D(2020, 1, 1), 1.0)], S)
-    v.write(df)
-    v.write(df)
-    assert len(v.vacuum(older_than_seconds=0)) == 1
-    assert v.read().count() == 1
-    p = PartitionedTable(spark, str(tmp_path / "p"), "m")
-    p.overwrite(df.withColumn("m", F.lit("a")))
-    p.merge(spark.createDataFrame([(1, D(2020, 1, 1), 2.0)], S).withColumn("m", F.lit("a")), ["k"])
-    assert len(p.vacuum(older_than_seconds=0)) == 1
-    assert rows(p.read(), "k", "v") == [(1, 2.0)]
-    assert p.vacuum(older_than_seconds=3600) == []
+    src = spark.createDataFrame([(1, D(2020, 3, 9), 2.0), (4, D(2020, 4, 1), 2.0)], S)
+    assert merge_partitions(path, src, ["k"], month) == ["v2020-01-01", "v2020-03-01", "v2020-04-01"]
+    assert sorted(x.name for x in (tmp_path / "p" / "_part=v2020-02-01").iterdir()) == kept
+    assert rows(read_partitions(spark, path, base.schema), "k", "d", "v") == [
+        (1, D(2020, 3, 9), 2.0), (2, D(2020, 2, 5), 1.0), (3, D(2020, 3, 5), 1.0), (4, D(2020, 4, 1), 2.0)]
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("string", [None, None, "p", "", "a/b=c"]), ("boolean", [True, False, None, True, False]), ("double", [1.5, None, 0.1, -2.0, 1e300]),
+    ("timestamp", [dt.datetime(2020, 1, 1, 1, 2, 3, 456789), None, dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1, 1, 2, 3), dt.datetime(1969, 7, 1)])])
+def test_partition_values_of_any_type_lose_no_rows(spark, tmp_path, kind, values):
+    schema = f"k int, p {kind}"
+    base = spark.createDataFrame(list(enumerate(values)), schema)
+    path, p = str(tmp_path / "t"), F.col("p")
+    write_partitions(base, path, p)
+    merge_partitions(path, spark.createDataFrame([(9, None), (2, values[0])], schema), ["k"], p)
+    want = {**dict(enumerate(values)), 9: None, 2: values[0]}
+    got = read_partitions(spark, path, base.schema).collect()
+    assert len(got) == 6 and {r.k: r.p for r in got} == want
+    # null keys stay and insert, in whatever partition
+    merge_partitions(path, spark.createDataFrame([(None, values[0]), (None, None)], schema), ["k"], p)
+    assert read_partitions(spark, path, base.schema).count() == 8
+
+
+def test_lookback_bound_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "src")
+    spark.createDataFrame([(1, D(2020, 1, 10), 1.0)], S).write.parquet(path)
+    tgt = spark.createDataFrame([(9, D(2020, 1, 12), 1.0)], S)
+    plan = lookback_filter(spark.read.parquet(path), tgt, "d", 7)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(d,ScalarSubquery" in plan
 
 
 def test_lookback_drops_null_dates_but_empty_target_loads_all(spark):
