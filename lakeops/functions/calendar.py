@@ -18,9 +18,6 @@ from lakeops.functions.keys import date_key
 # One-off market closures (national days of mourning) that no
 # calendar rule produces.
 SPECIAL_CLOSURES = ["2018-12-05", "2025-01-09"]
-# Year range of the holiday table the reference ships
-# (its seed covers 2015 through 2030; earlier weekdays count as open).
-HOLIDAY_YEARS = (2015, 2030)
 JUNETEENTH_FROM = 2022
 # Fixed value: the name every holiday row carries in the reference's table.
 HOLIDAY_NAME = "NYSE Holiday"
@@ -74,7 +71,9 @@ def _easter(year: Column) -> Column:
     return F.make_date(year.cast("int"), month.cast("int"), day.cast("int"))
 
 
-def is_exchange_holiday(d: Column) -> Column:
+def is_exchange_holiday(d: Column, years: tuple[int, int] | None = None) -> Column:
+    """By today's rules, for any year; ``years`` (first, last) limits them to
+    the years a holiday table covers."""
     y = F.year(d)
     rule = (_observed(d, 1, 1, saturday_to_friday=False)
             | _nth_weekday(d, 1, 2, 3)            # third Monday of January
@@ -87,12 +86,12 @@ def is_exchange_holiday(d: Column) -> Column:
             | _nth_weekday(d, 11, 5, 4)           # fourth Thursday of November
             | _observed(d, 12, 25)
             | d.isin(*[F.to_date(F.lit(s)) for s in SPECIAL_CLOSURES]))
-    return rule & y.between(*HOLIDAY_YEARS)
+    return rule if years is None else rule & y.between(*years)
 
 
-def holidays(calendar: DataFrame, col: str = "date_day") -> DataFrame:
+def holidays(calendar: DataFrame, col: str = "date_day", years: tuple[int, int] | None = None) -> DataFrame:
     """Holiday table (holiday_date, holiday_name) for the days in ``calendar``."""
-    return (calendar.filter(is_exchange_holiday(F.col(col)))
+    return (calendar.filter(is_exchange_holiday(F.col(col), years))
             .select(F.col(col).alias("holiday_date"), F.lit(HOLIDAY_NAME).alias("holiday_name")))
 
 

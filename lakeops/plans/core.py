@@ -474,8 +474,7 @@ flags as (
   select d, dayofweek(d) as w, month(d) as mo, day(d) as dm, year(d) as yr from days),
 hol as (
   select f.d from flags f join easter e on f.yr = e.yr
-  where f.yr between 2015 and 2030 and (
-        (mo = 1 and dm = 1 and w between 1 and 5) or (mo = 1 and dm = 2 and w = 1)
+  where ((mo = 1 and dm = 1 and w between 1 and 5) or (mo = 1 and dm = 2 and w = 1)
      or (mo = 1 and w = 1 and dm between 15 and 21)
      or (mo = 2 and w = 1 and dm between 15 and 21)
      or f.d = e.sunday - 2

@@ -16,7 +16,7 @@ from lakeops.plans.sql_parts import LI, VER
 from lakeops.session import scratch_path
 from lakeops.sources import fs
 from lakeops.sources import documents as X
-from lakeops.sources.landing import (ENVELOPE_META, frozen_schema, landing_dir, landing_inventory,
+from lakeops.sources.landing import (bronze_frame, ENVELOPE_META, frozen_schema, landing_dir, landing_inventory,
                                      pack_envelopes, write_landing)
 from lakeops.sources.rescue import parse_with_rescue, recover_field
 from lakeops.sources.triage import RUN_LOG_SCHEMA, append_run_log, latest_status, triage
@@ -83,9 +83,10 @@ def stream_reupload_ignored_q(spark, d):
     root = scratch_path(spark, "reupload")
     src = _land(spark, d, root)
     bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt", RECORD_SCHEMA)
-    first = [f for f in fs.list_files(spark, src) if f.endswith(".txt")][0]
-    text = fs.read_text(spark, first)
-    fs.write_text_atomic(spark, first, text.replace('"role":"user"', '"role":"changed"'))
+    first = fs.first_file(spark, src, ".txt")
+    changed = F.replace("value", F.lit('"role":"user"'), F.lit('"role":"changed"'))
+    spark.read.text(first).select(changed.alias("value")).coalesce(1).write.text(f"{root}/changed")
+    fs.replace_file(spark, first, f"{root}/changed", ".txt")
     bronze_stream(spark, src, f"{root}/bronze", f"{root}/ckpt", RECORD_SCHEMA)
     return spark.read.parquet(f"{root}/bronze").drop(*VOLATILE)
 
@@ -111,7 +112,7 @@ select '{INGEST_TS}' as _ingest_timestamp, '{SOURCE}' as _source, '{ENDPOINT}' a
 from conversations
 """)
 def infer_and_freeze_schema_q(spark, d):
-    """Record schema inferred from the first landing file and saved; a later
+    """Record schema inferred from the landing files present and saved; a later
     file with one more field loads under the saved schema, the new field
     going to the rescue column."""
     root = scratch_path(spark, "freeze")
@@ -146,16 +147,45 @@ def rescue_unknown_fields_q(spark, d):
     return rescued_events(spark, d)
 
 
+@query("rescue_nested", f"""
+select conv_id, turn, role as meta_role, case when turn % 2 = 0 then 'n' || turn end as item_note,
+       '{ENDPOINT}-v2' as envelope_version, case when conv_id % 5 = 0 then 'scalar-' || turn end as scalar_value,
+       'conv/' || conv_id || '.json' as file_path
+from conversations
+""")
+def rescue_nested_q(spark, d):
+    """Unknown fields inside a declared struct, inside the elements of a
+    declared array, and on the envelope; a scalar among the records; the file's
+    path. One document per turn, parsed as bronze rows."""
+    c = S.table(spark, d, "conversations")
+    schema = T.StructType([T.StructField("turn", T.LongType()),
+                           T.StructField("meta", T.StructType([T.StructField("conv_id", T.LongType())])),
+                           T.StructField("items", T.ArrayType(T.StructType([T.StructField("n", T.LongType())])))])
+    note = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("n"), F.col("turn")))
+    record = F.to_json(F.struct("turn", F.struct("conv_id", "role").alias("meta"),
+                                F.array(F.struct(F.col("turn").alias("n"), note.alias("note"))).alias("items")))
+    scalar = F.when(F.col("conv_id") % 5 == 0, F.concat(F.lit(',"scalar-'), F.col("turn"), F.lit('"'))).otherwise("")
+    text = F.concat(F.lit('{"_ticker":"'), F.col("conv_id"), F.lit(f'","version":"{ENDPOINT}-v2","data":['), record, scalar, F.lit("]}"))
+    path = F.concat(F.lit("conv/"), F.col("conv_id"), F.lit(".json"))
+    bronze = bronze_frame(c.select(text.alias("value"), path.alias("path")), schema, F.col("path"))
+    at = lambda col, p: F.get_json_object(col, p)
+    r = F.col("_rescued_data")
+    rows = bronze.select(F.col("_ticker").cast("bigint").alias("conv_id"), "turn", at(at(r, "$.data[0].meta"), "$.role").alias("meta_role"),
+                         at(F.get(F.from_json(at(r, "$.data[0].items"), "array<string>"), F.lit(0)), "$.note").alias("item_note"),
+                         at(r, "$._envelope.version").alias("envelope_version"), at(r, "$._file_path").alias("file_path"),
+                         at(r, "$.data[0]._value").alias("value"))
+    # the scalar's row has no turn of its own: brought beside its record's
+    scalars = rows.where("value is not null").select("conv_id", F.regexp_extract("value", "([0-9]+)", 1).cast("bigint").alias("turn"),
+                                                     F.col("value").alias("scalar_value"))
+    return rows.where("value is null").drop("value").join(scalars, ["conv_id", "turn"], "left")
+
+
 @query("rescue_recover_field", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
 def rescue_recover_field_q(spark, d):
     r = rescued_events(spark, d)
     return r.select("event_id", recover_field(F.col("_rescued_data"), "k", "bigint", root=None).alias("k"))
 
 
-def _leaf(c) -> F.Column:
-    return F.struct(c.cast("string").alias("value"))
-
-
 def filings(spark, d) -> DataFrame:
     """Orders and their latest lines rendered as filings: lines with return
     flag 'A' are derivative transactions, the rest non-derivative; one
@@ -163,62 +193,73 @@ def filings(spark, d) -> DataFrame:
     o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
                                            "o_orderpriority", "o_orderdate")
     li = S.lines(spark, d).join(o, "l_orderkey").withColumn("page", F.floor(F.col("l_linenumber") / 100))
-    common = [_leaf(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("transactionDate"),
-              _leaf(F.col("l_quantity")).alias("transactionShares"),
-              _leaf(F.col("l_extendedprice")).alias("transactionPricePerShare"),
-              _leaf(F.when(F.col("l_linestatus") == "O", F.lit("  ")).otherwise(F.col("l_linestatus")))
-              .alias("transactionCode"),
-              _leaf(F.col("l_linenumber")).alias("sharesOwnedFollowingTransaction")]
-    deriv = common + [_leaf(F.col("l_tax")).alias("conversionOrExercisePrice"),
-                      _leaf(F.date_format(F.date_add(F.to_date("l_shipdate"), 30), "yyyy-MM-dd")).alias("exerciseDate")]
-    is_d = F.col("l_returnflag") == "A"
+    day = lambda n: F.date_format(F.date_add(F.to_date("l_shipdate"), n), "yyyy-MM-dd")
+    common = {"security_title": F.concat(F.lit("part-"), F.col("l_partkey")), "transaction_date": day(0),
+              "transaction_code": F.when(F.col("l_linestatus") == "O", F.lit("  ")).otherwise(F.col("l_linestatus")),
+              "transaction_form_type": F.lit("4"), "equity_swap_involved": F.col("l_linenumber") % 2,
+              "transaction_shares": F.col("l_quantity"), "transaction_price_per_share": F.col("l_extendedprice"),
+              "acquired_disposed_code": F.col("l_returnflag"), "shares_owned_following": F.col("l_linenumber"),
+              "direct_or_indirect": F.lit("D")}
+    more = {"conversion_or_exercise_price": F.col("l_tax"), "exercise_date": day(30), "expiration_date": day(60),
+            "underlying_security_title": F.lit("Common"), "underlying_security_shares": F.col("l_quantity")}
+    line = F.struct(*X.nested(X.COMMON, common))
+    deriv = F.struct(*X.nested(X.COMMON | X.DERIVATIVE_ONLY, common | more))
+    is_d, n = F.col("l_returnflag") == "A", F.col("l_linenumber").alias("_n")
     g = li.groupBy("l_orderkey", "page").agg(
-        F.first("o_custkey").alias("o_custkey"), F.first("o_orderpriority").alias("prio"),
-        F.first("o_orderdate").alias("odate"),
-        F.array_sort(F.collect_list(F.when(~is_d, F.struct(F.col("l_linenumber").alias("_n"),
-                                                          F.struct(*common).alias("_t"))))).alias("_non"),
-        F.array_sort(F.collect_list(F.when(is_d, F.struct(F.col("l_linenumber").alias("_n"),
-                                                         F.struct(*deriv).alias("_t"))))).alias("_der"))
+        F.first("o_custkey").alias("cust"), F.first("o_orderpriority").alias("prio"), F.first("o_orderdate").alias("odate"),
+        F.array_sort(F.collect_list(F.when(~is_d, F.struct(n, line.alias("_t"))))).alias("_non"),
+        F.array_sort(F.collect_list(F.when(is_d, F.struct(n, deriv.alias("_t"))))).alias("_der"))
+    cust = F.col("cust").cast("string")
+    owner = {"rpt_owner_cik": F.lpad(cust, 10, "0"), "rpt_owner_name": F.concat(F.lit("owner-"), F.col("prio")),
+             "is_director": F.col("cust") % 2, "is_officer": F.col("cust") % 3, "officer_title": F.lit(" "),
+             "is_ten_percent_owner": F.lit("0"), "is_other": F.lit("0")}
+    issuer = {"period_of_report": F.date_format("odate", "yyyy-MM-dd"), "issuer_cik": F.lpad(cust, 10, "0"),
+              "issuer_name": F.concat(F.lit("Issuer "), cust), "issuer_symbol": cust}
+    second = {k: F.lit("co-owner") if k == "rpt_owner_name" else v for k, v in owner.items()}
+    holding = F.struct(F.struct(F.struct(F.lit("1").alias("value")).alias("sharesOwnedFollowingTransaction")).alias("postTransactionAmounts"))
     return g.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("page").cast("string")).alias("accession"),
-        F.lit("4").alias("documentType"), F.date_format("odate", "yyyy-MM-dd").alias("periodOfReport"),
-        F.struct(F.col("o_custkey").cast("string").alias("issuerTradingSymbol")).alias("issuer"),
-        F.array(F.struct(F.concat(F.lit("owner-"), F.col("prio")).alias("rptOwnerName")),
-                F.struct(F.lit("co-owner").alias("rptOwnerName"))).alias("reportingOwner"),
+        F.lit("4").alias("documentType"), *X.nested(X.DOCUMENT, issuer),
+        F.array(*(F.struct(*X.nested(X.OWNER, v)) for v in (owner, second))).alias("reportingOwner"),
         F.struct(F.transform("_non", lambda x: x["_t"]).alias("nonDerivativeTransaction"),
-                 F.array(F.struct(_leaf(F.lit(1)).alias("sharesOwnedFollowingTransaction")))
-                 .alias("nonDerivativeHolding")).alias("nonDerivativeTable"),
+                 F.array(holding).alias("nonDerivativeHolding")).alias("nonDerivativeTable"),
         F.struct(F.transform("_der", lambda x: x["_t"]).alias("derivativeTransaction")).alias("derivativeTable"))
 
 
 @query("xml_lines_flatten", f"""
 with {LI},
-x as (select li.*, o.o_custkey, o.o_orderpriority,
-             case when li.l_returnflag = 'A' then 'derivative' else 'nonDerivative' end as tbl
+x as (select li.*, o.o_custkey, o.o_orderpriority, o.o_orderdate,
+             case when li.l_returnflag = 'A' then 'derivative' else 'non_derivative' end as tbl
       from li join orders o on li.l_orderkey = o.o_orderkey)
 select cast(l_orderkey as varchar) || '-' || cast(l_linenumber // 100 as varchar) as accession,
-       cast(o_custkey as varchar) as issuer_symbol, 'owner-' || o_orderpriority as owner_name,
-       tbl as "table",
+       strftime(o_orderdate, '%Y-%m-%d') as period_of_report, lpad(cast(o_custkey as varchar), 10, '0') as issuer_cik,
+       'Issuer ' || o_custkey as issuer_name, cast(o_custkey as varchar) as issuer_symbol,
+       lpad(cast(o_custkey as varchar), 10, '0') as rpt_owner_cik, 'owner-' || o_orderpriority as rpt_owner_name,
+       cast(o_custkey % 2 as varchar) as is_director, cast(o_custkey % 3 as varchar) as is_officer,
+       cast(null as varchar) as officer_title, '0' as is_ten_percent_owner, '0' as is_other, tbl as "table",
        cast(row_number() over (partition by l_orderkey, l_linenumber // 100, tbl order by l_linenumber) - 1
             as integer) as line_index,
-       cast(l_shipdate as date) as transaction_date, l_quantity as transaction_shares,
-       l_extendedprice as transaction_price,
-       case when l_linestatus = 'O' then null else l_linestatus end as transaction_code,
-       case when tbl = 'derivative' then l_tax end as conversion_price,
-       case when tbl = 'derivative' then cast(l_shipdate as date) + 30 end as exercise_date
+       'part-' || l_partkey as security_title, cast(l_shipdate as date) as transaction_date,
+       case when l_linestatus = 'O' then null else l_linestatus end as transaction_code, '4' as transaction_form_type,
+       cast(l_linenumber % 2 as varchar) as equity_swap_involved, l_quantity as transaction_shares,
+       l_extendedprice as transaction_price_per_share, l_returnflag as acquired_disposed_code,
+       cast(l_linenumber as varchar) as shares_owned_following, 'D' as direct_or_indirect,
+       case when tbl = 'derivative' then l_tax end as conversion_or_exercise_price,
+       case when tbl = 'derivative' then cast(l_shipdate as date) + 30 end as exercise_date,
+       case when tbl = 'derivative' then cast(l_shipdate as date) + 60 end as expiration_date,
+       case when tbl = 'derivative' then 'Common' end as underlying_security_title,
+       case when tbl = 'derivative' then l_quantity end as underlying_security_shares
 from x
 """)
 def xml_lines_flatten_q(spark, d):
+    """Round trip of the stand-in filings through XML files; the format's own
+    paths are held against a hand-made filing in the tests."""
     path = scratch_path(spark, "filings")
     X.write_filings(filings(spark, d), path)
     lines = X.flatten_filings(X.read_filings(spark, path))
-    return lines.select("accession", "issuer_symbol", "owner_name", "table", "line_index",
-                        F.to_date("transactionDate").alias("transaction_date"),
-                        F.col("transactionShares").cast("double").alias("transaction_shares"),
-                        F.col("transactionPricePerShare").cast("double").alias("transaction_price"),
-                        F.col("transactionCode").alias("transaction_code"),
-                        F.col("conversionOrExercisePrice").cast("double").alias("conversion_price"),
-                        F.to_date("exerciseDate").alias("exercise_date"))
+    numbers = ["transaction_shares", "transaction_price_per_share", "conversion_or_exercise_price", "underlying_security_shares"]
+    days = ["transaction_date", "exercise_date", "expiration_date"]
+    return lines.withColumns({**{c: F.col(c).cast("double") for c in numbers}, **{c: F.to_date(c) for c in days}})
 
 
 def landing_paths(spark, d) -> DataFrame:

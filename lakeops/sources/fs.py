@@ -1,8 +1,10 @@
-"""Small file-system helpers on the Hadoop FileSystem API, so pointer files
+"""Small file-system helpers on the Hadoop FileSystem API, so small files
 and folder checks work on any URI the cluster uses (hdfs, s3a, file)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -33,29 +35,18 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a temporary sibling, then rename it over ``path`` in one step
-    (``FileContext.rename`` with OVERWRITE), so a reader sees the old or the
-    new content, never a missing file. File systems without that rename
-    fall back to delete + rename."""
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a name of its own, then rename it to ``path``;
+    if another writer was first, theirs stays."""
     fs, p = _fs(spark, path)
-    jvm = spark._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    try:
-        fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-        rename_cls = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        opts = spark.sparkContext._gateway.new_array(rename_cls, 1)
-        opts[0] = rename_cls.OVERWRITE
-        fc.rename(tmp, p, opts)
-    except Exception:  # noqa: BLE001 - file systems without atomic overwrite
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(tmp, p)
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
@@ -77,45 +68,26 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if s.isDirectory())
 
 
-def dir_ages(spark: SparkSession, path: str) -> dict[str, float]:
-    """Sub-folder name -> age in seconds (from the modification time)."""
-    import time
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return {}
-    now = time.time()
-    return {str(s.getPath().getName()): now - s.getModificationTime() / 1000.0
-            for s in fs.listStatus(p) if s.isDirectory()}
-
-
 def delete_dir(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
 
-def vacuum(spark: SparkSession, root: str, prefix: str, referenced: set[str],
-           older_than_seconds: float = 3600.0) -> list[str]:
-    """Delete sub-folders of ``root`` named ``prefix*`` that no pointer or
-    manifest references any more and that are older than the retention (a
-    reader that started before the switch may still be scanning them)."""
-    removed = []
-    for name, age in dir_ages(spark, root).items():
-        if name.startswith(prefix) and name not in referenced and age >= older_than_seconds:
-            delete_dir(spark, f"{root.rstrip('/')}/{name}")
-            removed.append(name)
-    return sorted(removed)
+def first_file(spark: SparkSession, path: str, suffix: str) -> str | None:
+    """Some file under ``path`` with that ending, without a full listing."""
+    fs, p = _fs(spark, path)
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        f = str(it.next().getPath())
+        if f.endswith(suffix):
+            return f
+    return None
 
 
-def first_files(spark: SparkSession, path: str, n: int) -> list[str]:
-    """Up to ``n`` data files under ``path`` (recursive; hidden and ``_``
-    files skipped), stopping as soon as they are found -- no full listing."""
+def replace_file(spark: SparkSession, path: str, folder: str, suffix: str) -> None:
+    """Put the one file of ``folder`` with that ending at ``path``."""
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext() and len(out) < n:
-        f = it.next().getPath()
-        if not str(f.getName()).startswith((".", "_")):
-            out.append(str(f))
-    return out
+    new = spark._jvm.org.apache.hadoop.fs.Path(first_file(spark, folder, suffix))
+    fs.delete(p, False)
+    if not fs.rename(new, p):
+        raise OSError(f"{path} not replaced")

@@ -37,19 +37,18 @@ RAW_ENVELOPE = T.StructType([T.StructField(c, T.StringType()) for c in ENVELOPE_
 
 def pack_envelopes(records: DataFrame, key_col: str, batch_col: str | Column, source: str, endpoint: str,
                    ingest_timestamp: str | Column, record_cols: Sequence[str],
-                   order_col: str | None = None, page: Column | None = None) -> DataFrame:
-    """One envelope per (key, batch[, page]): metadata + ``data`` array + JSON text.
+                   page: Column, order_col: str | None = None) -> DataFrame:
+    """One envelope per (key, batch, page): metadata + ``data`` array + JSON text.
 
     ``page`` splits a key's batch into several documents (e.g. by record
-    number), so no document grows with a hot key."""
+    number), so no document grows with a hot key; a literal puts a key's
+    batch into one document, for batches known to be small."""
     batch = F.col(batch_col) if isinstance(batch_col, str) else batch_col
     ts = F.lit(ingest_timestamp) if isinstance(ingest_timestamp, str) else ingest_timestamp
     rec = F.struct(*record_cols)
     if order_col:  # deterministic record order inside the document
         rec = F.struct(F.col(order_col).alias("_o"), rec.alias("_r"))
-    groups = [F.col(key_col).cast("string").alias("_ticker"), batch.alias("_batch_date")]
-    if page is not None:
-        groups.append(page.alias("_page"))
+    groups = [F.col(key_col).cast("string").alias("_ticker"), batch.alias("_batch_date"), page.alias("_page")]
     g = records.groupBy(*groups).agg(F.collect_list(rec).alias("_recs"))
     data = F.transform(F.array_sort("_recs"), lambda x: x["_r"]) if order_col else F.col("_recs")
     env = g.select(ts.alias("_ingest_timestamp"), F.lit(source).alias("_source"), F.lit(endpoint).alias("_endpoint"),
@@ -67,14 +66,12 @@ def landing_dir(root: str, source: str, endpoint: str) -> str:
     return f"{root.rstrip('/')}/source={source}/endpoint={endpoint}"
 
 
-def infer_record_schema(spark: SparkSession, path: str, sample_files: int = 1,
-                        wholetext: bool = False) -> T.StructType:
-    """Infer the record type from the first landing file(s): JSON inference
-    over the sampled envelopes, then the element type of ``data``."""
-    files = fs.first_files(spark, path, sample_files)
-    if not files:
-        raise FileNotFoundError(f"no landing files under {path}")
-    env = spark.read.option("multiLine", str(wholetext).lower()).json(files)
+def infer_record_schema(spark: SparkSession, path: str, wholetext: bool = False) -> T.StructType:
+    """Infer the record type from all landing files present: one distributed
+    JSON inference over the envelopes, then the element type of ``data``."""
+    env = spark.read.option("multiLine", str(wholetext).lower()).option("recursiveFileLookup", "true").json(path)
+    if "data" not in env.columns:
+        raise FileNotFoundError(f"no landing envelopes under {path}")
     data = env.schema["data"].dataType
     if not isinstance(data, T.ArrayType) or not isinstance(data.elementType, T.StructType):
         raise TypeError(f"envelope data is {data.simpleString()}, expected an array of records")
@@ -87,14 +84,15 @@ def frozen_schema(spark: SparkSession, schema_location: str, path: str, wholetex
     if saved:
         return T.StructType.fromJson(json.loads(saved))
     schema = infer_record_schema(spark, path, wholetext=wholetext)
-    fs.write_text_atomic(spark, f"{schema_location.rstrip('/')}/_schema.json", schema.json())
+    fs.write_text_once(spark, f"{schema_location.rstrip('/')}/_schema.json", schema.json())
     return schema
 
 
 def bronze_frame(raw: DataFrame, record_schema: T.StructType, file_col: Column | None = None) -> DataFrame:
     """Envelope text (column ``value``) -> one row per record, flattened.
 
-    An empty ``data`` array gives no row. A document that is not valid JSON
+    An empty ``data`` array gives no row. Unknown envelope fields go to the
+    rescue column of each of its records (``_envelope``). A document that is not valid JSON
     is not lost: it gives one row with null fields whose rescue column holds
     the raw text (``_corrupt_record``) and the file path."""
     src = file_col if file_col is not None else F.lit(None).cast("string")
@@ -107,7 +105,10 @@ def bronze_frame(raw: DataFrame, record_schema: T.StructType, file_col: Column |
     rows = env.select(*[F.col(f"env.{c}").alias(c) for c in ENVELOPE_META], "_source_file",
                       F.current_timestamp().alias("_loaded_at"), bad.alias("_bad"), "_raw",
                       F.explode(records).alias("_record_text"))  # empty/null array: no row
-    typed, rescued = parse_with_rescue(F.col("_record_text"), record_schema, F.col("_source_file"), root="data")
+    # declared envelope fields are text whatever their JSON type, so only unknown ones are left over
+    raw = F.from_json("_raw", T.MapType(T.StringType(), T.StringType()))
+    outer = F.map_filter(raw, lambda k, v: ~k.isin(*ENVELOPE_META, "data"))
+    typed, rescued = parse_with_rescue(F.col("_record_text"), record_schema, F.col("_source_file"), root="data", outer=outer)
     corrupt = F.to_json(F.struct(F.col("_raw").alias("_corrupt_record"), F.col("_source_file").alias("_file_path")))
     clash = set(record_schema.fieldNames()) & (set(ENVELOPE_META) | {"_source_file", "_loaded_at", "_rescued_data"})
     if clash:

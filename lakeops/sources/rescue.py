@@ -1,16 +1,21 @@
 """Rescue column for semi-structured records.
 
-A record is parsed twice from its JSON text: once into the declared schema,
-once into ``map<string,string>`` (values keep their raw JSON text). Fields
-that the schema does not know (including case variants -- field matching is
-case-sensitive) and known fields whose raw value did not fit the declared
-type are kept in a JSON string column instead of being lost:
+A record's JSON text is parsed into the declared schema, and level by level
+into ``map<string,string>`` (values keep their raw JSON text). Kept in a JSON
+string column instead of being lost: fields that the schema does not know, at
+any depth (inside declared structs and arrays of structs too; case variants
+count as unknown, field matching is case-sensitive), known fields whose raw
+value did not fit the declared type, and records that are no JSON object at
+all (under ``_value``):
 
     {"data": [{"<field>": "<raw value>"}], "_file_path": "<source file>"}
 
-``root`` names the path from the document root (``data`` for records that
-came from the envelope's ``data`` array; None for a top-level document).
-Recovery is ordinary JSON navigation (``recover_field``).
+A nested rest is the JSON text of its own such object (for arrays of structs:
+an array with a null where an element has no rest). ``root`` names the path
+from the document root (``data`` for records that came from the envelope's
+``data`` array; None for a top-level document); ``outer`` holds the rest of the
+levels above, such as unknown envelope fields. Recovery is ordinary JSON
+navigation (``recover_field``).
 """
 
 from __future__ import annotations
@@ -19,24 +24,52 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+RAW = T.MapType(T.StringType(), T.StringType())
+
+
+def unknown_fields(text: Column, schema: T.StructType) -> Column:
+    """Raw JSON text by name of what the schema does not take from an object:
+    map<string,string>, null if the text is no object."""
+    raw, typed = F.from_json(text, RAW), F.from_json(text, schema)
+    names = F.array(*(F.lit(n) for n in schema.names)).cast("array<string>")
+    rest = F.map_filter(raw, lambda k, v: ~F.array_contains(names, k))
+    known = []
+    for f in schema.fields:
+        value = F.try_element_at(raw, F.lit(f.name))
+        misfit = F.when(value.isNotNull() & typed[f.name].isNull(), value)
+        known.append(F.struct(F.lit(f.name).alias("k"), F.coalesce(misfit, _inner_rest(value, f.dataType)).alias("v")))
+    if not known:
+        return rest
+    more = F.map_from_entries(F.filter(F.array(*known), lambda e: e["v"].isNotNull()))
+    return F.map_concat(rest, more)
+
+
+def _inner_rest(value: Column, kind: T.DataType) -> Column:
+    """Rest of a declared field's own structure, as JSON text; null if none."""
+    if isinstance(kind, T.StructType):
+        rest = unknown_fields(value, kind)
+        return F.when(F.size(rest) > 0, F.to_json(rest))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        rests = F.transform(F.from_json(value, T.ArrayType(T.StringType())), lambda e: _inner_rest(e, kind.elementType))
+        return F.when(F.exists(rests, lambda r: r.isNotNull()), F.to_json(rests))
+    return F.lit(None).cast("string")
+
 
 def parse_with_rescue(text: Column, schema: T.StructType, file_path: Column | None = None,
-                      root: str | None = None) -> tuple[Column, Column]:
+                      root: str | None = None, outer: Column | None = None) -> tuple[Column, Column]:
     """Return (typed struct, rescued JSON or null)."""
     typed = F.from_json(text, schema)
-    raw = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    known = F.array(*[F.lit(f.name) for f in schema.fields]) if schema.fields else F.array().cast("array<string>")
-    misfit = F.filter(F.array(*[F.when(raw[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f.name))
-                                for f in schema.fields]), lambda x: x.isNotNull()) \
-        if schema.fields else F.array().cast("array<string>")
-    rest = F.map_filter(raw, lambda k, v: ~F.array_contains(known, k) | F.array_contains(misfit, k))
+    no_object = F.create_map(F.lit("_value"), text)
+    rest = F.when(text.isNotNull(), F.coalesce(unknown_fields(text, schema), no_object))
     body = F.array(rest) if root else rest
     parts = [body.alias(root or "fields")]
+    if outer is not None:
+        parts.append(F.when(F.size(outer) > 0, outer).alias("_envelope"))
     if file_path is not None:
         parts.append(file_path.alias("_file_path"))
-    payload = F.to_json(F.struct(*parts)) if (root or file_path is not None) else F.to_json(rest)
-    rescued = F.when(F.size(rest) > 0, payload)
-    return typed, rescued
+    payload = F.to_json(F.struct(*parts)) if len(parts) > 1 or root else F.to_json(rest)
+    found = F.size(rest) > 0
+    return typed, F.when(found if outer is None else found | (F.size(outer) > 0), payload)
 
 
 def recover_field(rescued: Column, field: str, dtype: str = "string", root: str | None = "data") -> Column:

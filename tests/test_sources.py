@@ -75,29 +75,82 @@ def test_calendar_size_and_flags(spark):
     assert flags["2021-07-05"] == (True, True, False)      # observed Monday
     assert flags["2021-07-04"] == (False, False, False)    # Sunday, the holiday itself moved
     assert flags["2022-01-01"] == (False, False, False)    # Saturday New Year, not moved to Friday
-    assert flags["2010-12-24"] == (True, False, True)      # before the holiday table's years
+    assert flags["2010-12-24"] == (True, True, False)      # Christmas on a Saturday, observed on Friday
+    # any year has holidays; a table's years can limit them
+    assert cal.holidays(cal.days(spark, "2035-01-01", "2036-01-01")).count() >= 9
+    assert cal.holidays(cal.days(spark, "2010-01-01", "2040-01-01"), years=(2015, 2030)).count() == 153
 
 
-def test_xml_edges(spark, tmp_path):
-    xml = """<filings>
-<ownershipDocument><accession>a1</accession><documentType>4</documentType>
- <issuer><issuerTradingSymbol>X</issuerTradingSymbol></issuer>
- <reportingOwner><rptOwnerName>first</rptOwnerName></reportingOwner>
- <reportingOwner><rptOwnerName>second</rptOwnerName></reportingOwner>
+FILING = """<filings><ownershipDocument>
+ <schemaVersion>X0508</schemaVersion><accession>a1</accession><documentType>4</documentType><periodOfReport>2024-01-02</periodOfReport>
+ <issuer><issuerCik>0000000011</issuerCik><issuerName>Acme</issuerName><issuerTradingSymbol>ACM</issuerTradingSymbol></issuer>
+ <reportingOwner><reportingOwnerId><rptOwnerCik>21</rptOwnerCik><rptOwnerName>first</rptOwnerName></reportingOwnerId>
+  <reportingOwnerRelationship><isDirector>1</isDirector><isOfficer>0</isOfficer><officerTitle> </officerTitle>
+   <isTenPercentOwner>0</isTenPercentOwner><isOther>0</isOther></reportingOwnerRelationship></reportingOwner>
+ <reportingOwner><reportingOwnerId><rptOwnerCik>22</rptOwnerCik><rptOwnerName>second</rptOwnerName></reportingOwnerId></reportingOwner>
  <nonDerivativeTable>
-  <nonDerivativeTransaction><transactionDate><value>2024-01-02</value></transactionDate>
-   <transactionShares><value>  </value></transactionShares></nonDerivativeTransaction>
-  <nonDerivativeHolding><sharesOwnedFollowingTransaction><value>9</value></sharesOwnedFollowingTransaction></nonDerivativeHolding>
+  <nonDerivativeTransaction><securityTitle><value>Common</value></securityTitle><transactionDate><value>2024-01-02</value></transactionDate>
+   <transactionCoding><transactionFormType>4</transactionFormType><transactionCode>S</transactionCode>
+    <equitySwapInvolved>0</equitySwapInvolved></transactionCoding>
+   <transactionAmounts><transactionShares><value>  </value></transactionShares>
+    <transactionPricePerShare><value>12.5</value><footnoteId id="F1"/></transactionPricePerShare>
+    <transactionAcquiredDisposedCode><value>D</value></transactionAcquiredDisposedCode></transactionAmounts>
+   <postTransactionAmounts><sharesOwnedFollowingTransaction><value>90</value></sharesOwnedFollowingTransaction></postTransactionAmounts>
+   <ownershipNature><directOrIndirectOwnership><value>I</value></directOrIndirectOwnership></ownershipNature></nonDerivativeTransaction>
+  <nonDerivativeHolding><securityTitle><value>Common</value></securityTitle></nonDerivativeHolding>
  </nonDerivativeTable>
+ <derivativeTable><derivativeTransaction><securityTitle><value>Option</value></securityTitle>
+   <conversionOrExercisePrice><value>3.5</value></conversionOrExercisePrice><exerciseDate><value>2025-01-01</value></exerciseDate>
+   <expirationDate><value>2030-01-01</value></expirationDate><underlyingSecurity><underlyingSecurityTitle><value>Common</value>
+   </underlyingSecurityTitle><underlyingSecurityShares><value>100</value></underlyingSecurityShares></underlyingSecurity>
+ </derivativeTransaction></derivativeTable>
 </ownershipDocument>
-<ownershipDocument><accession>a2</accession><documentType>4/A</documentType></ownershipDocument>
-</filings>"""
-    (tmp_path / "f.xml").write_text(xml)
+<ownershipDocument><accession>a2</accession><documentType>4/A</documentType></ownershipDocument></filings>"""
+
+
+def test_hand_made_filing_gives_every_field(spark, tmp_path):
+    (tmp_path / "f.xml").write_text(FILING)
     lines = X.flatten_filings(X.read_filings(spark, str(tmp_path)))
-    r = lines.collect()
-    assert len(r) == 1
-    assert (r[0].owner_name, r[0].table, r[0].line_index, r[0].transactionShares) == ("first", "nonDerivative", 0, None)
-    assert r[0].exerciseDate is None
+    got = {r.table: r.asDict() for r in lines.collect()}
+    assert set(got) == {"non_derivative", "derivative"} and lines.count() == 2
+    n, d = got["non_derivative"], got["derivative"]
+    context = {"accession": "a1", "period_of_report": "2024-01-02", "issuer_cik": "0000000011", "issuer_name": "Acme", "issuer_symbol": "ACM",
+               "rpt_owner_cik": "21", "rpt_owner_name": "first", "is_director": "1", "is_officer": "0", "officer_title": None,
+               "is_ten_percent_owner": "0", "is_other": "0", "line_index": 0}
+    assert all(x[k] == v for x in (n, d) for k, v in context.items())
+    common = {"security_title": "Common", "transaction_date": "2024-01-02", "transaction_code": "S", "transaction_form_type": "4",
+              "equity_swap_involved": "0", "transaction_shares": None, "transaction_price_per_share": "12.5",
+              "acquired_disposed_code": "D", "shares_owned_following": "90", "direct_or_indirect": "I"}
+    extra = {"conversion_or_exercise_price": "3.5", "exercise_date": "2025-01-01", "expiration_date": "2030-01-01",
+             "underlying_security_title": "Common", "underlying_security_shares": "100"}
+    assert all(n[k] == v for k, v in common.items()) and all(n[k] is None for k in extra)
+    assert all(d[k] == v for k, v in extra.items()) and d["security_title"] == "Option"
+    assert len(n) == 26 + 3  # and accession, table, line_index
+
+
+def test_schema_inferred_from_all_files(spark, tmp_path):
+    from lakeops.sources.landing import frozen_schema
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.json").write_text(json.dumps({"data": [{"p": 1}]}))
+    (land / "b.json").write_text(json.dumps({"data": [{"p": 1.5, "q": "x"}]}))
+    schema = frozen_schema(spark, str(tmp_path / "schema"), str(land))
+    assert schema.simpleString() == "struct<p:double,q:string>"
+    (land / "c.json").write_text(json.dumps({"data": [{"z": 1}]}))
+    assert frozen_schema(spark, str(tmp_path / "schema"), str(land)) == schema
+
+
+def test_rescue_at_every_depth(spark):
+    from pyspark.sql import types as T
+    from lakeops.sources.rescue import parse_with_rescue
+    schema = T.StructType.fromDDL("a struct<b: int>, l array<struct<n: int>>, s string")
+    texts = ['{"a":{"b":1,"c":2}}', '{"l":[{"n":1},{"n":2,"m":"x"}]}', '[1,"x"]', '"x"', '{"a":5}', '{"a":{"b":1},"l":[],"s":"t"}', None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    typed, rescued = parse_with_rescue(F.col("t"), schema)
+    got = [None if r[0] is None else json.loads(r[0]) for r in df.select(rescued).collect()]
+    assert got[0] == {"a": '{"c":"2"}'} and json.loads(got[1]["l"]) == [None, '{"m":"x"}']
+    assert got[2] == {"_value": '[1,"x"]'} and got[3] == {"_value": '"x"'} and got[4] == {"a": "5"}
+    assert got[5] is None and got[6] is None
 
 
 def test_one_stream_per_dataset_with_frozen_schema(spark, tmp_path):
@@ -105,7 +158,7 @@ def test_one_stream_per_dataset_with_frozen_schema(spark, tmp_path):
     from lakeops.streaming.bronze import BronzeSpec, load_all
     recs = spark.createDataFrame([(1, "a", 10), (1, "b", 11), (2, "c", 12)], "k int, name string, v int")
     for endpoint in ("prices", "events"):
-        env = pack_envelopes(recs, "k", F.lit("20240101"), "src", endpoint, "t0", ["k", "name", "v"])
+        env = pack_envelopes(recs, "k", F.lit("20240101"), "src", endpoint, "t0", ["k", "name", "v"], page=F.lit(0))
         write_landing(env, str(tmp_path / "landing"))
     out = load_all(spark, str(tmp_path / "landing"), str(tmp_path / "bronze"),
                    [BronzeSpec("src", "prices"), BronzeSpec("src", "events")])
@@ -126,11 +179,11 @@ def test_time_helpers(spark):
 
 def test_xml_one_document_per_line(spark, tmp_path):
     docs = [f"<ownershipDocument><accession>a{i}</accession><documentType>4</documentType>"
-            f"<nonDerivativeTable><nonDerivativeTransaction><transactionShares><value>{i}</value></transactionShares>"
-            f"</nonDerivativeTransaction></nonDerivativeTable></ownershipDocument>" for i in range(5)]
+            f"<nonDerivativeTable><nonDerivativeTransaction><transactionAmounts><transactionShares><value>{i}</value></transactionShares>"
+            f"</transactionAmounts></nonDerivativeTransaction></nonDerivativeTable></ownershipDocument>" for i in range(5)]
     (tmp_path / "many.xml").write_text("\n".join(docs) + "\n")
     lines = X.flatten_filings(X.read_filings_lines(spark, str(tmp_path / "many.xml")))
-    assert sorted(r.transactionShares for r in lines.collect()) == ["0", "1", "2", "3", "4"]
+    assert sorted(r.transaction_shares for r in lines.collect()) == ["0", "1", "2", "3", "4"]
 
 
 def test_list_landing_reads_paths_only(spark, tmp_path):
@@ -155,6 +208,8 @@ def test_export_cells_and_csv(spark, tmp_path):
                                "i int, s string, d date, n string, t timestamp")
     cells = to_cells(df).first()
     assert tuple(cells) == ("1", "a", "2024-01-02", "", "2024-01-02T03:04:05")
+    fine = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 3, 456789),)], "t timestamp")
+    assert to_cells(fine).first().t == "2024-01-02T03:04:03.456789"
     paths = export_marts({"marts.tab_one": df}, str(tmp_path))
     assert list(paths) == ["tab_one"]
     headers, data = set(), []
