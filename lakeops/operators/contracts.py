@@ -46,9 +46,10 @@ def accepted_values(df: DataFrame, col: str, values: Sequence, name: str | None
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str,
                   name: str | None = None) -> DataFrame:
-    keys = child.filter(F.col(col).isNotNull()).select(F.col(col).alias("_k"))
+    # rows per key first: combined before the shuffle, and a hot key joins as one row
+    keys = child.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     orphans = keys.join(parent.select(F.col(parent_col).alias("_k")), "_k", "left_anti")
-    return _named(orphans.agg(F.count(F.lit(1)).alias("failures")),
+    return _named(orphans.agg(F.sum("_n").alias("failures")),
                   name or f"relationships_{col}_to_{parent_col}")
 
 
@@ -137,8 +138,17 @@ def specs_from_yaml(text: str) -> list[dict]:
     return specs
 
 
+def spec(model: str, kind: str, column: str | None = None, name: str | None = None, where: str | None = None, **args) -> dict:
+    """A test of ``run_specs``: kind not_null, unique, unique_combination
+    (``combination_of_columns``), accepted_values (``values``), relationships
+    (``to``, ``field``) or sequential."""
+    return {"model": model, "column": column, "kind": kind, "args": args, "where": where, "name": name}
+
+
 def spec_name(spec: dict) -> str:
     kind, model, col = spec["kind"], spec["model"], spec["column"]
+    if spec.get("name"):
+        return spec["name"]
     if kind == "unique_combination":
         return f"unique_combination_{model}_" + "_".join(spec["args"]["combination_of_columns"])
     if kind == "relationships":
@@ -146,27 +156,72 @@ def spec_name(spec: dict) -> str:
     return f"{kind}_{model}_{col}"
 
 
+def _rows(names: Sequence[str], counts: DataFrame) -> DataFrame:
+    """One row of counts (columns n0, n1, ...) -> (test_name, failures)."""
+    return counts.select(F.inline(F.array(*(F.struct(
+        F.lit(name).alias("test_name"), F.coalesce(F.col(f"n{i}").cast("long"), F.lit(0)).alias("failures"))
+        for i, name in enumerate(names)))))
+
+
+def _null_counts(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
+    """All not_null tests of a table in one aggregate."""
+    where = [F.expr(s["where"]) if s["where"] else F.lit(True) for s in specs]
+    return _rows([spec_name(s) for s in specs], df.agg(*(
+        F.count_if(w & F.col(s["column"]).isNull()).alias(f"n{i}") for i, (s, w) in enumerate(zip(specs, where)))))
+
+
+def _group_counts(df: DataFrame, specs: Sequence[dict]) -> DataFrame:
+    """All tests of a table that look at groups of equal values, from one scan:
+    a grouped count over a grouping set per key (columns and row filter)."""
+    keys: dict[tuple, list[str]] = {}
+    made: dict[str, object] = {}
+    for s in specs:
+        cols = s["args"]["combination_of_columns"] if s["kind"] == "unique_combination" else [s["column"]]
+        key = (tuple(cols), s["where"])
+        if key not in keys:
+            k = len(keys)
+            keep = F.expr(s["where"]) if s["where"] else F.lit(True)
+            made |= {f"_k{k}_{j}": F.when(keep, F.col(c)) for j, c in enumerate(cols)} | {f"_k{k}_in": F.coalesce(keep, F.lit(False))}
+            keys[key] = [c for c in made if c.startswith(f"_k{k}_")]
+        s["_key"] = key
+    names = list(made)
+    groups = df.select(*(c.alias(n) for n, c in made.items())).groupingSets(list(keys.values()), *names).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g"))
+
+    def fails(s: dict):
+        cols = keys[s["_key"]]
+        own = sum(0 if n in cols else 1 << (len(names) - 1 - i) for i, n in enumerate(names))
+        here = (F.col("_g") == own) & F.col(cols[-1])
+        if s["kind"] == "accepted_values":
+            return here & F.col(cols[0]).isNotNull() & ~F.col(cols[0]).isin(*s["args"]["values"])
+        twice = here & (F.col("_n") > 1)
+        return twice & F.col(cols[0]).isNotNull() if s["kind"] == "unique" else twice
+    return _rows([spec_name(s) for s in specs], groups.agg(*(F.count_if(fails(s)).alias(f"n{i}") for i, s in enumerate(specs))))
+
+
 def run_specs(tables, specs: Sequence[dict]) -> DataFrame:
     """Run declarative specs over ``tables`` (name -> DataFrame): one
-    (test_name, failures) row per spec."""
-    out = []
+    (test_name, failures) row per spec. A table is scanned once for all its null
+    counts and once for all its grouped counts, not once per test; a table
+    that is a plan of its own should be written (materialized) before."""
+    out, by_model = [], {}
     for s in specs:
-        df = tables[s["model"]]
-        if s["where"] and s["kind"] != "unique":
-            df = df.filter(s["where"])
-        name, col, kind, args = spec_name(s), s["column"], s["kind"], s["args"]
-        if kind == "not_null":
-            out.append(not_null(df, col, name))
-        elif kind == "unique":
-            out.append(unique(df, col, where=s["where"], name=name))
-        elif kind == "accepted_values":
-            out.append(accepted_values(df, col, args["values"], name))
-        elif kind == "relationships":
-            out.append(relationships(df, col, tables[_ref_name(args["to"])], args["field"], name))
-        elif kind == "unique_combination":
-            out.append(unique_combination(df, args["combination_of_columns"], name))
-        elif kind == "sequential":
-            if str(args.get("datepart", "day")) != "day" or int(args.get("interval", 1)) != 1:
-                raise ValueError("sequential_values: only interval 1, datepart day")
-            out.append(sequential_days(df, col, name))
+        by_model.setdefault(s["model"], []).append(dict(s))
+    for model, own in by_model.items():
+        df = tables[model]
+        nulls = [s for s in own if s["kind"] == "not_null"]
+        groups = [s for s in own if s["kind"] in ("unique", "unique_combination", "accepted_values")]
+        if nulls:
+            out.append(_null_counts(df, nulls))
+        if groups:
+            out.append(_group_counts(df, groups))
+        for s in own:
+            rows = df.filter(s["where"]) if s["where"] else df
+            col, args = s["column"], s["args"]
+            if s["kind"] == "relationships":
+                out.append(relationships(rows, col, tables[_ref_name(args["to"])], args["field"], spec_name(s)))
+            elif s["kind"] == "sequential":
+                if str(args.get("datepart", "day")) != "day" or int(args.get("interval", 1)) != 1:
+                    raise ValueError("sequential_values: only interval 1, datepart day")
+                out.append(sequential_days(rows, col, spec_name(s)))
     return run_tests(out)

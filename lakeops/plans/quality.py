@@ -13,6 +13,7 @@ from lakeops.plans import standins as S
 from lakeops.plans.core import dim_date_q
 from lakeops.plans.registry import query
 from lakeops.plans.sql_parts import DIM, FL, LI, SNAP
+from lakeops.session import materialize
 
 # The order priorities of the test data, used as the dataset
 # list of the coverage matrix (one 'endpoint' per priority).
@@ -55,14 +56,24 @@ def expect_metrics_q(spark, d):
     return expectation_report(S.lines(spark, d), LINE_RULES)
 
 
-def not_null_unique_tests(spark, d) -> list[DataFrame]:
-    orders, li, dim = S.table(spark, d, "orders"), S.lines(spark, d), S.dimension(spark, d)
-    return [C.not_null(orders, "o_orderkey", "not_null_orders_o_orderkey"),
-            C.unique(orders, "o_orderkey", name="unique_orders_o_orderkey"),
-            C.not_null(li, "l_shipdate", "not_null_li_l_shipdate"),
-            C.unique(S.table(spark, d, "lineitem"), "l_orderkey", name="unique_lineitem_l_orderkey"),
-            C.unique(dim, "customer_key", name="unique_dim_customer_key"),
-            C.unique(dim, "o_custkey", where="is_current", name="unique_dim_current_o_custkey")]
+def suite_tables(spark, d) -> dict[str, DataFrame]:
+    """The tables under test; those that are plans of their own are written
+    once, and read by every test."""
+    lines, dim = materialize(S.lines(spark, d), "suite-lines"), materialize(S.dimension(spark, d), "suite-dim")
+    orders = S.table(spark, d, "orders")
+    facts = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    return {"orders": orders, "lineitem": S.table(spark, d, "lineitem"), "customer": S.table(spark, d, "customer"), "lines": lines,
+            "dim": dim, "snapshots": S.snapshots(spark, d), "facts": facts, "dates": dim_date_q(spark, d),
+            "order_days": orders.select(F.to_date("o_orderdate").alias("day")).distinct()}
+
+
+NOT_NULL_UNIQUE = [
+    C.spec("orders", "not_null", "o_orderkey", "not_null_orders_o_orderkey"),
+    C.spec("orders", "unique", "o_orderkey", "unique_orders_o_orderkey"),
+    C.spec("lines", "not_null", "l_shipdate", "not_null_li_l_shipdate"),
+    C.spec("lineitem", "unique", "l_orderkey", "unique_lineitem_l_orderkey"),
+    C.spec("dim", "unique", "customer_key", "unique_dim_customer_key"),
+    C.spec("dim", "unique", "o_custkey", "unique_dim_current_o_custkey", where="is_current")]
 
 
 NOT_NULL_UNIQUE_SQL = f"""
@@ -80,14 +91,14 @@ union all select 'unique_dim_current_o_custkey', count(*) from
 
 @query("test_not_null_unique", f"with {LI}, {DIM} {NOT_NULL_UNIQUE_SQL}")
 def test_not_null_unique_q(spark, d):
-    return C.run_tests(not_null_unique_tests(spark, d))
+    return C.run_specs(suite_tables(spark, d), NOT_NULL_UNIQUE)
 
 
-def unique_combination_tests(spark, d):
-    return [C.unique_combination(S.table(spark, d, "lineitem"), S.LINE_KEY, "unique_combination_lineitem"),
-            C.unique_combination(S.lines(spark, d), S.LINE_KEY, "unique_combination_li"),
-            C.unique_combination(S.snapshots(spark, d), ["o_custkey", "batch_date"],
-                                 "unique_combination_snapshots")]
+UNIQUE_COMBINATION = [
+    C.spec("lineitem", "unique_combination", name="unique_combination_lineitem", combination_of_columns=S.LINE_KEY),
+    C.spec("lines", "unique_combination", name="unique_combination_li", combination_of_columns=S.LINE_KEY),
+    C.spec("snapshots", "unique_combination", name="unique_combination_snapshots",
+           combination_of_columns=["o_custkey", "batch_date"])]
 
 
 UNIQUE_COMBINATION_SQL = """
@@ -101,16 +112,14 @@ union all select 'unique_combination_snapshots', count(*) from
 
 @query("test_unique_combination", f"with {LI}, {SNAP} {UNIQUE_COMBINATION_SQL}")
 def test_unique_combination_q(spark, d):
-    return C.run_tests(unique_combination_tests(spark, d))
+    tables = {"lineitem": S.table(spark, d, "lineitem"), "lines": S.lines(spark, d), "snapshots": S.snapshots(spark, d)}
+    return C.run_specs(tables, UNIQUE_COMBINATION)
 
 
-def accepted_values_tests(spark, d):
-    return [C.accepted_values(S.table(spark, d, "orders"), "o_orderpriority", PRIORITIES,
-                              "accepted_values_o_orderpriority"),
-            C.accepted_values(S.table(spark, d, "lineitem"), "l_returnflag", ["A", "N"],
-                              "accepted_values_l_returnflag"),
-            C.accepted_values(dim_date_q(spark, d), "quarter_of_year", [1, 2, 3, 4],
-                              "accepted_values_quarter_of_year")]
+ACCEPTED = [
+    C.spec("orders", "accepted_values", "o_orderpriority", "accepted_values_o_orderpriority", values=PRIORITIES),
+    C.spec("lineitem", "accepted_values", "l_returnflag", "accepted_values_l_returnflag", values=["A", "N"]),
+    C.spec("dates", "accepted_values", "quarter_of_year", "accepted_values_quarter_of_year", values=[1, 2, 3, 4])]
 
 
 ACCEPTED_SQL = """
@@ -129,15 +138,13 @@ def _dd() -> str:
 
 @query("test_accepted_values", f"with {_dd()} {ACCEPTED_SQL}")
 def test_accepted_values_q(spark, d):
-    return C.run_tests(accepted_values_tests(spark, d))
+    tables = {"orders": S.table(spark, d, "orders"), "lineitem": S.table(spark, d, "lineitem"), "dates": dim_date_q(spark, d)}
+    return C.run_specs(tables, ACCEPTED)
 
 
-def sequential_tests(spark, d):
-    orders = S.table(spark, d, "orders")
-    return [C.sequential_days(dim_date_q(spark, d), "date_day", "sequential_values_dim_date"),
-            C.sequential_days(orders.select(F.to_date("o_orderdate").alias("day")).distinct(), "day",
-                              "sequential_values_order_days"),
-            C.sequential_days(orders, "o_orderdate", "sequential_values_orders_raw")]
+SEQUENTIAL = [C.spec("dates", "sequential", "date_day", "sequential_values_dim_date"),
+              C.spec("order_days", "sequential", "day", "sequential_values_order_days"),
+              C.spec("orders", "sequential", "o_orderdate", "sequential_values_orders_raw")]
 
 
 SEQUENTIAL_SQL = """
@@ -153,16 +160,14 @@ union all select 'sequential_values_orders_raw', count(*) from
 
 @query("test_sequential_days", f"with {_dd()} select * from ({SEQUENTIAL_SQL})")
 def test_sequential_days_q(spark, d):
-    return C.run_tests(sequential_tests(spark, d))
+    orders = S.table(spark, d, "orders")
+    return C.run_specs({"dates": dim_date_q(spark, d), "orders": orders,
+                        "order_days": orders.select(F.to_date("o_orderdate").alias("day")).distinct()}, SEQUENTIAL)
 
 
-def relationship_tests(spark, d):
-    orders, li = S.table(spark, d, "orders"), S.table(spark, d, "lineitem")
-    fl = S.fact_lines(spark, d)
-    return [C.relationships(li, "l_orderkey", orders, "o_orderkey", "relationships_lines_to_orders"),
-            C.relationships(orders, "o_orderkey", li, "l_orderkey", "relationships_orders_to_lines"),
-            C.relationships(fl, "o_custkey", S.table(spark, d, "customer"), "c_custkey",
-                            "relationships_facts_to_customer")]
+RELATIONSHIPS = [C.spec("lineitem", "relationships", "l_orderkey", "relationships_lines_to_orders", to="orders", field="o_orderkey"),
+                 C.spec("orders", "relationships", "o_orderkey", "relationships_orders_to_lines", to="lineitem", field="l_orderkey"),
+                 C.spec("facts", "relationships", "o_custkey", "relationships_facts_to_customer", to="customer", field="c_custkey")]
 
 
 RELATIONSHIP_SQL = """
@@ -176,7 +181,8 @@ union all select 'relationships_facts_to_customer', count(*) from fl
 
 @query("test_relationships", f"with {FL} {RELATIONSHIP_SQL}")
 def test_relationships_q(spark, d):
-    return C.run_tests(relationship_tests(spark, d))
+    tables = {n: S.table(spark, d, n) for n in ("orders", "lineitem", "customer")} | {"facts": S.fact_lines(spark, d)}
+    return C.run_specs(tables, RELATIONSHIPS)
 
 
 @query("test_suite", f"""with {DIM}, {FL}, {_dd()}
@@ -185,9 +191,7 @@ union all {RELATIONSHIP_SQL} union all
 select * from ({SEQUENTIAL_SQL})""")
 def test_suite_q(spark, d):
     """All contract tests in one result table (Q12)."""
-    return C.run_tests(not_null_unique_tests(spark, d) + unique_combination_tests(spark, d)
-                       + accepted_values_tests(spark, d) + relationship_tests(spark, d)
-                       + sequential_tests(spark, d))
+    return C.run_specs(suite_tables(spark, d), NOT_NULL_UNIQUE + UNIQUE_COMBINATION + ACCEPTED + RELATIONSHIPS + SEQUENTIAL)
 
 
 @query("cross_feed_reconcile", f"""
@@ -258,65 +262,38 @@ def test_no_overlap_q(spark, d):
                                   "no_overlapping_versions_shifted")])
 
 
-# A contract file in the schema-YAML layout of SQL projects, over the
-# stand-in models (fixed test definitions).
+# A contract for the stand-in tables in the schema-YAML layout of SQL projects.
 CONTRACT_YAML = """
 version: 2
 models:
   - name: orders
-    data_tests:
-      - dbt_utils.unique_combination_of_columns:
-          arguments:
-            combination_of_columns: ["o_orderkey"]
+    tests:
+      - unique_combination_of_columns: {combination_of_columns: [o_orderkey]}
     columns:
-      - name: o_orderkey
-        data_tests: [not_null, unique]
+      - {name: o_orderkey, tests: [not_null, unique]}
       - name: o_orderpriority
-        data_tests:
-          - accepted_values:
-              arguments:
-                values: ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']
+        tests: [{accepted_values: {values: [1-URGENT, 2-HIGH, 3-MEDIUM, 4-NOT SPECIFIED, 5-LOW]}}]
       - name: o_custkey
-        data_tests:
-          - relationships:
-              arguments:
-                to: ref('customer')
-                field: c_custkey
+        tests: [{relationships: {to: ref('customer'), field: c_custkey}}]
   - name: lineitem
-    data_tests:
-      - dbt_utils.unique_combination_of_columns:
-          arguments:
-            combination_of_columns: ["l_orderkey", "l_linenumber"]
+    tests:
+      - unique_combination_of_columns: {combination_of_columns: [l_orderkey, l_linenumber]}
     columns:
       - name: l_orderkey
-        data_tests:
-          - relationships:
-              arguments:
-                to: ref('orders')
-                field: o_orderkey
+        tests: [{relationships: {to: ref('orders'), field: o_orderkey}}]
   - name: dim_customer
     columns:
-      - name: customer_key
-        data_tests: [not_null, unique]
+      - {name: customer_key, tests: [not_null, unique]}
       - name: o_custkey
-        data_tests:
-          - unique:
-              config:
-                where: "is_current"
+        tests: [{unique: {config: {where: is_current}}}]
   - name: dim_date
     columns:
-      - name: date_day
-        data_tests:
-          - dbt_utils.sequential_values:
-              arguments:
-                interval: 1
-                datepart: day
-      - name: quarter_of_year
-        data_tests:
-          - accepted_values:
-              arguments:
-                values: [1, 2, 3, 4]
-                quote: false
+      - name: day_of_week
+        tests: [{accepted_values: {values: [1, 2, 3, 4, 5, 6, 7]}}]
+      - name: date_key
+        tests: [not_null, unique]
+      - name: month_start_date
+        tests: [{relationships: {to: ref('dim_date'), field: date_day}}]
 """
 
 
@@ -342,10 +319,11 @@ union all select 'unique_dim_customer_customer_key', count(*) from
   (select customer_key from dim where customer_key is not null group by 1 having count(*) > 1)
 union all select 'unique_dim_customer_o_custkey', count(*) from
   (select o_custkey from dim where is_current and o_custkey is not null group by 1 having count(*) > 1)
-union all select 'sequential_dim_date_date_day', count(*) from
-  (select date_day, lag(date_day) over (order by date_day) as p from dd) where not (date_day = p + 1)
-union all select 'accepted_values_dim_date_quarter_of_year', count(distinct quarter_of_year) from dd
-  where quarter_of_year not in (1, 2, 3, 4)
+union all select 'accepted_values_dim_date_day_of_week', count(distinct day_of_week) from dd where day_of_week not between 1 and 7
+union all select 'not_null_dim_date_date_key', count(*) filter (where date_key is null) from dd
+union all select 'unique_dim_date_date_key', count(*) from (select date_key from dd group by 1 having count(*) > 1)
+union all select 'relationships_dim_date_month_start_date_to_dim_date_date_day', count(*) from dd a
+  where not exists (select 1 from dd b where b.date_day = a.month_start_date)
 """
 
 
@@ -353,6 +331,6 @@ union all select 'accepted_values_dim_date_quarter_of_year', count(distinct quar
 def test_contract_yaml_q(spark, d):
     """Contracts read from schema YAML and run over the stand-in models."""
     tables = {"orders": S.table(spark, d, "orders"), "lineitem": S.table(spark, d, "lineitem"),
-              "customer": S.table(spark, d, "customer"), "dim_customer": S.dimension(spark, d),
+              "customer": S.table(spark, d, "customer"), "dim_customer": materialize(S.dimension(spark, d), "contract-dim"),
               "dim_date": dim_date_q(spark, d)}
     return C.run_specs(tables, C.specs_from_yaml(CONTRACT_YAML))
