@@ -7,9 +7,10 @@ counted. Texts without a word, and null ones, have fingerprint zero.
 
 Search: every bit position gets a random non-zero vector of r + 1 bits; for
 each of the 2^(r+1) - 1 non-zero vectors v there is a table that keys
-fingerprints by the bits whose vector is orthogonal to v. Any r differing
-bits leave a v orthogonal to all of their vectors, so two fingerprints within
-r bits agree in the key of at least one table: no pair is missed.
+fingerprints by the bits whose vector is not orthogonal to v (odd parity).
+Any r differing bits leave a v orthogonal to all of their vectors, which keeps
+none of them, so two fingerprints within r bits agree in the key of at least
+one table: no pair is missed.
 
 Scale: only distinct fingerprints are searched, so copies are one row. Rows
 of a table's bucket meet in one task, sorted; only the links of a spanning
@@ -87,7 +88,7 @@ def covering_masks(radius: int, seed: int = 7) -> list[int]:
     vectors = np.concatenate([rng.permutation(np.arange(1, size)) for _ in range(-(-64 // (size - 1)))])[:64]
     masks = []
     for v in range(1, size):
-        keep = np.array([bin(int(x) & v).count("1") % 2 == 0 for x in vectors])
+        keep = np.array([bin(int(x) & v).count("1") % 2 == 1 for x in vectors])
         masks.append(int(np.packbits(keep, bitorder="little").view("i8")[0]))
     return masks
 
