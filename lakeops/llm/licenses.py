@@ -171,7 +171,7 @@ def _windows(h: np.ndarray, grade: int) -> np.ndarray:
     step, span = _layout(grade)
     low = np.minimum.reduceat(h, np.arange(0, len(h), step)) if step > 1 else h
     out = low.copy()
-    for k in range(1, span // step):
+    for k in range(1, min(span // step, len(low))):
         out[: len(low) - k] = np.minimum(out[: len(low) - k], low[k:])
     return out
 
