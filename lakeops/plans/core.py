@@ -16,6 +16,8 @@ from lakeops.operators.rollups import dedup_max, ohlc_rollup, segment_rollup
 from lakeops.plans import standins as S
 from lakeops.plans.registry import query
 from lakeops.plans.sql_parts import DIM, FL, LI, PERIOD, PIT, VER, sk
+from lakeops.session import scratch_path
+from lakeops.sources.landing import read_documents
 
 LI_SQL = f"with {LI} select * from li"
 
@@ -49,6 +51,35 @@ def scoped_latest_q(spark, d):
             .select("accession", "transaction_table", "line_index", F.col("`yield`"), "l_shipdate"))
 
 
+@query("insider_transactions", """
+with x as (select l.*, o.o_custkey, o.o_orderstatus from lineitem l join orders o on l.l_orderkey = o.o_orderkey
+           where o.o_orderstatus = l.l_linestatus
+           qualify row_number() over (partition by l.l_orderkey, l.l_linenumber
+                                      order by l_shipdate desc, l_partkey desc, l_suppkey desc) = 1)
+select l_orderkey as accession, l_linenumber as line_index, cast(o_custkey as varchar) as issuer,
+       cast(l_shipdate as date) as transaction_date, l_quantity as shares, l_extendedprice as price,
+       nullif(l_returnflag, 'R') as code
+from x where l_quantity >= 10
+""")
+def insider_transactions_q(spark, d):
+    """The scoped feed as one chain (M6): rows whose own column equals the
+    document's, latest per key, text cast in bulk with blanks as null, then
+    the rules."""
+    from lakeops.operators.expectations import apply_expectations, expect, expect_or_drop, expect_or_fail
+    o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+    scoped = S.table(spark, d, "lineitem").join(o, "l_orderkey").filter(F.col("o_orderstatus") == F.col("l_linestatus"))
+    latest = latest_by_key(scoped, S.LINE_KEY, S.LINE_ORDER)
+    text = latest.select(F.col("l_orderkey").alias("accession"), F.col("l_linenumber").alias("line_index"),
+                         F.col("o_custkey").cast("string").alias("issuer"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("transaction_date"),
+                         F.col("l_quantity").cast("string").alias("shares"), F.col("l_extendedprice").cast("string").alias("price"),
+                         F.when(F.col("l_returnflag") == "R", F.lit(" ")).otherwise(F.col("l_returnflag")).alias("code"))
+    typed = text.withColumns({"transaction_date": F.to_date("transaction_date"), "shares": F.col("shares").cast("double"),
+                              "price": F.col("price").cast("double"), "code": blank_to_null(F.col("code"))})
+    out, _ = apply_expectations(typed, [expect_or_fail("valid_key", "accession IS NOT NULL AND line_index IS NOT NULL"),
+                                        expect_or_drop("ten_shares", "shares >= 10"), expect("has_code", "code IS NOT NULL")])
+    return out
+
+
 @query("scd2_batch", f"with {VER} select o_custkey, o_orderpriority, valid_from, valid_to from ver")
 def scd2_batch_q(spark, d):
     return S.history(spark, d, untracked=())
@@ -361,7 +392,7 @@ MAP_SCHEMA = ("struct<_ticker: string, _batch_date: string, data: struct<`Time S
 
 
 def map_documents(spark, d) -> DataFrame:
-    """One JSON document per (order, page): lines keyed by line number in a
+    """One document per (order, page): lines keyed by line number in a
     map, values as text -- the shape of a date-keyed time-series payload."""
     li = S.lines(spark, d)
     entry = F.struct(F.col("l_linenumber").cast("string"),
@@ -373,20 +404,39 @@ def map_documents(spark, d) -> DataFrame:
     doc = F.struct(F.col("l_orderkey").cast("string").alias("_ticker"),
                    F.lit("20240101").alias("_batch_date"),
                    F.struct(F.col("series").alias("Time Series (Daily)")).alias("data"))
-    return g.select(F.to_json(doc).alias("value"))
+    return g.select("l_orderkey", doc.alias("doc"))
 
 
-@query("map_payload_to_rows", f"""
+MAP_ROWS_SQL = f"""
 with {LI}
 select l_orderkey as order_key, l_linenumber as line_number, l_quantity as open, l_extendedprice as high,
        l_discount as low, l_tax as close, cast(l_linenumber as bigint) as volume
 from li
-""")
+"""
+
+
+@query("map_payload_to_rows", MAP_ROWS_SQL)
 def map_payload_to_rows_q(spark, d):
     """Second-feed shape (M5): declared MAP schema, map explode, latest batch
     per (symbol, date key), typed casts, then a drop rule on negative prices."""
+    text = map_documents(spark, d).select(F.to_json("doc").alias("value"))
+    return _map_rows(text.select(F.from_json("value", MAP_SCHEMA).alias("doc")))
+
+
+@query("second_feed_files", MAP_ROWS_SQL)
+def second_feed_files_q(spark, d):
+    """The same feed from landing files: pretty-printed JSON arrays of
+    documents (a thousand orders a file), read in multi-line mode under the
+    declared schema."""
+    root = scratch_path(spark, "second-feed")
+    docs = map_documents(spark, d).groupBy(F.floor(F.col("l_orderkey") / 1000).alias("page")).agg(F.collect_list("doc").alias("docs"))
+    docs.select("page", F.to_json("docs", {"pretty": "true"}).alias("value")).write.partitionBy("page").text(root)
+    docs = read_documents(spark, root, spark.createDataFrame([], f"doc {MAP_SCHEMA}").schema["doc"].dataType)
+    return _map_rows(docs.select(F.struct(*docs.columns).alias("doc")))
+
+
+def _map_rows(parsed: DataFrame) -> DataFrame:
     from lakeops.operators.expectations import apply_expectations, expect_or_drop
-    parsed = map_documents(spark, d).select(F.from_json("value", MAP_SCHEMA).alias("doc"))
     rows = map_to_rows(parsed, F.col("doc.data.`Time Series (Daily)`"), "date_str", "ohlcv",
                        keep=[F.col("doc._ticker").alias("symbol"), F.col("doc._batch_date").alias("_batch_date")])
     latest = latest_by_key(rows, ["symbol", "date_str"], ["_batch_date"])

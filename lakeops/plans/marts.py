@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.keys import date_key
+from lakeops.functions.keys import date_key, month_key
 from lakeops.operators.pit import pit_join
 from lakeops.operators.reshape import union_all, unpivot
+from lakeops.operators.rollups import ohlc_rollup
 from lakeops.operators.upsert import (full_refresh, incremental_build, lookback_filter, merge_partitions,
                                       merge_upsert, read_partitions, write_partitions)
 from lakeops.plans import standins as S
@@ -80,13 +81,16 @@ def fact_daily_incremental(spark: SparkSession, d: str, cutoff: str = "2000-06-3
     return read_partitions(spark, path, first.schema)
 
 
-def order_events(spark, d) -> DataFrame:
-    o = S.table(spark, d, "orders")
-    totals = S.lines(spark, d).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum("l_extendedprice").alias("estimated"))
+def order_events(spark, d, bound=None) -> DataFrame:
+    """Orders with what their latest lines add up to; ``bound(df, day column)``
+    restricts the orders, and so the lines, before any sum or join."""
+    o, li = S.table(spark, d, "orders").withColumn("event_date", F.to_date("o_orderdate")), S.lines(spark, d)
+    if bound:
+        o = bound(o, "event_date")
+        li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    totals = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_extendedprice").alias("estimated"))
     return (o.join(totals, "o_orderkey", "left")
-            .select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("event_date"),
-                    F.col("o_totalprice").alias("actual"), "estimated"))
+            .select("o_orderkey", "o_custkey", "event_date", F.col("o_totalprice").alias("actual"), "estimated"))
 
 
 @query("fact_event", f"""
@@ -100,7 +104,11 @@ select cast(strftime(e.event_date, '%Y%m%d') as integer) as date_key, dc.custome
 from e {_pit_sql('e', 'o_custkey', 'event_date')}
 """)
 def fact_event_q(spark, d):
-    e = order_events(spark, d)
+    return fact_event(spark, d)
+
+
+def fact_event(spark, d, bound=None) -> DataFrame:
+    e = order_events(spark, d, bound)
     facts = pit_join(e, _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("event_date").alias("date_key"), "customer_key", "o_orderkey", "o_custkey",
                         "event_date", "actual", "estimated",
@@ -108,6 +116,27 @@ def fact_event_q(spark, d):
                         (F.col("actual") / F.nullif(F.col("estimated"), F.lit(0.0))).alias("surprise_ratio"))
 
 
+# Fixed value: events come in late and are revised for a quarter.
+EVENT_LOOKBACK_DAYS = 90
+
+
+def incremental_fact(spark, name: str, build, keys: list[str], day: str, cutoff: str = "2000-06-30") -> DataFrame:
+    """A fact kept as a year-partitioned table: built up to ``cutoff``, then an
+    increment of the events within the lookback of the stored maximum. The
+    bounds are put on the sources by ``build(bound)``."""
+    path, year = scratch_path(spark, name), F.trunc(day, "YEAR")
+    first = build(lambda df, c: df.filter(F.col(c) < F.lit(cutoff).cast("date")))
+    write_partitions(first, path, year)
+    stored = read_partitions(spark, path, first.schema)
+    merge_partitions(path, build(lambda df, c: lookback_filter(df, stored, c, EVENT_LOOKBACK_DAYS, day)), keys, year)
+    return read_partitions(spark, path, first.schema)
+
+
+@query("fact_event_incremental", registry.ORACLE["fact_event"])
+def fact_event_incremental_q(spark, d):
+    return incremental_fact(spark, "fact_event", lambda bound: fact_event(spark, d, bound), ["o_orderkey"], "event_date")
+
+
 STATEMENT_KEYS = ["symbol", "fiscalYear", "period"]
 INCOME_MEASURES = ["revenue", "order_count", "max_price"]
 SHIPPING_MEASURES = ["shipped_quantity", "shipped_value", "avg_discount"]
@@ -203,16 +232,59 @@ select cast(strftime(x.transaction_date, '%Y%m%d') as integer) as date_key, dc.c
 from x {_pit_sql('x', 'issuer_key', 'transaction_date')}
 """)
 def fact_line_q(spark, d):
+    return fact_line(spark, d)
+
+
+def fact_line(spark, d, bound=lambda df, day: df) -> DataFrame:
     o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("issuer_key"))
-    x = (S.lines(spark, d).join(o, "l_orderkey")
+    # the latest line decides the day, so the bound follows its dedup
+    lines = bound(S.lines(spark, d).withColumn("transaction_date", F.to_date("l_shipdate")), "transaction_date")
+    x = (lines.join(o, "l_orderkey")
          .select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("transaction_table"),
-                 F.col("l_linenumber").alias("line_index"), "issuer_key",
-                 F.to_date("l_shipdate").alias("transaction_date"), F.col("l_quantity").alias("shares")))
+                 F.col("l_linenumber").alias("line_index"), "issuer_key", "transaction_date", F.col("l_quantity").alias("shares")))
     facts = pit_join(x, _dim(spark, d), "issuer_key", "transaction_date", dim_key="o_custkey",
                      attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("transaction_date").alias("date_key"), "customer_key", *x.columns)
 
 
+@query("fact_line_incremental", registry.ORACLE["fact_line"])
+def fact_line_incremental_q(spark, d):
+    return incremental_fact(spark, "fact_line", lambda bound: fact_line(spark, d, bound), ["accession", "line_index"], "transaction_date")
+
+
+# Fixed value: the stand-in's adjusted price is a tenth under the price.
+ADJUSTMENT = 0.9
+
+
+@query("company_month", f"""
+with {DIM}, {FL}, {LINE_TOTALS_SQL},
+s as (select o_custkey, cast(strptime(batch_date, '%Y%m%d') as date) as price_date,
+             o_totalprice as close_price, o_orderpriority from snap),
+f as (select dc.customer_key, s.o_custkey, s.price_date, s.close_price, dc.o_orderpriority as sector, lt.shipped_qty
+      from s left join lt on s.o_custkey = lt.o_custkey and s.price_date = lt.order_date
+      join dim dc on s.o_custkey = dc.o_custkey and s.price_date >= dc.scd_effective_from
+                 and s.price_date < coalesce(dc.scd_effective_to, date '9999-12-31'))
+select arg_max(customer_key, price_date) as customer_key, o_custkey, arg_max(sector, price_date) as sector,
+       cast(strftime(price_date, '%Y%m') as integer) as year_month, min(date_trunc('month', price_date)::date) as month_start_date,
+       arg_min(close_price, price_date) as monthly_open, max(close_price) as monthly_high, min(close_price) as monthly_low,
+       arg_max(close_price, price_date) as monthly_close, arg_max(close_price * {ADJUSTMENT}, price_date) as monthly_adj_close,
+       sum(shipped_qty) as monthly_volume, avg(close_price) as avg_close, count(*) as trading_days
+from f group by o_custkey, cast(strftime(price_date, '%Y%m') as integer)
+""")
+def company_month_q(spark, d):
+    """Month aggregate of the daily fact, joined to the dimension by its key:
+    month key and start, prices, adjusted close, and the sector of the last
+    day's version (M18)."""
+    facts = fact_daily(spark, d).drop("o_orderpriority").withColumn("adj_close", F.col("close_price") * ADJUSTMENT)
+    dim = S.dimension(spark, d).select("customer_key", F.col("o_orderpriority").alias("sector"))
+    names = {k: f"monthly_{k}" for k in ("open", "high", "low", "close", "volume")} | {"count": "trading_days", "start": "month_start_date"}
+    month = ohlc_rollup(facts.join(dim, "customer_key"), ["o_custkey", month_key("price_date").alias("year_month")], "price_date",
+                        "close_price", "close_price", "close_price", "close_price", "shipped_qty",
+                        {"customer_key": "customer_key", "sector": "sector", "monthly_adj_close": "adj_close"},
+                        F.trunc("price_date", "MM"), names)
+    return month
+
+
 # ---- incremental upserts -------------------------------------------------
 
 # Fixed values of the upsert scenario: the target holds orders before the
@@ -324,19 +396,24 @@ def incremental_table_q(spark, d):
 
 # ---- export --------------------------------------------------------------
 
+def _cells_sql(mart: str, source: str, columns: list[str]) -> str:
+    cells = " || '|' || ".join(f"coalesce(cast({c} as varchar), '')" for c in columns)
+    return f"select '{mart}' as mart, {cells} as cells from {source}"
+
+
+PERIOD_CELLS = ["fiscal_period_key", "symbol", "fiscal_year", "fiscal_period", "period_end_date", "period_end_date_key"]
+DAILY_CELLS = ["date_key", "customer_key", "o_custkey", "price_date", "close_price", "o_orderpriority", "shipped_qty", "shipped_lines"]
+
+
 @query("export_cells", f"""
-with {PERIOD}
-select coalesce(fiscal_period_key, '') as fiscal_period_key, coalesce(cast(symbol as varchar), '') as symbol,
-       coalesce(cast(fiscal_year as varchar), '') as fiscal_year, coalesce(fiscal_period, '') as fiscal_period,
-       coalesce(cast(period_end_date as varchar), '') as period_end_date,
-       coalesce(cast(period_end_date_key as varchar), '') as period_end_date_key
-from period_dim
+with {PERIOD}, daily as ({registry.ORACLE["fact_daily"]})
+{_cells_sql('dim_period', 'period_dim', PERIOD_CELLS)} union all {_cells_sql('fact_daily', 'daily', DAILY_CELLS)}
 """)
 def export_cells_q(spark, d):
-    """A mart as text cells; the files are written as CSV per mart and the
-    written period mart is read back."""
-    marts = {"marts.dim_period": period_dimension(spark, d), "marts.fact_daily": fact_daily(spark, d)}
-    out = scratch_path(spark, "export")
-    paths = export_marts(marts, out)
-    cells = to_cells(marts["marts.dim_period"])
-    return spark.read.schema(cells.schema).option("header", True).csv(paths["dim_period"]).na.fill("")
+    """Marts as text cells, written as CSV per mart; every file is read back,
+    a row's cells joined by a bar."""
+    marts = {"marts.dim_period": period_dimension(spark, d).select(*PERIOD_CELLS), "marts.fact_daily": fact_daily(spark, d).select(*DAILY_CELLS)}
+    paths = export_marts(marts, scratch_path(spark, "export"))
+    back = {tab: spark.read.schema(to_cells(marts[f"marts.{tab}"]).schema).option("header", True).csv(path).na.fill("")
+            for tab, path in paths.items()}
+    return union_all([df.select(F.lit(tab).alias("mart"), F.concat_ws("|", *df.columns).alias("cells")) for tab, df in back.items()])

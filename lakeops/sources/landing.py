@@ -118,6 +118,12 @@ def bronze_frame(raw: DataFrame, record_schema: T.StructType, file_col: Column |
         *ENVELOPE_META, "_source_file", "_loaded_at", "record.*", "_rescued_data")
 
 
+def read_documents(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Batch read of multi-line JSON files under a declared schema: a file holds
+    one document or an array of documents (S7)."""
+    return spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+
+
 def landing_inventory(paths: DataFrame, path_col: str = "path", source: str | None = None,
                       endpoint: str | None = None, key: str | None = None,
                       limit: int | None = None) -> DataFrame:
