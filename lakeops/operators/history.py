@@ -44,11 +44,14 @@ def sequence_bucket(df: DataFrame, sequence: str, buckets: int = 128) -> Column:
     gives a null bucket, which comes first as null sequences do.
     """
     dt, c = df.schema[sequence].dataType, F.col(sequence)
-    if isinstance(dt, T.StringType):
-        row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-        shared = len(os.path.commonprefix([(row["lo"] or "").encode(), (row["hi"] or "").encode()]))
+    cuts = [i / buckets for i in range(1, buckets)]
+
+    def text_code(shared: int) -> Column:
         tail = F.rpad(F.hex(F.substring(c.cast("binary"), shared + 1, 6)), 12, "0")
-        code = F.conv(tail, 16, 10).cast("double")
+        return F.conv(tail, 16, 10).cast("double")
+
+    if isinstance(dt, T.StringType):
+        code = text_code(0)
     elif isinstance(dt, T.DateType):
         code = F.unix_date(c).cast("double")
     elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
@@ -57,8 +60,12 @@ def sequence_bucket(df: DataFrame, sequence: str, buckets: int = 128) -> Column:
         code = c.cast("double")
     else:
         return c
-    bounds = df.agg(F.percentile_approx(code, [i / buckets for i in range(1, buckets)]).alias("b")).first()["b"]
-    bounds = sorted(set(bounds or []))
+    row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile_approx(code, cuts).alias("b")).first()
+    if isinstance(dt, T.StringType) and row["lo"] is not None and (
+            shared := len(os.path.commonprefix([row["lo"].encode(), row["hi"].encode()]))):
+        code = text_code(shared)
+        row = df.agg(F.percentile_approx(code, cuts).alias("b")).first()
+    bounds = sorted(set(row["b"] or []))
     # position among the bounds, by halving
     def place(x: Column, lo: int, hi: int) -> Column:
         if lo == hi:
