@@ -18,7 +18,9 @@ Defined results: a null or empty text (or one of only white space) has no
 ids and decodes to the empty string; null ids decode to the empty string;
 repeated rows give repeated results; an empty table gives an empty table
 with the same schema. Only the named columns are read, so extra columns of
-any name are ignored. Texts are processed whole.
+any name are ignored. Texts are processed whole. Character classes and case
+are those of the installed regex module and Python; the library's own tables
+differ for some characters that Unicode added after version 15.1.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.llm.common import id_text, slices
+from lakeops.llm.common import KeyTable, id_text, slices
 
 #: Words of more parts go to the heap; words of a step are handled together in blocks of ``BLOCK``.
 LONG_WORD, BLOCK = 64, 4096
@@ -66,7 +68,7 @@ class WordBPE:
         merged = [vocab[a + b] for a, b in pairs]
         self.ranks = {vocab[a] << 20 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}  # of a left and a right id
         self.merged = np.array([*merged, 0], "i4")  # rank -> id of the merged part
-        self._index_ranks()
+        self.rank_of = KeyTable(self.ranks, int(NONE))
         chars = _byte_chars()
         self.inner = np.array([vocab[c] for c in chars], "i4")
         self.last = np.array([vocab[c + end] for c in chars], "i4")
@@ -77,40 +79,8 @@ class WordBPE:
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.words: dict = {}
 
-    # -- ranks of many pairs at once --------------------------------------
-
-    def _index_ranks(self) -> None:
-        """An open hash table of the pairs in numpy arrays, for looking up whole columns."""
-        bits = max(4, int(len(self.ranks) * 4).bit_length())
-        self.shift, mask = np.uint64(64 - bits), (1 << bits) - 1
-        keys, values, self.probes = np.full(1 << bits, -1, "i8"), np.full(1 << bits, NONE, "i4"), 1
-        for key, rank in self.ranks.items():
-            at, step = self._slot(key), 1
-            while keys[at] >= 0:
-                at, step = (at + 1) & mask, step + 1
-            keys[at], values[at], self.probes = key, rank, max(self.probes, step)
-        self.keys, self.values = np.append(keys, keys[: self.probes]), np.append(values, values[: self.probes])
-
-    def _slot(self, key):
-        if isinstance(key, int):
-            return (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> int(self.shift)
-        return ((key.astype("u8") * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype("i8")
-
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left.astype("i8") << 20 | right
-        at = self._slot(key)
-        there = self.keys[at]
-        out = np.where(there == key, self.values[at], NONE)
-        open_ = np.flatnonzero((there != key) & (there >= 0))
-        at, key, flat = at.ravel(), key.ravel(), out.ravel()
-        for step in range(1, self.probes):
-            if not len(open_):
-                break
-            there, want = self.keys[at[open_] + step], key[open_]
-            hit = there == want
-            flat[open_[hit]] = self.values[at[open_[hit]] + step]
-            open_ = open_[~hit & (there >= 0)]
-        return out
+        return self.rank_of(left.astype("i8") << 20 | right)
 
     # -- words ------------------------------------------------------------
 

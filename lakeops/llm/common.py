@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of one Arrow slice handled at a time inside a task.
@@ -60,3 +61,34 @@ def filter_rows(df: DataFrame, text_col: str, keeps) -> DataFrame:
                 yield part.filter(pa.array(keep(part.column(at).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+class KeyTable:
+    """64-bit keys (not negative) -> 32-bit values in numpy arrays (open
+    addressing), for looking up whole columns at once."""
+
+    def __init__(self, items: dict[int, int], none: int):
+        bits = max(4, int(len(items) * 4).bit_length())
+        self.shift, mask, self.none = 64 - bits, (1 << bits) - 1, np.int32(none)
+        keys, values, self.probes = np.full(1 << bits, -1, "i8"), np.full(1 << bits, none, "i4"), 1
+        for key, value in items.items():
+            at, step = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> self.shift, 1
+            while keys[at] >= 0:
+                at, step = (at + 1) & mask, step + 1
+            keys[at], values[at], self.probes = key, value, max(self.probes, step)
+        self.keys, self.values = np.append(keys, keys[: self.probes]), np.append(values, values[: self.probes])
+
+    def __call__(self, key: np.ndarray) -> np.ndarray:
+        at = ((key.astype("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype("i8")
+        there = self.keys[at]
+        out = np.where(there == key, self.values[at], self.none)
+        open_ = np.flatnonzero((there != key) & (there >= 0))
+        at, key, flat = at.ravel(), key.ravel(), out.ravel()
+        for step in range(1, self.probes):
+            if not len(open_):
+                break
+            there, want = self.keys[at[open_] + step], key[open_]
+            hit = there == want
+            flat[open_[hit]] = self.values[at[open_[hit]] + step]
+            open_ = open_[~hit & (there >= 0)]
+        return out

@@ -28,14 +28,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.llm.common import filter_rows, held_out, id_text, share_of, slices
+from lakeops.llm.common import KeyTable, filter_rows, held_out, id_text, share_of, slices
+from lakeops.session import materialize
 
 WORDS = regex.compile(r"\p{L}+").findall
 START = "▁"
 #: Probability of a character outside the vocabulary; added count of each piece.
 UNKNOWN, SMOOTH = 1e-7, 0.02
 #: Words up to this length are scored in blocks; longer ones with rescaling.
-SHORT, BLOCK, MEMO_ENTRIES, MEMO_CHARS = 40, 4096, 300_000, 40
+SHORT, BLOCK, MEMO_ENTRIES, MEMO_CHARS = 40, 4096, 200_000, 40
 UND = "und"
 
 
@@ -55,34 +56,69 @@ class LanguageModel:
     probs: np.ndarray      # pieces + 1 x languages
 
     def __post_init__(self):
-        self.trie: dict[str, int] = {}  # a prefix -> row, or -1 if it is no piece itself
-        for i, p in enumerate(self.pieces):
-            for k in range(1, len(p)):
-                self.trie.setdefault(p[:k], -1)
-            self.trie[p] = i + 1
+        node: dict[str, int] = {"": 0}  # of the pieces' trie, by prefix
+        steps: dict[int, int] = {}
+        for p in self.pieces:
+            for k in range(1, len(p) + 1):
+                if p[:k] not in node:
+                    node[p[:k]] = len(node)
+                    steps[node[p[: k - 1]] << 21 | ord(p[k - 1])] = node[p[:k]]
+        self.row = np.zeros(len(node), "i8")  # a node's piece; 0: none
+        self.row[[node[p] for p in self.pieces]] = np.arange(1, len(self.pieces) + 1)
+        self.step, self.reach = KeyTable(steps, -1), max(map(len, self.pieces), default=1)
         self.rows: dict[str, int] = {}  # memo: word -> row of its scores
         self.scores = np.zeros((0, len(self.languages)))
 
     def __reduce__(self):
         return LanguageModel, (self.languages, self.pieces, self.probs)
 
-    def arcs(self, word: str) -> list[tuple[int, int, int]]:
-        """(start, end, row) of every piece in the marked word."""
-        get, out = self.trie.get, []
-        marked = START + word
-        n = len(marked)
-        for i in range(n):
-            one = False
-            for j in range(i + 1, n + 1):
-                row = get(marked[i:j])
-                if row is None:
-                    break
-                if row > 0:
-                    out.append((i, j, row))
-                    one |= j == i + 1
-            if not one:
-                out.append((i, i + 1, 0))
-        return out
+    def lattice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ends of the marked words, and the arcs (end, word, start, row of the
+        piece) of all their cuttings, by end and word. All starts walk down
+        the trie together."""
+        chars = np.frombuffer((START + START.join(words) + START).encode("utf-32-le"), "<u4").astype("i8")
+        size = np.fromiter(map(len, words), "i8", len(words)) + 1
+        first = np.cumsum(size) - size
+        word = np.repeat(np.arange(len(words)), size)
+        at, state = np.arange(len(chars) - 1), np.zeros(len(chars) - 1, "i8")
+        alone = np.ones(len(at), bool)  # no piece of one character
+        found = []
+        for k in range(1, self.reach + 1):
+            # a mark begins the next word, and no piece has one inside
+            state = self.step(state << 21 | chars[at + k - 1]).astype("i8")
+            on = np.flatnonzero(state >= 0)
+            at, state = at[on], state[on]
+            hit = np.flatnonzero(self.row[state])
+            found.append((at[hit], k, self.row[state[hit]]))
+            if k == 1:
+                alone[at[hit]] = False
+            if not len(at):
+                break
+        alone = np.flatnonzero(alone)
+        found.append((alone, 1, np.zeros(len(alone), "i8")))
+        start = np.concatenate([a for a, _, _ in found])
+        row = np.concatenate([r for _, _, r in found])
+        k = word[start]
+        i = start - first[k]
+        j = i + np.repeat([n for _, n, _ in found], [len(a) for a, _, _ in found])
+        order = np.argsort(j * len(words) + k, kind="stable")
+        return size, np.stack([j, k, i, row])[:, order]
+
+    @staticmethod
+    def _sums(n: int, seed: np.ndarray, arcs: np.ndarray, probs: np.ndarray, back: bool) -> np.ndarray:
+        """Forward sums by end (or backward ones by start) of all words."""
+        to, k, of, row = arcs
+        cut = np.searchsorted(-to if back else to, -np.arange(n - 1, -2, -1) if back else np.arange(1, n + 1))
+        for place, a, b in zip(range(n - 2, -1, -1) if back else range(1, n), cut[1:] if back else cut, cut[2:] if back else cut[1:]):
+            if a < b:
+                first = np.flatnonzero(np.diff(k[a:b], prepend=-1))  # arcs of a word stand together
+                seed[place, k[a:b][first]] += np.add.reduceat(seed[of[a:b], k[a:b]] * probs[row[a:b]], first, axis=0)
+        return seed
+
+    def _forward(self, size: np.ndarray, arcs: np.ndarray, probs: np.ndarray) -> np.ndarray:
+        alpha = np.zeros((int(size.max()) + 1, len(size), probs.shape[1]))
+        alpha[0] = 1
+        return self._sums(len(alpha), alpha, arcs, probs, False)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
@@ -93,39 +129,42 @@ class LanguageModel:
             out[i] = self._long(words[i])
         for at in range(0, len(order), BLOCK):
             block = order[at : at + BLOCK]
-            out[block] = np.log(self._forward([words[i] for i in block]))
+            size, arcs = self.lattice([words[i] for i in block])
+            out[block] = np.log(self._forward(size, arcs, self.probs)[size, np.arange(len(block))])
         return out
 
-    def _forward(self, words: list[str]) -> np.ndarray:
-        """Sum over all cuttings: arcs of all words, taken by end position."""
-        ends = np.array([len(w) + 1 for w in words])
-        arcs = [(j, k, i, row) for k, w in enumerate(words) for i, j, row in self.arcs(w)]
-        arcs = np.array(arcs)
-        arcs = arcs[np.argsort(arcs[:, 0], kind="stable")]
-        alpha = np.zeros((int(ends.max()) + 1, len(words), len(self.languages)))
+    def _long(self, word: str) -> np.ndarray:
+        _, (end, _, start, row) = self.lattice([word])
+        cut = np.searchsorted(end, np.arange(1, len(word) + 3)).tolist()
+        alpha, scale = np.zeros((len(word) + 2, len(self.languages))), np.zeros(len(self.languages))
         alpha[0] = 1
-        cut = np.searchsorted(arcs[:, 0], np.arange(1, len(alpha) + 1))
         for j in range(1, len(alpha)):
-            _, k, i, row = arcs[cut[j - 1] : cut[j]].T
-            if len(k):
-                first = np.flatnonzero(np.diff(k, prepend=-1))  # arcs of a word stand together
-                alpha[j, k[first]] = np.add.reduceat(alpha[i, k] * self.probs[row], first, axis=0)
-        return alpha[ends, np.arange(len(words))]
-
-    def _long(self, word: str) -> np.ndarray:
-        by_end: dict[int, list] = {}
-        for i, j, row in self.arcs(word):
-            by_end.setdefault(j, []).append((i, row))
-        reach = max(map(len, self.pieces), default=1)
-        alpha, scale = {0: np.ones(len(self.languages))}, np.zeros(len(self.languages))
-        for j in range(1, len(word) + 2):
-            alpha[j] = sum(alpha[i] * self.probs[row] for i, row in by_end[j])
-            alpha.pop(j - reach - 1, None)
-            if j % 16 == 0:  # bring the whole window back to size
-                top = np.max(list(alpha.values()), axis=0)
+            arcs = slice(cut[j - 1], cut[j])
+            alpha[j] = (alpha[start[arcs]] * self.probs[row[arcs]]).sum(0)
+            if j % 16 == 0:  # bring all that is still needed back to size
+                near = slice(max(0, j - self.reach), j + 1)
+                top = alpha[near].max(0)
                 scale += np.log(top)
-                alpha = {i: a / top for i, a in alpha.items()}
-        return np.log(alpha[len(word) + 1]) + scale
+                alpha[near] /= top
+        return np.log(alpha[-1]) + scale
+
+    def expected(self, words: list[str], times: np.ndarray, lang: int) -> np.ndarray:
+        """Expected uses of each row in the words (forward-backward)."""
+        probs, total = self.probs[:, [lang]], np.zeros(len(self.probs))
+        order = np.argsort(list(map(len, words)), kind="stable")
+        for at in range(0, len(order), BLOCK):
+            block = order[at : at + BLOCK]
+            size, arcs = self.lattice([words[i] for i in block])
+            alpha = self._forward(size, arcs, probs)
+            beta = np.zeros_like(alpha)
+            beta[size, np.arange(len(size))] = 1
+            j, k, i, row = arcs
+            back = np.argsort(-i * len(size) + k, kind="stable")
+            beta = self._sums(len(beta), beta, np.stack([i, k, j, row])[:, back], probs, True)
+            whole = alpha[size, np.arange(len(size)), 0]
+            use = alpha[i, k, 0] * probs[row, 0] * beta[j, k, 0] / np.maximum(whole[k], 1e-300) * times[block][k]
+            total += np.bincount(row, use, len(total))
+        return total
 
     def score_many(self, texts: list) -> list[tuple[str, float]]:
         split = [WORDS(t.lower()) if t else () for t in texts]
@@ -149,21 +188,6 @@ class LanguageModel:
                 self.rows.pop(w, None)
         return out
 
-    def expected(self, word: str, lang: int) -> dict[int, float]:
-        """Expected uses of each row in a word (forward-backward)."""
-        arcs, p, n = self.arcs(word), self.probs[:, lang], len(word) + 1
-        alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
-        for i, j, row in sorted(arcs, key=lambda a: a[1]):
-            alpha[j] += alpha[i] * p[row]
-        for i, j, row in sorted(arcs, key=lambda a: -a[0]):
-            beta[i] += beta[j] * p[row]
-        if not alpha[n]:
-            return {}
-        out: dict[int, float] = {}
-        for i, j, row in arcs:
-            out[row] = out.get(row, 0.0) + alpha[i] * p[row] * beta[j] / alpha[n]
-        return out
-
 
 def fit_language(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 300, max_chars: int = 16_000, max_languages: int = 256, rounds: int = 3) -> LanguageModel:
     """More than ``max_languages`` different values are an error."""
@@ -192,20 +216,21 @@ def fit_language(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
                     yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(words), pa.array(list(seen.values()))], ["lang", "word", "n"])
 
     words = sample.select("text", "lang").mapInArrow(count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words = words.persist()  # a bounded table, made anew from the sample if a block is lost
+    words = materialize(words, "language-words")  # read by every round
     spark, place = df.sparkSession, {lang: i for i, lang in enumerate(languages)}
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)  # the vocabulary's size x languages
 
         def expect(batches):
-            model, total = sent.value, Counter()
+            model, total = sent.value, {}
             for batch in batches:
-                for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-                    for row, x in model.expected(word, place[lang]).items():
-                        total[place[lang], row] += n * x
-            if total:
-                at, rows = zip(*total)
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(rows, pa.int32()), pa.array(list(total.values()))], ["lang", "piece", "n"])
+                lang, word, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                for name in np.unique(lang):
+                    mine = lang == name
+                    total[name] = total.get(name, 0) + model.expected(word[mine].tolist(), n[mine], place[name])
+            for name, uses in total.items():
+                rows = np.flatnonzero(uses)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), place[name], "i4")), pa.array(rows.astype("i4")), pa.array(uses[rows])], ["lang", "piece", "n"])
 
         # no more rows than pieces x languages
         found = words.mapInArrow(expect, "lang int, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
@@ -215,7 +240,6 @@ def fit_language(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         probs = counts / counts[1:].sum(0)
         probs[0] = UNKNOWN
         model = LanguageModel(languages, pieces, probs)
-    words.unpersist()
     return model
 
 
