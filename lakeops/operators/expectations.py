@@ -9,8 +9,8 @@ Three actions, as in declarative pipelines:
 A condition that evaluates to null counts as a violation (``null >= 0`` is
 not a pass). Counting uses ``DataFrame.observe``: the counts are filled in by
 the same job that computes or writes the data, with no second pass. To gate
-a publication, write first, then call ``check`` on the observation, and only
-then switch the table pointer (see ``lakeops.operators.upsert``).
+a publication, write the new rows aside, call ``check`` on the observation,
+and only then overwrite the table (``lakeops.operators.upsert.full_refresh``).
 """
 
 from __future__ import annotations
