@@ -8,7 +8,10 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of one Arrow slice handled at a time inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Rows of an Arrow batch: rows are whole texts, some very long, and a batch
+#: is held by the executor and by its Python worker.
+BATCH_SETTING, BATCH_ROWS, SPARK_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000, "10000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +24,16 @@ def tokenizer(name: str) -> str:
     return os.path.join(where, name)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Ask the session for small Arrow batches, unless it has a setting of its own."""
+    if spark.conf.get(BATCH_SETTING) == SPARK_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, under names of its own, so
     that extra columns can't clash."""
+    small_batches(df.sparkSession)
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -53,6 +63,7 @@ def filter_rows(df: DataFrame, text_col: str, keeps) -> DataFrame:
     import pyarrow as pa
 
     at = df.columns.index(text_col)
+    small_batches(df.sparkSession)
 
     def run(batches):
         keep = keeps()

@@ -21,6 +21,7 @@ read, so extra columns of any name are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -82,21 +83,21 @@ def _sentences(tokens: list[str], ends) -> int:
 def _features(texts: list[str], min_docs: int) -> tuple[list[str], list[np.ndarray], np.ndarray, np.ndarray]:
     """Vocabulary; word ids of all sentences in a row, sentence starts, the document of each sentence."""
     seen: dict[str, int] = {}
-    split = []
     for text in texts:
-        sentences = [s for m in SENTENCES(text.lower()) if (s := set(TOKENS(m.group())))]
-        split.append(sentences)
-        for w in set().union(*sentences):
+        for w in set(TOKENS(text.lower())).difference(ENDS):
             seen[w] = seen.get(w, 0) + 1
     vocabulary = sorted(w for w, n in seen.items() if n >= min_docs)
     ids = {w: i + 1 for i, w in enumerate(vocabulary)}  # 0: the bias
-    flat, starts, doc = [], [], []
-    for d, sentences in enumerate(split):
-        for s in sentences:
-            starts.append(len(flat))
-            doc.append(d)
-            flat += [0, *(ids[w] for w in s if w in ids)]
-    return vocabulary, np.array(flat, "i8"), np.array(starts, "i8"), np.array(doc, "i8")
+    # numbers only, not the sentences' words: the sample may be tens of MB
+    flat, starts, doc = array("i"), array("i"), array("i")
+    for d, text in enumerate(texts):
+        for m in SENTENCES(text.lower()):
+            if words := TOKENS(m.group()):
+                starts.append(len(flat))
+                doc.append(d)
+                flat.append(0)
+                flat.extend({ids[w] for w in words if w in ids})
+    return vocabulary, np.frombuffer(flat, "i4"), np.frombuffer(starts, "i4"), np.frombuffer(doc, "i4")
 
 
 def fit_noisy_or(texts: list[str], labels: np.ndarray, weight: np.ndarray, min_docs: int = 3, steps: int = 300, l1: float = 0.5, l2: float = 0.02) -> ToxicityModel:
@@ -119,7 +120,7 @@ def fit_noisy_or(texts: list[str], labels: np.ndarray, weight: np.ndarray, min_d
     w[0] = np.log(max(share, 1e-6) / 2)
     w[1] = np.log(max(share, 1e-6) / max(per_doc.mean(), 1.0)) - 2
     # words start at the log ratio of their shares of toxic and clean documents
-    pairs = np.unique(np.repeat(doc, size) * len(w) + flat)
+    pairs = np.unique(np.repeat(doc.astype("i8"), size) * len(w) + flat)
     at, toxic = pairs % len(w), labels[pairs // len(w)] == 1
     here = [np.bincount(at[x], weight[pairs // len(w)][x], len(w) - 1)[1:] for x in (toxic, ~toxic)]
     pos, neg = float(weight[labels == 1].sum()), float(weight[labels == 0].sum())
@@ -157,7 +158,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     y = np.array([r.label for r in sample])
     seen = np.bincount(y, minlength=2) if len(y) else np.zeros(2)
     weight = np.array([count[k] / seen[k] for k in y])
-    return fit_noisy_or([r.text for r in sample], y, weight)
+    texts = [r.text for r in sample]
+    del sample
+    return fit_noisy_or(texts, y, weight)
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
