@@ -57,6 +57,21 @@ def share_of(id_col: str, share) -> F.Column:
     return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000
 
 
+def gathered(batches, rows: int = 50_000):
+    """Batches of short rows put together, for steps that work by column."""
+    import pyarrow as pa
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def filter_rows(df: DataFrame, text_col: str, keeps) -> DataFrame:
     """The rows whose text passes, all columns as they are. ``keeps`` makes,
     once a task, a function from a list of texts to a list of booleans."""

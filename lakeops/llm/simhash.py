@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakeops.llm.common import id_text, slices
+from lakeops.llm.common import gathered, id_text, slices
 from lakeops.llm.components import connected_components
 from lakeops.session import materialize
 
@@ -120,7 +120,7 @@ def _bucket_links(buckets: DataFrame, radius: int) -> DataFrame:
         def close():
             return _forest(np.unique(np.concatenate(kept)), radius) if kept else []
 
-        for batch in batches:
+        for batch in gathered(batches):
             key, fp = (c.to_numpy() for c in batch.columns)
             if not len(key):
                 continue
