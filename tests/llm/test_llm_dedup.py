@@ -191,3 +191,28 @@ def test_exact_passages_of_the_test_data(spark, small_docs):
             later.add(d.doc_id)
         seen.update(dict.fromkeys(runs, d.doc_id))
     assert later <= {r.doc_id for r in duplicate_passages(small_docs).collect()}
+
+
+def spans(rows):
+    out = defaultdict(list)
+    for r in rows:
+        out[r.doc_id, r.source_id].append((r.start, r.end))
+    return out
+
+
+def test_frequent_lines_inside_shared_passages(spark):
+    """Passages that are made of, or hold, lines that stand alone in many other documents between."""
+    rng = random.Random(21)
+    lines = [prose(rng, rng.randint(12, 24)) for _ in range(6)]
+    texts, want = {}, set()
+    for k in range(8):
+        x, y = rng.sample(lines, 2)
+        shared = [*x, *y, *rng.choice(lines)] if k % 2 else [*prose(rng, 20), *x, *prose(rng, 16)]
+        shared += prose(rng, max(0, 50 - len(shared)))
+        for i in (k, 900 + k):
+            texts[i] = prose(rng, 30) + shared + prose(rng, 30)
+        want.add((900 + k, k))
+    for i in range(100, 400):
+        texts[i] = [w for x in rng.sample(lines, 3) for w in prose(rng, 40) + x]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    assert want <= set(spans(duplicate_passages(df).collect()))
