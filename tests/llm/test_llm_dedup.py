@@ -216,3 +216,16 @@ def test_frequent_lines_inside_shared_passages(spark):
         texts[i] = [w for x in rng.sample(lines, 3) for w in prose(rng, 40) + x]
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
     assert want <= set(spans(duplicate_passages(df).collect()))
+
+
+def test_every_copy_inside_a_document(spark):
+    """A later document with three copies, also beside a refrain that stands before, within and after the passage."""
+    rng = random.Random(22)
+    passage, refrain = prose(rng, 60), prose(rng, 8)
+    held = prose(rng, 30) + refrain + prose(rng, 30)
+    texts = {1: prose(rng, 40) + passage + prose(rng, 40), 2: [w for _ in range(3) for w in prose(rng, 70) + passage],
+             3: refrain + prose(rng, 60) + held + prose(rng, 60) + refrain, 4: refrain + prose(rng, 20) + refrain + held + prose(rng, 90) + refrain}
+    got = spans(duplicate_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect())
+    assert got.keys() == {(2, 1), (4, 3)}
+    assert all(any(a <= at and at + 60 <= b for a, b in got[2, 1]) for at in (70, 200, 330))
+    assert any(a <= 36 and 104 <= b for a, b in got[4, 3])
