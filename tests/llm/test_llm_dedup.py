@@ -229,3 +229,17 @@ def test_every_copy_inside_a_document(spark):
     assert got.keys() == {(2, 1), (4, 3)}
     assert all(any(a <= at and at + 60 <= b for a, b in got[2, 1]) for at in (70, 200, 330))
     assert any(a <= 36 and 104 <= b for a, b in got[4, 3])
+
+
+def test_recall_of_edited_passages(spark):
+    """Passages of 50 to 60 words with similarity 0.8 or little more."""
+    rng = random.Random(23)
+    texts, n = {}, 600
+    for k in range(n):
+        size = rng.randint(50, 60)
+        shared = prose(rng, size)
+        edited = list(shared)
+        edited[rng.randint(8, size - 9)] = "changed"
+        texts[k], texts[1000 + k] = prose(rng, 20) + shared + prose(rng, 20), prose(rng, 30) + edited + prose(rng, 10)
+    got = spans(duplicate_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect())
+    assert sum((1000 + k, k) in got for k in range(n)) >= 0.99 * n
