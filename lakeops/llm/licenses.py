@@ -2,11 +2,12 @@
 
 A text's words (letters and digits, lower-cased) are laid out as shingles of
 five. For every size class of templates the text is covered by windows of the
-template's size and a quarter more, a quarter apart, so that an occurrence
-lies whole in a window. Window and template have ``bands`` of ``rows``
-min-hashes each; an occurrence with similarity J meets its template in a band
-with probability 1 - (1 - J^rows)^bands, and in several windows: over 0.999 a
-window at J = 0.75, the least for a whole template in its window. A met pair
+class's size and a quarter more, a quarter apart, so that an occurrence lies
+whole in a window. Window and template have bands of ``rows`` min-hashes each;
+an occurrence with similarity J meets its template in a band with probability
+1 - (1 - J^rows)^bands. A window that holds the share c (the containment) of a
+template's s shingles has J >= c s / (span + s - c s), 0.4 to 1 by class; each
+class has as many bands as meet that J with 0.999 in a window. A met pair
 is verified exactly: at least ``containment`` of the template's shingles stand
 in the window (a template of fewer than five words is one shingle of all its
 words).
@@ -23,6 +24,7 @@ ignored. Texts are scanned whole.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -66,14 +68,13 @@ class Templates:
 
     names: list
     texts: list
-    bands: int
+    bands: int | None  # derived from the containment, if None
     rows: int
+    containment: float = 0.8
 
     def __post_init__(self):
         memo = WordHashes()
         self.classes: dict[tuple[int, int], list] = {}  # (words in a shingle, size) -> templates
-        seeds = _mix(np.arange(1, 2 * self.bands * self.rows + 1, dtype="u8") * np.uint64(0xD6E8FEB86659FD93)).astype("u4")
-        self.seeds = [(s, m | np.uint32(1)) for s, m in zip(seeds[::2], seeds[1::2])]
         for i, text in enumerate(self.texts):
             words = np.array([memo[w] for w in WORDS(text.lower())], "u8")
             if not len(words):
@@ -84,12 +85,16 @@ class Templates:
             # classes a quarter apart, so that a class's windows suit its templates
             grade = next(g for g in _grades() if g >= size)
             self.classes.setdefault((of, grade), []).append((i, found))
+        self.bands_of = {cls: self.bands or max(_bands_for(len(found), _layout(cls[1])[1], self.containment, self.rows) for _, found in templates) for cls, templates in self.classes.items()}
+        self.most = max(self.bands_of.values(), default=0)
+        seeds = _mix(np.arange(1, 2 * self.most * self.rows + 1, dtype="u8") * np.uint64(0xD6E8FEB86659FD93)).astype("u4")
+        self.seeds = [(s, m | np.uint32(1)) for s, m in zip(seeds[::2], seeds[1::2])]
         # per class and band: the first rows' values (and a table of their upper
         # halves, for whole columns at once), and the templates of each whole band
         self.first: dict[tuple, tuple] = {}
         self.bucket: dict[tuple, dict] = {}
         for cls, templates in self.classes.items():
-            for b in range(self.bands):
+            for b in range(self.bands_of[cls]):
                 bucket: dict[tuple, list] = {}
                 for t, (_, found) in enumerate(templates):
                     bucket.setdefault(self._band(_short(found), b), []).append(t)
@@ -117,9 +122,9 @@ class Templates:
                 continue
             short = _short(base)
             asked: set[tuple] = set()
-            for b in range(self.bands):
+            for b in range(self.most):
                 h = self._hash(short, b * self.rows)
-                for cls in [c for c in self.classes if c[0] == of]:
+                for cls in [c for c in self.classes if c[0] == of and b < self.bands_of[c]]:
                     least = _windows(h, cls[1])
                     upper, values = self.first[cls, b]
                     near = np.flatnonzero(upper[least >> np.uint32(16)])
@@ -149,6 +154,14 @@ class Templates:
         return out
 
 
+def _bands_for(size: int, span: int, containment: float, rows: int, miss: float = 0.001) -> int:
+    """Bands that meet a template of ``size`` shingles in a window of ``span``
+    that holds no more of it than the containment."""
+    held = min(size, span, max(1, math.ceil(containment * size - 1e-9)))
+    like = held / (span + size - held)
+    return 1 if like >= 1 else max(1, math.ceil(math.log(miss) / math.log(1 - like**rows)))
+
+
 def _short(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype("u4")
 
@@ -187,13 +200,13 @@ def _merged(hits: list) -> list:
     return [tuple(x) for x in out]
 
 
-def scan_licenses(df: DataFrame, templates: dict[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text", bands: int = 12, rows: int = 2, containment: float = 0.8) -> DataFrame:
+def scan_licenses(df: DataFrame, templates: dict[str, str] = NOTICES, id_col: str = "doc_id", text_col: str = "text", bands: int | None = None, rows: int = 1, containment: float = 0.8) -> DataFrame:
     """(id, template, start_word, end_word, containment), one row per match."""
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     src = id_text(df, id_col, text_col).where("text is not null")
     kind = src.schema[0].dataType.simpleString()
-    sent = df.sparkSession.sparkContext.broadcast(Templates(list(templates), list(templates.values()), bands, rows))
+    sent = df.sparkSession.sparkContext.broadcast(Templates(list(templates), list(templates.values()), bands, rows, containment))
 
     def run(batches):
         found, memo = sent.value, WordHashes()

@@ -164,3 +164,20 @@ def test_vector_edges(spark):
     few = df.where("vec_id in (0, 1, 2, 420)")
     assert sorted((r.query_id, r.vec_id) for r in vectors.search(few, F.col("id") % 20 == 0).collect()) == [(0, 1), (0, 2)]
     assert vectors.search(df.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_edited_notices_equal_brute_force(spark):
+    """Hundreds of copies with words changed at random, about the least containment."""
+    rng = random.Random(31)
+    noise = lambda k: [f"n{rng.randint(0, 99_999)}" for _ in range(k)]
+    texts = {}
+    for notice in NOTICES.values():
+        for _ in range(90):
+            words = WORDS(notice.lower())
+            for k in rng.sample(range(len(words)), min(len(words) // 20 + 1, rng.randint(0, 2))):
+                words[k] = "other"
+            texts[len(texts)] = " ".join([*noise(rng.randint(60, 200)), *words, *noise(rng.randint(60, 200))])
+    got = {i: set() for i in texts}
+    for r in scan_licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect():
+        got[r.doc_id].add(r.template)
+    assert got == {i: brute_licenses(t) for i, t in texts.items()}
