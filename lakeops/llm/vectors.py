@@ -11,7 +11,10 @@ the radius. The retrieved vectors are reranked by their exact inner products.
 
 ``fit_codes`` learns rotation and radius on a bounded sample of about
 ``sample`` vectors: the radius is the smallest one that holds ``target`` of the
-neighbours that the sample stands for. Every vector is indexed.
+neighbours that the sample stands for. Every vector is indexed. Queries that
+find fewer than k within the radius, over all shards, are asked again with a
+wider one, up to all bits, so that fewer than k are returned only if there are
+fewer candidates.
 
 Scale: vectors are dealt into shards of about ``shard_rows`` by hash, queries
 into blocks of about ``block_rows``; each pair of shard and block is one
@@ -145,20 +148,18 @@ def search(df: DataFrame, queries: F.Column, k: int = 20, id_col: str = "vec_id"
     spark = df.sparkSession
     vectors = materialize(usable_vectors(df, id_col, vec_col), "vectors")
     kind = vectors.schema["id"].dataType.simpleString()
-    asked = vectors.where(queries).groupBy("id").agg(F.min("vec").alias("vec"))
+    asked = vectors.where(queries).groupBy("id").agg(F.min("vec").alias("vec"), F.count("*").alias("own"))
     codes = fit_codes(vectors, k, sample, target)
     schema = f"query_id {kind}, vec_id {kind}, score double"
     if codes is None:
         return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
-    n, n_asked = vectors.count(), asked.count()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_asked // block_rows))
+    n = vectors.count()
+    shards = max(1, -(-n // shard_rows))
     sent = spark.sparkContext.broadcast(codes)  # a rotation: dims x bits
     deal = lambda df, name, parts: df.withColumn(name, F.pmod(F.xxhash64("id", "vec", F.lit(name)), F.lit(parts)))
     spread = lambda df, name, parts: df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
-    left = spread(deal(vectors, "shard", shards), "block", blocks)
-    right = spread(deal(asked, "block", blocks), "shard", shards)
 
-    def best(vecs: pa.Table, asks: pa.Table) -> pa.Table:
+    def best(vecs: pa.Table, asks: pa.Table, radius: int) -> pa.Table:
         codes = sent.value
         ids, x = vecs.column("id").to_numpy(), _rows(vecs.column("vec"), codes.dims)
         qids, q = asks.column("id").to_numpy(), _rows(asks.column("vec"), codes.dims)
@@ -166,7 +167,7 @@ def search(df: DataFrame, queries: F.Column, k: int = 20, id_col: str = "vec_id"
         if len(ids) and len(qids):
             index, probes = SubstringIndex(codes.of_vectors(x)), codes.of_queries(q)
             for qid, vec, code in zip(qids, q, probes):
-                rows = index.within(code, codes.radius)
+                rows = index.within(code, radius)
                 rows = rows[ids[rows] != qid]
                 rough = x[rows] @ vec
                 if len(rows) > k:
@@ -177,6 +178,27 @@ def search(df: DataFrame, queries: F.Column, k: int = 20, id_col: str = "vec_id"
         cols = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
         return pa.table([pa.array(cols[0], vecs.schema.field("id").type), pa.array(cols[1], vecs.schema.field("id").type), pa.array(cols[2], pa.float64())], names=["query_id", "vec_id", "score"])
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(best, schema)
+    def probe(asked: DataFrame, radius: int) -> DataFrame:
+        blocks = max(1, -(-asked.count() // block_rows))
+        left = spread(deal(vectors, "shard", shards), "block", blocks)
+        right = spread(deal(asked.select("id", "vec"), "block", blocks), "shard", shards)
+        return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(lambda vecs, asks: best(vecs, asks, radius), schema)
+
+    # queries that found too few are asked again, with twice the radius: a handful of rounds
+    radius, bits = codes.radius, codes.rotation.shape[1]
+    asked, whole = materialize(asked, "asked"), []
+    while True:
+        found = materialize(probe(asked, radius), "nearest")
+        if radius >= bits:
+            break
+        got = found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("got"))
+        few = F.coalesce("got", F.lit(0)) < F.least(F.lit(k), F.lit(n) - F.col("own"))
+        short = materialize(asked.join(got, "id", "left").where(few).drop("got"), "asked-again")
+        if short.isEmpty():
+            break
+        whole.append(found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti"))
+        asked, radius = short, min(bits, 2 * radius + 1)
+    for part in whole:
+        found = found.unionByName(part)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -166,6 +166,16 @@ def test_vector_edges(spark):
     assert vectors.search(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_every_query_has_its_rows(spark):
+    """Most vectors in tight groups of copies, and outliers that ask."""
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((12, 16))
+    x = np.concatenate([np.repeat(centres, 60, axis=0) + 1e-4 * rng.standard_normal((720, 16)), 3 * rng.standard_normal((12, 16))])
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<float>")
+    got = vectors.search(df, (F.col("id") >= 720) | (F.col("id") % 100 == 0), k=20, shard_rows=200).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == dict.fromkeys([*range(0, 720, 100), *range(720, 732)], 20)
+
+
 def test_edited_notices_equal_brute_force(spark):
     """Hundreds of copies with words changed at random, about the least containment."""
     rng = random.Random(31)
