@@ -404,7 +404,7 @@ def map_documents(spark, d) -> DataFrame:
     doc = F.struct(F.col("l_orderkey").cast("string").alias("_ticker"),
                    F.lit("20240101").alias("_batch_date"),
                    F.struct(F.col("series").alias("Time Series (Daily)")).alias("data"))
-    return g.select("l_orderkey", doc.alias("doc"))
+    return g.select("l_orderkey", "page", doc.alias("doc"))
 
 
 MAP_ROWS_SQL = f"""
@@ -423,14 +423,20 @@ def map_payload_to_rows_q(spark, d):
     return _map_rows(text.select(F.from_json("value", MAP_SCHEMA).alias("doc")))
 
 
+def feed_files(docs: DataFrame) -> DataFrame:
+    """(block, page, value): the text of one file for a page of a thousand orders."""
+    files = docs.groupBy(F.floor(F.col("l_orderkey") / 1000).alias("block"), "page").agg(F.collect_list("doc").alias("docs"))
+    return files.select("block", "page", F.to_json("docs", {"pretty": "true"}).alias("value"))
+
+
 @query("second_feed_files", MAP_ROWS_SQL)
 def second_feed_files_q(spark, d):
     """The same feed from landing files: pretty-printed JSON arrays of
-    documents (a thousand orders a file), read in multi-line mode under the
-    declared schema."""
+    documents (a page of a thousand orders a file, so that no file holds more
+    than a thousand documents), read in multi-line mode under the declared
+    schema."""
     root = scratch_path(spark, "second-feed")
-    docs = map_documents(spark, d).groupBy(F.floor(F.col("l_orderkey") / 1000).alias("page")).agg(F.collect_list("doc").alias("docs"))
-    docs.select("page", F.to_json("docs", {"pretty": "true"}).alias("value")).write.partitionBy("page").text(root)
+    feed_files(map_documents(spark, d)).write.partitionBy("block", "page").text(root)
     docs = read_documents(spark, root, spark.createDataFrame([], f"doc {MAP_SCHEMA}").schema["doc"].dataType)
     return _map_rows(docs.select(F.struct(*docs.columns).alias("doc")))
 

@@ -254,3 +254,16 @@ def test_envelopes_are_paged_for_a_hot_key(spark):
     assert sizes == [500, 1000, 1000]
     first = env.orderBy(F.col("data")[0]["n"]).first()
     assert [x.n for x in first.data[:3]] == [0, 1, 2]
+
+
+def test_second_feed_files_are_bounded(spark, monkeypatch, tmp_path):
+    """An order of 200 pages: no file holds more than a thousand documents."""
+    from lakeops.plans import core
+    entry = "map('1', named_struct(" + ", ".join(f"'{f}', '1'" for f in core.OHLCV_FIELDS) + "))"
+    doc = f"named_struct('_ticker', string(l_orderkey), '_batch_date', '20240101', 'data', named_struct('Time Series (Daily)', {entry}))"
+    docs = spark.range(1, 201).selectExpr("7L as l_orderkey", "id as page").union(spark.range(2000).selectExpr("id", "0L"))
+    monkeypatch.setattr(core, "map_documents", lambda spark, d: docs.selectExpr("l_orderkey", "page", f"{doc} as doc"))
+    monkeypatch.setattr(core, "scratch_path", lambda spark, name: str(tmp_path / name))
+    assert core.second_feed_files_q(spark, "").count() == 2000
+    files = [json.loads(p.read_text()) for p in tmp_path.rglob("*.txt")]
+    assert sum(map(len, files)) == 2200 and max(map(len, files)) <= 1000
