@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of one Arrow slice handled at a time inside a task.
@@ -19,9 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tokenizer(name: str) -> str:
-    """Place of a public tokenizer file (``TOKENIZER_DIR`` overrides the installed one)."""
-    where = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-    return os.path.join(where, name)
+    """Place of a public tokenizer file."""
+    return public_tokenizers.path(name)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -5,9 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from llm_edges import EDGES  # noqa: E402
+from llm_edges import EDGES, SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
 
 
 
