@@ -6,10 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from lakeops.session import get_session
@@ -18,8 +14,3 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeops-test-ckpt-"))
     yield s
 
-
-def rows(df, *cols):
-    """Sorted list of tuples (for order-insensitive comparison)."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -5,7 +5,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.operators.history import dimension_view, scd2_history
 
 SCHEMA = "k string, seq string, a string, b int, u double"

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.operators.latest import latest_by_key, sorted_limit, top_n_by_key
 
 

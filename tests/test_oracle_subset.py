@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 import oracle_compare as OC  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from lake_helpers import SF_SMALL  # noqa: E402
 
 # the training-data operators' queries have tests of their own
 KEYS = sorted(k for k in E.oracle_sql() if not k.startswith("op"))

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.operators.pit import pit_join
 
 STRATEGIES = ["range", "bucketed", "window"]

@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.operators.history import scd2_history
 from lakeops.operators.latest import latest_by_key
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.operators import contracts as C
 from lakeops.operators.audit import coverage_matrix, reconcile
 from lakeops.operators.expectations import (ExpectationFailed, apply_expectations, check, expect, expect_or_drop,

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.operators.reshape import expand_struct, explode_records, map_to_rows, union_all, unpivot
 from lakeops.operators.rollups import ohlc_rollup
 

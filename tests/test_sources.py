@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.functions import calendar as cal
 from lakeops.sources import documents as X
 from lakeops.sources.landing import bronze_frame, landing_inventory

@@ -1,6 +1,6 @@
 import random
 
-from conftest import rows
+from lake_helpers import rows
 from lakeops.operators.history import scd2_history
 from lakeops.streaming.scd2 import StreamingSCD2
 

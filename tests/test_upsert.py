@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from lake_helpers import rows
 from pyspark.sql import functions as F
 
 from lakeops.operators.upsert import (full_refresh, incremental_build, lookback_filter, merge_partitions, merge_upsert,
