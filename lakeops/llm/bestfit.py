@@ -28,28 +28,35 @@ so extra columns of any name are ignored. Texts are packed whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from bisect import bisect_left, insort
+from itertools import accumulate, chain, compress, count, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lakeops.llm.common import id_text, slices
+from lakeops.llm.bpe import NONE, WordBPE, _byte_chars
+from lakeops.llm.common import KeyTable, id_text, slices
 from lakeops.session import scratch_path
 
 #: Words kept in a worker's memo, and the longest of them.
-MEMO_ENTRIES, MEMO_CHARS = 300_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 600_000, 48
+#: Rows of (length, task) that are broadcast (24 bytes each); more are joined by a shuffle.
+MOST_SENT = 1_000_000
 #: Characters below are split by one compiled pattern; a text with others goes to the library whole.
 PLAIN = 0x250
 
 
-class ByteBPE:
-    """Ids of texts by the tokenizers library for a byte-level vocabulary.
-    The library's own word split is repeated here, so that it sees each
-    word once; texts with special tokens or unusual letters it gets whole."""
+class ByteBPE(WordBPE):
+    """Ids of texts as the tokenizers library gives them for a byte-level
+    vocabulary. Its word split is repeated here, and unseen words are merged
+    all together by rank arrays (``lakeops.llm.bpe``); texts with special
+    tokens or unusual letters go to the library whole."""
 
     def __init__(self, spec: str):
         import regex
@@ -59,35 +66,47 @@ class ByteBPE:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        size = self.library.get_vocab_size()
-        self.width = "<u2" if size <= 1 << 16 else "<u4"
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        model = json.loads(spec)["model"]
+        vocab, pairs = model["vocab"], [p if isinstance(p, list) else p.split(" ") for p in model["merges"]]
+        self.ranks = {vocab[a] << 20 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = np.array([*(vocab[a + b] for a, b in pairs), 0], "i4")
+        self.rank_of = KeyTable(self.ranks, int(NONE))
+        self.inner = self.last = np.array([vocab[c] for c in _byte_chars()], "i4")  # no word ends here
+        self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         kind = {c: "".join(re.escape(chr(x)) for x in range(PLAIN) if regex.match(p, chr(x))) for c, p in (("L", r"\p{L}"), ("N", r"\p{N}"), ("S", r"\p{White_Space}"))}
         # the split that the byte-level pre-tokenizer documents, its classes written out
         split = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
-        self.words = re.compile(split.format(**kind)).findall
-        self.whole = re.compile("|".join([f"[^\\x00-{chr(PLAIN - 1)}]", *map(re.escape, special)])).search
-        self.memo: dict[str, bytes] = {}
+        self.split = re.compile(split.format(**kind)).findall
+        self.unusual = re.compile(f"[^\\x00-{chr(PLAIN - 1)}]").search
+        self.words: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _odd(self, text: str) -> bool:
+        """Whether a text is left to the library."""
+        return any(t in text for t in self.special) or not text.isascii() and self.unusual(text) is not None
 
     def encode_many(self, texts: list) -> list[bytes]:
         """Ids of each text, little-endian, two or four bytes each."""
-        memo = self.memo
+        memo = self.words
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
-        odd = [bool(t) and self.whole(t) is not None for t in texts]
-        split = [() if not t or o else self.words(t) for t, o in zip(texts, odd)]
-        new = list(set().union(*split).difference(memo))
-        memo.update(zip(new, self._library(new)))
-        out = [b"".join(map(memo.__getitem__, w)) for w in split]
-        for w in new:
-            if len(w) > MEMO_CHARS:
-                del memo[w]
-        at = [i for i, o in enumerate(odd) if o]
-        for i, ids in zip(at, self._library([texts[i] for i in at])):
-            out[i] = ids
+        odd = [bool(t) and self._odd(t) for t in texts]
+        split = [() if not t or o else self.split(t) for t, o in zip(texts, odd)]
+        words = list(chain.from_iterable(split))
+        found = list(map(memo.get, words))
+        unseen = list(compress(count(), map(is_, found, repeat(None))))
+        if unseen:
+            new = {words[i] for i in unseen}
+            self._add_words(new)
+            for i in unseen:
+                found[i] = memo[words[i]]
+            for w in new:
+                if len(w) > MEMO_CHARS:
+                    del memo[w]
+        ends = list(accumulate(map(len, split)))
+        out = [np.frombuffer(b"".join(found[a:b]), "<u4").astype(self.width).tobytes() for a, b in zip([0, *ends], ends)]
+        for i in [i for i, o in enumerate(odd) if o]:
+            out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, self.width).tobytes()
         return out
 
 
@@ -263,6 +282,8 @@ def pack_best_fit(df: DataFrame, tokenizer_path: str, end_id: int, length: int =
     runs = spark.sparkContext.broadcast(plan(counts)[0])
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     ahead = each.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    if each.count() <= MOST_SENT:  # few tasks: the ids needn't be shuffled for it
+        ahead = F.broadcast(ahead)
     numbered = pieces.join(ahead, ["length", "task"]).select("id", "piece", "start", "length", (F.col("place") + F.col("ahead")).alias("number"), "ids")
     width = _coder(spec.value).width
 
