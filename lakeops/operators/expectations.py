@@ -49,6 +49,24 @@ def expect_or_fail(name: str, condition: str) -> Expectation:
     return Expectation(name, condition, "fail")
 
 
+def violation_counts(rules: Sequence[Expectation]) -> list[Column]:
+    """Aggregates to observe: ``rows`` and each rule's violations."""
+    return [F.count(F.lit(1)).alias("rows"), *(F.count_if(~r.passed()).alias(r.name) for r in rules)]
+
+
+def guarded(df: DataFrame, rules: Sequence[Expectation], guard_fail: bool = True) -> DataFrame:
+    """Without the rows that a ``drop`` rule removes; with ``guard_fail`` a row
+    that violates a ``fail`` rule raises inside the job."""
+    for r in rules:
+        if r.action == "fail" and guard_fail:
+            df = df.filter(F.when(r.passed(), F.lit(True)).otherwise(
+                F.raise_error(F.lit(f"expectation {r.name} failed: {r.condition}"))))
+    for r in rules:
+        if r.action == "drop":
+            df = df.filter(r.passed())
+    return df
+
+
 def apply_expectations(df: DataFrame, rules: Sequence[Expectation],
                        guard_fail: bool = True) -> tuple[DataFrame, Observation]:
     """Attach the rules to ``df``.
@@ -58,17 +76,7 @@ def apply_expectations(df: DataFrame, rules: Sequence[Expectation],
     With ``guard_fail`` a failing row also raises inside the job.
     """
     obs = Observation(f"expect_{uuid.uuid4().hex[:8]}")
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += [F.count_if(~r.passed()).alias(r.name) for r in rules]
-    out = df.observe(obs, *metrics)
-    for r in rules:
-        if r.action == "fail" and guard_fail:
-            out = out.filter(F.when(r.passed(), F.lit(True)).otherwise(
-                F.raise_error(F.lit(f"expectation {r.name} failed: {r.condition}"))))
-    drops = [r.passed() for r in rules if r.action == "drop"]
-    for cond in drops:
-        out = out.filter(cond)
-    return out, obs
+    return guarded(df.observe(obs, *violation_counts(rules)), rules, guard_fail), obs
 
 
 def check(obs: Observation, rules: Sequence[Expectation]) -> dict:

@@ -61,7 +61,8 @@ def sequence_bucket(df: DataFrame, sequence: str, buckets: int = 128) -> Column:
     else:
         return c
     row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile_approx(code, cuts).alias("b")).first()
-    if isinstance(dt, T.StringType) and row["lo"] is not None and (
+    # a long shared prefix leaves too few bounds: percentiles of what follows it
+    if isinstance(dt, T.StringType) and row["lo"] is not None and len(set(row["b"] or [])) < buckets // 8 and (
             shared := len(os.path.commonprefix([row["lo"].encode(), row["hi"].encode()]))):
         code = text_code(shared)
         row = df.agg(F.percentile_approx(code, cuts).alias("b")).first()

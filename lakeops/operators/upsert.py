@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.keyfilter import candidates, write_filters
 from lakeops.session import materialize
 from lakeops.sources import fs
 
@@ -99,13 +100,27 @@ def partition_text(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("v"), value.cast("string")), F.lit("null"))
 
 
-def write_partitions(df: DataFrame, path: str, partition: Column) -> None:
+def write_partitions(df: DataFrame, path: str, partition: Column, keys: Sequence[str] = ()) -> None:
     """Replace the partitions of ``path`` that ``df`` has rows of (all of a
-    new table)."""
+    new table). With ``keys`` a filter of each partition's keys is kept beside
+    the table (``lakeops.operators.keyfilter``), written first."""
+    if keys:
+        df = materialize(df, "partition-rows")
+        _filter_keys(df.sparkSession, path, df, keys, partition)
     (df.withColumn(PART, partition_text(partition)).withColumn(LIVE, F.lit(True))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
 
 
+def _filter_keys(spark, path: str, df: DataFrame, keys: Sequence[str], partition: Column) -> None:
+    """Filters for the partitions of ``df`` that lack no key whatever breaks
+    off: of the rows that will be there and of those that still are."""
+    new = df.select(*keys, partition_text(partition).alias(PART))
+    names = sorted(r[0] for r in new.select(PART).distinct().collect())
+    old = read_partitions(spark, path, df.schema, names)
+    both = new if old is None else new.union(old.select(*keys, partition_text(partition).alias(PART)))
+    write_filters(spark, path, both, keys)
+
+
 def read_partitions(spark: SparkSession, path: str, schema: T.StructType,
                     names: Sequence[str] | None = None) -> DataFrame | None:
     """The stored rows (of the named partitions); None if there is no table."""
@@ -122,23 +137,32 @@ def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], partitio
                      keys_fix_partition: bool = False) -> list[str]:
     """Upsert ``source`` into the table at ``path``, rewriting only the
     partitions it touches: those of its rows and those that hold a matched key
-    (a row whose date moved leaves its old partition). ``keys_fix_partition``
-    says that a key's partition can't change, which spares the search for
-    moved keys over the whole table. Returns the touched partitions' names."""
+    (a row whose date moved leaves its old partition). The latter are looked
+    for in the partitions whose key filter says that they may hold one, not in
+    the whole table; a table written without filters gets them here.
+    ``keys_fix_partition`` says that a key's partition can't change, which
+    spares the filters and the search. Returns the touched partitions' names."""
     spark, schema, keys = source.sparkSession, source.schema, list(keys)
     # read for the touched partitions, the moved keys and the merge itself
     source = materialize(source, "merge-source")
-    target = read_partitions(spark, path, schema)
+    there = fs.exists(spark, path)
     touched = source.select(partition_text(partition).alias(PART))
-    if target is not None and not keys_fix_partition:
-        moved = target.join(source.select(*keys), keys, "left_semi")
-        touched = touched.union(moved.select(partition_text(partition)))
+    if there and not keys_fix_partition:
+        maybe = candidates(spark, path, source, keys)
+        if maybe is None:
+            _filter_keys(spark, path, read_partitions(spark, path, schema), keys, partition)
+            maybe = candidates(spark, path, source, keys)
+        if maybe:
+            moved = read_partitions(spark, path, schema, maybe).join(source.select(*keys), keys, "left_semi")
+            touched = touched.union(moved.select(partition_text(partition)))
     # names of partitions only: bounded by the table's partitions
     names = sorted(r[0] for r in touched.distinct().collect())
     old = read_partitions(spark, path, schema, names)
-    merged = materialize(merge_upsert(old, source, keys).withColumn(PART, partition_text(partition))
-                         .withColumn(LIVE, F.lit(True)), "merge-rows")
-    if target is not None and names:
+    rows = materialize(merge_upsert(old, source, keys), "merge-rows")
+    if not keys_fix_partition and names:
+        _filter_keys(spark, path, rows, keys, partition)
+    merged = rows.withColumn(PART, partition_text(partition)).withColumn(LIVE, F.lit(True))
+    if there and names:
         # a row that isn't the table's own, so that an emptied partition is replaced too
         mark = spark.createDataFrame([(n,) for n in names], f"{PART} string")
         merged = merged.unionByName(mark.withColumn(LIVE, F.lit(False)), allowMissingColumns=True)

@@ -5,10 +5,12 @@ what they wrote."""
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.expectations import expect, expect_or_drop, expect_or_fail
 from lakeops.operators.latest import latest_by_key
 from lakeops.plans import standins as S
 from lakeops.plans.registry import query
@@ -21,6 +23,7 @@ from lakeops.sources.landing import (bronze_frame, ENVELOPE_META, frozen_schema,
 from lakeops.sources.rescue import parse_with_rescue, recover_field
 from lakeops.sources.triage import RUN_LOG_SCHEMA, append_run_log, latest_status, triage
 from lakeops.streaming.bronze import bronze_stream
+from lakeops.streaming.expected import read_counts, run_expected
 from lakeops.streaming.scd2 import StreamingSCD2
 
 # Fixed values of the landing scenario (envelope metadata of one batch).
@@ -365,6 +368,44 @@ def run_log_latest_q(spark, d):
     return latest_status(log).select(*RUN_LOG_SCHEMA.fieldNames())
 
 
+STREAM_RULES = [expect_or_fail("has_conversation", "conv_id IS NOT NULL"), expect_or_drop("says_something", "length(text) > 40"),
+                expect("nothing_rescued", "_rescued_data IS NULL"), expect("first_turns", "turn < 4")]
+
+
+@query("stream_expectations", """
+with c as (select *, coalesce(length(text) > 40, false) as kept from conversations),
+n as (select count(*) as total, count(*) filter (conv_id is null) as a, count(*) filter (not kept) as b,
+             count(*) filter (not coalesce(turn < 4, false)) as d, count(*) filter (kept) as written from c)
+select 'has_conversation' as rule, 'fail' as action, total as rows, a as violations, written from n
+union all select 'says_something', 'drop', total, b, written from n
+union all select 'nothing_rescued', 'warn', total, 0, written from n
+union all select 'first_turns', 'warn', total, d, written from n
+""")
+def stream_expectations_q(spark, d):
+    """Rules on a bronze stream of several batches: each batch's counts are
+    stored by a listener and summed here, beside the rows written. A delivery
+    that violates the fail rule then stops the stream before its batch is
+    written and changes neither."""
+    root = scratch_path(spark, "expected")
+    src = _land(spark, d, root)
+    files = {"counts": f"{root}/counts", "table": f"{root}/table", "checkpoint": f"{root}/ckpt"}
+
+    def run() -> None:
+        raw = spark.readStream.format("text").option("maxFilesPerTrigger", 2).load(src)
+        run_expected(bronze_frame(raw, RECORD_SCHEMA, F.col("_metadata.file_path")), STREAM_RULES, **files)
+
+    run()
+    one = S.table(spark, d, "conversations").limit(1).withColumn("conv_id", F.lit(None).cast("bigint"))
+    _land(spark, d, root, one)
+    try:
+        run()
+    except StreamingQueryException:
+        pass
+    written = spark.read.parquet(files["table"]).agg(F.count(F.lit(1)).alias("written"))
+    totals = read_counts(spark, files["counts"]).groupBy("rule", "action").agg(F.sum("rows").alias("rows"), F.sum("violations").alias("violations"))
+    return totals.withColumn("written", written.scalar())
+
+
 @query("stream_scd2", f"with {VER} select * from ver")
 def stream_scd2_q(spark, d):
     """Snapshots land as monthly files in two waves -- the second wave holds
@@ -380,6 +421,6 @@ def stream_scd2_q(spark, d):
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 16)
               .option("recursiveFileLookup", "true").parquet(f"{root}/landing"))
     job = StreamingSCD2(spark, f"{root}/state", ["o_custkey"], "batch_date", untracked=["o_totalprice"],
-                        key_buckets=16)
+                        expectations=[expect_or_fail("valid_key", "o_custkey IS NOT NULL"), expect("has_priority", "o_orderpriority IS NOT NULL")])
     job.run(stream, f"{root}/ckpt")
     return job.read().select("o_custkey", "o_orderpriority", "o_totalprice", "valid_from", "valid_to")

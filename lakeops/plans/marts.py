@@ -3,21 +3,25 @@ export (K9) on the stand-in tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.keys import date_key, month_key
+from lakeops.operators.latest import latest_by_key
 from lakeops.operators.pit import pit_join
 from lakeops.operators.reshape import union_all, unpivot
 from lakeops.operators.rollups import ohlc_rollup
+from lakeops.operators.state import LatestState, merge_sums, sum_changes
 from lakeops.operators.upsert import (full_refresh, incremental_build, lookback_filter, merge_partitions,
-                                      merge_upsert, read_partitions, write_partitions)
+                                      merge_upsert, partition_text, read_partitions, write_partitions)
 from lakeops.plans import standins as S
 from lakeops.plans.core import LINE_TOTALS_SQL, line_totals, period_dimension
 from lakeops.plans import registry
 from lakeops.plans.registry import query
 from lakeops.plans.sql_parts import DIM, FL, LI, PERIOD
-from lakeops.session import scratch_path
+from lakeops.session import materialize, scratch_path
 from lakeops.sources.export import export_marts, to_cells
 
 PIT_DIM_COLS = ["o_custkey", "customer_key", "scd_effective_from", "scd_effective_to"]
@@ -32,22 +36,21 @@ def _pit_sql(alias: str, key: str, when: str) -> str:
             f"and {alias}.{when} < coalesce(dc.scd_effective_to, date '9999-12-31')")
 
 
-def fact_daily(spark: SparkSession, d: str, bound=None) -> DataFrame:
-    """The daily fact; ``bound(df, day column)`` restricts both sources (the
-    orders before their dedup, whose key holds the day; the shipped lines
-    after theirs, whose latest row decides the day)."""
-    bound = bound or (lambda df, day: df)
-    orders = bound(S.table(spark, d, "orders").withColumn("price_date", F.to_date("o_orderdate")), "price_date")
-    snaps = S.snapshots_of(orders).select("o_custkey", F.to_date("batch_date", "yyyyMMdd").alias("price_date"),
-                                          F.col("o_totalprice").alias("close_price"), "o_orderpriority")
-    totals = line_totals(spark, d, lambda df: bound(df, "ship_date")).withColumnRenamed("order_date", "price_date")
-    enriched = snaps.join(totals, ["o_custkey", "price_date"], "left")
-    facts = pit_join(enriched, _dim(spark, d), "o_custkey", "price_date", dim_key="o_custkey",
-                     attach=["customer_key"], strategy="bucketed")
+def daily_rows(snaps: DataFrame, totals: DataFrame, dim: DataFrame) -> DataFrame:
+    """Rows of the daily fact from order snapshots, line totals and versions."""
+    snaps = snaps.select("o_custkey", F.to_date("batch_date", "yyyyMMdd").alias("price_date"),
+                         F.col("o_totalprice").alias("close_price"), "o_orderpriority")
+    enriched = snaps.join(totals.select("o_custkey", F.col("order_date").alias("price_date"), "shipped_qty", "shipped_lines"),
+                          ["o_custkey", "price_date"], "left")
+    facts = pit_join(enriched, dim, "o_custkey", "price_date", dim_key="o_custkey", attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("price_date").alias("date_key"), "customer_key", "o_custkey", "price_date",
                         "close_price", "o_orderpriority", "shipped_qty", "shipped_lines")
 
 
+def fact_daily(spark: SparkSession, d: str) -> DataFrame:
+    return daily_rows(S.snapshots(spark, d), line_totals(spark, d), _dim(spark, d))
+
+
 @query("fact_daily", f"""
 with {DIM}, {FL}, {LINE_TOTALS_SQL},
 s as (select o_custkey, cast(strptime(batch_date, '%Y%m%d') as date) as price_date,
@@ -66,19 +69,47 @@ def fact_daily_incremental_q(spark, d):
     return fact_daily_incremental(spark, d)
 
 
-def fact_daily_incremental(spark: SparkSession, d: str, cutoff: str = "2000-06-30", lookback_days: int = 7):
-    """The daily fact kept as a month-partitioned table: a first build of the
-    days before ``cutoff``, then an incremental run that merges the slice
-    within ``lookback_days`` of the stored maximum on (customer, day). The
-    bounds are put on the sources, before any dedup or join."""
-    path, month = scratch_path(spark, "fact_daily"), F.trunc("price_date", "MM")
-    first = fact_daily(spark, d, lambda df, day: df.filter(F.col(day) < F.lit(cutoff).cast("date")))
-    write_partitions(first, path, month)
-    stored = read_partitions(spark, path, first.schema)
-    recent = fact_daily(spark, d, lambda df, day: lookback_filter(df, stored, day, lookback_days, "price_date"))
-    # the day is part of the key, so a key's month can't change
-    merge_partitions(path, recent, ["o_custkey", "price_date"], month, keys_fix_partition=True)
-    return read_partitions(spark, path, first.schema)
+# Fixed values of the incremental scenario: what is older than the cut-off has
+# been delivered, but for the lines of some orders, which come late; order keys
+# of one partition of the stored lines.
+DAILY_CUTOFF, LATE_ORDERS, LINE_BLOCK = "2000-06-30", 10, 250_000
+
+
+def fact_daily_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The daily fact kept as a month-partitioned table through two runs: a
+    first delivery, then the rest with late lines of older days. Each run takes
+    its deliveries into the stored latest lines, adds what changed to the
+    stored totals, and rebuilds and merges the fact's rows of the customers and
+    days this touches. No run reads the latest lines of keys it has no
+    delivery for, nor the totals and facts of untouched months."""
+    root = scratch_path(spark, "fact_daily")
+    dim = materialize(_dim(spark, d), "fact-dim")
+    order_day = F.to_date("o_orderdate")
+    orders, lines = S.table(spark, d, "orders"), S.table(spark, d, "lineitem")
+    early = F.lit(DAILY_CUTOFF).cast("date")
+    lines = lines.select(*S.LINE_KEY, *S.LINE_ORDER, "l_quantity").join(
+        orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    first = (F.col("l_shipdate") < early) & (F.col("l_orderkey") % LATE_ORDERS != 3)
+    state = LatestState(spark, f"{root}/lines", lines.schema, S.LINE_KEY, S.LINE_ORDER, F.floor(F.col("l_orderkey") / LINE_BLOCK))
+    # an order is there when its first line may be
+    runs = [(lines.where(first), orders.where(order_day < early)), (lines.where(~first), orders.where(order_day >= early))]
+    key, fact = ["o_custkey", "price_date"], None
+    for n, (delivered, ordered) in enumerate(runs):
+        changes = state.apply(delivered)
+        added = sum_changes(changes, {"o_custkey": F.col("o_custkey"), "order_date": F.to_date("l_shipdate")}, {"shipped_qty": F.col("l_quantity")})
+        totals_schema = added.schema
+        added = materialize(added, "daily-added")
+        merge_sums(f"{root}/totals", added, ["o_custkey", "order_date"], F.trunc("order_date", "MM"))
+        touched = added.select("o_custkey", F.col("order_date").alias("day")).union(ordered.select("o_custkey", order_day)).distinct()
+        touched = materialize(touched, "daily-touched")
+        months = sorted(r[0] for r in touched.select(partition_text(F.trunc("day", "MM"))).distinct().collect())
+        totals = read_partitions(spark, f"{root}/totals", totals_schema, months).where("rows_added > 0").withColumnRenamed("rows_added", "shipped_lines")
+        there = orders if n else ordered
+        mine = there.withColumn("day", order_day).join(touched, ["o_custkey", "day"], "left_semi")
+        fact = daily_rows(S.snapshots_of(mine), totals, dim)
+        # the day is part of the key, so a key's month can't change
+        merge_partitions(f"{root}/fact", fact, key, F.trunc("price_date", "MM"), keys_fix_partition=True)
+    return read_partitions(spark, f"{root}/fact", fact.schema)
 
 
 def order_events(spark, d, bound=None) -> DataFrame:
@@ -107,9 +138,10 @@ def fact_event_q(spark, d):
     return fact_event(spark, d)
 
 
-def fact_event(spark, d, bound=None) -> DataFrame:
+def fact_event(spark, d, bound=None, dim=None) -> DataFrame:
     e = order_events(spark, d, bound)
-    facts = pit_join(e, _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"], strategy="bucketed")
+    dim = dim if dim is not None else _dim(spark, d)
+    facts = pit_join(e, dim, "o_custkey", "event_date", dim_key="o_custkey", attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("event_date").alias("date_key"), "customer_key", "o_orderkey", "o_custkey",
                         "event_date", "actual", "estimated",
                         (F.col("actual") - F.col("estimated")).alias("surprise"),
@@ -123,10 +155,12 @@ EVENT_LOOKBACK_DAYS = 90
 def incremental_fact(spark, name: str, build, keys: list[str], day: str, cutoff: str = "2000-06-30") -> DataFrame:
     """A fact kept as a year-partitioned table: built up to ``cutoff``, then an
     increment of the events within the lookback of the stored maximum. The
-    bounds are put on the sources by ``build(bound)``."""
+    bounds are put on the sources by ``build(bound)``; a filter of the keys
+    lies beside each year, so the merge looks for moved keys only where they
+    may be."""
     path, year = scratch_path(spark, name), F.trunc(day, "YEAR")
     first = build(lambda df, c: df.filter(F.col(c) < F.lit(cutoff).cast("date")))
-    write_partitions(first, path, year)
+    write_partitions(first, path, year, keys)
     stored = read_partitions(spark, path, first.schema)
     merge_partitions(path, build(lambda df, c: lookback_filter(df, stored, c, EVENT_LOOKBACK_DAYS, day)), keys, year)
     return read_partitions(spark, path, first.schema)
@@ -134,7 +168,106 @@ def incremental_fact(spark, name: str, build, keys: list[str], day: str, cutoff:
 
 @query("fact_event_incremental", registry.ORACLE["fact_event"])
 def fact_event_incremental_q(spark, d):
-    return incremental_fact(spark, "fact_event", lambda bound: fact_event(spark, d, bound), ["o_orderkey"], "event_date")
+    dim = materialize(_dim(spark, d), "fact-dim")
+    return incremental_fact(spark, "fact_event", lambda bound: fact_event(spark, d, bound, dim), ["o_orderkey"], "event_date")
+
+
+@dataclass(frozen=True)
+class EventFact:
+    """An event fact of a customer and a day: what its source's rows add up to
+    (over the latest lines of a customer that ship on a day), and the measures
+    made of that."""
+    name: str
+    sums: dict[str, Column]
+    measures: dict[str, Column]
+
+
+def event_facts() -> dict[str, EventFact]:
+    """Dividends (amount, adjusted amount, yield, how often, and the dates
+    that follow from the event's) and splits (ratio of two numbers, null for a
+    zero denominator, and a type)."""
+    day = F.col("event_date")
+    paid, price = F.sum(F.col("l_extendedprice") * F.col("l_discount")), F.sum("l_extendedprice")
+    return {f.name: f for f in [
+        EventFact("fact_dividend", {"dividend": paid, "price": price, "times": F.count(F.lit(1))},
+                  {"dividend": F.col("dividend"), "adj_dividend": F.col("dividend") * ADJUSTMENT,
+                   "dividend_yield": F.col("dividend") / F.nullif(F.col("price"), F.lit(0.0)),
+                   "frequency": F.when(F.col("times") > 1, "several").otherwise("once"),
+                   "declaration_date": F.date_sub(day, 30), "record_date": F.date_add(day, 1), "payment_date": F.date_add(day, 14)}),
+        EventFact("fact_split", {"numerator": F.max("l_linenumber"), "denominator": F.min("l_linenumber") - 1, "flag": F.max("l_returnflag")},
+                  {"numerator": F.col("numerator"), "denominator": F.col("denominator"),
+                   "split_ratio": F.col("numerator").cast("double") / F.nullif(F.col("denominator").cast("double"), F.lit(0.0)),
+                   "split_type": F.when(F.col("flag") == "A", "stock-split").otherwise("other")})]}
+
+
+def lines_of_days(spark, d, bound) -> DataFrame:
+    """Latest lines within the bound on their ship day (column event_date). A
+    line's latest row decides, so all rows of the keys that have one within
+    the bound are compared, and no others."""
+    raw = S.table(spark, d, "lineitem").withColumn("event_date", F.to_date("l_shipdate"))
+    keys = bound(raw, "event_date").select(*S.LINE_KEY).distinct()
+    latest = latest_by_key(raw.join(keys, S.LINE_KEY, "left_semi"), S.LINE_KEY, S.LINE_ORDER)
+    return bound(latest, "event_date")
+
+
+def build_event_fact(spark, d, event: EventFact, bound=None, dim=None) -> DataFrame:
+    """One factory for events of a customer and a day."""
+    o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = lines_of_days(spark, d, bound) if bound else S.lines(spark, d).withColumn("event_date", F.to_date("l_shipdate"))
+    rows = lines.join(o, "l_orderkey").groupBy("o_custkey", "event_date").agg(*(c.alias(n) for n, c in event.sums.items()))
+    facts = pit_join(rows, dim if dim is not None else _dim(spark, d), "o_custkey", "event_date", dim_key="o_custkey",
+                     attach=["customer_key"], strategy="bucketed")
+    return facts.select(date_key("event_date").alias("date_key"), "customer_key", "o_custkey", "event_date",
+                        *(c.alias(n) for n, c in event.measures.items()))
+
+
+def incremental_event_fact(spark, d, event: EventFact) -> DataFrame:
+    dim = materialize(_dim(spark, d), "fact-dim")
+    return incremental_fact(spark, event.name, lambda bound: build_event_fact(spark, d, event, bound, dim), ["o_custkey", "event_date"], "event_date")
+
+
+def _event_sql(sums: str, measures: str) -> str:
+    return f"""
+with {DIM}, {LI},
+e as (select o.o_custkey, cast(l_shipdate as date) as event_date, {sums}
+      from li join orders o on li.l_orderkey = o.o_orderkey group by 1, 2)
+select cast(strftime(e.event_date, '%Y%m%d') as integer) as date_key, dc.customer_key, e.o_custkey, e.event_date, {measures}
+from e {_pit_sql('e', 'o_custkey', 'event_date')}
+"""
+
+
+# Fixed value: the stand-in's adjusted price is a tenth under the price.
+ADJUSTMENT = 0.9
+
+DIVIDEND_SQL = _event_sql(
+    "sum(l_extendedprice * l_discount) as dividend, sum(l_extendedprice) as price, count(*) as times",
+    f"""e.dividend, e.dividend * {ADJUSTMENT} as adj_dividend, e.dividend / nullif(e.price, 0) as dividend_yield,
+case when e.times > 1 then 'several' else 'once' end as frequency, e.event_date - 30 as declaration_date,
+e.event_date + 1 as record_date, e.event_date + 14 as payment_date""")
+SPLIT_SQL = _event_sql(
+    "max(l_linenumber) as numerator, min(l_linenumber) - 1 as denominator, max(l_returnflag) as flag",
+    """e.numerator, e.denominator, cast(e.numerator as double) / nullif(cast(e.denominator as double), 0) as split_ratio,
+case when e.flag = 'A' then 'stock-split' else 'other' end as split_type""")
+
+
+@query("fact_dividend", DIVIDEND_SQL)
+def fact_dividend_q(spark, d):
+    return build_event_fact(spark, d, event_facts()["fact_dividend"])
+
+
+@query("fact_split", SPLIT_SQL)
+def fact_split_q(spark, d):
+    return build_event_fact(spark, d, event_facts()["fact_split"])
+
+
+@query("fact_dividend_incremental", DIVIDEND_SQL)
+def fact_dividend_incremental_q(spark, d):
+    return incremental_event_fact(spark, d, event_facts()["fact_dividend"])
+
+
+@query("fact_split_incremental", SPLIT_SQL)
+def fact_split_incremental_q(spark, d):
+    return incremental_event_fact(spark, d, event_facts()["fact_split"])
 
 
 STATEMENT_KEYS = ["symbol", "fiscalYear", "period"]
@@ -235,25 +368,22 @@ def fact_line_q(spark, d):
     return fact_line(spark, d)
 
 
-def fact_line(spark, d, bound=lambda df, day: df) -> DataFrame:
+def fact_line(spark, d, bound=None, dim=None) -> DataFrame:
     o = S.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("issuer_key"))
-    # the latest line decides the day, so the bound follows its dedup
-    lines = bound(S.lines(spark, d).withColumn("transaction_date", F.to_date("l_shipdate")), "transaction_date")
+    # the latest line decides the day: the bound picks the keys before the dedup, and the rows after it
+    lines = lines_of_days(spark, d, bound) if bound else S.lines(spark, d).withColumn("event_date", F.to_date("l_shipdate"))
     x = (lines.join(o, "l_orderkey")
          .select(F.col("l_orderkey").alias("accession"), F.col("l_returnflag").alias("transaction_table"),
-                 F.col("l_linenumber").alias("line_index"), "issuer_key", "transaction_date", F.col("l_quantity").alias("shares")))
-    facts = pit_join(x, _dim(spark, d), "issuer_key", "transaction_date", dim_key="o_custkey",
+                 F.col("l_linenumber").alias("line_index"), "issuer_key", F.col("event_date").alias("transaction_date"), F.col("l_quantity").alias("shares")))
+    facts = pit_join(x, dim if dim is not None else _dim(spark, d), "issuer_key", "transaction_date", dim_key="o_custkey",
                      attach=["customer_key"], strategy="bucketed")
     return facts.select(date_key("transaction_date").alias("date_key"), "customer_key", *x.columns)
 
 
 @query("fact_line_incremental", registry.ORACLE["fact_line"])
 def fact_line_incremental_q(spark, d):
-    return incremental_fact(spark, "fact_line", lambda bound: fact_line(spark, d, bound), ["accession", "line_index"], "transaction_date")
-
-
-# Fixed value: the stand-in's adjusted price is a tenth under the price.
-ADJUSTMENT = 0.9
+    dim = materialize(_dim(spark, d), "fact-dim")
+    return incremental_fact(spark, "fact_line", lambda bound: fact_line(spark, d, bound, dim), ["accession", "line_index"], "transaction_date")
 
 
 @query("company_month", f"""

@@ -28,11 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.sources import fs
-from lakeops.sources.rescue import parse_with_rescue
+from lakeops.sources.rescue import fields_of, rescued_record, text_of
 
 ENVELOPE_META = ["_ingest_timestamp", "_source", "_endpoint", "_ticker", "_batch_date"]
-RAW_ENVELOPE = T.StructType([T.StructField(c, T.StringType()) for c in ENVELOPE_META]
-                            + [T.StructField("data", T.ArrayType(T.StringType()))])
 
 
 def pack_envelopes(records: DataFrame, key_col: str, batch_col: str | Column, source: str, endpoint: str,
@@ -91,30 +89,32 @@ def frozen_schema(spark: SparkSession, schema_location: str, path: str, wholetex
 def bronze_frame(raw: DataFrame, record_schema: T.StructType, file_col: Column | None = None) -> DataFrame:
     """Envelope text (column ``value``) -> one row per record, flattened.
 
-    An empty ``data`` array gives no row. Unknown envelope fields go to the
-    rescue column of each of its records (``_envelope``). A document that is not valid JSON
-    is not lost: it gives one row with null fields whose rescue column holds
-    the raw text (``_corrupt_record``) and the file path."""
-    src = file_col if file_col is not None else F.lit(None).cast("string")
-    parse_schema = T.StructType(RAW_ENVELOPE.fields + [T.StructField("_corrupt_record", T.StringType())])
-    env = raw.select(F.from_json("value", parse_schema, {"mode": "PERMISSIVE",
-                                                         "columnNameOfCorruptRecord": "_corrupt_record"}).alias("env"),
-                     src.alias("_source_file"), F.col("value").alias("_raw"))
-    bad = F.col("env").isNull() | F.col("env._corrupt_record").isNotNull()
-    records = F.when(bad, F.array(F.lit(None).cast("string"))).otherwise(F.col("env.data"))
-    rows = env.select(*[F.col(f"env.{c}").alias(c) for c in ENVELOPE_META], "_source_file",
-                      F.current_timestamp().alias("_loaded_at"), bad.alias("_bad"), "_raw",
-                      F.explode(records).alias("_record_text"))  # empty/null array: no row
-    # declared envelope fields are text whatever their JSON type, so only unknown ones are left over
-    raw = F.from_json("_raw", T.MapType(T.StringType(), T.StringType()))
-    outer = F.map_filter(raw, lambda k, v: ~k.isin(*ENVELOPE_META, "data"))
-    typed, rescued = parse_with_rescue(F.col("_record_text"), record_schema, F.col("_source_file"), root="data", outer=outer)
-    corrupt = F.to_json(F.struct(F.col("_raw").alias("_corrupt_record"), F.col("_source_file").alias("_file_path")))
+    A document is parsed once, into a VARIANT; envelope, records and rescue
+    column are read from it. An empty ``data`` array gives no row. Unknown
+    envelope fields go to the rescue column of each of its records
+    (``_envelope``). A document that is not valid JSON, or whose ``data`` is no
+    array, is not lost: it gives one row with null fields whose rescue column
+    holds the raw text (``_corrupt_record``) and the file path."""
     clash = set(record_schema.fieldNames()) & (set(ENVELOPE_META) | {"_source_file", "_loaded_at", "_rescued_data"})
     if clash:
         raise ValueError(f"record fields clash with envelope columns: {sorted(clash)}")
-    return rows.select(*ENVELOPE_META, "_source_file", "_loaded_at", typed.alias("record"),
-                       F.when(F.col("_bad"), corrupt).otherwise(rescued).alias("_rescued_data")).select(
+    src = file_col if file_col is not None else F.lit(None).cast("string")
+    # one projection a step, each value worked out once
+    env = raw.select(F.try_parse_json("value").alias("_doc"), src.alias("_source_file"), F.col("value").alias("_raw"))
+    env = env.select(fields_of(F.col("_doc")).alias("_m"), "_source_file", "_raw")
+    of = lambda name: F.try_element_at("_m", F.lit(name))
+    data = F.try_variant_get(of("data"), "$", "array<variant>")
+    no_data = of("data").isNull() | F.is_variant_null(of("data"))
+    outer = F.transform_values(F.map_filter("_m", lambda k, v: ~k.isin(*ENVELOPE_META, "data")), lambda k, v: text_of(v))
+    env = env.select(*(text_of(of(c)).alias(c) for c in ENVELOPE_META), "_source_file", F.current_timestamp().alias("_loaded_at"), "_raw",
+                     (F.col("_m").isNull() | (data.isNull() & ~no_data)).alias("_bad"), data.alias("_data"), outer.alias("_outer"))
+    records = F.when(F.col("_bad"), F.array(F.lit(None).cast("variant"))).otherwise(F.col("_data"))
+    rows = env.select(*(c for c in env.columns if c != "_data"), F.explode(records).alias("_v"))  # empty/null array: no row
+    made = rescued_record(F.col("_v"), record_schema, None, F.col("_source_file"), "data", F.col("_outer"))
+    corrupt = F.to_json(F.struct(F.col("_raw").alias("_corrupt_record"), F.col("_source_file").alias("_file_path")))
+    rows = rows.select(*ENVELOPE_META, "_source_file", "_loaded_at", "_bad", "_raw", made.alias("_r"))
+    return rows.select(*ENVELOPE_META, "_source_file", "_loaded_at", F.col("_r.value").alias("record"),
+                       F.when(F.col("_bad"), corrupt).otherwise(F.col("_r.rescued")).alias("_rescued_data")).select(
         *ENVELOPE_META, "_source_file", "_loaded_at", "record.*", "_rescued_data")
 
 

@@ -267,3 +267,38 @@ def test_second_feed_files_are_bounded(spark, monkeypatch, tmp_path):
     assert core.second_feed_files_q(spark, "").count() == 2000
     files = [json.loads(p.read_text()) for p in tmp_path.rglob("*.txt")]
     assert sum(map(len, files)) == 2200 and max(map(len, files)) <= 1000
+
+
+def test_one_parse_whatever_the_depth(spark):
+    """The optimised plan parses a document once; nothing else reads JSON text."""
+    from lakeops.sources.landing import bronze_frame
+    schema = T.StructType.fromDDL("a struct<b: struct<c: int, l: array<struct<n: int>>>>, m map<string, bigint>, s string")
+    raw = spark.createDataFrame([('{"_ticker":"K","data":[{"a":{"b":{"c":1,"l":[{"n":2,"x":3}],"y":4}}}]}',)], "value string")
+    plan = bronze_frame(raw, schema)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1 and "from_json" not in plan.lower() and "jsontostructs" not in plan.lower()
+    got = bronze_frame(raw, schema).first()
+    assert got.a.b.c == 1 and got.a.b.l[0].n == 2
+    rest = json.loads(json.loads(json.loads(got._rescued_data)["data"][0]["a"])["b"])
+    assert rest["y"] == "4" and json.loads(rest["l"]) == ['{"x":"3"}']
+
+
+def test_values_that_do_not_fit_are_rescued(spark):
+    schema = T.StructType.fromDDL("i int, d double, t date, f boolean, l array<int>, m map<string, int>, z decimal(5, 2)")
+    texts = ['{"i":1.5,"d":2,"t":"2024-01-02","f":true,"l":[1,"x"],"m":{"a":1,"b":"q"},"z":1.25}',
+             '{"i":"1","d":"2","t":20240102,"f":"true","l":{},"m":[1],"z":"1"}', '{"i":99999999999,"d":null,"t":"soon","l":null}', '{"i":1,"i":2}', "{oops"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    typed, rescued = parse_with_rescue(F.col("t"), schema)
+    got = df.select(typed.alias("v"), rescued.alias("r")).collect()
+    v, r = got[0].v, json.loads(got[0].r)
+    assert (v.i, v.d, str(v.t), v.f, v.l, v.m, str(v.z)) == (None, 2.0, "2024-01-02", True, [1, None], {"a": 1, "b": None}, "1.25")
+    assert r["i"] == "1.5" and json.loads(r["l"]) == [None, "x"] and json.loads(r["m"]) == {"b": "q"} and set(r) == {"i", "l", "m"}
+    assert list(got[1].v) == [None] * 7 and set(json.loads(got[1].r)) == set("idtflmz")
+    assert json.loads(got[2].r) == {"i": "99999999999", "t": "soon"}
+    assert [(g.v, json.loads(g.r)) for g in got[3:]] == [(None, {"_value": t}) for t in texts[3:]]
+
+
+def test_data_that_is_no_array_is_kept(spark):
+    from lakeops.sources.landing import bronze_frame
+    docs = ['{"_ticker":"K","data":{"a":1}}', '{"_ticker":"K"}', '{"_ticker":"K","data":null}', "[1]", '{"_ticker":"K","data":[]}']
+    out = bronze_frame(spark.createDataFrame([(t,) for t in docs], "value string"), REC).collect()
+    assert sorted(json.loads(r._rescued_data)["_corrupt_record"] for r in out) == sorted([docs[0], docs[3]])

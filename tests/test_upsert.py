@@ -100,3 +100,96 @@ def test_lookback_drops_null_dates_but_empty_target_loads_all(spark):
     tgt = spark.createDataFrame([(9, D(2020, 1, 12), 1.0)], S)
     assert rows(lookback_filter(src, tgt, "d", 7), "k") == [(2,)]
     assert lookback_filter(src, spark.createDataFrame([], S), "d", 7).count() == 2
+
+
+def test_key_filters_name_the_partitions_that_may_hold_a_key(spark, tmp_path, monkeypatch):
+    """A merge reads the partitions whose filter may hold one of its keys, never the whole table."""
+    from lakeops.operators import upsert
+    from lakeops.operators.keyfilter import candidates, filter_path
+    path, month = str(tmp_path / "t"), F.trunc("d", "MM")
+    base = spark.range(24_000).selectExpr("cast(id as int) as k", "date_add(date'2020-01-01', cast(id % 720 as int)) as d", "1d as v")
+    write_partitions(base, path, month, ["k"])
+    part = lambda k: rows(base.where(f"k = {k}").select(F.concat(F.lit("v"), F.trunc("d", "MM").cast("string"))))[0][0]
+    asked = spark.createDataFrame([(k, D(2022, 5, 1), 2.0) for k in (3, 9000)] + [(None, D(2022, 5, 1), 2.0)], S)
+    maybe = candidates(spark, path, asked, ["k"])
+    assert {part(3), part(9000)} <= set(maybe) and len(maybe) <= 4
+    read = []
+    plain = upsert.read_partitions
+    monkeypatch.setattr(upsert, "read_partitions", lambda s, p, schema, names=None: read.append(names) or plain(s, p, schema, names))
+    touched = merge_partitions(path, asked, ["k"], month)
+    assert set(touched) == {part(3), part(9000), "v2022-05-01"}
+    assert all(names is not None and len(names) <= 5 for names in read)
+    monkeypatch.undo()
+    got = read_partitions(spark, path, base.schema)
+    assert got.count() == 24_001 and rows(got.where("k in (3, 9000)"), "k", "v") == [(3, 2.0), (9000, 2.0)]
+    # what moved is found where it is now
+    assert set(merge_partitions(path, spark.createDataFrame([(3, D(2020, 1, 9), 5.0)], S), ["k"], month)) == {"v2022-05-01", "v2020-01-01"}
+    assert spark.read.parquet(filter_path(path)).agg(F.max(F.octet_length("bits"))).first()[0] == 4096
+
+
+def test_a_table_without_filters_gets_them(spark, tmp_path):
+    path, month = str(tmp_path / "t"), F.trunc("d", "MM")
+    base = spark.createDataFrame([(1, D(2020, 1, 5), 1.0), (2, D(2020, 2, 5), 1.0)], S)
+    write_partitions(base, path, month)
+    assert merge_partitions(path, spark.createDataFrame([(1, D(2020, 3, 1), 2.0)], S), ["k"], month) == ["v2020-01-01", "v2020-03-01"]
+    assert merge_partitions(path, spark.createDataFrame([(2, D(2020, 3, 1), 2.0)], S), ["k"], month) == ["v2020-02-01", "v2020-03-01"]
+    assert rows(read_partitions(spark, path, base.schema), "k", "v") == [(1, 2.0), (2, 2.0)]
+
+
+def test_filters_of_a_merge_that_broke_off_lack_no_key(spark, tmp_path, monkeypatch):
+    """The filters are written before the rows and cover what is still there."""
+    from pyspark.sql import DataFrameWriter
+    path, month = str(tmp_path / "t"), F.trunc("d", "MM")
+    base = spark.createDataFrame([(k, D(2020, 1, 5), 1.0) for k in range(40)], S)
+    write_partitions(base, path, month, ["k"])
+    plain = DataFrameWriter.parquet
+
+    def broken(self, at, *a, **k):
+        if at == path:
+            raise OSError("broke off")
+        return plain(self, at, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", broken)
+    with pytest.raises(OSError):
+        merge_partitions(path, spark.createDataFrame([(7, D(2020, 2, 1), 2.0)], S), ["k"], month)
+    monkeypatch.undo()
+    assert merge_partitions(path, spark.createDataFrame([(7, D(2020, 2, 1), 2.0)], S), ["k"], month) == ["v2020-01-01", "v2020-02-01"]
+    assert read_partitions(spark, path, base.schema).count() == 40
+
+
+def test_latest_state_equals_a_full_build(spark, tmp_path):
+    """Deliveries in any order, late and repeated ones included; sums follow the changes."""
+    import random
+
+    from lakeops.operators.latest import latest_by_key
+    from lakeops.operators.state import LatestState, merge_sums, sum_changes
+    rnd = random.Random(4)
+    schema = "k int, part int, seq int, day date, n double"
+    data = [(rnd.choice([*range(12), None]), 0, s, D(2020, 1 + rnd.randint(0, 5), 1), float(rnd.randint(1, 9))) for s in range(120)]
+    data = [(k, None if k is None else k % 3, *rest) for k, _, *rest in data]
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, schema)
+    state = LatestState(spark, str(tmp_path / "s"), df.schema, ["k", "part"], ["seq"], F.col("part"))
+    for i in range(0, 120, 30):
+        wave = spark.createDataFrame(data[i : i + 30] + data[:3], schema)
+        added = sum_changes(state.apply(wave), {"day": F.col("day")}, {"n": F.col("n")})
+        sums_schema = added.schema
+        merge_sums(str(tmp_path / "sums"), added, ["day"], F.trunc("day", "YEAR"))
+        so_far = latest_by_key(spark.createDataFrame(data[: i + 30], schema), ["k", "part"], ["seq"])
+        assert rows(state.read(), *df.columns) == rows(so_far, *df.columns)
+        sums = read_partitions(spark, str(tmp_path / "sums"), sums_schema).where("rows_added > 0")
+        assert rows(sums, "day", "n", "rows_added") == rows(so_far.groupBy("day").agg(F.sum("n").alias("n"), F.count("*").alias("rows_added")), "day", "n", "rows_added")
+
+
+def test_state_reads_touched_partitions_only(spark, tmp_path, monkeypatch):
+    from lakeops.operators import state as module
+    from lakeops.operators.state import LatestState
+    schema = "k int, seq int"
+    first = spark.range(1000).selectExpr("cast(id as int) as k", "1 as seq")
+    state = LatestState(spark, str(tmp_path / "s"), first.schema, ["k"], ["seq"], F.floor(F.col("k") / 100))
+    state.apply(first)
+    read, plain = [], module.read_partitions
+    monkeypatch.setattr(module, "read_partitions", lambda s, p, sc, names=None: read.append(names) or plain(s, p, sc, names))
+    changed = state.apply(spark.createDataFrame([(5, 2), (512, 0), (513, 7)], schema))
+    assert read == [["v0", "v5"]]
+    assert rows(changed.select("k", "old.seq", "new.seq")) == [(5, 1, 2), (513, 1, 7)]
