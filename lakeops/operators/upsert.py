@@ -107,7 +107,7 @@ def write_partitions(df: DataFrame, path: str, partition: Column, keys: Sequence
     if keys:
         df = materialize(df, "partition-rows")
         _filter_keys(df.sparkSession, path, df, keys, partition)
-    (df.withColumn(PART, partition_text(partition)).withColumn(LIVE, F.lit(True))
+    (df.withColumn(PART, partition_text(partition)).withColumn(LIVE, F.lit(True)).hint("rebalance", PART)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
 
 
@@ -166,5 +166,6 @@ def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], partitio
         # a row that isn't the table's own, so that an emptied partition is replaced too
         mark = spark.createDataFrame([(n,) for n in names], f"{PART} string")
         merged = merged.unionByName(mark.withColumn(LIVE, F.lit(False)), allowMissingColumns=True)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    # rebalanced: few files a partition, and a large partition over several tasks
+    merged.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
     return names

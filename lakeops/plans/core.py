@@ -216,11 +216,11 @@ def segment_daily_rollup_q(spark, d):
                           avgs={"avg_close": "o_totalprice", "avg_change_percent": "c_acctbal"})
 
 
-def segment_daily_pit(spark: SparkSession, d: str) -> DataFrame:
+def segment_daily_pit(spark: SparkSession, d: str, dim: DataFrame | None = None) -> DataFrame:
     """The end-to-end chain: latest lines -> SCD2 customer dimension ->
     point-in-time join -> inner join on the surrogate key -> per segment and
     day roll-up."""
-    dim = S.dimension(spark, d)
+    dim = dim if dim is not None else S.dimension(spark, d)
     facts = pit_join(S.fact_lines(spark, d), dim.select("o_custkey", "customer_key", "scd_effective_from",
                                                         "scd_effective_to"),
                      "o_custkey", "ship_date", dim_key="o_custkey", attach=["customer_key"], strategy="bucketed")
@@ -564,9 +564,12 @@ from days
 @query("dim_date", _dim_date_sql())
 def dim_date_q(spark, d):
     """Calendar covering the years of the order dates (bounds from a one-row
-    aggregate), with rule-based holidays and market-open flags."""
+    aggregate), with market-open flags from a holiday seed: the exchange's
+    holidays by rule, written as a seed file and read back with its types."""
     o = S.table(spark, d, "orders")
     row = o.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
     start = f"{row['lo'].year:04d}-01-01"
     end = f"{row['hi'].year + 1:04d}-01-01"
-    return cal.date_dimension(spark, start, end)
+    seed = scratch_path(spark, "holiday_seed")
+    cal.holidays(cal.days(spark, start, end)).write.option("header", True).csv(seed)
+    return cal.date_dimension(spark, start, end, cal.read_holiday_seed(spark, seed))

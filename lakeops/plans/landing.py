@@ -6,12 +6,14 @@ what they wrote."""
 from __future__ import annotations
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.functions.keys import batch_day, iso_utc
 from lakeops.operators.expectations import expect, expect_or_drop, expect_or_fail
 from lakeops.operators.latest import latest_by_key
+from lakeops.operators.reshape import union_all
 from lakeops.plans import standins as S
 from lakeops.plans.registry import query
 from lakeops.plans.sql_parts import LI, VER
@@ -22,7 +24,8 @@ from lakeops.sources.landing import (bronze_frame, ENVELOPE_META, frozen_schema,
                                      pack_envelopes, write_landing)
 from lakeops.sources.rescue import parse_with_rescue, recover_field
 from lakeops.sources.triage import RUN_LOG_SCHEMA, append_run_log, latest_status, triage
-from lakeops.streaming.bronze import bronze_stream
+from lakeops.sources.walk import walk_landing, write_documents
+from lakeops.streaming.bronze import BronzeSpec, bronze_stream, load_datasets
 from lakeops.streaming.expected import read_counts, run_expected
 from lakeops.streaming.scd2 import StreamingSCD2
 
@@ -42,20 +45,27 @@ def envelopes(spark: SparkSession, d: str, records: DataFrame | None = None, col
                           page=F.floor(F.col("turn") / TURNS_PER_DOCUMENT))
 
 
-ENVELOPE_SQL = f"""
-select '{INGEST_TS}' as _ingest_timestamp, '{SOURCE}' as _source, '{ENDPOINT}' as _endpoint,
-       cast(conv_id as varchar) as _ticker, '{BATCH_DATE}' as _batch_date, count(*) as record_count,
-       '{{"_ingest_timestamp":"{INGEST_TS}","_source":"{SOURCE}","_endpoint":"{ENDPOINT}","_ticker":"'
-         || cast(conv_id as varchar) || '","_batch_date":"{BATCH_DATE}","data":'
-         || to_json(list({{'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}} order by turn)) || '}}'
-         as value
-from conversations group by conv_id, turn // {1000}
-"""
+def _seen_at(conv: Column) -> Column:
+    """When a conversation was seen: a zoned time, some hours after a fixed
+    evening in a zone west of UTC."""
+    return F.to_timestamp(F.lit("2024-01-01T20:00:00-05:00")) + F.make_interval(hours=(conv % 48).cast("int"))
 
 
-@query("envelope_pack", ENVELOPE_SQL)
+@query("envelope_pack", f"""
+with e as (select conv_id, turn // 1000 as page, timestamp '2024-01-02 01:00:00' + to_hours(cast(conv_id % 48 as integer)) as seen, count(*) as record_count,
+                  to_json(list({{'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}} order by turn)) as data
+           from conversations group by conv_id, turn // 1000),
+t as (select *, strftime(seen, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' as stamp, strftime(seen, '%Y%m%d') as day from e)
+select stamp as _ingest_timestamp, '{SOURCE}' as _source, '{ENDPOINT}' as _endpoint, cast(conv_id as varchar) as _ticker, day as _batch_date, record_count,
+       '{{"_ingest_timestamp":"' || stamp || '","_source":"{SOURCE}","_endpoint":"{ENDPOINT}","_ticker":"' || cast(conv_id as varchar)
+       || '","_batch_date":"' || day || '","data":' || data || '}}' as value
+from t
+""")
 def envelope_pack_q(spark, d):
-    return envelopes(spark, d).select(*ENVELOPE_META, F.size("data").cast("bigint").alias("record_count"), "value")
+    """Envelopes stamped from a zoned time: ISO text in UTC and the UTC day as batch id."""
+    env = pack_envelopes(S.table(spark, d, "conversations"), "conv_id", batch_day(_seen_at(F.col("conv_id"))), SOURCE, ENDPOINT,
+                         iso_utc(_seen_at(F.col("_ticker").cast("bigint"))), RECORD_COLS, order_col="turn", page=F.floor(F.col("turn") / TURNS_PER_DOCUMENT))
+    return env.select(*ENVELOPE_META, F.size("data").cast("bigint").alias("record_count"), "value")
 
 
 BRONZE_SQL = f"""
@@ -298,6 +308,68 @@ def landing_inventory_q(spark, d):
     return landing_inventory(landing_paths(spark, d), source="feed_a")
 
 
+WALK_LIMIT = 40
+
+
+@query("landing_walk", f"""
+with f as (select distinct 'feed_' || case conv_id % 3 when 0 then 'a' else 'b' end as source, case when conv_id % 2 = 0 then 'turns' else 'notes' end as endpoint,
+                  case when conv_id % 7 = 0 then 'C_' else 'C' end || conv_id as key, cast(20240101 + conv_id % 5 as varchar) as day, conv_id from conversations)
+select source, endpoint, key, day as batch_date from f
+where source = 'feed_a' and endpoint = 'turns' and conv_id % 11 <> 3
+order by key || '_' || day || '.json' limit {WALK_LIMIT}
+""")
+def landing_walk_q(spark, d):
+    """A file per conversation, written by the tasks under its own name; the
+    folders listed by the tasks; the first files by path of one source and
+    endpoint, bad names skipped."""
+    root = scratch_path(spark, "walk")
+    conv = F.col("conv_id")
+    day = (F.lit(20240101) + conv % 5).cast("string")
+    docs = S.table(spark, d, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select(
+        F.when(conv % 3 == 0, "feed_a").otherwise("feed_b").alias("source"), F.when(conv % 2 == 0, "turns").otherwise("notes").alias("endpoint"),
+        F.concat(F.when(conv % 7 == 0, "C_").otherwise("C"), conv.cast("string")).alias("key"),
+        F.when(conv % 11 == 3, F.left(day, F.lit(7))).otherwise(day).alias("batch_date"), F.to_json(F.struct("conv_id", "n")).alias("value"))
+    write_documents(docs, root)
+    files = walk_landing(spark, root, source="feed_a")
+    return landing_inventory(files, "path", endpoint="turns", limit=WALK_LIMIT).drop("path")
+
+
+DATASETS = [BronzeSpec("conversations", "turns"), BronzeSpec("web", "events"), BronzeSpec("broken", "nothing"), BronzeSpec("sales", "orders")]
+
+
+@query("bronze_datasets", """
+select 'conversations.turns' as dataset, conv_id * 100000 + turn as id, role as label, cast(null as varchar) as error from conversations
+union all select 'web.events', event_id, event_type, null from events
+union all select 'sales.orders', o_orderkey, o_orderstatus, null from orders
+union all select 'broken.nothing', null, null, 'failed'
+""")
+def bronze_datasets_q(spark, d):
+    """One spec list, a stream per dataset, schemas unlike each other and
+    inferred; a dataset whose landing files are no envelopes fails alone."""
+    root = scratch_path(spark, "datasets")
+    landing = f"{root}/landing"
+    block = lambda c: F.floor(F.col(c) / TURNS_PER_DOCUMENT)
+    recs = {"conversations.turns": (S.table(spark, d, "conversations"), "conv_id", RECORD_COLS, block("turn")),
+            "web.events": (S.table(spark, d, "events"), "user_id", ["event_id", "event_type", "value"], block("event_id")),
+            "sales.orders": (S.table(spark, d, "orders"), "o_custkey", ["o_orderkey", "o_orderstatus", "o_totalprice"], block("o_orderkey"))}
+    for spec in DATASETS:
+        if (name := f"{spec.source}.{spec.endpoint}") in recs:
+            df, key, cols, page = recs[name]
+            write_landing(pack_envelopes(df, key, F.lit(BATCH_DATE), spec.source, spec.endpoint, INGEST_TS, cols, page=page), landing)
+    S.table(spark, d, "region").select(F.lit("no envelope").alias("value")).write.text(landing_dir(landing, "broken", "nothing"))
+    ids = {"conversations.turns": (F.col("conv_id") * 100_000 + F.col("turn"), "role"), "web.events": (F.col("event_id"), "event_type"),
+           "sales.orders": (F.col("o_orderkey"), "o_orderstatus")}
+    none = F.lit(None).cast("string")
+    parts = []
+    for x in load_datasets(spark, landing, f"{root}/bronze", DATASETS):
+        if x.error:
+            parts.append(spark.range(1).select(F.lit(x.name).alias("dataset"), F.lit(None).cast("bigint").alias("id"), none.alias("label"), F.lit("failed").alias("error")))
+        else:
+            value, label = ids[x.name]
+            parts.append(spark.read.parquet(x.table).select(F.lit(x.name).alias("dataset"), value.cast("bigint").alias("id"), F.col(label).alias("label"), none.alias("error")))
+    return union_all(parts)
+
+
 PAYLOAD_SQL = """case event_type
     when 'view' then '[]'
     when 'error' then '{"Error Message": "Invalid request ' || cast(event_id as varchar) || '"}'

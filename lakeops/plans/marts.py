@@ -17,12 +17,12 @@ from lakeops.operators.state import LatestState, merge_sums, sum_changes
 from lakeops.operators.upsert import (full_refresh, incremental_build, lookback_filter, merge_partitions,
                                       merge_upsert, partition_text, read_partitions, write_partitions)
 from lakeops.plans import standins as S
-from lakeops.plans.core import LINE_TOTALS_SQL, line_totals, period_dimension
+from lakeops.plans.core import LINE_TOTALS_SQL, line_totals, period_dimension, segment_daily_pit
 from lakeops.plans import registry
 from lakeops.plans.registry import query
 from lakeops.plans.sql_parts import DIM, FL, LI, PERIOD
 from lakeops.session import materialize, scratch_path
-from lakeops.sources.export import export_marts, to_cells
+from lakeops.sources.export import TooManyCells, export_marts, publish_marts, served_marts, to_cells
 
 PIT_DIM_COLS = ["o_custkey", "customer_key", "scd_effective_from", "scd_effective_to"]
 
@@ -47,8 +47,8 @@ def daily_rows(snaps: DataFrame, totals: DataFrame, dim: DataFrame) -> DataFrame
                         "close_price", "o_orderpriority", "shipped_qty", "shipped_lines")
 
 
-def fact_daily(spark: SparkSession, d: str) -> DataFrame:
-    return daily_rows(S.snapshots(spark, d), line_totals(spark, d), _dim(spark, d))
+def fact_daily(spark: SparkSession, d: str, dim: DataFrame | None = None) -> DataFrame:
+    return daily_rows(S.snapshots(spark, d), line_totals(spark, d), dim if dim is not None else _dim(spark, d))
 
 
 @query("fact_daily", f"""
@@ -304,12 +304,12 @@ shp as (select o_custkey as symbol, cast(year(ship_date) as varchar) as fiscalYe
         from fl group by 1, 2, 3)"""
 
 
-def _attach_period_and_version(spark, d, df: DataFrame) -> DataFrame:
+def _attach_period_and_version(spark, d, df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     p = period_dimension(spark, d).select("symbol", "fiscal_year", "fiscal_period", "fiscal_period_key",
                                           "period_end_date_key")
     typed = df.withColumn("fiscal_year", F.col("fiscalYear").cast("int")).withColumnRenamed("period", "fiscal_period")
     joined = typed.join(p, ["symbol", "fiscal_year", "fiscal_period"], "left")
-    return pit_join(joined, _dim(spark, d), "symbol", "period_end_date", dim_key="o_custkey",
+    return pit_join(joined, dim if dim is not None else _dim(spark, d), "symbol", "period_end_date", dim_key="o_custkey",
                     attach=["customer_key"], strategy="bucketed")
 
 
@@ -331,11 +331,15 @@ from u left join period_dim fp on u.symbol = fp.symbol and cast(u.fiscalYear as
 {_pit_sql('u', 'symbol', 'period_end_date')}
 """)
 def fact_long_q(spark, d):
+    return fact_long(spark, d)
+
+
+def fact_long(spark, d, dim=None) -> DataFrame:
     ids = STATEMENT_KEYS + ["period_end_date"]
     long = union_all([
         unpivot(income_statements(spark, d), ids, INCOME_MEASURES, tag={"statement_type": "income"}),
         unpivot(shipping_statements(spark, d), ids, SHIPPING_MEASURES, tag={"statement_type": "shipping"})])
-    out = _attach_period_and_version(spark, d, long)
+    out = _attach_period_and_version(spark, d, long, dim)
     return out.select("fiscal_period_key", "period_end_date_key", "customer_key", "symbol", "fiscal_year",
                       "fiscal_period", "statement_type", "line_item", "line_item_value")
 
@@ -350,7 +354,11 @@ from inc i left join period_dim fp on i.symbol = fp.symbol and cast(i.fiscalYear
 {_pit_sql('i', 'symbol', 'period_end_date')}
 """)
 def fact_wide_q(spark, d):
-    out = _attach_period_and_version(spark, d, income_statements(spark, d))
+    return fact_wide(spark, d)
+
+
+def fact_wide(spark, d, dim=None) -> DataFrame:
+    out = _attach_period_and_version(spark, d, income_statements(spark, d), dim)
     return out.select("fiscal_period_key", "period_end_date_key", "customer_key", "symbol", "fiscal_year",
                       "fiscal_period", F.col("revenue").alias("total_revenue"),
                       F.col("order_count").alias("orders_in_period"), F.col("max_price").alias("largest_order"))
@@ -402,11 +410,16 @@ select arg_max(customer_key, price_date) as customer_key, o_custkey, arg_max(sec
 from f group by o_custkey, cast(strftime(price_date, '%Y%m') as integer)
 """)
 def company_month_q(spark, d):
+    return company_month(spark, d)
+
+
+def company_month(spark, d, versions=None) -> DataFrame:
     """Month aggregate of the daily fact, joined to the dimension by its key:
     month key and start, prices, adjusted close, and the sector of the last
     day's version (M18)."""
-    facts = fact_daily(spark, d).drop("o_orderpriority").withColumn("adj_close", F.col("close_price") * ADJUSTMENT)
-    dim = S.dimension(spark, d).select("customer_key", F.col("o_orderpriority").alias("sector"))
+    versions = versions if versions is not None else materialize(S.dimension(spark, d), "month-dim")
+    facts = fact_daily(spark, d, versions.select(*PIT_DIM_COLS)).drop("o_orderpriority").withColumn("adj_close", F.col("close_price") * ADJUSTMENT)
+    dim = versions.select("customer_key", F.col("o_orderpriority").alias("sector"))
     names = {k: f"monthly_{k}" for k in ("open", "high", "low", "close", "volume")} | {"count": "trading_days", "start": "month_start_date"}
     month = ohlc_rollup(facts.join(dim, "customer_key"), ["o_custkey", month_key("price_date").alias("year_month")], "price_date",
                         "close_price", "close_price", "close_price", "close_price", "shipped_qty",
@@ -547,3 +560,70 @@ def export_cells_q(spark, d):
     back = {tab: spark.read.schema(to_cells(marts[f"marts.{tab}"]).schema).option("header", True).csv(path).na.fill("")
             for tab, path in paths.items()}
     return union_all([df.select(F.lit(tab).alias("mart"), F.concat_ws("|", *df.columns).alias("cells")) for tab, df in back.items()])
+
+
+# ---- the served set ------------------------------------------------------
+
+def mart_set(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The ten served marts: one dimension, two aggregates, seven facts. The
+    dimension is written once and read by all of them."""
+    versions = materialize(S.dimension(spark, d), "served-dim")
+    dim, events = versions.select(*PIT_DIM_COLS), event_facts()
+    return {"marts.dim_company": versions, "marts.agg_company_monthly": company_month(spark, d, versions),
+            "marts.agg_sector_daily": segment_daily_pit(spark, d, versions), "marts.fact_stock_daily": fact_daily(spark, d, dim),
+            "marts.fact_earnings_event": fact_event(spark, d, dim=dim), "marts.fact_financial_statement": fact_long(spark, d, dim),
+            "marts.fact_key_metric": fact_wide(spark, d, dim), "marts.fact_dividend_event": build_event_fact(spark, d, events["fact_dividend"], dim=dim),
+            "marts.fact_split_event": build_event_fact(spark, d, events["fact_split"], dim=dim), "marts.fact_insider_trade": fact_line(spark, d, dim=dim)}
+
+
+#: Tab -> registered query whose oracle describes the mart.
+SERVED = {"dim_company": "dim_scd2", "agg_company_monthly": "company_month", "agg_sector_daily": "segment_daily_pit", "fact_stock_daily": "fact_daily",
+          "fact_earnings_event": "fact_event", "fact_financial_statement": "fact_long", "fact_key_metric": "fact_wide",
+          "fact_dividend_event": "fact_dividend", "fact_split_event": "fact_split", "fact_insider_trade": "fact_line"}
+
+
+def _served_sql() -> str:
+    """Rows, cells (header included) and empty cells of each mart."""
+    parts = [f"""select '{tab}' as mart, count(*) as n_rows, (count(*) + 1) * any_value(wide) as n_cells, sum(empty) as n_empty from (
+select len(x) as wide, len(list_filter(x, lambda c: c is null or c = '')) as empty
+from (select [{{}}] as x from ({registry.ORACLE[name]}) m))""".replace("{}", ", ".join(f"cast(m.{c} as varchar)" for c in MART_COLUMNS[tab]))
+             for tab, name in SERVED.items()]
+    return " union all ".join(f"({p})" for p in parts)
+
+
+# Columns of the marts as served.
+MART_COLUMNS = {
+    "dim_company": ["customer_key", "o_custkey", "o_orderpriority", "scd_effective_from", "scd_effective_to", "is_current"],
+    "agg_company_monthly": ["customer_key", "o_custkey", "sector", "year_month", "month_start_date", "monthly_open", "monthly_high", "monthly_low",
+                            "monthly_close", "monthly_adj_close", "monthly_volume", "avg_close", "trading_days"],
+    "agg_sector_daily": ["sector", "date_key", "trade_date", "company_count", "total_quantity", "avg_price", "avg_discount"],
+    "fact_stock_daily": DAILY_CELLS,
+    "fact_earnings_event": ["date_key", "customer_key", "o_orderkey", "o_custkey", "event_date", "actual", "estimated", "surprise", "surprise_ratio"],
+    "fact_financial_statement": ["fiscal_period_key", "period_end_date_key", "customer_key", "symbol", "fiscal_year", "fiscal_period", "statement_type",
+                                 "line_item", "line_item_value"],
+    "fact_key_metric": ["fiscal_period_key", "period_end_date_key", "customer_key", "symbol", "fiscal_year", "fiscal_period", "total_revenue",
+                        "orders_in_period", "largest_order"],
+    "fact_dividend_event": ["date_key", "customer_key", "o_custkey", "event_date", "dividend", "adj_dividend", "dividend_yield", "frequency",
+                            "declaration_date", "record_date", "payment_date"],
+    "fact_split_event": ["date_key", "customer_key", "o_custkey", "event_date", "numerator", "denominator", "split_ratio", "split_type"],
+    "fact_insider_trade": ["date_key", "customer_key", "accession", "transaction_table", "line_index", "issuer_key", "transaction_date", "shares"]}
+
+
+@query("served_marts", _served_sql())
+def served_marts_q(spark, d):
+    """All ten marts published as one set; then a publication over the cell
+    limit, which changes nothing; what is served is read back and counted."""
+    out = scratch_path(spark, "served")
+    marts = {name: df.select(*MART_COLUMNS[name.split(".")[-1]]) for name, df in mart_set(spark, d).items()}
+    cells = publish_marts(marts, out)
+    try:
+        publish_marts({"marts.dim_company": marts["marts.dim_company"]}, out, cell_limit=10)
+    except TooManyCells:
+        pass
+    counted = []
+    for tab, path in served_marts(spark, out).items():
+        back = spark.read.schema(to_cells(marts[f"marts.{tab}"]).schema).option("header", True).csv(path)
+        empty = sum((F.coalesce(F.col(c) == "", F.lit(True)).cast("long") for c in back.columns), F.lit(0).cast("long"))
+        counted.append(back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(empty).alias("n_empty")).select(
+            F.lit(tab).alias("mart"), "n_rows", F.lit(cells[tab]).cast("long").alias("n_cells"), "n_empty"))
+    return union_all(counted)

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.latest import sorted_limit
 from lakeops.sources import fs
 from lakeops.sources.rescue import fields_of, rescued_record, text_of
 
@@ -110,7 +111,7 @@ def bronze_frame(raw: DataFrame, record_schema: T.StructType, file_col: Column |
                      (F.col("_m").isNull() | (data.isNull() & ~no_data)).alias("_bad"), data.alias("_data"), outer.alias("_outer"))
     records = F.when(F.col("_bad"), F.array(F.lit(None).cast("variant"))).otherwise(F.col("_data"))
     rows = env.select(*(c for c in env.columns if c != "_data"), F.explode(records).alias("_v"))  # empty/null array: no row
-    made = rescued_record(F.col("_v"), record_schema, None, F.col("_source_file"), "data", F.col("_outer"))
+    made = rescued_record(F.col("_v"), record_schema, text_of(F.col("_v")), F.col("_source_file"), "data", F.col("_outer"))
     corrupt = F.to_json(F.struct(F.col("_raw").alias("_corrupt_record"), F.col("_source_file").alias("_file_path")))
     rows = rows.select(*ENVELOPE_META, "_source_file", "_loaded_at", "_bad", "_raw", made.alias("_r"))
     return rows.select(*ENVELOPE_META, "_source_file", "_loaded_at", F.col("_r.value").alias("record"),
@@ -144,11 +145,5 @@ def landing_inventory(paths: DataFrame, path_col: str = "path", source: str | No
         if v is not None:
             out = out.filter(F.col(c) == v)
     if limit is not None:
-        out = out.orderBy("path").limit(limit)
+        out = sorted_limit(out, ["path"], limit)
     return out
-
-
-def list_landing(spark: SparkSession, root: str) -> DataFrame:
-    """File paths under ``root`` (metadata only: the content column is pruned)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.json").load(root).select("path"))

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,7 +188,7 @@ def test_xml_one_document_per_line(spark, tmp_path):
 
 
 def test_list_landing_reads_paths_only(spark, tmp_path):
-    from lakeops.sources.landing import list_landing
+    from lakeops.sources.walk import list_landing
     for rel in ("feed_a/profile/AAPL_20240101.json", "feed_a/profile/BRK_B_20240102.json", "feed_a/profile/notes.txt",
                 "feed_b/insider/MSFT_2024010.json"):
         f = tmp_path / rel
@@ -302,3 +303,63 @@ def test_data_that_is_no_array_is_kept(spark):
     docs = ['{"_ticker":"K","data":{"a":1}}', '{"_ticker":"K"}', '{"_ticker":"K","data":null}', "[1]", '{"_ticker":"K","data":[]}']
     out = bronze_frame(spark.createDataFrame([(t,) for t in docs], "value string"), REC).collect()
     assert sorted(json.loads(r._rescued_data)["_corrupt_record"] for r in out) == sorted([docs[0], docs[3]])
+
+
+def test_marts_are_published_together_or_not_at_all(spark, tmp_path):
+    from lakeops.sources.export import TooManyCells, publish_marts, served_marts
+    out = str(tmp_path / "served")
+    a, b = spark.range(5).toDF("x"), spark.range(3).selectExpr("id as y", "'t' as z")
+    assert served_marts(spark, out) == {}
+    assert publish_marts({"m.a": a, "m.b": b}, out) == {"a": 6, "b": 8}
+    read = lambda tab: sorted(r[0] for r in spark.read.option("header", True).csv(served_marts(spark, out)[tab]).collect())
+    assert read("a") == list("01234") and read("b") == list("012")
+    bad = spark.range(3).select(F.raise_error(F.lit("no mart")).cast("string").alias("w"))
+    before = served_marts(spark, out)
+    for wrong, marts, limit in ((Exception, {"m.a": a.limit(1), "m.bad": bad}, 100), (TooManyCells, {"m.a": a.limit(1), "m.b": b}, 9), (ValueError, {"m.a": a, "n.a": b}, 100)):
+        with pytest.raises(wrong):
+            publish_marts(marts, out, cell_limit=limit)
+        assert served_marts(spark, out) == before and read("a") == list("01234")
+    # a new set replaces the whole one; the one before is kept for its readers, older ones go
+    for n in (1, 2):
+        publish_marts({"m.a": a.limit(n)}, out)
+    assert set(served_marts(spark, out)) == {"a"} and len([p for p in (tmp_path / "served").iterdir() if p.name.startswith("set-")]) == 2
+
+
+def test_documents_are_files_and_listed(spark, tmp_path):
+    from lakeops.sources.walk import walk_landing, write_documents
+    docs = spark.createDataFrame([(s, e, f"K{i}", f"2024010{i}", f'{{"i":{i}}}') for s in "ab" for e in ("x", "y") for i in range(1, 6)],
+                                 "source string, endpoint string, key string, batch_date string, value string")
+    root = str(tmp_path / "land")
+    for _ in range(2):  # a task that runs again writes the same files
+        assert write_documents(docs.repartition(3), root) == 20
+    (tmp_path / "land" / "a" / "x" / "notes.txt").write_text("no document")
+    files = walk_landing(spark, root)
+    assert files.count() == 21 and files.rdd.getNumPartitions() == 4
+    assert not [f for f in (tmp_path / "land").rglob("*.tmp")]
+    assert rows(walk_landing(spark, root, source="a", endpoint="y"), "source", "endpoint", "file", "bytes") == [("a", "y", f"K{i}_2024010{i}.json", 7) for i in range(1, 6)]
+    assert walk_landing(spark, root, source="none").count() == 0 and walk_landing(spark, str(tmp_path / "missing")).count() == 0
+    got = rows(landing_inventory(files, "path", endpoint="x", limit=7), "source", "key", "batch_date")
+    assert got == [("a", f"K{i}", f"2024010{i}") for i in range(1, 6)] + [("b", "K1", "20240101"), ("b", "K2", "20240102")]
+
+
+def test_a_failing_dataset_ends_alone(spark, tmp_path):
+    from lakeops.sources.landing import landing_dir, pack_envelopes, write_landing
+    from lakeops.streaming.bronze import BronzeSpec, DatasetsFailed, load_all, load_datasets
+    landing, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    recs = {"p.one": spark.createDataFrame([(1, "a")], "k int, name string"), "p.two": spark.createDataFrame([(1, 2.5, [1, 2])], "k int, v double, l array<int>"),
+            "q.three": spark.createDataFrame([(1, True)], "k int, flag boolean")}
+    for name, df in recs.items():
+        write_landing(pack_envelopes(df, "k", F.lit("20240101"), *name.split("."), "t0", df.columns, page=F.lit(0)), landing)
+    spark.range(1).selectExpr("'not json' as value").write.text(landing_dir(landing, "p", "broken"))
+    specs = [BronzeSpec("p", "one"), BronzeSpec("p", "broken"), BronzeSpec("p", "missing"), BronzeSpec("p", "two"), BronzeSpec("q", "three")]
+    # a stream that fails while it runs: its table can't hold what the schema says
+    schemas = {"p.two": T.StructType.fromDDL("k int, _ticker string")}
+    got = {x.name: x for x in load_datasets(spark, landing, bronze, specs, schemas, at_once=2)}
+    assert [n for n, x in got.items() if x.error] == ["p.broken", "p.missing", "p.two"]
+    for name in ("p.one", "q.three"):
+        cols = recs[name].columns
+        assert rows(spark.read.parquet(got[name].table), *cols) == rows(recs[name].selectExpr(*cols))
+    # mended, it goes on; the others find nothing new
+    with pytest.raises(DatasetsFailed, match="p.broken"):
+        load_all(spark, landing, bronze, specs)
+    assert spark.read.parquet(got["p.two"].table).count() == 1 and spark.read.parquet(got["p.one"].table).count() == 1
