@@ -20,6 +20,8 @@ extra columns of any name are ignored. Texts are packed whole.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -31,6 +33,8 @@ from lakeops.session import scratch_path
 
 #: Sequence ids: the task's number, then the sequence within it.
 TASK_BITS = 40
+#: Bytes of ids that one range of the curve holds.
+RANGE_BYTES = 16 << 20
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -62,17 +66,29 @@ def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
     return key.astype("i8")
 
 
+#: Places of the hashed document vector.
+PLACES = 256
+
+
+@lru_cache(maxsize=2)
+def _hashing(vocabulary: int, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Once per worker: a token's place in the vector and its sign, by a
+    multiplicative hash, and the fixed matrix that projects the vector."""
+    h = np.arange(vocabulary, dtype="u8") * np.uint64(0x9E3779B97F4A7C15)
+    place, sign = (h >> np.uint64(56)).astype("i8") % PLACES, 1.0 - 2.0 * ((h >> np.uint64(55)) & np.uint64(1)).astype("f8")
+    return place, sign, np.random.default_rng(11).standard_normal((PLACES, dims))
+
+
 def curve_places(ids: list[np.ndarray], vocabulary: int, dims: int = 4, bits: int = 15) -> np.ndarray:
-    """Key of each document's ids: its mean hashed vector, projected by a
-    fixed random matrix and squashed to a grid of 2^bits steps a side."""
-    table = np.random.default_rng(11).standard_normal((vocabulary, dims)).astype("f4")
-    size = np.array([len(x) for x in ids])
-    points = np.zeros((len(ids), dims))
-    full = np.flatnonzero(size)
-    if len(full):
-        flat = table[np.concatenate([ids[i] for i in full])]
-        starts = np.concatenate([[0], np.cumsum(size[full])[:-1]])
-        points[full] = np.add.reduceat(flat, starts, axis=0) / size[full, None]
+    """Key of each document's ids: its mean hashed vector (signed counts of
+    the tokens in ``PLACES`` places), projected to ``dims`` dimensions and
+    squashed to a grid of 2^bits steps a side."""
+    place, sign, matrix = _hashing(vocabulary, dims)
+    size = np.array([len(x) for x in ids], "i8")
+    flat = np.concatenate(ids) if len(ids) else np.empty(0, "<u4")
+    at = np.repeat(np.arange(len(ids)) * PLACES, size) + place[flat]
+    vectors = np.bincount(at, weights=sign[flat], minlength=len(ids) * PLACES).reshape(-1, PLACES)
+    points = vectors @ matrix / np.maximum(size, 1)[:, None]
     grid = ((np.tanh(3 * points) + 1) / 2 * ((1 << bits) - 1)).astype("u8")
     return hilbert_key(grid, bits)
 
@@ -97,7 +113,10 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int, length: int = 2048, id
 
     path = scratch_path(spark, "packing-ids")
     src.mapInArrow(encode, f"id {kind}, place long, ids binary").write.option("compression", "zstd").parquet(path)
-    ordered = spark.read.parquet(path).repartitionByRange("place", "id").sortWithinPartitions("place", "id").select("id", "ids")
+    encoded = spark.read.parquet(path)
+    # as many ranges as the ids' bytes ask for
+    size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    ordered = encoded.repartitionByRange(1 + size // RANGE_BYTES, "place", "id").sortWithinPartitions("place", "id").select("id", "ids")
     names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def lay(batches):
