@@ -35,7 +35,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lakeops.llm.common import gathered, id_text, slices
@@ -67,17 +67,17 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp long), one row per input row."""
-    src = id_text(df, id_col, text_col)
+    """(id, fp long, text_hash long), one row per input row."""
+    src = id_text(df, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     kind = src.schema[0].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 found = [fingerprint(t, shingle) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64()), part.column(2)], ["id", "fp", "text_hash"])
 
-    return src.mapInArrow(run, f"id {kind}, fp long")
+    return src.mapInArrow(run, f"id {kind}, fp long, text_hash long")
 
 
 def covering_masks(radius: int, seed: int = 7) -> list[int]:
@@ -133,7 +133,8 @@ def _bucket_links(buckets: DataFrame, radius: int) -> DataFrame:
                 kept.append(fp[a:b])
             a, b = zip(*links) if links else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        a, b = zip(*close()) if kept and close() else ((), ())
+        last = close()
+        a, b = zip(*last) if last else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return buckets.mapInArrow(run, _LINK)
@@ -177,20 +178,26 @@ def near_links(fps: DataFrame, radius: int = 4, crowd: int = 16_384) -> DataFram
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, crowd: int = 16_384) -> DataFrame:
-    """(id, fp, component_id, bits_set): ``component_id`` is the smallest id
-    that a chain of links reaches."""
+    """(id, fp, component_id, root, text_hash): ``component_id`` is the
+    smallest id that a chain of links reaches; ``root``, a fingerprint, names
+    the component (two may have one smallest id, where ids repeat)."""
     rows = materialize(fingerprints(df, id_col, text_col, shingle), "simhash-fps")
     distinct = rows.groupBy("fp").agg(F.min("id").alias("low"))
     roots = connected_components(near_links(distinct.select("fp"), radius, crowd))
     found = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     found = materialize(found, "simhash-roots")
     least = found.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = found.join(least, "root").select("fp", "component_id")
-    return rows.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
-
-
-def keep_one(df: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows whose id is the smallest of its component in ``found``, once
-    each. Rows with a null id can't be told apart and all stay."""
-    kept = found.select(F.col("component_id").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
-    return df.where(F.col(id_col).isNull()).unionByName(df.join(kept, id_col, "left_semi").select(df.columns).dropDuplicates([id_col]))
+    of = found.join(least, "root").select("fp", "component_id", "root")
+    return rows.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "root", "text_hash")
+
+
+def keep_one(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component in ``found``, all columns as they are: the
+    smallest id's (a null id counts as the greatest); of several texts under
+    that id the one whose hash is smallest, of equal rows one."""
+    best = found.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")).alias("best"))
+    best = best.select(F.col("best.id").alias("_best_id"), F.col("best.text_hash").alias("_best_hash"))
+    rows = df.select(F.struct(*df.columns).alias("_row"), F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_hash"))
+    rows = rows.join(best, F.col("_id").eqNullSafe(F.col("_best_id")) & (F.col("_hash") == F.col("_best_hash")), "left_semi")
+    same = Window.partitionBy("_id", "_hash").orderBy(F.xxhash64("_row"))
+    return rows.withColumn("_n", F.row_number().over(same)).where("_n = 1").select("_row.*")
