@@ -40,15 +40,17 @@ class LatestState:
         # names of partitions only
         names = sorted(r[0] for r in new.select(partition_text(self.partition).alias(PART)).distinct().collect())
         held = read_partitions(self.spark, self.path, self.schema, names)
-        if held is None:
-            held = self.spark.createDataFrame([], self.schema)
+        if held is None:  # the first run: all keys are new
+            changed = new.select(*self.keys, F.lit(None).cast(new.select(row).schema[0].dataType).alias("old"), row.alias("new"))
+            merge_partitions(self.path, new, self.keys, self.partition, keys_fix_partition=True, staged=True, check_unique=False)
+            return changed
         # the keys' own rows only, before anything is compared; null parts are keys like others
         pair = lambda df, name: df.select(F.struct(*self.keys).alias("_k"), row.alias(name))
         both = pair(new, "new").join(pair(held, "old"), "_k", "left")
         order = lambda side: F.struct(*(F.col(f"{side}.{c}") for c in self.order_by))
         later = F.col("old").isNull() | (order("new") > order("old"))
         changed = materialize(both.where(later).select("_k.*", "old", "new"), "state-changes")
-        merge_partitions(self.path, changed.select("new.*"), self.keys, self.partition, keys_fix_partition=True)
+        merge_partitions(self.path, changed.select("new.*"), self.keys, self.partition, keys_fix_partition=True, staged=True, check_unique=False)
         return changed
 
 
@@ -63,15 +65,16 @@ def sum_changes(changes: DataFrame, groups: dict[str, Column], measures: dict[st
     return side("new", 1).unionAll(side("old", -1)).groupBy(*groups).agg(*(F.sum(n).alias(n) for n in [*measures, "rows_added"]))
 
 
-def merge_sums(path: str, added: DataFrame, groups: Sequence[str], partition: Column) -> list[str]:
+def merge_sums(path: str, added: DataFrame, groups: Sequence[str], partition: Column, staged: bool = False) -> list[str]:
     """Add to the stored sums of the groups (measures and ``rows_added``),
     rewriting only the partitions of these groups, which the groups fix.
-    Groups that lose their last row stay with 0 ``rows_added``."""
+    Groups that lose their last row stay with 0 ``rows_added``; ``staged`` says
+    that ``added`` is a written table already."""
     spark, schema = added.sparkSession, added.schema
-    added = materialize(added, "sums-added")
+    added = added if staged else materialize(added, "sums-added")
     names = sorted(r[0] for r in added.select(partition_text(partition).alias(PART)).distinct().collect())
     held = read_partitions(spark, path, schema, names)
     if held is not None:
         mine = held.join(added.select(*groups), [held[g].eqNullSafe(added[g]) for g in groups], "left_semi")
         added = mine.unionByName(added).groupBy(*groups).agg(*(F.sum(c).alias(c) for c in schema.names if c not in groups)).select(*schema.names)
-    return merge_partitions(path, added, groups, partition, keys_fix_partition=True)
+    return merge_partitions(path, added, groups, partition, keys_fix_partition=True, staged=staged and held is None, check_unique=False)

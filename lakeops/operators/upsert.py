@@ -134,17 +134,19 @@ def read_partitions(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], partition: Column,
-                     keys_fix_partition: bool = False) -> list[str]:
+                     keys_fix_partition: bool = False, staged: bool = False, check_unique: bool = True) -> list[str]:
     """Upsert ``source`` into the table at ``path``, rewriting only the
     partitions it touches: those of its rows and those that hold a matched key
     (a row whose date moved leaves its old partition). The latter are looked
     for in the partitions whose key filter says that they may hold one, not in
     the whole table; a table written without filters gets them here.
     ``keys_fix_partition`` says that a key's partition can't change, which
-    spares the filters and the search. Returns the touched partitions' names."""
+    spares the filters and the search; ``staged`` that the source is a written
+    table already; ``check_unique=False`` that its keys are unique. Returns the
+    touched partitions' names."""
     spark, schema, keys = source.sparkSession, source.schema, list(keys)
     # read for the touched partitions, the moved keys and the merge itself
-    source = materialize(source, "merge-source")
+    source = source if staged else materialize(source, "merge-source")
     there = fs.exists(spark, path)
     touched = source.select(partition_text(partition).alias(PART))
     if there and not keys_fix_partition:
@@ -158,7 +160,7 @@ def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], partitio
     # names of partitions only: bounded by the table's partitions
     names = sorted(r[0] for r in touched.distinct().collect())
     old = read_partitions(spark, path, schema, names)
-    rows = materialize(merge_upsert(old, source, keys), "merge-rows")
+    rows = materialize(merge_upsert(old, source, keys, check_unique), "merge-rows")
     if not keys_fix_partition and names:
         _filter_keys(spark, path, rows, keys, partition)
     merged = rows.withColumn(PART, partition_text(partition)).withColumn(LIVE, F.lit(True))

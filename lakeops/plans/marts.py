@@ -99,7 +99,7 @@ def fact_daily_incremental(spark: SparkSession, d: str) -> DataFrame:
         added = sum_changes(changes, {"o_custkey": F.col("o_custkey"), "order_date": F.to_date("l_shipdate")}, {"shipped_qty": F.col("l_quantity")})
         totals_schema = added.schema
         added = materialize(added, "daily-added")
-        merge_sums(f"{root}/totals", added, ["o_custkey", "order_date"], F.trunc("order_date", "MM"))
+        merge_sums(f"{root}/totals", added, ["o_custkey", "order_date"], F.trunc("order_date", "MM"), staged=True)
         touched = added.select("o_custkey", F.col("order_date").alias("day")).union(ordered.select("o_custkey", order_day)).distinct()
         touched = materialize(touched, "daily-touched")
         months = sorted(r[0] for r in touched.select(partition_text(F.trunc("day", "MM"))).distinct().collect())
