@@ -231,15 +231,97 @@ def test_every_copy_inside_a_document(spark):
     assert any(a <= 36 and 104 <= b for a, b in got[4, 3])
 
 
-def test_recall_of_edited_passages(spark):
+@pytest.mark.parametrize("edit", ["changed", "inserted", "deleted"])
+def test_recall_of_edited_passages(spark, edit):
     """Passages of 50 to 60 words with similarity 0.8 or little more."""
     rng = random.Random(23)
-    texts, n = {}, 600
+    texts, n = {}, 400
     for k in range(n):
-        size = rng.randint(50, 60)
+        size = rng.randint(51, 60)
         shared = prose(rng, size)
-        edited = list(shared)
-        edited[rng.randint(8, size - 9)] = "changed"
+        at = rng.randint(8, size - 9)
+        edited = shared[:at] + ([] if edit == "deleted" else ["new"]) + shared[at + (edit != "inserted") :]
         texts[k], texts[1000 + k] = prose(rng, 20) + shared + prose(rng, 20), prose(rng, 30) + edited + prose(rng, 10)
     got = spans(duplicate_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect())
     assert sum((1000 + k, k) in got for k in range(n)) >= 0.99 * n
+
+
+@pytest.mark.parametrize("beside", [0, 25, 300])
+def test_edited_passages_whose_halves_are_crowded(spark, beside):
+    """Pairs of 52 words with one changed in the middle; either half also stands in other documents, few or many."""
+    rng = random.Random(beside)
+    texts, at = {}, 0
+    pairs = 20 if beside < 100 else 4
+    for k in range(pairs):
+        left, right = prose(rng, 26), prose(rng, 26)
+        shared = left + right
+        edited = left[:-1] + ["changed"] + right
+        lines = [prose(rng, 20) + half + prose(rng, 20) for half in (left, right) for _ in range(beside)]
+        rng.shuffle(lines)
+        texts[k] = prose(rng, 20) + shared + prose(rng, 20)
+        for line in lines:
+            texts[10_000 + at] = line
+            at += 1
+        texts[1_000_000 + k] = prose(rng, 20) + edited + prose(rng, 20)
+    got = spans(duplicate_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect())
+    assert {(1_000_000 + k, k) for k in range(pairs)} <= set(got)
+
+
+def test_a_repeated_word_is_one_window(spark):
+    """Texts that repeat a word or a line are found, and don't multiply."""
+    rng = random.Random(5)
+    line = prose(rng, 7)
+    texts = {1: ["la"] * 900, 2: prose(rng, 60) + ["la"] * 300, 3: line * 80, 4: prose(rng, 30) + line * 20 + prose(rng, 30), 5: ["la"] * 900}
+    rows = duplicate_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect()
+    got = spans(rows)
+    assert set(got) == {(2, 1), (4, 3), (5, 1)} and got[5, 1] == [(0, 900)]
+    assert any(a <= 64 and b >= 355 for a, b in got[2, 1]) and any(a <= 34 and b >= 165 for a, b in got[4, 3])
+
+
+def test_agreeing_regions():
+    from lakeops.llm.passages import BITS, REGION, REGIONS, _agreeing
+    rng = random.Random(6)
+    pack = lambda codes: np.array([sum(c << (BITS * j) for j, c in enumerate(codes))], "i4")
+    for _ in range(800):
+        a = [rng.randint(0, 31) for _ in range(REGIONS)]
+        b = [x if rng.random() < 0.7 else rng.randint(0, 31) for x in a]
+        room = rng.randint(0, 60)
+        n = min(room // REGION, REGIONS)
+        same = [x == y for x, y in zip(a[:n], b[:n])] + [False] * (REGIONS - n)
+        total, gapless, with_gap = (x[0] for x in _agreeing(pack(a), pack(b), np.array([room])))
+        assert total == sum(same) and gapless == (same + [False]).index(False)
+        skipped = same[:gapless] + [True] * min(2, REGIONS - gapless) + same[gapless + 2 :]
+        assert with_gap == (skipped + [False]).index(False)
+
+
+def test_crowded_groups_keep_every_kind_of_link():
+    """In one large group: copies of two passages around a centre, an edited one, and strangers."""
+    import pyarrow as pa
+    from lakeops.llm.passages import BITS, REGIONS, WINDOW, _join_groups
+    rng = random.Random(7)
+    code = lambda: [rng.randint(0, 31) for _ in range(REGIONS)]
+    pack = lambda codes: sum(c << (BITS * j) for j, c in enumerate(codes))
+    left, right = code(), code()
+    rows = [(code(), right) for _ in range(10)] + [(left, code()) for _ in range(10)] + [(code(), code()) for _ in range(10)]
+    edited = list(right)
+    edited[1] ^= 1
+    rows.append((code(), edited))
+    cols = [[5] * len(rows), list(range(len(rows))), [0] * len(rows), [100] * len(rows), [60] * len(rows), [60] * len(rows), [pack(a) for a, _ in rows], [pack(b) for _, b in rows]]
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 6]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], WINDOW)
+    out = _join_groups(batch, np.full(len(rows), len(rows)), 46, 16).to_pylist()
+    got = {(r["a_id"], r["b_id"]) for r in out}
+    assert {(0, k) for k in range(1, 10)} <= got and {(10, k) for k in range(11, 20)} <= got
+    assert not any(a in range(1, 10) and b in range(1, 10) for a, b in got)  # copies: not all pairs
+    assert any(b == 30 for _, b in got)
+
+
+def test_keep_one_goes_by_the_row(spark):
+    """Rows that share an id but not their text are told apart; null ids too; equal rows are one."""
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(prose(rng, 40)) for _ in range(4))
+    rows = [(7, a, "x"), (7, b, "y"), (8, c, "z"), (9, a, "copy"), (None, b, "copy"), (None, d, "only"), (None, d, "only"), (8, c, "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, root string").repartition(4)
+    kept = keep_one(df, near_duplicates(df))
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(7, a, "x"), (7, b, "y"), (8, c, "z"), (None, d, "only")], key=str)
