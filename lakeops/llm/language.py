@@ -189,8 +189,10 @@ class LanguageModel:
         return out
 
 
-def fit_language(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 300, max_chars: int = 16_000, max_languages: int = 256, rounds: int = 3) -> LanguageModel:
-    """More than ``max_languages`` different values are an error."""
+def fit_language(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 300, max_chars: int = 16_000, max_languages: int = 256, rounds: int = 3, max_word: int = 40) -> LanguageModel:
+    """Learns on at most about ``per_language`` documents of a language, of up to
+    ``max_chars`` characters, and on their words of up to ``max_word`` letters
+    (longer ones are scored like others, but teach nothing). More than ``max_languages`` different values are an error."""
     known = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = known.where("id is not null and lang is not null and text is not null").where(~held_out("id"))
     count = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()}
@@ -210,7 +212,7 @@ def fit_language(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     def count_words(batches):
         for batch in batches:
             for part in slices(batch):
-                seen = Counter((lang, w) for text, lang in zip(*(c.to_pylist() for c in part.columns)) for w in WORDS(text.lower()) if len(w) <= SHORT)
+                seen = Counter((lang, w) for text, lang in zip(*(c.to_pylist() for c in part.columns)) for w in WORDS(text.lower()) if len(w) <= max_word)
                 if seen:
                     langs, words = zip(*seen)
                     yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(words), pa.array(list(seen.values()))], ["lang", "word", "n"])

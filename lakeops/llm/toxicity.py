@@ -13,7 +13,8 @@ the true class shares. ``score_toxicity`` scores every whole text.
 
 Defined results: a null text, an empty one or one without words scores 0.0
 and has no offending sentence; null labels and null ids teach nothing; with no
-training row, or only one class, every text scores 0.0; repeated rows repeat
+training row, or only one class, every text scores next to 0 (2e-9 a sentence,
+what the untrained bias gives); repeated rows repeat
 their result; an empty table gives an empty table. Only the named columns are
 read, so extra columns of any name are ignored.
 """
