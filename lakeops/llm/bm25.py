@@ -6,7 +6,8 @@ shard, each word's postings (document number and frequency) in blocks of
 row with the shard's ids and lengths. ``search`` gathers the global statistics
 (documents, mean length, document frequencies) from the index, so that each
 shard scores as one large index would, runs block-max WAND in every shard
-for its k best, and merges those exactly.
+for its k best, and merges those exactly. Queries are split into words in the tasks and
+dealt into blocks; the driver sees two totals.
 
 Pruning: words are kept in the order of their current document; the pivot is
 the first document that the words' highest scores could lift over the k-th
@@ -27,7 +28,6 @@ name are ignored. Texts are indexed whole.
 from __future__ import annotations
 
 import heapq
-import math
 from bisect import bisect_left
 from collections import Counter
 
@@ -186,51 +186,65 @@ def block_max_wand(lists: list[_Postings], k: int) -> list[tuple[float, int]]:
     return sorted(((s, -d) for s, d in best), key=lambda x: (-x[0], x[1]))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 20, query_id: str = "item_id", query_text: str = "text", block_queries: int = 512) -> DataFrame:
-    """(query_id, rank, doc_id, score), the queries taken in blocks."""
-    spark = index.sparkSession
+def query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
+    """(id, text_hash, nth, word, times): a row for each different word of a query."""
+    asked = id_text(queries, query_id, query_text).where("id is not null and text is not null")
+    kind = asked.schema[0].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                row, cols = [], ([], [], [], [])
+                for k, text in enumerate(part.column(1).to_pylist()):
+                    text_hash = xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
+                    for nth, (word, times) in enumerate(Counter(map(word_key, WORDS(text.lower()))).items()):
+                        row.append(k)
+                        for col, value in zip(cols, (text_hash, nth, word, times)):
+                            col.append(value)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32())))], ["id", "text_hash", "nth", "word", "times"])
+
+    return asked.mapInArrow(run, f"id {kind}, text_hash long, nth int, word long, times int")
+
+
+def search(index: DataFrame, queries: DataFrame, k: int = 20, query_id: str = "item_id", query_text: str = "text", block_terms: int = 20_000) -> DataFrame:
+    """(query_id, rank, doc_id, score). Queries are dealt into blocks of about
+    ``block_terms`` words; every shard meets every block with the block's own
+    lists, and all of it stays in Spark."""
     about = index.where(F.col("word") == ABOUT).agg(F.sum(F.size("ids")).alias("n"), F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, v: s + v)).alias("length")).first()
-    asked = id_text(queries, query_id, query_text).where("id is not null")
-    kind_q, kind_d = asked.schema[0].dataType.simpleString(), index.schema["ids"].dataType.elementType.simpleString()
-    out = spark.createDataFrame([], f"query_id {kind_q}, text_hash long, doc_id {kind_d}, score double")
     mean = (about.length or 0) / (about.n or 1)
-    block: list = []
-
-    def run_block(block):
-        terms = [(i, xxhash.xxh64_intdigest(text.encode()) - (1 << 63), list(Counter(map(word_key, WORDS(text.lower()))).items())) for i, text in block]
-        wanted = sorted({w for _, _, ws in terms for w, _ in ws})
-        # no more rows than the block's words
-        words = spark.createDataFrame([(w,) for w in wanted] + [(ABOUT,)], "word long")
-        found = materialize(index.join(F.broadcast(words), "word"), "bm25-lists")
-        frequency = {r.word: r.n for r in found.where(F.col("word") != ABOUT).groupBy("word").agg(F.sum(F.size("docs")).alias("n")).collect()}
-        weight = {w: math.log(1 + (about.n - n + 0.5) / (n + 0.5)) for w, n in frequency.items()}
-
-        def best(rows: pa.Table) -> pa.Table:
-            word = rows.column("word").to_pylist()
-            top = word.index(ABOUT)
-            lengths = np.array(rows.column("counts")[top].as_py())
-            ids = rows.column("ids")[top].as_py()
-            at = {w: i for i, w in enumerate(word) if w != ABOUT}
-            lists = {w: (rows.column("docs")[i].values.to_numpy(), rows.column("counts")[i].values.to_numpy()) for w, i in at.items()}
-            out = []
-            for qid, text_hash, ws in terms:
-                mine = [_Postings(*lists[w], lengths, weight[w] * n, mean) for w, n in ws if w in lists]
-                out += [(qid, text_hash, ids[d], s) for s, d in (block_max_wand(mine, k) if mine else ())]
-            cols = list(zip(*out)) or [(), (), (), ()]
-            return pa.table([pa.array(c, t) for c, t in zip(cols, (q_type, pa.int64(), rows.schema.field("ids").type.value_type, pa.float64()))], names=["query_id", "text_hash", "doc_id", "score"])
-
-        q_type = pa.array([block[0][0]]).type if kind_q == "string" else {"bigint": pa.int64(), "int": pa.int32()}.get(kind_q, pa.array([block[0][0]]).type)
-        return found.groupBy("shard").applyInArrow(best, out.schema)
-
-    parts = []
-    for r in asked.select("id", F.coalesce("text", F.lit("")).alias("text")).orderBy("id", "text").toLocalIterator():
-        block.append((r.id, r.text))
-        if len(block) == block_queries:
-            parts.append(run_block(block))
-            block = []
-    if block:
-        parts.append(run_block(block))
-    for part in parts:
-        out = out.union(part)
+    terms = materialize(query_terms(queries, query_id, query_text), "bm25-terms")
+    kind_q, kind_d = terms.schema["id"].dataType.simpleString(), index.schema["ids"].dataType.elementType.simpleString()
+    blocks = 1 + terms.count() // block_terms
+    terms = terms.withColumn("block", F.pmod(F.xxhash64("id", "text_hash"), F.lit(blocks)))
+    # only the lists of words that are asked for
+    found = materialize(index.join(terms.select("word").distinct(), "word"), "bm25-lists")
+    count = found.groupBy("word").agg(F.sum(F.size("docs")).alias("n"))
+    weight = F.log(1 + (F.lit(about.n or 0) - F.col("n") + 0.5) / (F.col("n") + 0.5))
+    term = F.struct("id", "text_hash", "nth", "word", "times", weight.alias("weight"))
+    of_block = terms.join(count, "word").groupBy("block").agg(F.collect_list(term).alias("terms"))
+    lists = found.join(terms.select("word", "block").distinct(), "word")
+    # the shard's ids and lengths meet the block's words, the lists come beside
+    top = index.where(F.col("word") == ABOUT).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(of_block, "block")
+    cols = ["shard", "block", "word", "docs", "counts", "ids"]
+    rows = top.select(*cols, "terms").unionAll(lists.select(*cols, F.lit(None).cast(top.schema["terms"].dataType).alias("terms")))
+
+    def best(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        word, out = rows.column("word").to_pylist(), []
+        d_type, q_type = rows.schema.field("ids").type.value_type, rows.schema.field("terms").type.value_type.field("id").type
+        if ABOUT in word:
+            first = word.index(ABOUT)
+            lengths, ids = np.array(rows.column("counts")[first].as_py()), rows.column("ids")[first].as_py()
+            lists = {w: (rows.column("docs")[i].values.to_numpy(), rows.column("counts")[i].values.to_numpy()) for i, w in enumerate(word) if w != ABOUT}
+            asked: dict = {}
+            for t in sorted(rows.column("terms")[first].as_py(), key=lambda t: t["nth"]):
+                if t["word"] in lists:
+                    asked.setdefault((t["id"], t["text_hash"]), []).append(_Postings(*lists[t["word"]], lengths, t["weight"] * t["times"], mean))
+            for (qid, text_hash), mine in asked.items():
+                out += [(qid, text_hash, ids[d], s) for s, d in block_max_wand(mine, k)]
+        found = list(zip(*out)) or [(), (), (), ()]
+        return pa.table([pa.array(c, t) for c, t in zip(found, (q_type, pa.int64(), d_type, pa.float64()))], names=["query_id", "text_hash", "doc_id", "score"])
+
+    out = rows.groupBy("shard", "block").applyInArrow(best, f"query_id {kind_q}, text_hash long, doc_id {kind_d}, score double")
     rank = F.row_number().over(Window.partitionBy("query_id", "text_hash").orderBy(F.desc("score"), "doc_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

@@ -90,7 +90,7 @@ def test_block_max_wand_is_exact():
 def test_bm25_shards_merge_exactly(spark, small_docs, monkeypatch):
     asked = spark.read.parquet(f"{SMALL}/benchmark.parquet").where("item_id < 6")
     one = bm25.search(bm25.build_index(small_docs.coalesce(1)), asked, k=7).collect()
-    many = bm25.search(bm25.build_index(small_docs.repartition(9)), asked, k=7, block_queries=2).collect()
+    many = bm25.search(bm25.build_index(small_docs.repartition(9)), asked, k=7, block_terms=30).collect()
     key = lambda r: (r.query_id, r["rank"])
     assert [(key(r), r.doc_id) for r in sorted(one, key=key)] == [(key(r), r.doc_id) for r in sorted(many, key=key)]
     assert np.allclose([r.score for r in sorted(one, key=key)], [r.score for r in sorted(many, key=key)])
