@@ -118,7 +118,7 @@ def split_bucket(bits: str, counts: list[tuple[int, int, int]], most_rows: int,
 
 class StreamingSCD2:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence: str,
-                 untracked: Sequence[str] = (), tie_break: Sequence[str] = (), bucket_rows: int = 4096,
+                 untracked: Sequence[str] = (), tie_break: Sequence[str] = (), bucket_rows: int = 20_000,
                  max_depth: int = 16, materialize_steps: bool = True, compact_every: int = 50,
                  expectations: Sequence[Expectation] = ()):
         self.spark, self.root = spark, root.rstrip("/")
