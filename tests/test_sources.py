@@ -325,6 +325,23 @@ def test_marts_are_published_together_or_not_at_all(spark, tmp_path):
     assert set(served_marts(spark, out)) == {"a"} and len([p for p in (tmp_path / "served").iterdir() if p.name.startswith("set-")]) == 2
 
 
+def test_a_set_over_the_limit_is_spread_over_sheets(spark, tmp_path):
+    """Every row is served, no sheet holds more cells than the limit."""
+    from lakeops.sources.export import TooManyCells, publish_marts, served_marts
+    out = str(tmp_path / "served")
+    a, b = spark.range(25).repartition(2).selectExpr("id as x", "id % 3 as y"), spark.range(1).selectExpr("id as z")
+    with pytest.raises(TooManyCells):
+        publish_marts({"m.a": a, "m.b": b}, out, cell_limit=10)
+    assert publish_marts({"m.a": a, "m.b": b}, out, cell_limit=10, spread=True) == {"a": 52, "b": 2}
+    back = spark.read.option("header", True).csv(served_marts(spark, out)["a"])
+    assert sorted(int(r["x"]) for r in back.collect()) == list(range(25))
+    sheets = [f.read_text().split() for f in (tmp_path / "served").glob("set-*/a/part-*")]
+    assert all(s[0] == "x,y" and 2 * len(s) <= 10 for s in sheets) and len(sheets) >= 7
+    with pytest.raises(TooManyCells):  # not even one row
+        publish_marts({"m.a": a, "m.b": b}, out, cell_limit=3, spread=True)
+    assert set(served_marts(spark, out)) == {"a", "b"}
+
+
 def test_documents_are_files_and_listed(spark, tmp_path):
     from lakeops.sources.walk import walk_landing, write_documents
     docs = spark.createDataFrame([(s, e, f"K{i}", f"2024010{i}", f'{{"i":{i}}}') for s in "ab" for e in ("x", "y") for i in range(1, 6)],
