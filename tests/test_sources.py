@@ -82,6 +82,20 @@ def test_calendar_size_and_flags(spark):
     assert cal.holidays(cal.days(spark, "2010-01-01", "2040-01-01"), years=(2015, 2030)).count() == 153
 
 
+def test_filings_are_stored_small_and_whole(spark, tmp_path):
+    """Tags are most of a filing: what is written is a fraction of its text, and every filing is read back."""
+    from lakeops.sources import documents as X
+    owner = F.struct(*X.nested(X.OWNER, {k: F.lit("a name") for k in X.OWNER}))
+    docs = spark.range(0, 3000, 1, 2).select(F.col("id").cast("string").alias("accession"), F.lit("4").alias("documentType"), F.array(owner).alias("reportingOwner"),
+                                             F.struct(F.array(F.struct(*X.nested(X.COMMON, {k: F.col("id") for k in X.COMMON}))).alias("nonDerivativeTransaction")).alias("nonDerivativeTable"))
+    X.write_filings(docs, str(tmp_path / "filings"))
+    files = [f for f in (tmp_path / "filings").iterdir() if f.name.startswith("part-")]
+    assert len(files) >= 2 and sum(f.stat().st_size for f in files) < 3000 * 200
+    lines = X.flatten_filings(X.read_filings(spark, str(tmp_path / "filings")))
+    assert sorted(int(r[0]) for r in lines.select("accession").collect()) == list(range(3000))
+    assert lines.where("security_title = accession and rpt_owner_name = 'a name'").count() == 3000
+
+
 FILING = """<filings><ownershipDocument>
  <schemaVersion>X0508</schemaVersion><accession>a1</accession><documentType>4</documentType><periodOfReport>2024-01-02</periodOfReport>
  <issuer><issuerCik>0000000011</issuerCik><issuerName>Acme</issuerName><issuerTradingSymbol>ACM</issuerTradingSymbol></issuer>
