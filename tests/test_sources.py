@@ -94,6 +94,8 @@ def test_filings_are_stored_small_and_whole(spark, tmp_path):
     lines = X.flatten_filings(X.read_filings(spark, str(tmp_path / "filings")))
     assert sorted(int(r[0]) for r in lines.select("accession").collect()) == list(range(3000))
     assert lines.where("security_title = accession and rpt_owner_name = 'a name'").count() == 3000
+    # one pass over the files for both tables, though a filing may lack either
+    assert lines._jdf.queryExecution().sparkPlan().toString().count("FileScan xml") == 1
 
 
 FILING = """<filings><ownershipDocument>
