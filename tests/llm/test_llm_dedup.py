@@ -278,42 +278,54 @@ def test_a_repeated_word_is_one_window(spark):
     assert any(a <= 64 and b >= 355 for a, b in got[2, 1]) and any(a <= 34 and b >= 165 for a, b in got[4, 3])
 
 
-def test_agreeing_regions():
-    from lakeops.llm.passages import BITS, REGION, REGIONS, _agreeing
-    rng = random.Random(6)
-    pack = lambda codes: np.array([sum(c << (BITS * j) for j, c in enumerate(codes))], "i4")
-    for _ in range(800):
-        a = [rng.randint(0, 31) for _ in range(REGIONS)]
-        b = [x if rng.random() < 0.7 else rng.randint(0, 31) for x in a]
-        room = rng.randint(0, 60)
-        n = min(room // REGION, REGIONS)
-        same = [x == y for x, y in zip(a[:n], b[:n])] + [False] * (REGIONS - n)
-        total, gapless, with_gap = (x[0] for x in _agreeing(pack(a), pack(b), np.array([room])))
-        assert total == sum(same) and gapless == (same + [False]).index(False)
-        skipped = same[:gapless] + [True] * min(2, REGIONS - gapless) + same[gapless + 2 :]
-        assert with_gap == (skipped + [False]).index(False)
-
-
 def test_crowded_groups_keep_every_kind_of_link():
     """In one large group: copies of two passages around a centre, an edited one, and strangers."""
     import pyarrow as pa
-    from lakeops.llm.passages import BITS, REGIONS, WINDOW, _join_groups
-    rng = random.Random(7)
-    code = lambda: [rng.randint(0, 31) for _ in range(REGIONS)]
-    pack = lambda codes: sum(c << (BITS * j) for j, c in enumerate(codes))
-    left, right = code(), code()
-    rows = [(code(), right) for _ in range(10)] + [(left, code()) for _ in range(10)] + [(code(), code()) for _ in range(10)]
-    edited = list(right)
-    edited[1] ^= 1
-    rows.append((code(), edited))
-    cols = [[5] * len(rows), list(range(len(rows))), [0] * len(rows), [100] * len(rows), [60] * len(rows), [60] * len(rows), [pack(a) for a, _ in rows], [pack(b) for _, b in rows]]
-    types = [pa.int64(), pa.int64(), *[pa.int32()] * 6]
-    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], WINDOW)
-    out = _join_groups(batch, np.full(len(rows), len(rows)), 46, 16).to_pylist()
-    got = {(r["a_id"], r["b_id"]) for r in out}
+    from lakeops.llm.passages import WINDOW, near_windows
+    rng = np.random.default_rng(7)
+    code = lambda n=50: rng.integers(0, 1 << 16, n).astype("<u2")
+    left, right, line = code(), code(55), code(5)
+    around = [[code(), line, right] for _ in range(10)] + [[left, line, code(55)] for _ in range(10)] + [[code(), line, code(55)] for _ in range(10)]
+    edited = right.copy()
+    edited[9] ^= 1
+    around.append([code(), line, edited])
+    n = len(around)
+    cols = [[5] * n, list(range(n)), [0] * n, [100] * n, [50] * n, [55] * n, [np.concatenate(x).tobytes() for x in around]]
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [*WINDOW, "words"])
+    got = set(zip(*(x.tolist() for x in near_windows(batch, None, 46, 0.8))))
     assert {(0, k) for k in range(1, 10)} <= got and {(10, k) for k in range(11, 20)} <= got
     assert not any(a in range(1, 10) and b in range(1, 10) for a, b in got)  # copies: not all pairs
-    assert any(b == 30 for _, b in got)
+    assert any(b == 30 for _, b in got) and not any(20 <= x < 30 for pair in got for x in pair)
+    # dealt into shares: the pairs of different shares, and those within each, are all pairs
+    share = np.arange(n) % 2
+    across = set(zip(*(x.tolist() for x in near_windows(batch, share, 46, 0.8))))
+    assert across and all(a % 2 != b % 2 for a, b in across)
+
+
+def longer_beside_a_line(rng, others):
+    """Documents 1000 + k and 2000 + k share 60 words that hold a line of 45, as many earlier documents do."""
+    line, texts = prose(rng, 45), {}
+    for i in range(others):
+        texts[i] = prose(rng, 60) + line + prose(rng, 60)
+    for k in range(12):
+        shared = prose(rng, 8) + line + prose(rng, 7)
+        for i in (1000 + k, 2000 + k):
+            texts[i] = prose(rng, 60) + shared + prose(rng, 60)
+    return texts
+
+
+@pytest.mark.parametrize("others, block", [(3, 1024), (60, 1024), (200, 32)])
+def test_a_longer_passage_around_a_common_line(spark, monkeypatch, others, block):
+    """The first documents with the line have too little in common with the
+    later ones; those that share more are found all the same, in groups of any size and any number of shares."""
+    from lakeops.llm import passages
+    monkeypatch.setattr(passages, "BLOCK", block)
+    texts = longer_beside_a_line(random.Random(31), others)
+    got = spans(duplicate_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect())
+    want = {(2000 + k, 1000 + k) for k in range(12)}
+    assert want <= set(got)
+    assert all(any(a <= 60 and 120 <= b for a, b in got[x]) for x in want)
 
 
 def test_keep_one_goes_by_the_row(spark):
