@@ -303,6 +303,28 @@ def test_crowded_groups_keep_every_kind_of_link():
     assert across and all(a % 2 != b % 2 for a, b in across)
 
 
+def test_links_of_near_copies_grow_with_the_windows():
+    """Near copies with an edit at any place: each is linked, by few links, not by all pairs."""
+    import pyarrow as pa
+    from lakeops.llm.passages import WINDOW, near_windows
+
+    def linked(n):
+        rng = np.random.default_rng(11)
+        base, around = rng.integers(0, 1 << 16, 197).astype("<u2"), []
+        for _ in range(n):
+            copy = base.copy()
+            copy[[*rng.integers(0, 90, 2), *rng.integers(110, 197, 2)]] ^= rng.integers(1, 1 << 16, 4).astype("<u2")
+            around.append(copy.tobytes())
+        cols = [[5] * n, list(range(n)), [0] * n, [200] * n, [96] * n, [96] * n, around]
+        types = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [*WINDOW, "words"])
+        return list(zip(*(x.tolist() for x in near_windows(batch, None, 46, 0.8))))
+
+    for n in (100, 400):
+        got = linked(n)
+        assert len(got) <= 6 * n and {x for pair in got for x in pair} == set(range(n))
+
+
 def longer_beside_a_line(rng, others):
     """Documents 1000 + k and 2000 + k share 60 words that hold a line of 45, as many earlier documents do."""
     line, texts = prose(rng, 45), {}
