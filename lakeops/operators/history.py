@@ -15,11 +15,12 @@ sequence column such as a ``yyyyMMdd`` batch id) into half-open versions
 Scale: a single key may hold a large share of all snapshots, so no step
 puts all rows of a key into one task. Change detection runs per
 (key, sequence bucket), the buckets being ranges of the data's own sequence
-values; a small per-bucket summary (one row per key and bucket) stitches neighbouring buckets together and numbers the versions;
-versions come from one aggregate per (key, version), and each version's
-end is found with an equi-join on (key, version + 1). The two intermediates
-read by two branches are written once to the shared folder instead of being
-recomputed per branch.
+values, and gives each bucket's runs of equal tracked values. A run inside its
+bucket is a version; the first and last run of each bucket (two rows at most
+per key and bucket) meet per key, where neighbouring buckets' runs are joined
+up and versions find their ends. Nothing is joined back to the snapshots. The
+runs, which two branches read, are written once to the shared folder instead of
+being recomputed per branch.
 """
 
 from __future__ import annotations
@@ -83,11 +84,10 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     """Versions of ``df`` per key (see the module notes). ``unique`` says that
     a key has one row per sequence value already, which spares the dedup.
 
-    The two intermediates that feed two branches each -- the deduplicated,
-    change-marked snapshots and the version table -- are written once under
-    the shared folder when ``materialize_steps`` is true, so no branch
-    recomputes the scan, dedup and shuffles before it (this runs two jobs
-    when called); this is the default."""
+    The buckets' runs, which feed two branches, are written once under the
+    shared folder when ``materialize_steps`` is true, so no branch recomputes
+    the scan, dedup and shuffles before it (this runs a job when called); this
+    is the default."""
     keys, untracked, tie_break = list(keys), list(untracked), list(tie_break)
     skip = set(keys) | {sequence} | set(untracked) | set(tie_break)
     tracked = [c for c in df.columns if c not in skip]
@@ -104,47 +104,37 @@ def scd2_history(df: DataFrame, keys: Sequence[str], sequence: str,
     rows = snaps.select(F.struct(*keys).alias("_k"), sequence, *untracked,
                         F.struct(*tracked).alias("_t"), F.struct(b.alias("b")).alias("_b"))
     wb = Window.partitionBy("_k", "_b").orderBy(sequence)
-    prev = F.col("_prev")
-    # null for the first row of a bucket: decided by the bucket summary
-    rows = (rows.withColumn("_prev", F.lag("_t").over(wb))
-            .withColumn("_chg", F.when(prev.isNotNull(), ~F.col("_t").eqNullSafe(prev)))
-            .drop("_prev"))
-    if materialize_steps:  # feeds the bucket summary and the join back
-        rows = materialize(rows, "scd2-rows")
-
-    wk = Window.partitionBy("_k").orderBy("_b")
-    summary = (rows.groupBy("_k", "_b")
-               # struct min/max order a null sequence first, as the window does
-               .agg(F.min(F.struct(sequence, "_t"))["_t"].alias("_first_t"),
-                    F.max(F.struct(sequence, "_t"))["_t"].alias("_last_t"),
-                    F.count_if(F.coalesce(F.col("_chg"), F.lit(False))).alias("_n_local"))
-               .withColumn("_head_chg", ~F.col("_first_t").eqNullSafe(F.lag("_last_t").over(wk)))
-               .withColumn("_n", F.col("_n_local") + F.col("_head_chg").cast("long"))
-               .withColumn("_offset", F.coalesce(
-                   F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("_k", "_b", "_head_chg", "_offset"))
-
-    changed = F.coalesce(F.col("_chg"), F.col("_head_chg")).cast("long")
-    numbered = (rows.join(summary, ["_k", "_b"])
-                .withColumn("_v", F.col("_offset") + F.sum(changed).over(
-                    wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-
-    # one pass per (key, version): the start row (smallest sequence, a null
-    # one first) gives valid_from and the tracked values; untracked columns
-    # take the value of the latest snapshot
-    start = F.min(F.struct(F.col(sequence).alias("s"), F.col("_t").alias("t")))
-    versions = (numbered.groupBy("_k", "_v")
-                .agg(start.alias("_start"),
-                     # struct max: the latest snapshot wins, a null sequence counts lowest
-                     *[F.max(F.struct(F.col(sequence).alias("s"), F.col(c).alias("v")))["v"].alias(c)
-                       for c in untracked])
-                .select("_k", "_v", F.col("_start.s").alias(valid_from), F.col("_start.t").alias("_t"), *untracked))
-    if materialize_steps:  # read twice by the self-join below
-        versions = materialize(versions, "scd2-versions")
-    ends = versions.select("_k", (F.col("_v") - 1).alias("_v"), F.col(valid_from).alias(valid_to))
-    return (versions.join(ends, ["_k", "_v"], "left")
-            .select(*[F.col("_k")[c].alias(c) for c in keys], *[F.col("_t")[c].alias(c) for c in tracked],
-                    *untracked, valid_from, valid_to))
+    prev = F.lag("_t").over(wb)
+    # null for the first row of a bucket: decided among the buckets' edges
+    rows = rows.withColumn("_chg", F.when(prev.isNotNull(), ~F.col("_t").eqNullSafe(prev)))
+    rows = rows.withColumn("_run", F.count_if("_chg").over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # one pass per run: the start row (smallest sequence, a null one first)
+    # gives valid_from and the tracked values; struct max: the latest snapshot
+    # gives the untracked ones. Buckets are partitioned as the runs need it
+    runs = rows.groupBy("_k", "_b", "_run").agg(
+        F.min(F.struct(F.col(sequence).alias("s"), F.col("_t").alias("t"))).alias("_start"),
+        F.max(F.struct(F.col(sequence).alias("s"), *[F.col(c).alias(f"u{i}") for i, c in enumerate(untracked)])).alias("_last"))
+    runs = runs.withColumn("_next", F.lead("_start.s").over(Window.partitionBy("_k", "_b").orderBy("_run")))
+    if materialize_steps:  # read by the runs inside a bucket and by those at its edges
+        runs = materialize(runs, "scd2-runs")
+
+    # a run with others of its bucket before and after it is a version
+    edge = (F.col("_run") == 0) | F.col("_next").isNull()
+    inner = runs.filter(~edge).select("_k", "_start", "_last", F.col("_next").alias(valid_to))
+
+    # the first run of a bucket may go on with the last one before it; at most
+    # two rows per key and bucket, and all that follows is partitioned by key
+    wk = Window.partitionBy("_k").orderBy("_b", "_run")
+    starts = (F.col("_run") > 0) | ~F.col("_start.t").eqNullSafe(F.lag("_start.t").over(wk))
+    edges = (runs.filter(edge).withColumn("_chg", starts)
+             .withColumn("_v", F.count_if("_chg").over(wk.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    outer = edges.groupBy("_k", "_v").agg(F.min("_start").alias("_start"), F.max("_last").alias("_last"), F.max("_next").alias("_next"))
+    # ends at the next run of its last bucket, or at the key's next version at an edge
+    end = F.coalesce("_next", F.lead("_start.s").over(Window.partitionBy("_k").orderBy("_v")))
+    outer = outer.select("_k", "_start", "_last", end.alias(valid_to))
+    return inner.unionAll(outer).select(
+        *[F.col("_k")[c].alias(c) for c in keys], *[F.col("_start.t")[c].alias(c) for c in tracked],
+        *[F.col(f"_last.u{i}").alias(c) for i, c in enumerate(untracked)], F.col("_start.s").alias(valid_from), valid_to)
 
 
 def dimension_view(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",

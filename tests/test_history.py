@@ -135,3 +135,27 @@ def test_buckets_split_by_the_data(spark, kind):
     assert buckets == sorted(buckets) and len(set(buckets)) >= 20
     assert max(buckets.count(b) for b in set(buckets)) < 400
     assert scd2_history(df.drop("n"), ["k"], "seq").count() == 3000
+
+
+def test_versions_need_no_join_and_meet_per_key_at_buckets_edges_only(spark):
+    """Runs over many buckets, with null values, keys and sequences, against a
+    plain loop; the plan joins nothing back to the snapshots."""
+    import random
+    rng = random.Random(5)
+    made = [(k, s, rng.choice(["A", "A", "B", None]), rng.choice([1.0, 2.0, None]))
+            for k in (1, 2, 3, None) for s in [None, *range(40)] if rng.random() < 0.8]
+    df = spark.createDataFrame(made, "k int, day int, a string, s double")
+    expected = []
+    for key in (1, 2, 3, None):
+        versions = []
+        for _, day, a, u in sorted((r for r in made if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0)):
+            if not versions or versions[-1][1] != a:
+                if versions:
+                    versions[-1][4] = day
+                versions.append([key, a, u, day, None])
+            versions[-1][2] = u
+        expected += map(tuple, versions)
+    for bucket in (F.floor(F.col("day") / 7), F.col("day"), F.lit(0), None):
+        out = scd2_history(df, ["k"], "day", untracked=["s"], bucket=bucket)
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(expected, key=repr)
+        assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
