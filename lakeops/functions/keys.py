@@ -19,8 +19,11 @@ def _c(c: str | Column) -> Column:
 
 
 def date_key(c: str | Column) -> Column:
-    """``yyyyMMdd`` as int (dates and timestamps)."""
-    return F.date_format(_c(c), "yyyyMMdd").cast("int")
+    """``yyyyMMdd`` as int (dates and timestamps), without a text in between
+    but for years before 1, which the text counts as years of their era."""
+    c = _c(c)
+    number = F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
+    return F.when(F.year(c) > 0, number).otherwise(F.date_format(c, "yyyyMMdd").cast("int"))
 
 
 def month_key(c: str | Column) -> Column:
