@@ -359,3 +359,50 @@ def test_keep_one_goes_by_the_row(spark):
     kept = keep_one(df, near_duplicates(df))
     assert kept.columns == df.columns
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(7, a, "x"), (7, b, "y"), (8, c, "z"), (None, d, "only")], key=str)
+
+
+def test_links_cover_what_all_pairs_cover():
+    """Every place of a window that is in a passage with any earlier window is in one with a window
+    it is linked with: edits near each other, between two passages, moved stretches, repeated words."""
+    import pyarrow as pa
+    from lakeops.llm.passages import REACH, SHINGLE, WINDOW, _cut, _grid, _place, near_windows
+    rng = np.random.default_rng(3)
+    code = lambda n: rng.integers(0, 1 << 16, n).astype("<u2")
+    base, line, around = code(2 * REACH + SHINGLE), code(8), []
+    for k in range(60):
+        one = base.copy()
+        for at in rng.integers(0, len(one), rng.integers(1, 9)):
+            if abs(at - REACH - 2) > 8:
+                one[at] = code(1)[0]
+        if k % 5 == 1:
+            one[:40] = code(40)
+        if k % 5 == 2:
+            one[150:] = np.roll(one[150:], 3)
+        if k % 5 == 3:
+            one[10:18], one[30:38], one[170:178] = line, line, line
+        around.append(one.tobytes())
+    n = len(around)
+    cols = [[5] * n, list(range(n)), [0] * n, [200] * n, [REACH] * n, [REACH] * n, around]
+    types = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [*WINDOW, "words"])
+    grid, links = _grid(batch), set(zip(*(x.tolist() for x in near_windows(batch, None, 46, 0.8))))
+    for b in range(n):
+        every, linked = np.zeros(grid.shape[1], bool), np.zeros(grid.shape[1], bool)
+        for a in range(b):
+            for _, _, x, y, _ in _cut(*_place(grid[a], grid[b], 0), grid[a], grid[b], 46, 0.8):
+                every[x : y - SHINGLE + 1] = True
+                linked[x : y - SHINGLE + 1] |= (a, b) in links
+        assert (every == linked).all()
+    assert len(links) <= 6 * n
+
+
+def test_no_passage_is_lost_to_a_wider_stretch():
+    """Stray words in common beside a passage don't make the cut go through the passage's own edit."""
+    rng = random.Random(6)
+    number = {}
+    code = lambda words: np.array([number.setdefault(w, len(number) * 7919 % 65_521) for w in words], "u8")
+    shared, stray = prose(rng, 56), prose(rng, 6)
+    a = shared + prose(rng, 1) + stray + prose(rng, 40)
+    b = shared[:27] + ["new"] + shared[28:] + prose(rng, 1) + stray + prose(rng, 40)
+    got = common_passages(code(a), code(b), 50, 0.8, 0)
+    assert any(lo <= 0 and hi >= 56 for _, _, lo, hi, _ in got)
