@@ -429,3 +429,17 @@ def test_served_sheets_may_be_compressed(spark, tmp_path):
         sheets = [(gzip.open if codec else open)(f, "rt").read().split() for f in files]
         assert all(s[0] == "x,y" and 2 * len(s) <= 2000 for s in sheets)
     assert back[0] == back[1] and len(back[0]) == 3000 and cells[0] == cells[1] and sizes[1] < sizes[0] / 3
+
+
+def test_filings_are_written_without_indentation(spark, tmp_path):
+    """Whitespace between tags is neither written nor parsed; text keeps its own."""
+    import glob
+    import gzip
+    nodes = X.nested(X.DOCUMENT, {k: F.lit(f" {k}  x ") for k in X.DOCUMENT})
+    docs = spark.range(5).select(F.col("id").cast("string").alias("accession"), F.lit("4").alias("documentType"), *nodes)
+    X.write_filings(docs, str(tmp_path / "f"))
+    text = "".join(gzip.open(f, "rt").read() for f in glob.glob(str(tmp_path / "f" / "part-*")))
+    assert text.count("<ownershipDocument>") == 5 and "> <" not in text and "    <" not in text
+    back = X.read_filings(spark, str(tmp_path / "f"))
+    assert sorted(r.accession for r in back.collect()) == list("01234")
+    assert {r.issuer.issuerName.strip() for r in back.collect()} == {"issuer_name  x"}
